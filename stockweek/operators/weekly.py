@@ -139,18 +139,18 @@ def weekly_mart(
     size = measure(slim, "CAL_DT")
     if not (size.fits_broadcast and size.unique):
         return sales_inv_store_wk(sales_inv_store_dy(sales_day, stock_day, hot), calendar, metrics)
-    # Equal weeks have equal hashes, and a hash is never null.
-    week = F.broadcast(slim.withColumn("WEEK_HASH", F.hash("YR_NUM", "WK_NUM")))
+    # Equal weeks have equal hashes, and a hash is never null. Only the hash
+    # travels through the shuffle; the calendar's columns are joined on after it.
+    slim = F.broadcast(slim)
+    week = slim.select("CAL_DT", F.hash("YR_NUM", "WK_NUM").alias("WEEK_HASH"))
     joined = match_days(
-        sales_day.join(week, "CAL_DT"), stock_day.join(week, "CAL_DT"), hot, by_week=True
+        sales_day.join(F.broadcast(week), "CAL_DT"),
+        stock_day.join(F.broadcast(week), "CAL_DT"),
+        hot,
+        by_week=True,
     )
-    pick = picker(hot is not None)
-    from_calendar = [
-        F.coalesce(pick("s", name), pick("i", name)).alias(name)
-        for name in CALENDAR_COLUMNS
-        if name != "CAL_DT"
-    ]
-    return _chosen(_roll_up(joined.select(*fact_columns(pick), *from_calendar)), metrics)
+    days = joined.select(*fact_columns(picker(hot is not None)))
+    return _chosen(_roll_up(days.join(slim, "CAL_DT")), metrics)
 
 
 def readme_metrics(mart_with_metrics: DataFrame, *names: str) -> DataFrame:

@@ -433,7 +433,7 @@ def q_manifest(spark, sf_dir):
 def q_export_to_mart(spark, sf_dir):
     base = scratch_dir(spark, "day")
     export_snapshots(spark, tables.tables(spark, sf_dir), base, ALL_DAYS)
-    run_if_ready(spark, base, f"{base}/out", "prod_key", ALL_DAYS)
+    run_if_ready(spark, base, f"{base}/out", "yr_num", ALL_DAYS)
     return read_fact(spark, f"{base}/out/{FACT}", MART_COLUMNS)
 
 

@@ -1,0 +1,81 @@
+"""A worked example: eight sales, seven stock rows, one week; and a day out of stock with sales."""
+
+from datetime import date
+
+from stockweek.sources.schemas import JOB_SCHEMAS
+
+
+def _day(text):
+    return date.fromisoformat(f"2022-{text}") if text else None
+
+
+# store, day, quantity, price, amount, discount, cost, margin
+SALES = [
+    (1, "01-03", 2, 10, 20, 1, 12, 8),
+    (1, "01-03", 1, 20, 20, 0, 12, 8),
+    (1, "01-08", 5, 10, 50, 0, 30, 20),
+    (2, "01-05", 4, 5, 20, 0, 10, 10),
+    (None, "01-06", 1, 3, 3, 0, 1, 2),
+    (1, "02-01", 9, 9, 81, 0, 1, 80),
+    (3, "01-08", 5, 2, 10, 0, 4, 6),
+    (1, None, 7, 7, 49, 0, 1, 1),
+    (5, "01-04", 6, 4, 24, 0, 9, 15),
+]
+
+# day, store, on hand, on order, out-of-stock flag
+INVENTORY = [
+    ("01-03", 1, 2, 4, 0),
+    ("01-04", 1, 0, 6, 1),
+    ("01-08", 1, 7, 1, 0),
+    ("01-06", None, 9, 0, 0),
+    ("01-08", 3, 4, 0, 0),
+    ("01-08", 3, 6, 0, None),
+    ("01-04", 4, 3, 2, 1),
+    ("01-04", 5, 1, 0, 1),
+]
+
+# store: quantity, mean price, amount, discount, cost, margin, on hand and on order at week end,
+# days out of, in and low on stock
+MART = {
+    0: (1, 3.0, 3, 0, 1, 2, 0, 0, 0, 1, 0),
+    1: (8, 8.333333333, 90, 0.5, 54, 36, 7, 1, 1, 2, 1),
+    2: (4, 5.0, 20, 0, 10, 10, 0, 0, 0, 1, 0),
+    3: (10, 2.0, 20, 0, 8, 12, 10, 0, 0, 2, 1),
+    4: (0, 0.0, 0, 0, 0, 0, 0, 0, 1, 0, 0),
+    5: (6, 4.0, 24, 0, 9, 15, 0, 0, 1, 0, 1),
+}
+
+# store: unit price, out and in day ratio, low-stock impact, potential impact, no-stock impact,
+# weeks of supply
+METRICS = {
+    0: (3.0, 0, 1 / 7, 0, 0, 0, 0),
+    1: (11.25, 1 / 7, 2 / 7, 2, 10, 0, 0.875),
+    2: (5.0, 0, 1 / 7, 0, 0, 0, 0),
+    3: (2.0, 0, 2 / 7, 1, 2, 0, 1.0),
+    4: (None, 1 / 7, 0, 1, 0, 0, None),
+    5: (4.0, 1 / 7, 0, 2, 20, 24, 0),
+}
+
+
+def sales(spark):
+    data = [
+        (n, 1, store, _day(day), 0, *[float(v) for v in measures], 0.0)
+        for n, (store, day, *measures) in enumerate(SALES)
+    ]
+    return spark.createDataFrame(data, JOB_SCHEMAS["sales"])
+
+
+def inventory(spark):
+    data = [
+        (_day(day), store, 1, float(hand), float(order), flag, 0.0, False, None)
+        for day, store, hand, order, flag in INVENTORY
+    ]
+    return spark.createDataFrame(data, JOB_SCHEMAS["inventory"])
+
+
+def calendar(spark):
+    data = [
+        (_day(f"01-0{n + 2}"), "Fiscal", n, "day", 2022, 2, 202202, 1, 202201, 1, 202201)
+        for n in range(7)
+    ]
+    return spark.createDataFrame(data, JOB_SCHEMAS["calendar"])
