@@ -1,0 +1,167 @@
+"""Snapshot names, as-of limits, export audit and readiness."""
+
+import glob
+from datetime import date, datetime, timezone
+
+import golden
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from stockweek.functions.dates import snapshot_day, snapshot_name, snapshot_today
+from stockweek.operators.quality import key_quality
+from stockweek.operators.snapshots import (
+    all_present,
+    readiness,
+    required_snapshots,
+    snapshot_as_of,
+    snapshot_files,
+)
+from stockweek.operators.star import star, star_report
+from stockweek.operators.weekly import weekly_mart
+from stockweek.plans.snapshots import check_snapshots, export_snapshots, run_if_ready
+from stockweek.session import scratch_dir
+from stockweek.sinks import files
+from stockweek.sinks.files import write_snapshot
+from stockweek.sources.csv import read_csv
+from stockweek.sources.listing import list_files
+from stockweek.sources.schemas import JOB_SCHEMAS
+
+DAY = "2022-12-04"
+NAMES = ["calendar", "inventory", "product", "sales", "store"]
+
+
+def test_day_in_eastern_time(spark):
+    moment = datetime(2022, 12, 4, 3, 0, tzinfo=timezone.utc)
+    assert snapshot_today(moment) == date(2022, 12, 3)
+    assert snapshot_name("sales", date(2022, 1, 5)) == "sales_2022-01-05.csv"
+    before = spark.conf.get("spark.sql.session.timeZone")
+    for zone in ("UTC", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.range(1).select(snapshot_day(F.timestamp_seconds(F.lit(moment.timestamp()))))
+        assert df.first()[0] == "2022-12-03"
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_as_of(spark):
+    days = ["2022-12-03", "2022-12-04", "2022-12-05", None]
+    df = spark.createDataFrame([(d and date.fromisoformat(d),) for d in days], "CAL_DT date")
+    assert snapshot_as_of(df, "inventory", DAY).count() == 2
+    assert snapshot_as_of(df, "inventory", date(2022, 12, 4), 1).count() == 3
+    assert snapshot_as_of(df, "calendar", DAY).count() == 4
+
+
+def listing(spark, *names):
+    return spark.createDataFrame([(f"file:/x/{n}",) for n in names], "path string")
+
+
+def test_ready(spark):
+    present = listing(spark, *[f"{n}_{DAY}.csv" for n in NAMES], "notes.txt")
+    status = readiness(present, "file:/x/", DAY)
+    assert status.ready and status.missing.isEmpty()
+    assert rows(status.manifest) == [(n, f"file:/x/{n}_{DAY}.csv") for n in NAMES]
+    verdict = all_present(required_snapshots(spark, "file:/x", DAY), snapshot_files(present))
+    assert verdict.first()[0] is True
+
+
+def test_not_ready(spark):
+    present = listing(
+        spark, *[f"{n}_{DAY}.csv" for n in NAMES if n != "store"], "store_2022-12-15.csv"
+    )
+    status = readiness(present, "file:/x", DAY)
+    assert not status.ready and rows(status.missing) == [("store",)] and status.manifest.isEmpty()
+    verdict = all_present(required_snapshots(spark, "file:/x", DAY), snapshot_files(present))
+    assert verdict.first()[0] is False
+
+
+def test_snapshot_file_names(spark):
+    found = snapshot_files(
+        listing(
+            spark, f"sales_{DAY}.csv/part-0.csv", f"sales_{DAY}.csv/part-1.csv",
+            f"big_store_{DAY}.csv", "sales.csv", f"sales_{DAY}.csv.gz",
+        )
+    )
+    assert rows(found) == [
+        ("big_store", DAY, f"file:/x/big_store_{DAY}.csv"),
+        ("sales", DAY, f"file:/x/sales_{DAY}.csv"),
+    ]
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return {
+        "sales": golden.sales(spark),
+        "inventory": golden.inventory(spark),
+        "calendar": golden.calendar(spark),
+        "store": spark.createDataFrame([(1,) + (None,) * 20], JOB_SCHEMAS["store"]),
+        "product": spark.createDataFrame([(1,) + (None,) * 10], JOB_SCHEMAS["product"]),
+    }
+
+
+def test_export_then_run(spark, tables, tmp_path):
+    base = f"{tmp_path}/stage"
+    audit = export_snapshots(spark, tables, base, "2022-01-08")
+    assert [tuple(r) for r in audit.collect()] == [
+        ("inventory", 8), ("sales", 7), ("store", 1), ("product", 1), ("calendar", 7),
+    ]
+    assert len(glob.glob(f"{base}/store_2022-01-08.csv/*.csv")) == 1
+    names = {r.path.split("/")[-2] for r in list_files(spark, base).collect()}
+    assert names == {f"{n}_2022-01-08.csv" for n in NAMES}
+    again = export_snapshots(spark, tables, base, "2022-01-03", 1, day="2022-01-08")
+    assert again.first()["rows_unloaded"] == 4
+    assert not run_if_ready(spark, base, f"{tmp_path}/out", "STORE_KEY", "2022-01-07").ready
+    assert not glob.glob(f"{tmp_path}/out")
+    assert run_if_ready(spark, base, f"{tmp_path}/out", "STORE_KEY", "2022-01-08").ready
+    assert spark.read.parquet(f"{tmp_path}/out/sales_inv_store_wk").count() == 3
+    assert not check_snapshots(spark, base).ready
+
+
+def test_files_stay_below_the_limit(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "MAX_FILE_BYTES", 20_000)
+    big = spark.range(3000).selectExpr(
+        "CAST(id AS INT) AS TRANS_ID", "DATE'2022-01-01' AS TRANS_DT", "id / 7D AS SALES_QTY"
+    )
+    assert write_snapshot(big.coalesce(1), "sales", str(tmp_path), DAY) == 3000
+    import os
+
+    parts = glob.glob(f"{tmp_path}/sales_{DAY}.csv/part-*")
+    assert len(parts) > 3 and max(os.path.getsize(p) for p in parts) < 20_000
+
+
+def test_scratch_is_under_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert a.startswith(f"{shared}/x-") and a != b
+
+
+def test_key_quality(spark, tables):
+    doubled = tables["calendar"].unionAll(tables["calendar"].limit(1))
+    report = dict(rows(key_quality(tables["sales"], tables["inventory"], doubled)))
+    assert report == {
+        "sales: store key null or 0": 1,
+        "sales: product key null or 0": 0,
+        "sales: no date": 1,
+        "sales: date not in calendar": 1,
+        "inventory: store key null or 0": 1,
+        "inventory: product key null or 0": 0,
+        "inventory: no date": 0,
+        "inventory: date not in calendar": 0,
+        "inventory: keys with several rows": 1,
+        "calendar: dates with several rows": 1,
+        "calendar: weeks of other than 7 days": 0,
+        "calendar: weeks without a last day": 0,
+    }
+
+
+def test_star_keeps_every_cell(spark, tables):
+    fact = weekly_mart(*[tables[t] for t in ("sales", "inventory", "calendar")])
+    wide = star(fact, tables["store"], tables["product"], ["MARKET_NAME"], ["CATEGORY_NAME"])
+    assert wide.count() == fact.count()
+    report = star_report(fact, tables["store"], tables["product"]).collect()
+    assert [r.SALES_QTY for r in report] == [29.0]
+
+
+def test_csv_snapshot_reads_back(spark, tables, tmp_path):
+    write_snapshot(tables["sales"], "sales", str(tmp_path), DAY)
+    back = read_csv(spark, "sales", f"{tmp_path}/sales_{DAY}.csv")
+    assert rows(back) == rows(tables["sales"])
