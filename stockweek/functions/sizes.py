@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,43 +9,33 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# A key counts as hot from about a million rows on; at most HOT_KEYS of them are
-# singled out. A key beyond that holds less than one row in HOT_KEYS.
-HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
+# A key counts as hot from about this many rows on; at most HOT_KEYS of them are
+# singled out, so a key left in the shuffle holds less than one row in HOT_KEYS.
+HOT_ROWS = 200_000
+HOT_KEYS = 20_000
 HOT_SAMPLE = 0.01
 
 
-class Size(NamedTuple):
-    rows: int
-    bytes: int
-    distinct: int
-
-    @property
-    def fits_broadcast(self) -> bool:
-        return self.rows <= BROADCAST_ROWS and self.bytes <= BROADCAST_BYTES
-
-    @property
-    def unique(self) -> bool:
-        return self.rows == self.distinct
-
-
-def measure(df: DataFrame, key: str) -> Size:
-    """Rows, bytes and distinct non-null keys, in one small job."""
-    width = F.lit(0)
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether all of ``df`` is small, by a count of its rows and bytes; nothing is shuffled."""
+    width = F.lit(16 * len(df.columns)).cast("long")
     for field in df.schema.fields:
-        text = isinstance(field.dataType, T.StringType)
-        width = width + (F.coalesce(F.octet_length(field.name), F.lit(0)) + 16 if text else 16)
-    per_key = df.groupBy(F.col(key).alias("k")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")
-    )
-    row = per_key.agg(F.sum("n"), F.sum("b"), F.count("k")).first()
-    return Size(int(row[0] or 0), int(row[1] or 0), int(row[2] or 0))
+        if isinstance(field.dataType, T.StringType):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
 
 
-def broadcast_if_small(df: DataFrame, key: str) -> DataFrame:
+def broadcast_if_small(df: DataFrame) -> DataFrame:
     """``df`` with a broadcast hint when its measured size allows it, else unchanged."""
-    return F.broadcast(df) if measure(df, key).fits_broadcast else df
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
+def small_and_unique(df: DataFrame, key: str) -> bool:
+    """Whether ``df`` has one row per key and few enough keys to broadcast."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    keys, most = per_key.agg(F.count(F.lit(1)), F.max("n")).first()
+    return keys <= BROADCAST_ROWS and (most or 0) <= 1
 
 
 def hot_keys(

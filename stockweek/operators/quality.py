@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.functions.sizes import broadcast_if_small
 from stockweek.operators.daily import DAY_KEYS
 from stockweek.operators.weekly import DAYS_PER_WEEK, END_OF_WEEK
 
@@ -17,23 +16,27 @@ def _no_key(name: str) -> Column:
 
 
 def _key_counts(table: str, rows: DataFrame, day: str, dates: DataFrame) -> DataFrame:
-    seen = rows.join(dates, rows[day] == dates["KNOWN_DT"], "left")
-    counts = seen.agg(
+    # Counted per day before the calendar is looked at, so the join sees only dates.
+    per_day = rows.groupBy(F.col(day).alias("DAY")).agg(
         F.count_if(_no_key("STORE_KEY")).alias("store"),
         F.count_if(_no_key("PROD_KEY")).alias("product"),
-        F.count_if(F.col(day).isNull()).alias("date"),
-        F.count_if(F.col(day).isNotNull() & F.col("KNOWN_DT").isNull()).alias("calendar"),
+        F.count(F.lit(1)).alias("n"),
     )
-    return counts.select(
-        F.explode(
-            F.create_map(
-                F.lit(f"{table}: store key null or 0"), "store",
-                F.lit(f"{table}: product key null or 0"), "product",
-                F.lit(f"{table}: no date"), "date",
-                F.lit(f"{table}: date not in calendar"), "calendar",
-            )
-        ).alias("CHECK_NAME", "N")
-    )
+    undated, unknown = F.col("DAY").isNull(), F.col("KNOWN_DT").isNull()
+    counts = per_day.join(dates, F.col("DAY") == F.col("KNOWN_DT"), "left").agg(
+        F.sum("store").alias("store"),
+        F.sum("product").alias("product"),
+        F.sum(F.when(undated, F.col("n"))).alias("date"),
+        F.sum(F.when(~undated & unknown, F.col("n"))).alias("calendar"),
+    )
+    checks = {
+        f"{table}: store key null or 0": "store",
+        f"{table}: product key null or 0": "product",
+        f"{table}: no date": "date",
+        f"{table}: date not in calendar": "calendar",
+    }
+    pairs = [[F.lit(check), F.coalesce(name, F.lit(0))] for check, name in checks.items()]
+    return counts.select(F.explode(F.create_map(*sum(pairs, []))).alias("CHECK_NAME", "N"))
 
 
 def _one(check: str, counted: DataFrame) -> DataFrame:
@@ -46,7 +49,6 @@ def key_quality(sales: DataFrame, inventory: DataFrame, calendar: DataFrame) ->
     Counts are combined before every shuffle, so a hot key costs no more than another.
     """
     dates = calendar.select(F.col("CAL_DT").alias("KNOWN_DT")).distinct()
-    dates = broadcast_if_small(dates, "KNOWN_DT")
     repeated = F.count_if(F.col("n") > 1).alias("N")
     per_key = inventory.groupBy(*DAY_KEYS).agg(F.count(F.lit(1)).alias("n"))
     per_date = calendar.groupBy("CAL_DT").agg(F.count(F.lit(1)).alias("n"))

@@ -22,9 +22,8 @@ def star(
     """
     stores = store.select("STORE_KEY", *store_columns)
     products = product.select("PROD_KEY", *product_columns)
-    return fact.join(broadcast_if_small(stores, "STORE_KEY"), "STORE_KEY", "left").join(
-        broadcast_if_small(products, "PROD_KEY"), "PROD_KEY", "left"
-    )
+    with_store = fact.join(broadcast_if_small(stores), "STORE_KEY", "left")
+    return with_store.join(broadcast_if_small(products), "PROD_KEY", "left")
 
 
 def star_report(fact: DataFrame, store: DataFrame, product: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from stockweek.functions.measures import (
     total,
     total_of_means,
 )
-from stockweek.functions.sizes import measure
+from stockweek.functions.sizes import broadcast_if_small, small_and_unique
 from stockweek.operators.daily import (
     daily_inventory,
     daily_sales,
@@ -109,9 +109,7 @@ def sales_inv_store_wk(
     calendar beyond the broadcast bound is joined by shuffling, where adaptive
     execution splits a hot date.
     """
-    slim = calendar.select(*CALENDAR_COLUMNS)
-    if measure(slim, "CAL_DT").fits_broadcast:
-        slim = F.broadcast(slim)
+    slim = broadcast_if_small(calendar.select(*CALENDAR_COLUMNS))
     return _chosen(_roll_up(sales_inv_day.join(slim, "CAL_DT")), metrics)
 
 
@@ -136,8 +134,7 @@ def weekly_mart(
     if hot == "find":
         hot = hot_inventory_keys(inventory)
     sales_day, stock_day = daily_sales(sales), daily_inventory(inventory)
-    size = measure(slim, "CAL_DT")
-    if not (size.fits_broadcast and size.unique):
+    if not small_and_unique(slim, "CAL_DT"):
         return sales_inv_store_wk(sales_inv_store_dy(sales_day, stock_day, hot), calendar, metrics)
     # Equal weeks have equal hashes, and a hash is never null. Only the hash
     # travels through the shuffle; the calendar's columns are joined on after it.

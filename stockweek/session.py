@@ -31,7 +31,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     Only a local session without ``spark.checkpoint.dir`` gets a folder on this
     machine: on a cluster the executors could not see it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

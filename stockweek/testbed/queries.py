@@ -45,6 +45,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "1998-12-01"
 ALL_DAYS = "2100-01-01"
+FACT_TABLES = "sales inventory calendar"
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -77,8 +78,16 @@ def _names(columns: list[str]) -> str:
     return ", ".join(columns)
 
 
+def _dumped(spark: SparkSession, sf_dir: str, table: str, grain: str = "item") -> DataFrame:
+    return tables.tables(spark, sf_dir, table, grain)[table]
+
+
+def _clean(spark: SparkSession, sf_dir: str, table: str, grain: str = "item") -> DataFrame:
+    return tables.clean_tables(spark, sf_dir, table, grain)[table]
+
+
 def _mart(spark: SparkSession, sf_dir: str, metrics=False, grain="item", **kw) -> DataFrame:
-    t = tables.clean_tables(spark, sf_dir, grain)
+    t = tables.clean_tables(spark, sf_dir, FACT_TABLES, grain)
     return weekly_mart(t["sales"], t["inventory"], t["calendar"], metrics, **kw)
 
 
@@ -94,13 +103,13 @@ def _write_inputs(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]
 
 @_register("q_fill_nulls", _plain_sql("SELECT {all} FROM inventory", "CAL_DT NEXT_DELIVERY_DT"))
 def q_fill_nulls(spark, sf_dir):
-    return _plain(fill_nulls(tables.inventory(spark, sf_dir)))
+    return _plain(fill_nulls(_dumped(spark, sf_dir, "inventory")))
 
 
 @_register("q_csv_scan", _plain_sql("SELECT {all} FROM sales", "TRANS_DT"))
 def q_csv_scan(spark, sf_dir):
     path = scratch_dir(spark, "scan")
-    tables.sales(spark, sf_dir).write.options(header="true").csv(path)
+    _dumped(spark, sf_dir, "sales").write.options(header="true").csv(path)
     return _plain(read_table(spark, "sales", path))
 
 
@@ -109,7 +118,7 @@ def q_csv_scan(spark, sf_dir):
 )
 def q_csv_scan_inventory(spark, sf_dir):
     path = scratch_dir(spark, "scan")
-    tables.inventory(spark, sf_dir).write.options(header="true").csv(path)
+    _dumped(spark, sf_dir, "inventory").write.options(header="true").csv(path)
     return _plain(read_table(spark, "inventory", path))
 
 
@@ -135,8 +144,8 @@ def q_raw_load(spark, sf_dir):
     return first
 
 
-def _load_raw(spark, sf_dir):
-    base = scratch_dir(spark, "raw")
+def _load_raw(spark, sf_dir, base=None):
+    base = base or scratch_dir(spark, "raw")
     current = spark.catalog.currentDatabase()
     staged = _write_inputs(spark, sf_dir, f"{base}/staged")
     loaded = load_raw(spark, staged, f"raw_{base[-32:]}", f"{base}/tables")
@@ -161,12 +170,12 @@ def q_raw_load_sales(spark, sf_dir):
 
 @_register("q_daily_sales", _plain_sql("SELECT {all} FROM daily_sales", "CAL_DT"))
 def q_daily_sales(spark, sf_dir):
-    return _plain(daily_sales(tables.clean_tables(spark, sf_dir)["sales"]))
+    return _plain(daily_sales(_clean(spark, sf_dir, "sales")))
 
 
 @_register("q_daily_sales_brand", _plain_sql("SELECT {all} FROM daily_sales", "CAL_DT", "brand"))
 def q_daily_sales_brand(spark, sf_dir):
-    return _plain(daily_sales(tables.clean_tables(spark, sf_dir, "brand")["sales"]))
+    return _plain(daily_sales(_clean(spark, sf_dir, "sales", "brand")))
 
 
 @_register(
@@ -179,11 +188,11 @@ def q_daily_sales_brand(spark, sf_dir):
     ),
 )
 def q_daily_inventory(spark, sf_dir):
-    return _plain(daily_inventory(tables.clean_tables(spark, sf_dir)["inventory"]))
+    return _plain(daily_inventory(_clean(spark, sf_dir, "inventory")))
 
 
 def _daily_fact(spark, sf_dir, grain="item", **limits):
-    t = tables.clean_tables(spark, sf_dir, grain)
+    t = tables.clean_tables(spark, sf_dir, "sales inventory", grain)
     hot = hot_inventory_keys(t["inventory"], **limits)
     return sales_inv_store_dy(daily_sales(t["sales"]), daily_inventory(t["inventory"]), hot)
 
@@ -213,12 +222,12 @@ def q_weekly_mart_brand(spark, sf_dir):
 
 @_register("q_weekly_mart_stepwise", _plain_sql(MART_SQL))
 def q_weekly_mart_stepwise(spark, sf_dir):
-    return sales_inv_store_wk(_daily_fact(spark, sf_dir), tables.calendar(spark, sf_dir))
+    return sales_inv_store_wk(_daily_fact(spark, sf_dir), _dumped(spark, sf_dir, "calendar"))
 
 
 @_register("q_weekly_mart_hot_keys", _plain_sql(MART_SQL, grain="brand"))
 def q_weekly_mart_hot_keys(spark, sf_dir):
-    stock = tables.clean_tables(spark, sf_dir, "brand")["inventory"]
+    stock = _clean(spark, sf_dir, "inventory", "brand")
     hot = hot_inventory_keys(stock, rows=3, sample=1.0)
     return _mart(spark, sf_dir, grain="brand", hot=hot)
 
@@ -262,7 +271,7 @@ def _dimension_query(table: str, dates: str = "") -> None:
     @_register(f"q_dim_export_{table}", _plain_sql(f"SELECT {{all}} FROM {table}", dates))
     def run(spark, sf_dir):
         path = scratch_dir(spark, table)
-        write_csv(tables.clean_tables(spark, sf_dir)[table], path)
+        write_csv(_clean(spark, sf_dir, table), path)
         return _plain(read_csv(spark, table, path))
 
 
@@ -328,7 +337,7 @@ STAR_SQL = oracle.query(
 
 @_register("q_star_report", STAR_SQL)
 def q_star_report(spark, sf_dir):
-    t = tables.clean_tables(spark, sf_dir)
+    t = tables.clean_tables(spark, sf_dir, "store product")
     return star_report(_mart(spark, sf_dir), t["store"], t["product"])
 
 
@@ -350,7 +359,7 @@ def q_star_report_served(spark, sf_dir):
 )
 def q_snapshot_sales_asof(spark, sf_dir):
     base = scratch_dir(spark, "snap")
-    rows = snapshot_as_of(tables.sales(spark, sf_dir), "sales", AS_OF)
+    rows = snapshot_as_of(_dumped(spark, sf_dir, "sales"), "sales", AS_OF)
     write_snapshot(rows, "sales", base, AS_OF)
     return _plain(read_table(spark, "sales", f"{base}/sales_{AS_OF}.csv"))
 
@@ -364,7 +373,7 @@ def q_snapshot_sales_asof(spark, sf_dir):
 )
 def q_snapshot_inventory_next_day(spark, sf_dir):
     base = scratch_dir(spark, "snap")
-    rows = snapshot_as_of(tables.inventory(spark, sf_dir), "inventory", AS_OF, horizon_days=1)
+    rows = snapshot_as_of(_dumped(spark, sf_dir, "inventory"), "inventory", AS_OF, horizon_days=1)
     write_snapshot(rows, "inventory", base, AS_OF)
     return _plain(read_table(spark, "inventory", f"{base}/inventory_{AS_OF}.csv"))
 
@@ -437,6 +446,15 @@ def q_export_to_mart(spark, sf_dir):
     return read_fact(spark, f"{base}/out/{FACT}", MART_COLUMNS)
 
 
+@_register("q_raw_load_to_mart", _plain_sql(MART_SQL))
+def q_raw_load_to_mart(spark, sf_dir):
+    base = scratch_dir(spark, "chain")
+    raw = _load_raw(spark, sf_dir, base)
+    export_snapshots(spark, raw, f"{base}/day", ALL_DAYS)
+    run_if_ready(spark, f"{base}/day", f"{base}/out", "yr_num", ALL_DAYS)
+    return read_fact(spark, f"{base}/out/{FACT}", MART_COLUMNS)
+
+
 @_register(
     "q_key_quality",
     oracle.query(
@@ -462,5 +480,5 @@ def q_export_to_mart(spark, sf_dir):
     ),
 )
 def q_key_quality(spark, sf_dir):
-    t = tables.clean_tables(spark, sf_dir)
+    t = tables.clean_tables(spark, sf_dir, FACT_TABLES)
     return key_quality(t["sales"], t["inventory"], t["calendar"])

@@ -9,6 +9,9 @@ is on integers or cents, so that SQL engines agree on it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,11 +19,16 @@ from stockweek.functions.nulls import fill_nulls
 from stockweek.sources.schemas import JOB_SCHEMAS
 
 EPOCH = "1995-01-01"  # a Sunday
+ALL = "calendar inventory product sales store"
 DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+Read = Callable[[str], DataFrame]
+
+
+def reader(spark: SparkSession, sf_dir: str) -> Read:
+    """Finds a source table by name; each is opened once."""
+    return cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _null_if(divisor: int, value: Column) -> Column:
@@ -33,18 +41,18 @@ def _typed(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
-    lines = _read(spark, sf_dir, "lineitem").withColumn("SHIP_DT", F.to_date("l_shipdate"))
+def _lines(read: Read, grain: str) -> DataFrame:
+    lines = read("lineitem").withColumn("SHIP_DT", F.to_date("l_shipdate"))
     if grain == "item":
         store, product = F.col("l_suppkey"), F.col("l_partkey")
     else:
-        part = _read(spark, sf_dir, "part").select(
+        part = read("part").select(
             F.col("p_partkey").alias("l_partkey"),
             F.regexp_extract("p_brand", r"(\d+)", 1).cast("int").alias("BRAND"),
         )
         region = (
-            _read(spark, sf_dir, "supplier")
-            .join(_read(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            read("supplier")
+            .join(read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .select(F.col("s_suppkey").alias("l_suppkey"), "n_regionkey")
         )
         lines = lines.join(part, "l_partkey").join(region, "l_suppkey")
@@ -52,9 +60,9 @@ def _lines(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
     return lines.withColumns({"STORE_KEY": _null_if(97, store), "PROD_KEY": product})
 
 
-def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+def calendar(read: Read) -> DataFrame:
     """Every day from the first to the last shipment; weeks start on Sunday and on 1 January."""
-    span = _read(spark, sf_dir, "lineitem").agg(
+    span = read("lineitem").agg(
         F.min(F.to_date("l_shipdate")).alias("a"), F.max(F.to_date("l_shipdate")).alias("z")
     )
     days = span.select(F.explode(F.sequence("a", "z")).alias("CAL_DT"))
@@ -81,13 +89,13 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales(spark: SparkSession, sf_dir: str, grain: str = "item") -> DataFrame:
-    price = _read(spark, sf_dir, "part").select(
+def sales(read: Read, grain: str = "item") -> DataFrame:
+    price = read("part").select(
         F.col("p_partkey").alias("l_partkey"), "p_retailprice"
     )
     cost = F.col("l_quantity") * 10
     return _typed(
-        _lines(spark, sf_dir, grain)
+        _lines(read, grain)
         .join(price, "l_partkey")
         .select(
             ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) % 2147483647).alias("TRANS_ID"),
@@ -107,10 +115,10 @@ def sales(spark: SparkSession, sf_dir: str, grain: str = "item") -> DataFrame:
     )
 
 
-def inventory(spark: SparkSession, sf_dir: str, grain: str = "item") -> DataFrame:
+def inventory(read: Read, grain: str = "item") -> DataFrame:
     """Per line one count on the day or the next, and one on the Saturday that ends the week."""
     to_saturday = 6 - F.datediff("SHIP_DT", F.lit(EPOCH).cast("date")) % 7
-    counts = _lines(spark, sf_dir, grain).withColumn("K", F.explode(F.array(F.lit(0), F.lit(1))))
+    counts = _lines(read, grain).withColumn("K", F.explode(F.array(F.lit(0), F.lit(1))))
     shift = F.when(F.col("K") == 0, F.col("l_linenumber") % 2).otherwise(to_saturday)
     order, line, k = F.col("l_orderkey"), F.col("l_linenumber"), F.col("K")
     on_hand = (order * 7 + line * 13 + k * 5) % 60
@@ -136,12 +144,12 @@ def inventory(spark: SparkSession, sf_dir: str, grain: str = "item") -> DataFram
     )
 
 
-def store(spark: SparkSession, sf_dir: str) -> DataFrame:
+def store(read: Read) -> DataFrame:
     """One row per supplier, with its nation as market; the other columns are null."""
     wide = (
-        _read(spark, sf_dir, "supplier")
-        .join(_read(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(_read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        read("supplier")
+        .join(read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     key = F.col("s_suppkey")
     known = {
@@ -158,7 +166,7 @@ def store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_nulls(wide, "store", known)
 
 
-def product(spark: SparkSession, sf_dir: str) -> DataFrame:
+def product(read: Read) -> DataFrame:
     """One row per part; the other columns are null."""
     known = {
         "PROD_KEY": F.col("p_partkey"),
@@ -168,7 +176,7 @@ def product(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CATEGORY_KEY": F.col("p_size"),
         "CATEGORY_NAME": F.col("p_type"),
     }
-    return _with_nulls(_read(spark, sf_dir, "part"), "product", known)
+    return _with_nulls(read("part"), "product", known)
 
 
 def _with_nulls(df: DataFrame, table: str, known: dict[str, Column]) -> DataFrame:
@@ -180,17 +188,23 @@ def _with_nulls(df: DataFrame, table: str, known: dict[str, Column]) -> DataFram
     )
 
 
-def tables(spark: SparkSession, sf_dir: str, grain: str = "item") -> dict[str, DataFrame]:
-    """The five tables with their nulls, as a warehouse would dump them."""
-    return {
-        "calendar": calendar(spark, sf_dir),
-        "inventory": inventory(spark, sf_dir, grain),
-        "product": product(spark, sf_dir),
-        "sales": sales(spark, sf_dir, grain),
-        "store": store(spark, sf_dir),
+def tables(
+    spark: SparkSession, sf_dir: str, names: str = ALL, grain: str = "item"
+) -> dict[str, DataFrame]:
+    """The named tables with their nulls, as a warehouse would dump them."""
+    read = reader(spark, sf_dir)
+    make = {
+        "calendar": lambda: calendar(read),
+        "inventory": lambda: inventory(read, grain),
+        "product": lambda: product(read),
+        "sales": lambda: sales(read, grain),
+        "store": lambda: store(read),
     }
+    return {name: make[name]() for name in names.split()}
 
 
-def clean_tables(spark: SparkSession, sf_dir: str, grain: str = "item") -> dict[str, DataFrame]:
-    """The five tables after null normalisation, as the mart job sees them."""
-    return {name: fill_nulls(df) for name, df in tables(spark, sf_dir, grain).items()}
+def clean_tables(
+    spark: SparkSession, sf_dir: str, names: str = ALL, grain: str = "item"
+) -> dict[str, DataFrame]:
+    """The named tables after null normalisation, as the mart job sees them."""
+    return {name: fill_nulls(df) for name, df in tables(spark, sf_dir, names, grain).items()}
