@@ -39,31 +39,35 @@ def small_and_unique(df: DataFrame, key: str) -> bool:
 
 
 def hot_keys(
-    df: DataFrame,
-    keys: list[str],
-    rows: int = HOT_ROWS,
-    sample: float = HOT_SAMPLE,
-    limit: int = HOT_KEYS,
+    sampled: DataFrame, keys: list[str], rows: int, fraction: float, limit: int = HOT_KEYS
 ) -> DataFrame | None:
-    """The most frequent key values of ``df``, or None when no key is hot.
+    """Key values that, by their hits in a sample, hold about ``rows`` rows or more.
 
-    The sample decides only which keys take the path for hot keys; both paths
-    give the same rows. Every key returned occurs in ``df``, and there are at
-    most ``limit``, so the list may be broadcast.
+    None when there are none. The list is at most ``limit`` long, so it may be
+    collected and broadcast.
     """
-    hits = df.select(*keys)
-    if sample < 1.0:
-        hits = hits.sample(fraction=sample, seed=17)
     found = (
-        hits.groupBy(*keys)
+        sampled.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("hits"))
-        .filter(F.col("hits") >= max(1, int(rows * sample)))
+        .filter(F.col("hits") >= max(1, int(rows * fraction)))
         .orderBy(F.desc("hits"))
         .limit(limit)
-        .drop("hits")
-        .collect()
+        .select(*keys)
     )
-    if not found:
-        return None
-    schema = T.StructType([T.StructField(key, df.schema[key].dataType) for key in keys])
-    return df.sparkSession.createDataFrame(found, schema)
+    return _held(found, keys)
+
+
+def keys_present(df: DataFrame, keys: list[str], candidates: DataFrame) -> DataFrame | None:
+    """Those of a short list of keys that occur in ``df``; nulls count as equal."""
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(f"d.{key}").eqNullSafe(F.col(f"c.{key}"))
+    found = df.alias("d").join(F.broadcast(candidates.alias("c")), same, "left_semi")
+    return _held(found.select(*keys).distinct(), keys)
+
+
+def _held(found: DataFrame, keys: list[str]) -> DataFrame | None:
+    """The few rows found, fixed as a frame that every use sees alike."""
+    values = found.collect()
+    schema = T.StructType([T.StructField(key, found.schema[key].dataType) for key in keys])
+    return found.sparkSession.createDataFrame(values, schema) if values else None

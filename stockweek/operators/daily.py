@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweek.functions.measures import mean, total
-from stockweek.functions.sizes import hot_keys
+from stockweek.functions.sizes import HOT_ROWS, HOT_SAMPLE, hot_keys, keys_present
 
 DAY_KEYS = ["CAL_DT", "STORE_KEY", "PROD_KEY"]
 SALES_MEASURES = ["SALES_QTY", "SALES_PRICE", "SALES_AMT", "DISCOUNT", "SALES_COST", "SALES_MGRN"]
@@ -35,13 +35,27 @@ def daily_inventory(inventory: DataFrame) -> DataFrame:
     )
 
 
-def hot_inventory_keys(inventory: DataFrame, **limits) -> DataFrame | None:
+def hot_inventory_keys(
+    inventory: DataFrame,
+    sampled: DataFrame | None = None,
+    rows: int = HOT_ROWS,
+    fraction: float = HOT_SAMPLE,
+) -> DataFrame | None:
     """Date, store and product keys that hold very many inventory rows, or None.
 
-    One pass over the three key columns. The fact needs it because a full outer
-    join sends all rows of a key to one task and cannot be split at run time.
+    The fact needs them because a full outer join sends all rows of a key to one
+    task and cannot be split at run time. The sample decides only which keys take
+    the path for hot keys: both paths give the same rows, provided that every key
+    returned occurs in the inventory. A ``sampled`` frame that was read some other
+    way, with the given fraction, is therefore checked against it.
     """
-    return hot_keys(inventory, DAY_KEYS, **limits)
+    if sampled is not None:
+        found = hot_keys(sampled.select(*DAY_KEYS), DAY_KEYS, rows, fraction)
+        return found and keys_present(inventory, DAY_KEYS, found)
+    keys = inventory.select(*DAY_KEYS)
+    if fraction < 1.0:
+        keys = keys.sample(fraction=fraction, seed=17)
+    return hot_keys(keys, DAY_KEYS, rows, fraction)
 
 
 def _same_day(left: str, right: str) -> Column:

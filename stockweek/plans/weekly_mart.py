@@ -12,10 +12,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stockweek.functions.sizes import HOT_SAMPLE
+from stockweek.operators.daily import hot_inventory_keys
 from stockweek.operators.weekly import weekly_mart
 from stockweek.session import get_session
 from stockweek.sinks.files import write_csv, write_fact
-from stockweek.sources.csv import read_table
+from stockweek.sources.csv import read_table, sample_table
 from stockweek.sources.schemas import TABLES
 
 # Names of the outputs.
@@ -52,7 +54,9 @@ def run_weekly_mart(
     """Build the mart from the CSV snapshots and write it beside copies of the dimensions."""
     tables = read_inputs(spark, inputs, null_value)
     base = output_path.rstrip("/")
-    fact = weekly_mart(tables["sales"], tables["inventory"], tables["calendar"], metrics)
+    sampled = sample_table(spark, "inventory", inputs["inventory"], HOT_SAMPLE, null_value)
+    hot = hot_inventory_keys(tables["inventory"], sampled)
+    fact = weekly_mart(tables["sales"], tables["inventory"], tables["calendar"], metrics, hot)
     write_fact(fact, f"{base}/{FACT}", partition_column, partition_overwrite)
     for table in DIMENSIONS:
         write_csv(tables[table], f"{base}/{table}")

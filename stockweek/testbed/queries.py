@@ -204,7 +204,7 @@ def q_daily_fact(spark, sf_dir):
 
 @_register("q_daily_fact_hot_keys", _plain_sql("SELECT {all} FROM daily_fact", "CAL_DT"))
 def q_daily_fact_hot_keys(spark, sf_dir):
-    return _plain(_daily_fact(spark, sf_dir, rows=2, sample=1.0))
+    return _plain(_daily_fact(spark, sf_dir, rows=2, fraction=1.0))
 
 
 MART_SQL = f"SELECT {_names(MART_COLUMNS)} FROM weekly"
@@ -228,7 +228,7 @@ def q_weekly_mart_stepwise(spark, sf_dir):
 @_register("q_weekly_mart_hot_keys", _plain_sql(MART_SQL, grain="brand"))
 def q_weekly_mart_hot_keys(spark, sf_dir):
     stock = _clean(spark, sf_dir, "inventory", "brand")
-    hot = hot_inventory_keys(stock, rows=3, sample=1.0)
+    hot = hot_inventory_keys(stock, rows=3, fraction=1.0)
     return _mart(spark, sf_dir, grain="brand", hot=hot)
 
 

@@ -14,11 +14,12 @@ from pyspark.sql.utils import AnalysisException
 
 from stockweek.functions.nulls import fill_nulls
 from stockweek.operators.weekly import MART_COLUMNS, METRIC_COLUMNS, weekly_mart
+from stockweek.plans import weekly_mart as weekly_mart_job
 from stockweek.plans.raw_load import load_raw
 from stockweek.plans.serving import register_output
 from stockweek.plans.weekly_mart import as_mapping, main, read_inputs, run_weekly_mart
 from stockweek.sinks.files import read_fact, write_csv, write_fact
-from stockweek.sources.csv import read_csv, read_table
+from stockweek.sources.csv import read_csv, read_table, sample_table
 from stockweek.sources.schemas import JOB_SCHEMAS, RAW_SCHEMAS, TABLES, raw_ddl
 
 
@@ -56,6 +57,31 @@ def test_csv_scan(spark, tmp_path):
     ]
 
 
+def test_sampled_lines_parse_like_the_scan(spark, tmp_path):
+    path = put(tmp_path / "i.csv", SCAN)
+    sampled = sample_table(spark, "inventory", path, 1.0).collect()
+    assert sampled[1:] == read_table(spark, "inventory", path).collect()
+    assert sampled[0].CAL_DT is None
+    texts = put(tmp_path / "p.csv", 'h\n1,"a, b",1,1,\\N,0,x\n2,a\\,b,1,1,z,0,x\n3,,1,1,"",0,x\n')
+    for null_value in (None, "\\N"):
+        sampled = sample_table(spark, "product", texts, 1.0, null_value).collect()
+        assert sampled[1:] == read_table(spark, "product", texts, null_value).collect()
+
+
+def test_job_with_a_hot_key(spark, inputs, mart, tmp_path, monkeypatch):
+    monkeypatch.setattr(weekly_mart_job, "HOT_SAMPLE", 1.0)
+    find, found = weekly_mart_job.hot_inventory_keys, []
+
+    def hot(inventory, sampled):
+        found.append(find(inventory, sampled, rows=1, fraction=1.0))
+        return found[0]
+
+    monkeypatch.setattr(weekly_mart_job, "hot_inventory_keys", hot)
+    run_weekly_mart(spark, inputs, f"{tmp_path}/out", "STORE_KEY")
+    assert found[0].count() == 7 and found[0].filter("CAL_DT IS NULL").isEmpty()
+    assert rows(read_fact(spark, f"{tmp_path}/out/sales_inv_store_wk", MART_COLUMNS)) == rows(mart)
+
+
 def test_csv_text_fields(spark, tmp_path):
     text = 'h\n1,"a, b",1,1,\\N,0,x\n2,a\\,b,1,1,z,0,x\n3,,1,1,"",0,x\n'
     path = put(tmp_path / "p.csv", text)

@@ -54,7 +54,7 @@ def test_daily_fact(example):
 def test_weekly_mart(example, stepwise, hot):
     sales, inventory, calendar = example
     if hot:
-        hot = hot_inventory_keys(inventory, rows=2, sample=1.0)
+        hot = hot_inventory_keys(inventory, rows=2, fraction=1.0)
         assert rows(hot) == [(date(2022, 1, 8), 3, 1)]
     if stepwise:
         mart = sales_inv_store_wk(day_fact(sales, inventory, hot), calendar, metrics=True)
@@ -162,7 +162,7 @@ def brute_force(sales, stock, calendar):
 @pytest.mark.parametrize("how", ["fused", "fused hot", "stepwise", "stepwise hot", "shuffled"])
 def test_against_brute_force(spark, monkeypatch, seed, double_dates, how):
     sales, stock, calendar = (fill_nulls(t) for t in random_tables(spark, seed, double_dates))
-    hot = hot_inventory_keys(stock, rows=4, sample=1.0) if "hot" in how else None
+    hot = hot_inventory_keys(stock, rows=4, fraction=1.0) if "hot" in how else None
     if how == "shuffled":
         monkeypatch.setattr(sizes, "BROADCAST_ROWS", 3)
     if how.startswith("fused"):
@@ -190,7 +190,7 @@ def test_weekly_falls_back_without_unique_dates(spark, monkeypatch):
 
 def test_without_date_hot_rows_survive(spark):
     sales, stock, _ = (fill_nulls(t) for t in random_tables(spark, 4, False))
-    hot = hot_inventory_keys(stock, rows=1, sample=1.0)
+    hot = hot_inventory_keys(stock, rows=1, fraction=1.0)
     assert hot.filter("CAL_DT IS NULL").count() > 0
     assert rows(day_fact(sales, stock, hot)) == rows(day_fact(sales, stock))
 
