@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,14 +18,24 @@ HOT_KEYS = 20_000
 HOT_SAMPLE = 0.01
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether all of ``df`` is small, by a count of its rows and bytes; nothing is shuffled."""
+class Size(NamedTuple):
+    rows: int
+    bytes: int
+
+
+def size_of(df: DataFrame) -> Size:
+    """Rows and bytes of ``df``, by one pass that shuffles nothing."""
     width = F.lit(16 * len(df.columns)).cast("long")
     for field in df.schema.fields:
         if isinstance(field.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
     rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
-    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+    return Size(rows, size or 0)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    size = size_of(df)
+    return size.rows <= BROADCAST_ROWS and size.bytes <= BROADCAST_BYTES
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:

@@ -74,7 +74,7 @@ def readiness(listing: DataFrame, location: str, day: date | str) -> Readiness:
     missing = missing_snapshots(required, snapshot_files(listing))
     ready = missing.isEmpty()
     manifest = required.select(F.col("TABLE_NAME").alias("table"), F.col("URI").alias("uri"))
-    return Readiness(ready, manifest if ready else manifest.limit(0), missing.select("TABLE_NAME"))
+    return Readiness(ready, manifest if ready else manifest.filter(F.lit(False)), missing.select("TABLE_NAME"))
 
 
 def all_present(required: DataFrame, present: DataFrame) -> DataFrame:

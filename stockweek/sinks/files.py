@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockweek.functions.dates import as_date, snapshot_name
+from stockweek.functions.sizes import size_of
 from stockweek.operators.weekly import WEEK_KEYS
 from stockweek.sources.csv import CSV_FORMAT
 from stockweek.sources.schemas import FACT_DATES
@@ -43,13 +44,16 @@ def read_fact(spark, path: str, columns: list[str]) -> DataFrame:
     return spark.read.parquet(path).select(*columns)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Overwrite a CSV dataset with header lines.
+def _few_files(df: DataFrame) -> DataFrame:
+    """One partition if the table is measured to fit one file, else as many as its size needs."""
+    if size_of(df).bytes <= MAX_FILE_BYTES:
+        return df.repartition(1)
+    return df.hint("rebalance")
 
-    Rebalancing gathers a small table into one file; a large one gets as many as
-    its size needs, so no task has to write it whole.
-    """
-    df.hint("rebalance").write.mode("overwrite").options(**CSV_FORMAT).csv(path)
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Overwrite a CSV dataset with header lines; a small table makes one file."""
+    _few_files(df).write.mode("overwrite").options(**CSV_FORMAT).csv(path)
 
 
 def _widest_row(schema: T.StructType) -> int | None:
@@ -70,15 +74,19 @@ def _widest_row(schema: T.StructType) -> int | None:
 def write_snapshot(df: DataFrame, table: str, location: str, day: date | str) -> int:
     """Write a table's dated snapshot in place of an older one; returns the rows written.
 
-    The rows are counted while they are written. Facts are written from the tasks
-    that read them, without a shuffle, in files below the size limit; dimensions
-    go through ``rebalance`` and normally make one file.
+    The rows are counted as they are written, in the last stage, where a task that
+    is run again does not count twice. Facts are written by the tasks that read
+    them, without a shuffle, in files below the size limit; dimensions make one
+    file if they fit.
     """
     counted = Observation(f"{table}-{as_date(day)}")
-    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    if table not in FACT_DATES:
-        rows = rows.hint("rebalance")
-    writer = rows.write.mode("overwrite").options(**CSV_FORMAT).option("compression", "none")
+    laid_out = df if table in FACT_DATES else _few_files(df)
+    writer = (
+        laid_out.observe(counted, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .options(**CSV_FORMAT)
+        .option("compression", "none")
+    )
     width = _widest_row(df.schema)
     if width is not None:
         writer = writer.option("maxRecordsPerFile", MAX_FILE_BYTES // width)

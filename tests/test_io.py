@@ -18,6 +18,7 @@ from stockweek.plans import weekly_mart as weekly_mart_job
 from stockweek.plans.raw_load import load_raw
 from stockweek.plans.serving import register_output
 from stockweek.plans.weekly_mart import as_mapping, main, read_inputs, run_weekly_mart
+from stockweek.sinks import files
 from stockweek.sinks.files import read_fact, write_csv, write_fact
 from stockweek.sources.csv import read_csv, read_table, sample_table
 from stockweek.sources.schemas import JOB_SCHEMAS, RAW_SCHEMAS, TABLES, raw_ddl
@@ -192,12 +193,13 @@ def test_hot_partition_is_split(spark, tmp_path):
     assert spark.read.parquet(path).count() == 400000
 
 
-def test_csv_sink(spark, tmp_path):
+def test_csv_sink(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([(1, None, ""), (2, "a,b", "x")], "a int, b string, c string")
     write_csv(df.repartition(7), f"{tmp_path}/out")
     (part,) = glob.glob(f"{tmp_path}/out/part-*.csv")
     assert sorted(open(part).read().split("\n")) == sorted(["a,b,c", '1,,""', '2,"a,b",x', ""])
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    monkeypatch.setattr(files, "MAX_FILE_BYTES", 2_000_000)
     large = spark.range(0, 500000, 1, 8).selectExpr("id", "uuid() AS u")
     write_csv(large, f"{tmp_path}/large")
     spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
