@@ -19,9 +19,13 @@ def snapshot_today(now: datetime | None = None) -> date:
     return (now or datetime.now(ZoneInfo(SNAPSHOT_ZONE))).astimezone(ZoneInfo(SNAPSHOT_ZONE)).date()
 
 
-def snapshot_day(moment: Column) -> Column:
-    """The US Eastern day of a timestamp as ``YYYY-MM-DD``, for any session time zone."""
-    local = F.convert_timezone(None, F.lit(SNAPSHOT_ZONE), moment.cast("timestamp_ntz"))
+def snapshot_day(moment: Column, zone: str | None = None) -> Column:
+    """The US Eastern day of a timestamp as ``YYYY-MM-DD``, for any session time zone.
+
+    ``zone`` is the time zone of a timestamp that carries none.
+    """
+    source = F.lit(zone) if zone else None
+    local = F.convert_timezone(source, F.lit(SNAPSHOT_ZONE), moment.cast("timestamp_ntz"))
     return F.date_format(local, "yyyy-MM-dd")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-VIEWS = "region nation customer supplier part orders lineitem".split()
+VIEWS = "region nation customer supplier part orders lineitem events".split()
 
 
 class Comparison(NamedTuple):

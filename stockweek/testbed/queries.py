@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockweek.functions.dates import snapshot_day
 from stockweek.functions.nulls import fill_nulls
 from stockweek.operators.daily import (
     daily_inventory,
@@ -263,7 +264,7 @@ _metric_query("q_weeks_of_supply", "WEEKS_OF_SUPPLY")
 @_register("q_fact_parquet_roundtrip", _plain_sql(MART_SQL))
 def q_fact_parquet_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "fact")
-    write_fact(_mart(spark, sf_dir), path, "store_key")
+    write_fact(_mart(spark, sf_dir), path, "yr_num")
     return read_fact(spark, path, MART_COLUMNS)
 
 
@@ -283,7 +284,7 @@ _dimension_query("calendar", "CAL_DT")
 def _job_output(spark: SparkSession, sf_dir: str, metrics: bool = False) -> str:
     base = scratch_dir(spark, "job")
     inputs = _write_inputs(spark, sf_dir, f"{base}/in")
-    run_weekly_mart(spark, inputs, f"{base}/out", "STORE_KEY", metrics)
+    run_weekly_mart(spark, inputs, f"{base}/out", "YR_NUM", metrics)
     return f"{base}/out"
 
 
@@ -302,7 +303,7 @@ def _served(spark: SparkSession, sf_dir: str) -> str:
     out = _job_output(spark, sf_dir)
     database = f"mart_{scratch_dir(spark, 'db')[-32:]}"
     current = spark.catalog.currentDatabase()
-    register_output(spark, out, "STORE_KEY", database, f"{out}/db")
+    register_output(spark, out, "YR_NUM", database, f"{out}/db")
     spark.catalog.setCurrentDatabase(current)
     return database
 
@@ -310,17 +311,17 @@ def _served(spark: SparkSession, sf_dir: str) -> str:
 @_register(
     "q_serving_partition_scan",
     oracle.query(
-        "SELECT STORE_KEY, count(*) AS N_CELLS,"
+        "SELECT YR_NUM, count(*) AS N_CELLS,"
         " CAST(sum(CAST(WK_SALES_QTY AS DECIMAL(18,2))) AS DOUBLE) AS SALES_QTY,"
         " CAST(sum(OUT_OF_STOCK_TIMES) AS BIGINT) AS OUT_OF_STOCK_TIMES"
-        " FROM weekly GROUP BY STORE_KEY"
+        " FROM weekly GROUP BY YR_NUM"
     ),
 )
 def q_serving_partition_scan(spark, sf_dir):
     return spark.sql(
-        f"""SELECT STORE_KEY, count(*) AS N_CELLS, round(sum(WK_SALES_QTY), 6) AS SALES_QTY,
+        f"""SELECT YR_NUM, count(*) AS N_CELLS, round(sum(WK_SALES_QTY), 6) AS SALES_QTY,
                    sum(OUT_OF_STOCK_TIMES) AS OUT_OF_STOCK_TIMES
-            FROM {_served(spark, sf_dir)}.{FACT} GROUP BY STORE_KEY"""
+            FROM {_served(spark, sf_dir)}.{FACT} GROUP BY YR_NUM"""
     )
 
 
@@ -415,6 +416,16 @@ def q_file_listing(spark, sf_dir):
     return snapshot_files(listing.filter(F.col("length") > 0)).drop("URI")
 
 
+# All events fall in January, when US Eastern time is five hours behind UTC.
+@_register(
+    "q_snapshot_day",
+    "SELECT event_id, strftime(ts - INTERVAL 5 HOUR, '%Y-%m-%d') AS SNAPSHOT_DATE FROM events",
+)
+def q_snapshot_day(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.select("event_id", snapshot_day(F.col("ts"), "UTC").alias("SNAPSHOT_DATE"))
+
+
 @_register("q_missing_snapshots", "SELECT 'store' AS TABLE_NAME")
 def q_missing_snapshots(spark, sf_dir):
     return check_snapshots(spark, _incomplete_day(spark, sf_dir), AS_OF).missing
