@@ -71,13 +71,15 @@ def _widest_row(schema: T.StructType) -> int | None:
     return total
 
 
-def write_snapshot(df: DataFrame, table: str, location: str, day: date | str) -> int:
+def write_snapshot(
+    df: DataFrame, table: str, location: str, day: date | str, null_value: str = ""
+) -> int:
     """Write a table's dated snapshot in place of an older one; returns the rows written.
 
     The rows are counted as they are written, in the last stage, where a task that
     is run again does not count twice. Facts are written by the tasks that read
     them, without a shuffle, in files below the size limit; dimensions make one
-    file if they fit.
+    file if they fit. A null is an empty field, or the given text.
     """
     counted = Observation(f"{table}-{as_date(day)}")
     laid_out = df if table in FACT_DATES else _few_files(df)
@@ -86,6 +88,7 @@ def write_snapshot(df: DataFrame, table: str, location: str, day: date | str) ->
         .write.mode("overwrite")
         .options(**CSV_FORMAT)
         .option("compression", "none")
+        .option("nullValue", null_value)
     )
     width = _widest_row(df.schema)
     if width is not None:

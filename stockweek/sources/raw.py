@@ -27,11 +27,16 @@ def create_raw_table(
     return name
 
 
+# Fixed value: the text a warehouse reads as null, besides the empty field.
+RAW_NULL = "\\N"
+
+
 def read_staged_csv(spark: SparkSession, table: str, path: str | list[str]) -> DataFrame:
     """Rows of a staged CSV in raw types; a bad field or a missing required value fails the job."""
     staged = (
         spark.read.options(**CSV_FORMAT)
         .option("mode", "FAILFAST")
+        .option("nullValue", RAW_NULL)
         .schema(RAW_SCHEMAS[table])
         .csv(path)
     )

@@ -118,7 +118,12 @@ def test_raw_load(spark, tmp_path):
     assert (store.STORE_NUM, store.FRNCHS_FLG) == ("A-7", True)
     assert (store.STORE_SIZE, store.LATITUDE) == (Decimal("12.345"), Decimal("12345.500000"))
     assert loaded["calendar"].first().DAY_OF_WK_NUM == "0"
+    text = "h\n" + STORE_ROW.format(zip="\\N").replace("12.345", "12.3456").replace("A-7", "")
+    staged["store"] = put(tmp_path / "s2.csv", text)
     again = load_raw(spark, staged, "raw_a", f"{tmp_path}/db")
+    store = again["store"].first()
+    assert (store.STORE_NUM, store.POSTAL_ZIP_CD) == (None, None)
+    assert store.STORE_SIZE == Decimal("12.346")
     assert again["store"].count() == 1
     spark.catalog.setCurrentDatabase("default")
 

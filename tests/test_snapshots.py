@@ -165,3 +165,11 @@ def test_csv_snapshot_reads_back(spark, tables, tmp_path):
     write_snapshot(tables["sales"], "sales", str(tmp_path), DAY)
     back = read_csv(spark, "sales", f"{tmp_path}/sales_{DAY}.csv")
     assert rows(back) == rows(tables["sales"])
+
+
+def test_null_text(spark, tables, tmp_path):
+    write_snapshot(tables["store"], "store", str(tmp_path), DAY, null_value="\\N")
+    path = f"{tmp_path}/store_{DAY}.csv"
+    plain, told = read_csv(spark, "store", path), read_csv(spark, "store", path, "\\N")
+    assert (plain.first().ADDR, plain.first().MARKET_KEY) == ("\\N", None)
+    assert rows(told) == rows(tables["store"])
