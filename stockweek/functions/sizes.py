@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,12 +70,16 @@ def hot_keys(
     return _held(found, keys)
 
 
+def same_keys(left: str, right: str, keys: list[str]) -> Column:
+    """Whether two aliased frames agree on the keys; nulls count as equal."""
+    same = [F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}")) for key in keys]
+    return reduce(Column.__and__, same)
+
+
 def keys_present(df: DataFrame, keys: list[str], candidates: DataFrame) -> DataFrame | None:
-    """Those of a short list of keys that occur in ``df``; nulls count as equal."""
-    same = F.lit(True)
-    for key in keys:
-        same = same & F.col(f"d.{key}").eqNullSafe(F.col(f"c.{key}"))
-    found = df.alias("d").join(F.broadcast(candidates.alias("c")), same, "left_semi")
+    """Those of a short list of keys that occur in ``df``."""
+    small = F.broadcast(candidates.alias("c"))
+    found = df.alias("d").join(small, same_keys("d", "c", keys), "left_semi")
     return _held(found.select(*keys).distinct(), keys)
 
 

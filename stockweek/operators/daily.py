@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweek.functions.measures import mean, total
-from stockweek.functions.sizes import HOT_ROWS, HOT_SAMPLE, hot_keys, keys_present
+from stockweek.functions.sizes import HOT_ROWS, HOT_SAMPLE, hot_keys, keys_present, same_keys
 
 DAY_KEYS = ["CAL_DT", "STORE_KEY", "PROD_KEY"]
 SALES_MEASURES = ["SALES_QTY", "SALES_PRICE", "SALES_AMT", "DISCOUNT", "SALES_COST", "SALES_MGRN"]
@@ -77,18 +77,10 @@ def _same_week_then_day(left: str, right: str) -> Column:
     )
 
 
-def _is_hot(side: str) -> Column:
-    # Null-safe, so that hot rows without a date are found as well.
-    condition = F.lit(True)
-    for key in DAY_KEYS:
-        condition = condition & F.col(f"{side}.{key}").eqNullSafe(F.col(f"hot.{key}"))
-    return condition
-
-
 def match_days(
     sales: DataFrame, inventory: DataFrame, hot: DataFrame | None = None, by_week: bool = False
 ) -> DataFrame:
-    """Full outer join of daily sales (alias ``s``) and inventory rows (alias ``i``).
+    """Full outer join of daily sales (columns ``s_...``) and inventory rows (``i_...``).
 
     Hot keys leave the shuffle: their inventory rows stay where they are read and
     meet their sales through a broadcast of at most one row per hot key. Each hot
@@ -96,37 +88,37 @@ def match_days(
     without a date match nothing and always stay in the main join.
     """
     on = _same_week_then_day("s", "i") if by_week else _same_day("s", "i")
+    names = [F.col(f"s.{c}").alias(f"s_{c}") for c in sales.columns]
+    names += [F.col(f"i.{c}").alias(f"i_{c}") for c in inventory.columns]
     s, i = sales.alias("s"), inventory.alias("i")
     if hot is None:
-        return s.join(i, on, "full")
+        return s.join(i, on, "full").select(*names)
     small = F.broadcast(hot.alias("hot"))
-    main = (
-        s.join(small, _same_day("s", "hot"), "left_anti")
-        .alias("s")
-        .join(i.join(small, _is_hot("i"), "left_anti").alias("i"), on, "full")
-    )
-    hot_sales = s.join(small, _same_day("s", "hot"), "left_semi").alias("s")
-    hot_rows = i.join(small, _is_hot("i"), "left_semi").alias("i")
+    sold_hot = _same_day("s", "hot")
+    # Null-safe, so that hot rows without a date are found as well.
+    held_hot = same_keys("i", "hot", DAY_KEYS)
+    other_sales = s.join(small, sold_hot, "left_anti").alias("s")
+    other_rows = i.join(small, held_hot, "left_anti").alias("i")
+    hot_sales = s.join(small, sold_hot, "left_semi").alias("s")
+    hot_rows = i.join(small, held_hot, "left_semi").alias("i")
+    main = other_sales.join(other_rows, on, "full")
     aside = hot_rows.join(F.broadcast(hot_sales), _same_day("s", "i"), "left")
-    names = [F.col(f"s.{c}").alias(f"s_{c}") for c in sales.columns]
-    names += [F.col(f"i.{c}").alias(f"i_{c}") for c in inventory.columns]
-    both = main.select(*names).unionByName(aside.select(*names))
-    return both
+    return main.select(*names).unionByName(aside.select(*names))
 
 
-def fact_columns(pick) -> list[Column]:
-    """The daily fact's columns; ``pick(side, column)`` finds a column of the join."""
-    keys = [F.coalesce(pick("s", key), pick("i", key)).alias(key) for key in DAY_KEYS]
+def fact_columns() -> list[Column]:
+    """The daily fact's columns, from those of ``match_days``."""
+    keys = [F.coalesce(f"s_{key}", f"i_{key}").alias(key) for key in DAY_KEYS]
     zero = F.lit(0.0)
-    sold = [F.coalesce(pick("s", name), zero).alias(name) for name in SALES_MEASURES]
+    sold = [F.coalesce(f"s_{name}", zero).alias(name) for name in SALES_MEASURES]
     stock = [
-        F.coalesce(pick("i", "STOCK_ON_HAND_QTY"), zero).alias("STOCK_ON_HAND_QTY"),
-        F.coalesce(pick("i", "ORDERED_STOCK"), zero).alias("ORDERED_STOCK_QTY"),
+        F.coalesce("i_STOCK_ON_HAND_QTY", zero).alias("STOCK_ON_HAND_QTY"),
+        F.coalesce("i_ORDERED_STOCK", zero).alias("ORDERED_STOCK_QTY"),
     ]
     # The flags look at the joined columns before any default: without an
     # inventory row a day counts as in stock, and never as low.
-    out = F.coalesce(pick("i", "OUT_OF_STOCK_FLG") == 1, F.lit(False))
-    low = F.coalesce(pick("i", "STOCK_ON_HAND_QTY") < pick("s", "SALES_QTY"), F.lit(False))
+    out = F.coalesce(F.col("i_OUT_OF_STOCK_FLG") == 1, F.lit(False))
+    low = F.coalesce(F.col("i_STOCK_ON_HAND_QTY") < F.col("s_SALES_QTY"), F.lit(False))
     flags = [
         out.alias("OUT_OF_STOCK_FLG"),
         (~out).alias("IN_STOCK_FLG"),
@@ -135,13 +127,6 @@ def fact_columns(pick) -> list[Column]:
     return keys + sold + stock + flags
 
 
-def picker(joined_apart: bool):
-    """How ``fact_columns`` names a column, with or without the hot-key branch."""
-    if joined_apart:
-        return lambda side, name: F.col(f"{side}_{name}")
-    return lambda side, name: F.col(f"{side}.{name}")
-
-
 def sales_inv_store_dy(
     sales_day: DataFrame, inventory_day: DataFrame, hot: DataFrame | None = None
 ) -> DataFrame:
@@ -149,5 +134,4 @@ def sales_inv_store_dy(
 
     Several inventory rows of one key repeat the sales of that key.
     """
-    joined = match_days(sales_day, inventory_day, hot)
-    return joined.select(*fact_columns(picker(hot is not None)))
+    return match_days(sales_day, inventory_day, hot).select(*fact_columns())

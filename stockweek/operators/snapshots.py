@@ -55,7 +55,8 @@ class Readiness:
 def required_snapshots(spark: SparkSession, location: str, day: date | str) -> DataFrame:
     """The five snapshots a day needs, with the location each is expected at."""
     base = location.rstrip("/")
-    rows = [(t, as_date(day).isoformat(), f"{base}/{snapshot_name(t, as_date(day))}") for t in TABLES]
+    day = as_date(day)
+    rows = [(t, day.isoformat(), f"{base}/{snapshot_name(t, day)}") for t in TABLES]
     return spark.createDataFrame(rows, "TABLE_NAME string, SNAPSHOT_DATE string, URI string")
 
 
@@ -74,7 +75,9 @@ def readiness(listing: DataFrame, location: str, day: date | str) -> Readiness:
     missing = missing_snapshots(required, snapshot_files(listing))
     ready = missing.isEmpty()
     manifest = required.select(F.col("TABLE_NAME").alias("table"), F.col("URI").alias("uri"))
-    return Readiness(ready, manifest if ready else manifest.filter(F.lit(False)), missing.select("TABLE_NAME"))
+    if not ready:
+        manifest = manifest.filter(F.lit(False))
+    return Readiness(ready, manifest, missing.select("TABLE_NAME"))
 
 
 def all_present(required: DataFrame, present: DataFrame) -> DataFrame:

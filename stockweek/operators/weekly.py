@@ -19,7 +19,6 @@ from stockweek.operators.daily import (
     fact_columns,
     hot_inventory_keys,
     match_days,
-    picker,
     sales_inv_store_dy,
 )
 
@@ -146,7 +145,7 @@ def weekly_mart(
         hot,
         by_week=True,
     )
-    days = joined.select(*fact_columns(picker(hot is not None)))
+    days = joined.select(*fact_columns())
     return _chosen(_roll_up(days.join(slim, "CAL_DT")), metrics)
 
 

@@ -128,7 +128,8 @@ daily_fact AS (
          coalesce(i.INVENTORY_ON_ORDER_QTY, 0) AS ORDERED_STOCK_QTY,
          CASE WHEN i.OUT_OF_STOCK_FLG = 1 THEN true ELSE false END AS OUT_OF_STOCK_FLG,
          CASE WHEN i.OUT_OF_STOCK_FLG = 1 THEN false ELSE true END AS IN_STOCK_FLG,
-         CASE WHEN i.INVENTORY_ON_HAND_QTY < s.SALES_QTY THEN true ELSE false END AS LOW_STOCK_FLG
+         CASE WHEN i.INVENTORY_ON_HAND_QTY < s.SALES_QTY THEN true ELSE false END
+           AS LOW_STOCK_FLG
   FROM daily_sales s FULL JOIN inventory i
     ON s.CAL_DT = i.CAL_DT AND s.STORE_KEY = i.STORE_KEY AND s.PROD_KEY = i.PROD_KEY)"""
 

@@ -473,20 +473,25 @@ def q_raw_load_to_mart(spark, sf_dir):
         per_week AS (SELECT count(DISTINCT CAL_DT) AS days,
                             count(*) FILTER (WHERE DAY_OF_WK_NUM = 6) AS ends
                      FROM calendar GROUP BY YR_NUM, WK_NUM)
-        SELECT 'sales: store key null or 0' AS CHECK_NAME, count(*) AS N FROM sales WHERE STORE_KEY = 0
+        SELECT 'sales: store key null or 0' AS CHECK_NAME, count(*) AS N
+          FROM sales WHERE STORE_KEY = 0
         UNION ALL SELECT 'sales: product key null or 0', count(*) FROM sales WHERE PROD_KEY = 0
         UNION ALL SELECT 'sales: no date', count(*) FROM sales WHERE TRANS_DT IS NULL
         UNION ALL SELECT 'sales: date not in calendar', count(*) FROM sales
           WHERE TRANS_DT NOT IN (SELECT CAL_DT FROM calendar)
-        UNION ALL SELECT 'inventory: store key null or 0', count(*) FROM inventory WHERE STORE_KEY = 0
-        UNION ALL SELECT 'inventory: product key null or 0', count(*) FROM inventory WHERE PROD_KEY = 0
+        UNION ALL SELECT 'inventory: store key null or 0', count(*)
+          FROM inventory WHERE STORE_KEY = 0
+        UNION ALL SELECT 'inventory: product key null or 0', count(*)
+          FROM inventory WHERE PROD_KEY = 0
         UNION ALL SELECT 'inventory: no date', count(*) FROM inventory WHERE CAL_DT IS NULL
         UNION ALL SELECT 'inventory: date not in calendar', count(*) FROM inventory
           WHERE CAL_DT NOT IN (SELECT CAL_DT FROM calendar)
         UNION ALL SELECT 'inventory: keys with several rows', count(*) FROM per_key WHERE n > 1
         UNION ALL SELECT 'calendar: dates with several rows', 0
-        UNION ALL SELECT 'calendar: weeks of other than 7 days', count(*) FROM per_week WHERE days <> 7
-        UNION ALL SELECT 'calendar: weeks without a last day', count(*) FROM per_week WHERE ends = 0
+        UNION ALL SELECT 'calendar: weeks of other than 7 days', count(*)
+          FROM per_week WHERE days <> 7
+        UNION ALL SELECT 'calendar: weeks without a last day', count(*)
+          FROM per_week WHERE ends = 0
         """
     ),
 )
