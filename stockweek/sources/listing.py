@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
 def list_files(spark: SparkSession, location: str) -> DataFrame:
-    """Path, length and modification time of every file; no content is read."""
+    """Path, length and modification time of every file below; no content is read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(location)
         .select("path", "length", "modificationTime")
     )
+
+
+def list_snapshot_files(spark: SparkSession, location: str) -> DataFrame:
+    """The CSV files and folders directly at a location; none there, or no such place, is empty."""
+    try:
+        return list_files(spark, f"{location.rstrip('/')}/*.csv")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame(
+            [], "path string, length bigint, modificationTime timestamp"
+        )

@@ -173,3 +173,15 @@ def test_null_text(spark, tables, tmp_path):
     plain, told = read_csv(spark, "store", path), read_csv(spark, "store", path, "\\N")
     assert (plain.first().ADDR, plain.first().MARKET_KEY) == ("\\N", None)
     assert rows(told) == rows(tables["store"])
+
+
+def test_only_files_at_the_location_count(spark, tables, tmp_path):
+    base = f"{tmp_path}/stage"
+    assert len(rows(check_snapshots(spark, base, DAY).missing)) == 5
+    export_snapshots(spark, tables, f"{base}/archive", DAY)
+    assert len(rows(check_snapshots(spark, base, DAY).missing)) == 5
+    for name in NAMES:
+        (tmp_path / "stage" / f"{name}_{DAY}.csv").write_text("header\n")
+    status = check_snapshots(spark, base, DAY)
+    assert status.ready
+    assert rows(status.manifest)[0] == ("calendar", f"{base}/calendar_{DAY}.csv")
