@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from stockweek.operators.weekly import MART_COLUMNS
 from stockweek.plans.weekly_mart import DIMENSIONS, FACT
-from stockweek.sinks.catalog import register_dimension, register_fact
+from stockweek.sinks.catalog import register_dimension, register_fact, register_star_view
 from stockweek.sources.raw import create_namespace
 
 
@@ -18,7 +18,7 @@ def register_output(
     location: str | None = None,
     columns: list[str] | None = None,
 ) -> None:
-    """Register fact and dimensions of one output folder in a database."""
+    """Register fact, dimensions and their star view of one output folder in a database."""
     base = output_path.rstrip("/")
     create_namespace(spark, database, location)
     path = f"{base}/{FACT}"
@@ -26,3 +26,4 @@ def register_output(
     register_fact(spark, f"{database}.{FACT}", path, partition_column, schema)
     for table in DIMENSIONS:
         register_dimension(spark, f"{database}.{table}", table, f"{base}/{table}")
+    register_star_view(spark, database, FACT)

@@ -7,6 +7,10 @@ from pyspark.sql import types as T
 
 from stockweek.sources.schemas import JOB_SCHEMAS
 
+# What reports show of a store and a product.
+STORE_NAMES = ["STORE_DESC", "CITY", "REGION", "CNTRY_NM", "MARKET_NAME"]
+PRODUCT_NAMES = ["PROD_NAME", "BRAND_NAME", "CATEGORY_NAME", "SUBCATEGORY_NAME"]
+
 
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
@@ -34,3 +38,17 @@ def register_dimension(spark: SparkSession, name: str, table: str, path: str) ->
         f"OPTIONS (header 'true', sep ',') LOCATION '{path}'"
     )
     return spark.table(name)
+
+
+def register_star_view(spark: SparkSession, database: str, fact: str) -> DataFrame:
+    """A view of the fact with the names of its stores and products; every fact row is kept."""
+    name = f"{database}.{fact}_star"
+    store = ", ".join(f"s.{c}" for c in STORE_NAMES)
+    product = ", ".join(f"p.{c}" for c in PRODUCT_NAMES)
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    spark.sql(
+        f"CREATE VIEW {name} AS SELECT f.*, {store}, {product} FROM {database}.{fact} f "
+        f"LEFT JOIN {database}.store s ON f.STORE_KEY = s.STORE_KEY "
+        f"LEFT JOIN {database}.product p ON f.PROD_KEY = p.PROD_KEY"
+    )
+    return spark.table(name)

@@ -351,6 +351,19 @@ def q_star_report_served(spark, sf_dir):
     return star_report(fact, store, product)
 
 
+@_register("q_star_view", STAR_SQL)
+def q_star_view(spark, sf_dir):
+    return spark.sql(
+        f"""SELECT YR_NUM, MARKET_NAME, CATEGORY_NAME,
+                   round(sum(WK_SALES_QTY), 6) AS SALES_QTY,
+                   round(sum(WK_SALES_AMT), 6) AS SALES_AMT,
+                   sum(OUT_OF_STOCK_TIMES) AS OUT_OF_STOCK_TIMES,
+                   sum(LOW_STOCK_TIMES) AS LOW_STOCK_TIMES
+            FROM {_served(spark, sf_dir)}.{FACT}_star
+            GROUP BY YR_NUM, MARKET_NAME, CATEGORY_NAME"""
+    )
+
+
 # --- snapshots --------------------------------------------------------------
 
 

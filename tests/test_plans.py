@@ -6,8 +6,14 @@ import golden
 import pytest
 
 from stockweek.functions import sizes
-from stockweek.operators.daily import daily_inventory, daily_sales, sales_inv_store_dy
+from stockweek.operators.daily import (
+    daily_inventory,
+    daily_sales,
+    hot_inventory_keys,
+    sales_inv_store_dy,
+)
 from stockweek.operators.snapshots import snapshot_as_of
+from stockweek.operators.star import star
 from stockweek.operators.weekly import sales_inv_store_wk, weekly_mart
 
 
@@ -72,6 +78,30 @@ def test_large_calendar_is_not_broadcast(stored, monkeypatch):
     assert "BroadcastHashJoin" not in plan(weekly_mart(sales, stock, calendar, hot=None))
 
 
+def test_hot_keys_skip_the_shuffle(stored):
+    sales, stock, calendar = stored
+    hot = hot_inventory_keys(stock, rows=2, fraction=1.0)
+    text = plan(weekly_mart(sales, stock, calendar, hot=hot))
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    # the main join as without hot keys, and the sums of the hot keys' sales
+    assert len(exchanges(text)) == 5
+    assert text.count("SortMergeJoin") == 1
+
+
+def test_dimensions_are_measured_before_a_broadcast(spark, stored, monkeypatch):
+    fact = weekly_mart(*stored, hot=None)
+    store = spark.createDataFrame([(1, "m")], "STORE_KEY int, MARKET_NAME string")
+    product = spark.createDataFrame([(1, "c")], "PROD_KEY int, CATEGORY_NAME string")
+
+    def broadcast_joins():
+        text = plan(star(fact, store, product, ["MARKET_NAME"], ["CATEGORY_NAME"]))
+        return len(re.findall(r"BroadcastHashJoin \[[^\]]*\], \[[^\]]*\], LeftOuter", text))
+
+    assert broadcast_joins() == 2
+    monkeypatch.setattr(sizes, "BROADCAST_BYTES", 10)
+    assert broadcast_joins() == 0
+
+
 def test_as_of_filter_reaches_the_scan(stored):
     text = plan(snapshot_as_of(stored[0], "sales", "2022-01-05", 1))
     assert "LessThanOrEqual(TRANS_DT,2022-01-06)" in text
