@@ -1,8 +1,11 @@
-"""Aggregates whose published value does not depend on the order of the rows.
-
-A sum of doubles differs in its last bits with the partitioning. Rounding the
-result (never the inputs) far below a cent makes equal inputs give equal marts,
-and costs one call per group instead of decimal arithmetic on every row.
+"""Aggregates whose value does not depend on the order of the rows.
+
+A sum of doubles differs in its last digits with the partitioning, and the more
+so the more rows a group has. Here every value is first moved to a grid of whole
+units (of a ten-thousandth, or of a millionth for means). Whole numbers add up
+exactly in a double as far as 2^53, so equal inputs give equal marts. Larger sums
+keep the precision of a double; they cannot overflow. This costs no more than a
+plain sum, and a quarter of a decimal one.
 """
 
 from __future__ import annotations
@@ -10,26 +13,35 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SUM_DIGITS = 6
-MEAN_DIGITS = 9
-IMPACT_DIGITS = 4
+# The raw tables hold two decimals.
+UNIT = 10_000.0
+MEAN_UNIT = 1_000_000.0
+
+
+def _column(value: str | Column) -> Column:
+    return F.col(value) if isinstance(value, str) else value
+
+
+def _sum_of(value: str | Column, unit: float) -> Column:
+    return F.sum(F.rint(_column(value) * unit)) / unit
 
 
 def total(value: str | Column) -> Column:
-    return F.round(F.sum(value), SUM_DIGITS)
+    """Sum of quantities or amounts."""
+    return _sum_of(value, UNIT)
 
 
 def mean(value: str | Column) -> Column:
-    """Plain mean: one division of a settled sum."""
-    return F.round(F.sum(value), SUM_DIGITS) / F.count(value)
+    """Plain mean of quantities or amounts."""
+    return total(value) / F.count(value)
 
 
 def mean_of_means(value: str | Column) -> Column:
-    return F.round(F.avg(value), MEAN_DIGITS)
+    return _sum_of(value, MEAN_UNIT) / F.count(value)
 
 
 def total_of_means(value: str | Column) -> Column:
-    return F.round(F.sum(value), MEAN_DIGITS)
+    return _sum_of(value, MEAN_UNIT)
 
 
 def days_with(flag: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockweek.functions.measures import total
 from stockweek.functions.sizes import broadcast_if_small
 
 
@@ -33,15 +34,15 @@ def star_report(fact: DataFrame, store: DataFrame, product: DataFrame) -> DataFr
     one row per pair instead of one per week.
     """
     pairs = fact.groupBy("YR_NUM", "STORE_KEY", "PROD_KEY").agg(
-        F.sum("WK_SALES_QTY").alias("QTY"),
-        F.sum("WK_SALES_AMT").alias("AMT"),
+        total("WK_SALES_QTY").alias("QTY"),
+        total("WK_SALES_AMT").alias("AMT"),
         F.sum("OUT_OF_STOCK_TIMES").alias("OUT"),
         F.sum("LOW_STOCK_TIMES").alias("LOW"),
     )
     wide = star(pairs, store, product, ["MARKET_NAME"], ["CATEGORY_NAME"])
     return wide.groupBy("YR_NUM", "MARKET_NAME", "CATEGORY_NAME").agg(
-        F.round(F.sum("QTY"), 6).alias("SALES_QTY"),
-        F.round(F.sum("AMT"), 6).alias("SALES_AMT"),
+        total("QTY").alias("SALES_QTY"),
+        total("AMT").alias("SALES_AMT"),
         F.sum("OUT").alias("OUT_OF_STOCK_TIMES"),
         F.sum("LOW").alias("LOW_STOCK_TIMES"),
     )

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweek.functions.measures import (
-    IMPACT_DIGITS,
     days_with,
     mean_of_means,
     total,
@@ -74,7 +73,7 @@ def _roll_up(days: DataFrame) -> DataFrame:
         days_with(F.col("OUT_OF_STOCK_FLG")).alias("OUT_OF_STOCK_TIMES"),
         days_with(F.col("IN_STOCK_FLG")).alias("IN_STOCK_TIMES"),
         days_with(F.col("LOW_STOCK_FLG")).alias("LOW_STOCK_TIMES"),
-        F.round(F.sum(gap), IMPACT_DIGITS).alias("POTENTIAL_LOW_STOCK_IMPACT"),
+        total(gap).alias("POTENTIAL_LOW_STOCK_IMPACT"),
         total(lost).alias("NO_STOCK_IMPACT"),
     )
 

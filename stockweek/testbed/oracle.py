@@ -1,7 +1,8 @@
 """The same tables and results in plain SQL, for an independent engine.
 
 Sums are exact decimals here, so agreement also shows that the Spark results
-carry no noise of floating point.
+carry no noise of floating point. Means are rounded to a millionth, and the
+potential impact of a day to a ten-thousandth, before they are added up.
 """
 
 from __future__ import annotations
@@ -136,8 +137,10 @@ daily_fact AS (
 _WEEKLY = f"""
 weekly AS (
   SELECT YR_NUM, WK_NUM, STORE_KEY, PROD_KEY, {_exact("SALES_QTY")} AS WK_SALES_QTY,
-         round(avg(SALES_PRICE), 9) AS AVG_SALES_PRICE, {_exact("SALES_AMT")} AS WK_SALES_AMT,
-         round(sum(DISCOUNT), 9) AS WK_DISCOUNT, {_exact("SALES_COST")} AS WK_SALES_COST,
+         sum(round_even(SALES_PRICE * 1e6, 0)) / 1e6 / count(*) AS AVG_SALES_PRICE,
+         {_exact("SALES_AMT")} AS WK_SALES_AMT,
+         sum(round_even(DISCOUNT * 1e6, 0)) / 1e6 AS WK_DISCOUNT,
+         {_exact("SALES_COST")} AS WK_SALES_COST,
          {_exact("SALES_MGRN")} AS WK_SALES_MGRN,
          {_exact("CASE WHEN DAY_OF_WK_NUM = 6 THEN STOCK_ON_HAND_QTY ELSE 0 END")}
            AS EOP_STOCK_ON_HAND_QTY,
@@ -146,8 +149,8 @@ weekly AS (
          CAST(sum(CASE WHEN OUT_OF_STOCK_FLG THEN 1 ELSE 0 END) AS BIGINT) AS OUT_OF_STOCK_TIMES,
          CAST(sum(CASE WHEN IN_STOCK_FLG THEN 1 ELSE 0 END) AS BIGINT) AS IN_STOCK_TIMES,
          CAST(sum(CASE WHEN LOW_STOCK_FLG THEN 1 ELSE 0 END) AS BIGINT) AS LOW_STOCK_TIMES,
-         round(sum(CASE WHEN LOW_STOCK_FLG
-           THEN SALES_AMT - STOCK_ON_HAND_QTY * SALES_PRICE ELSE 0 END), 4)
+         sum(CASE WHEN LOW_STOCK_FLG
+           THEN round_even((SALES_AMT - STOCK_ON_HAND_QTY * SALES_PRICE) * 1e4, 0) ELSE 0 END) / 1e4
            AS POTENTIAL_LOW_STOCK_IMPACT,
          {_exact("CASE WHEN OUT_OF_STOCK_FLG THEN SALES_AMT ELSE 0 END")} AS NO_STOCK_IMPACT
   FROM daily_fact JOIN calendar USING (CAL_DT) GROUP BY YR_NUM, WK_NUM, STORE_KEY, PROD_KEY),

@@ -299,6 +299,10 @@ def q_weekly_metrics_job(spark, sf_dir):
     return read_fact(spark, f"{out}/{FACT}", MART_COLUMNS + METRIC_COLUMNS)
 
 
+def _exact(column: str) -> str:
+    return f"CAST(sum(CAST({column} AS DECIMAL(28,2))) AS DOUBLE)"
+
+
 def _served(spark: SparkSession, sf_dir: str) -> str:
     out = _job_output(spark, sf_dir)
     database = f"mart_{scratch_dir(spark, 'db')[-32:]}"
@@ -319,7 +323,7 @@ def _served(spark: SparkSession, sf_dir: str) -> str:
 )
 def q_serving_partition_scan(spark, sf_dir):
     return spark.sql(
-        f"""SELECT YR_NUM, count(*) AS N_CELLS, round(sum(WK_SALES_QTY), 6) AS SALES_QTY,
+        f"""SELECT YR_NUM, count(*) AS N_CELLS, {_exact("WK_SALES_QTY")} AS SALES_QTY,
                    sum(OUT_OF_STOCK_TIMES) AS OUT_OF_STOCK_TIMES
             FROM {_served(spark, sf_dir)}.{FACT} GROUP BY YR_NUM"""
     )
@@ -355,8 +359,8 @@ def q_star_report_served(spark, sf_dir):
 def q_star_view(spark, sf_dir):
     return spark.sql(
         f"""SELECT YR_NUM, MARKET_NAME, CATEGORY_NAME,
-                   round(sum(WK_SALES_QTY), 6) AS SALES_QTY,
-                   round(sum(WK_SALES_AMT), 6) AS SALES_AMT,
+                   {_exact("WK_SALES_QTY")} AS SALES_QTY,
+                   {_exact("WK_SALES_AMT")} AS SALES_AMT,
                    sum(OUT_OF_STOCK_TIMES) AS OUT_OF_STOCK_TIMES,
                    sum(LOW_STOCK_TIMES) AS LOW_STOCK_TIMES
             FROM {_served(spark, sf_dir)}.{FACT}_star

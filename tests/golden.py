@@ -38,7 +38,7 @@ INVENTORY = [
 # days out of, in and low on stock
 MART = {
     0: (1, 3.0, 3, 0, 1, 2, 0, 0, 0, 1, 0),
-    1: (8, 8.333333333, 90, 0.5, 54, 36, 7, 1, 1, 2, 1),
+    1: (8, 25 / 3, 90, 0.5, 54, 36, 7, 1, 1, 2, 1),
     2: (4, 5.0, 20, 0, 10, 10, 0, 0, 0, 1, 0),
     3: (10, 2.0, 20, 0, 8, 12, 10, 0, 0, 2, 1),
     4: (0, 0.0, 0, 0, 0, 0, 0, 0, 1, 0, 0),

@@ -8,7 +8,10 @@ import golden
 import pytest
 from conftest import rows
 
+from pyspark.sql import functions as F
+
 from stockweek.functions import sizes
+from stockweek.functions.measures import total
 from stockweek.functions.nulls import fill_nulls
 from stockweek.operators import weekly as weekly_module
 from stockweek.operators.daily import (
@@ -209,6 +212,16 @@ def test_invariants(spark):
     assert total[0] == pytest.approx(plain.selectExpr("sum(SALES_QTY)").first()[0])
 
 
+def test_sums_do_not_depend_on_the_order(spark):
+    df = spark.range(0, 300_000, 1, 16).selectExpr("(id * 7919 % 1000003) / 100 AS x", "id")
+    shuffled = df.repartition(7, "id").sortWithinPartitions((F.col("id") * 31) % 997)
+    exact = sum(n * 7919 % 1000003 for n in range(300_000)) / 100
+    for frame in (df, shuffled, df.coalesce(1)):
+        assert frame.agg(total("x")).first()[0] == exact
+    huge = spark.range(1000).selectExpr("CAST(1e20 AS DOUBLE) AS x")
+    assert huge.agg(total("x")).first()[0] == pytest.approx(1e23)
+
+
 def test_week_cut_by_new_year_has_no_end(spark):
     d = [date(2022, 12, 30), date(2022, 12, 31), date(2023, 1, 1)]
     calendar = [(x, "x", n, "x", x.year, 1, 0, 1, 0, 1, 0) for x, n in zip(d, (4, 5, 6))]
