@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockweek.functions.measures import total
-from stockweek.functions.sizes import broadcast_if_small
+from stockweek.functions.sizes import fits_broadcast
+
+
+def _dimension(table: DataFrame, key: str, columns: list[str]) -> tuple[DataFrame, bool]:
+    """The columns needed, with a broadcast hint if they are measured small, and whether so."""
+    picked = table.select(key, *columns)
+    small = fits_broadcast(picked)
+    return (F.broadcast(picked) if small else picked), small
 
 
 def star(
@@ -19,30 +26,33 @@ def star(
     """Fact rows with columns of their store and product.
 
     Every fact row is kept: key 0, which stands for an unknown store or product,
-    has no dimension row. A dimension is broadcast only when it is measured small.
+    has no dimension row.
     """
-    stores = store.select("STORE_KEY", *store_columns)
-    products = product.select("PROD_KEY", *product_columns)
-    with_store = fact.join(broadcast_if_small(stores), "STORE_KEY", "left")
-    return with_store.join(broadcast_if_small(products), "PROD_KEY", "left")
+    stores, _ = _dimension(store, "STORE_KEY", store_columns)
+    products, _ = _dimension(product, "PROD_KEY", product_columns)
+    return fact.join(stores, "STORE_KEY", "left").join(products, "PROD_KEY", "left")
+
+
+def _summed(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(
+        total("SALES_QTY").alias("SALES_QTY"),
+        total("SALES_AMT").alias("SALES_AMT"),
+        F.sum("OUT_OF_STOCK_TIMES").alias("OUT_OF_STOCK_TIMES"),
+        F.sum("LOW_STOCK_TIMES").alias("LOW_STOCK_TIMES"),
+    )
 
 
 def star_report(fact: DataFrame, store: DataFrame, product: DataFrame) -> DataFrame:
     """Sales and stock-outs per year, market and product category.
 
-    The fact is summed per year, store and product first, so that the joins carry
-    one row per pair instead of one per week.
+    With small dimensions the fact meets them where it is read, and only the sums
+    are shuffled. Otherwise it is summed per year, store and product first, so that
+    the joins shuffle one row per pair instead of one per week.
     """
-    pairs = fact.groupBy("YR_NUM", "STORE_KEY", "PROD_KEY").agg(
-        total("WK_SALES_QTY").alias("QTY"),
-        total("WK_SALES_AMT").alias("AMT"),
-        F.sum("OUT_OF_STOCK_TIMES").alias("OUT"),
-        F.sum("LOW_STOCK_TIMES").alias("LOW"),
-    )
-    wide = star(pairs, store, product, ["MARKET_NAME"], ["CATEGORY_NAME"])
-    return wide.groupBy("YR_NUM", "MARKET_NAME", "CATEGORY_NAME").agg(
-        total("QTY").alias("SALES_QTY"),
-        total("AMT").alias("SALES_AMT"),
-        F.sum("OUT").alias("OUT_OF_STOCK_TIMES"),
-        F.sum("LOW").alias("LOW_STOCK_TIMES"),
-    )
+    stores, few_stores = _dimension(store, "STORE_KEY", ["MARKET_NAME"])
+    products, few_products = _dimension(product, "PROD_KEY", ["CATEGORY_NAME"])
+    rows = fact.withColumnsRenamed({"WK_SALES_QTY": "SALES_QTY", "WK_SALES_AMT": "SALES_AMT"})
+    if not (few_stores and few_products):
+        rows = _summed(rows, "YR_NUM", "STORE_KEY", "PROD_KEY")
+    wide = rows.join(stores, "STORE_KEY", "left").join(products, "PROD_KEY", "left")
+    return _summed(wide, "YR_NUM", "MARKET_NAME", "CATEGORY_NAME")

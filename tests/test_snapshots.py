@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from stockweek.functions import sizes
 from stockweek.functions.dates import snapshot_day, snapshot_name, snapshot_today
 from stockweek.operators.quality import key_quality
 from stockweek.operators.snapshots import (
@@ -153,7 +154,9 @@ def test_key_quality(spark, tables):
     }
 
 
-def test_star_keeps_every_cell(spark, tables):
+@pytest.mark.parametrize("limit", [sizes.BROADCAST_ROWS, 0])
+def test_star_keeps_every_cell(spark, tables, monkeypatch, limit):
+    monkeypatch.setattr(sizes, "BROADCAST_ROWS", limit)
     fact = weekly_mart(*[tables[t] for t in ("sales", "inventory", "calendar")])
     wide = star(fact, tables["store"], tables["product"], ["MARKET_NAME"], ["CATEGORY_NAME"])
     assert wide.count() == fact.count()
