@@ -32,27 +32,33 @@ def map_texts(
     fields: str,
     make: Callable[[], TextWork],
     kind: str = "string",
+    beside: Sequence[str] = (),
 ) -> DataFrame:
     """The ``keep`` columns of every row, and ``fields`` made from its text.
 
     ``make`` runs once per task; what it returns gets the texts of a batch, nulls
-    included, as large binary, and returns one array per field. Other columns
-    are not read, so their names cannot clash. ``kind`` is the type that the text
-    column is read as, string or binary.
+    included, as large binary, and returns one array per field. Other columns are
+    not read, so their names cannot clash. ``kind`` is the type that the text
+    column is read as, string or binary. With ``beside``, the work gets a batch
+    of those columns and the text, the text last.
     """
     added = T.StructType.fromDDL(fields).fields
     schema = T.StructType([df.schema[name] for name in keep] + added)
-    names, types = schema.names, [None] * len(keep) + [_arrow_type(f.dataType) for f in added]
+    names, types, n = schema.names, [_arrow_type(f.dataType) for f in added], len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            made = work(batch.column(len(keep)).cast(pa.large_binary()))
-            made = [a.cast(t) for a, t in zip(made, types[len(keep) :], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=names)
-
-    source = df.select(*map(col, keep), col(text).cast(kind).alias(free_name(names, "text")))
-    return source.mapInArrow(run, schema)
+            columns = batch.columns
+            columns[-1] = columns[-1].cast(pa.large_binary())
+            given = columns[n:] if beside else columns[-1]
+            if beside:
+                given = pa.RecordBatch.from_arrays(given, names=[*beside, "text"])
+            made = [a.cast(t) for a, t in zip(work(given), types, strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns[:n], *made], names=names)
+
+    inputs = [col(name).alias(f"c{i}") for i, name in enumerate([*keep, *beside])]
+    return df.select(*inputs, col(text).cast(kind).alias("text")).mapInArrow(run, schema)
 
 
 def _arrow_type(kind: T.DataType) -> pa.DataType:

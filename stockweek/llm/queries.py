@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweek.llm.bpe import ByteBpe
+from stockweek.llm.line_dedup import dedup_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,3 +42,31 @@ def op6_byte_bpe(spark, sf_dir):
     return text.select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@_register(
+    "op9_line_dedup",
+    r"""
+    WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    held AS (
+      SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM docs),
+    keyed AS (
+      SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM held),
+    owned AS (
+      SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+    marked AS (
+      SELECT k.doc_id, k.line, k.pos, coalesce(o.owner <> k.doc_id, false) AS dropped
+      FROM keyed k LEFT JOIN owned o USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), ''))
+             AS kept_sha256
+    FROM marked GROUP BY doc_id
+    """,
+)
+def op9_line_dedup(spark, sf_dir):
+    kept = dedup_lines(_read(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_dropped", digest)
