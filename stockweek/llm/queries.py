@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stockweek.llm.bpe import ByteBpe
 from stockweek.llm.line_dedup import dedup_lines
+from stockweek.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,3 +71,10 @@ def op9_line_dedup(spark, sf_dir):
     kept = dedup_lines(_read(spark, sf_dir, "documents"))
     digest = F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256")
     return kept.select("doc_id", "n_lines", "n_dropped", digest)
+
+
+@_register("op10_simhash_near_dup")
+def op10_simhash_near_dup(spark, sf_dir):
+    found = near_duplicates(_read(spark, sf_dir, "documents"), width=4, bits=4)
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", digits, "component_id")
