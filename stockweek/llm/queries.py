@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweek.llm.bpe import ByteBpe
+from stockweek.llm.decontaminate import find_contamination
 from stockweek.llm.line_dedup import dedup_lines
 from stockweek.llm.simhash import near_duplicates
 
@@ -78,3 +79,57 @@ def op10_simhash_near_dup(spark, sf_dir):
     found = near_duplicates(_read(spark, sf_dir, "documents"), width=4, bits=4)
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
     return found.select("doc_id", digits, "component_id")
+
+
+@_register(
+    "op5_decontaminate",
+    r"""
+    WITH text_words AS (
+      SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x{0}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') AS w
+      FROM documents),
+    item_words AS (
+      SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x{0}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') AS w
+      FROM benchmark),
+    short AS (SELECT DISTINCT least(len(w), 10) AS n FROM item_words WHERE len(w) > 0),
+    windows AS (
+      SELECT item_id, n, array_to_string(w[i + 1 : i + n], ' ') AS phrase
+      FROM (SELECT item_id, w, least(len(w), 10) AS n,
+                   unnest(range(len(w) - least(len(w), 10) + 1)) AS i
+            FROM item_words WHERE len(w) > 0)),
+    places AS (SELECT doc_id, w, unnest(range(len(w))) AS i FROM text_words),
+    hits AS (
+      SELECT p.doc_id, p.i, x.n, x.item_id
+      FROM (SELECT doc_id, i, n, array_to_string(w[i + 1 : i + n], ' ') AS phrase
+            FROM places, short WHERE i + n <= len(w)) p
+      JOIN windows x ON x.phrase = p.phrase AND x.n = p.n),
+    hit_words AS (
+      SELECT doc_id, count(DISTINCT word) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + n)) AS word FROM hits) GROUP BY doc_id),
+    hit_items AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+    SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words,
+           coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM text_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+    """,
+)
+def op5_decontaminate(spark, sf_dir):
+    docs, items = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")
+    found = find_contamination(docs, items)
+    hit = F.aggregate(
+        F.transform("hit_spans", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)),
+        F.lit(0).cast("bigint"),
+        lambda total, x: total + x,
+    )
+    listed = F.array_join(F.array_sort(F.col("hit_items").cast("array<string>")), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("hit_items").cast("bigint").alias("n_items"),
+        F.sha2(listed, 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
