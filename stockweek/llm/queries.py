@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweek.llm.bpe import ByteBpe
 from stockweek.llm.decontaminate import find_contamination
+from stockweek.llm.lang_id import learn_languages, predict_languages
 from stockweek.llm.line_dedup import dedup_lines
 from stockweek.llm.simhash import near_duplicates
 
@@ -33,6 +34,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _remainder(n: int) -> Column:
+    """The part of n that a document's id falls into; null without an id."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
 @_register("op6_byte_bpe")
 def op6_byte_bpe(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents")
@@ -133,3 +139,12 @@ def op5_decontaminate(spark, sf_dir):
         F.sha2(listed, 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
+
+
+@_register("op8_language_id")
+def op8_language_id(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    model = learn_languages(docs, usable=_remainder(3) != 1)
+    found = predict_languages(docs, model)
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(True)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
