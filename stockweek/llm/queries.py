@@ -12,7 +12,9 @@ from stockweek.llm.bpe import ByteBpe
 from stockweek.llm.decontaminate import find_contamination
 from stockweek.llm.lang_id import learn_languages, predict_languages
 from stockweek.llm.line_dedup import dedup_lines
+from stockweek.llm.quality_model import learn_quality, score_quality
 from stockweek.llm.simhash import near_duplicates
+from stockweek.llm.toxicity import learn_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,3 +150,23 @@ def op8_language_id(spark, sf_dir):
     found = predict_languages(docs, model)
     held_out = F.coalesce(_remainder(3) == 1, F.lit(True)).alias("held_out")
     return found.select("doc_id", held_out, "lang_pred", "score")
+
+
+def _predicted(scored: DataFrame, threshold: float) -> DataFrame:
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(True)).alias("held_out")
+    predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out, "score", predicted)
+
+
+@_register("op3_quality_classifier")
+def op3_quality_classifier(spark, sf_dir):
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    weights = learn_quality(docs, labels, usable=_remainder(5) != 0)
+    return _predicted(score_quality(docs, weights), 0.3)
+
+
+@_register("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    weights = learn_toxicity(docs, labels, usable=_remainder(5) != 0)
+    return _predicted(score_toxicity(docs, weights), 0.5)
