@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockweek.llm import quality_rules
 from stockweek.llm.bpe import ByteBpe
 from stockweek.llm.chat import format_conversations, loss_text
 from stockweek.llm.chat_digest import conversation_digests
@@ -205,3 +206,63 @@ def op2_chat_format(spark, sf_dir):
     return conversation_digests(
         pieces.select("conv_id", "piece", loss_text().alias("learned"), "restart")
     )
+
+
+_SPACE = quality_rules.SPACE
+
+
+@_register(
+    "op1_quality_rules",
+    rf"""
+    WITH docs AS (
+      SELECT doc_id, coalesce(text, '') AS raw, string_split(coalesce(text, ''), chr(10)) AS lines,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    windows AS (
+      SELECT doc_id, i, array_to_string(w[i + 1 : i + 5], ' ') AS phrase
+      FROM (SELECT doc_id, w, unnest(range(len(w) - 4)) AS i FROM docs WHERE len(w) >= 5)),
+    repeated AS (
+      SELECT doc_id, count(DISTINCT word) AS n FROM (
+        SELECT doc_id, unnest(range(i, i + 5)) AS word FROM (
+          SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, phrase) AS n FROM windows)
+        WHERE n > 1) GROUP BY doc_id),
+    each AS (
+      SELECT doc_id, line, CAST(len(string_split_regex(trim(line, ' '), '{_SPACE}+')) AS DOUBLE) AS n
+      FROM (SELECT doc_id, unnest(lines) AS line FROM docs)),
+    judged AS (
+      SELECT doc_id, line, regexp_matches(line, '[^\x20\x09-\x0D]') AS has_word,
+             trim(line, ' ') = '' OR (
+               (n <= {quality_rules.MAX_UNFINISHED_WORDS}
+                OR regexp_matches(line, '{quality_rules.SENTENCE_END.replace("'", "''")}'))
+               AND length(regexp_replace(line, '[^{quality_rules.SYMBOLS}]+', '', 'g'))
+                   <= n * CAST({quality_rules.MAX_SYMBOLS_PER_WORD} AS DOUBLE)
+               AND len(regexp_extract_all(line, '[!?]{{2,}}'))
+                   <= n * CAST({quality_rules.MAX_SHOUTS_PER_WORD} AS DOUBLE)
+               AND len(regexp_extract_all(line, '[|»›·•→]'))
+                   <= n * CAST({quality_rules.MAX_SEPARATORS_PER_WORD} AS DOUBLE)
+               AND (n > {quality_rules.MAX_BOILERPLATE_WORDS}
+                    OR NOT regexp_matches(line, '{quality_rules.BOILERPLATE}'))) AS good
+      FROM each),
+    by_doc AS (
+      SELECT doc_id, count(*) FILTER (WHERE has_word)
+                     - count(DISTINCT line) FILTER (WHERE has_word) AS n_dup_lines,
+             coalesce(sum(length(line)) FILTER (WHERE good), 0) AS good_chars,
+             sum(length(line)) AS chars
+      FROM judged GROUP BY doc_id),
+    counted AS (
+      SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(raw, '[^{quality_rules.SYMBOLS}]+', '', 'g')) AS BIGINT)
+               AS n_symbols,
+             n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+             len(w) < {quality_rules.MIN_WORDS} OR 100 * coalesce(r.n, 0)
+               > {quality_rules.MAX_REPEATED_PERCENT} * len(w) AS base_failed,
+             chars = 0 OR good_chars >= {quality_rules.MIN_KEPT_SHARE} * chars AS enough
+      FROM docs d JOIN by_doc b USING (doc_id) LEFT JOIN repeated r USING (doc_id))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND enough AS kept
+    FROM counted
+    """,
+)
+def op1_quality_rules(spark, sf_dir):
+    found = quality_rules.clean_lines(_read(spark, sf_dir, "documents"))
+    return found.drop("clean_text", "kept_share")
