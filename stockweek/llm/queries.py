@@ -14,6 +14,8 @@ from stockweek.llm.chat import format_conversations, loss_text
 from stockweek.llm.chat_digest import conversation_digests
 from stockweek.llm.decontaminate import find_contamination
 from stockweek.llm.lang_id import learn_languages, predict_languages
+from stockweek.llm.license_scan import scan_licenses
+from stockweek.llm.license_texts import LICENSE_TEXTS
 from stockweek.llm.line_dedup import dedup_lines
 from stockweek.llm.quality_model import learn_quality, score_quality
 from stockweek.llm.simhash import near_duplicates
@@ -266,3 +268,41 @@ _SPACE = quality_rules.SPACE
 def op1_quality_rules(spark, sf_dir):
     found = quality_rules.clean_lines(_read(spark, sf_dir, "documents"))
     return found.drop("clean_text", "kept_share")
+
+
+def _notice_rows() -> str:
+    quoted = [[part.replace("'", "''") for part in pair] for pair in LICENSE_TEXTS]
+    return ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(quoted))
+
+
+@_register(
+    "op7_license_scan",
+    rf"""
+    WITH notices AS (
+      SELECT notice, license_id, w, CAST(len(w) AS INTEGER) AS m, least(5, len(w)) AS size
+      FROM (SELECT notice, license_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w
+            FROM (VALUES {_notice_rows()}) AS t(notice, license_id, text))),
+    wanted AS (
+      SELECT DISTINCT notice, license_id, m, size, array_to_string(w[i + 1 : i + size], ' ') AS shingle
+      FROM (SELECT *, unnest(range(m - size + 1)) AS i FROM notices)),
+    sizes AS (SELECT notice, count(*) AS n FROM wanted GROUP BY notice),
+    words AS (
+      SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM documents),
+    places AS (SELECT doc_id, w, unnest(range(len(w))) AS i FROM words),
+    hits AS (
+      SELECT p.doc_id, x.notice, x.license_id, x.m, x.size, p.i, x.shingle
+      FROM (SELECT doc_id, i, size, array_to_string(w[i + 1 : i + size], ' ') AS shingle
+            FROM places, (SELECT DISTINCT size FROM wanted) WHERE i + size <= len(w)) p
+      JOIN wanted x ON x.shingle = p.shingle AND x.size = p.size),
+    shares AS (
+      SELECT a.doc_id, a.license_id, a.notice, a.i, count(DISTINCT b.shingle) / max(n) AS share
+      FROM hits a JOIN sizes USING (notice)
+      JOIN hits b ON b.doc_id = a.doc_id AND b.notice = a.notice
+                  AND b.i BETWEEN a.i AND a.i + a.m - a.size
+      GROUP BY ALL)
+    SELECT doc_id, license_id, max(share) AS containment
+    FROM shares WHERE share >= 0.8 GROUP BY doc_id, license_id
+    """,
+)
+def op7_license_scan(spark, sf_dir):
+    return scan_licenses(_read(spark, sf_dir, "documents"))
