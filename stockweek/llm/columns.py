@@ -25,6 +25,18 @@ def free_name(taken: Sequence[str], wanted: str) -> str:
     return wanted
 
 
+def without(keep: Sequence[str], added: Sequence[str]) -> list[str]:
+    """The ``keep`` columns that no added one replaces; names compare without case."""
+    lower = {name.lower() for name in added}
+    return [name for name in keep if name.lower() not in lower]
+
+
+def own_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns c0, c1..., which no result's name equals, and those names by the old ones."""
+    names = {name: f"c{i}" for i, name in enumerate(df.columns)}
+    return df.select(*(col(name).alias(own) for name, own in names.items())), names
+
+
 def map_texts(
     df: DataFrame,
     text: str,
@@ -37,12 +49,13 @@ def map_texts(
     """The ``keep`` columns of every row, and ``fields`` made from its text.
 
     ``make`` runs once per task; what it returns gets the texts of a batch, nulls
-    included, as large binary, and returns one array per field. Other columns are
-    not read, so their names cannot clash. ``kind`` is the type that the text
+    included, as large binary, and returns one array per field. A field replaces a
+    kept column of the same name; other columns are not read, so theirs can't clash. ``kind`` is the type that the text
     column is read as, string or binary. With ``beside``, the work gets a batch
     of those columns and the text, the text last.
     """
     added = T.StructType.fromDDL(fields).fields
+    keep = without(keep, [f.name for f in added])
     schema = T.StructType([df.schema[name] for name in keep] + added)
     names, types, n = schema.names, [_arrow_type(f.dataType) for f in added], len(keep)
 

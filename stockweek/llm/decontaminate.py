@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.llm.columns import TextWork, as_bytes, col, map_texts
+from stockweek.llm.columns import TextWork, as_bytes, col, map_texts, without
 from stockweek.llm.fm_index import FmIndex
 from stockweek.llm.words import LETTERS_AND_DIGITS, LOWER, hashed_tokens, token_borders
 from stockweek.session import scratch_dir
@@ -227,7 +227,8 @@ def find_contamination(
     """
     spark, scratch = df.sparkSession, scratch_dir(df.sparkSession, "contamination")
     none = F.lit(None).cast("array<bigint>")
-    kept = {name: f"k{i}" for i, name in enumerate(keep)}
+    kept = without(keep, ["n_words", "hit_spans", "hit_items"])
+    kept = {name: f"k{i}" for i, name in enumerate(kept)}
     source = df.select(
         *(col(name).alias(k) for name, k in kept.items()),
         col(text).alias("text"),

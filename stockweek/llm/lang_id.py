@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.llm.columns import TextWork, as_bytes, col, free_name, map_texts
+from stockweek.llm.columns import TextWork, as_bytes, col, free_name, map_texts, without
 from stockweek.llm.gru import BLANK, BiGru, train
 
 UNKNOWN = "und"
@@ -146,11 +146,12 @@ def predict_languages(
     A null or empty text, or one without a letter, is ``und`` with score 0; so is
     every text without a model. Of equal probabilities the first label wins.
     """
+    keep = without(keep, ["lang_pred", "score"])
     if model is None:
         none = F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")
         return df.select(*map(col, keep), *none)
     shared = df.sparkSession.sparkContext.broadcast(model)
-    letter = free_name(df.columns, "letter")
+    letter = free_name([*df.columns, "lang_pred", "score"], "letter")
     found = map_texts(
         df.withColumn(letter, has_letter(col(text))),
         text,

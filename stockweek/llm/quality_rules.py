@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.llm.columns import col, free_name
+from stockweek.llm.columns import col, without
 
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -69,28 +69,25 @@ def line_passes(of: Column) -> Column:
     return (F.trim(line) == "") | (punctuation & navigation & boilerplate)
 
 
-def _repeated_words(df: DataFrame, names: dict[str, str]) -> DataFrame:
+def _repeated_words(df: DataFrame) -> DataFrame:
     """Adds the number of words inside windows that a text holds twice or more.
 
     Windows compare by 64-bit hashes. Only texts with an equal pair sort them.
     Columns that a function of elements looks into are columns of their own, so
     that they are made once per row.
     """
-    words, hashes, windows, twice, places, out = (
-        names[k] for k in ("words", "hashes", "windows", "twice", "places", "n_repeat_words")
-    )
-    h = F.col(hashes)
-    df = df.withColumn(hashes, F.transform(words, lambda w: F.xxhash64(w)))
+    df = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    h = F.col("hashes")
     each = F.transform(
         h, lambda x, i: F.xxhash64(x, *(F.get(h, i + F.lit(k)) for k in range(1, WINDOW)))
     )
-    df = df.withColumn(windows, F.slice(each, 1, F.greatest(F.size(h) - (WINDOW - 1), F.lit(0))))
-    some = F.size(F.array_distinct(windows)) < F.size(windows)
+    df = df.withColumn("windows", F.slice(each, 1, F.greatest(F.size(h) - (WINDOW - 1), F.lit(0))))
+    some = F.size(F.array_distinct("windows")) < F.size("windows")
     ordered = F.sort_array(
-        F.transform(windows, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
+        F.transform("windows", lambda x, i: F.struct(x.alias("x"), i.alias("i")))
     )
-    df = df.withColumn(twice, F.when(some, ordered))
-    t = F.col(twice)
+    df = df.withColumn("twice", F.when(some, ordered))
+    t = F.col("twice")
     alike = F.filter(
         t,
         lambda w, i: F.coalesce(
@@ -100,13 +97,13 @@ def _repeated_words(df: DataFrame, names: dict[str, str]) -> DataFrame:
             F.lit(False),
         ),
     )
-    df = df.withColumn(places, F.sort_array(F.transform(alike, lambda w: w["i"])))
-    p = F.col(places)
+    df = df.withColumn("places", F.sort_array(F.transform(alike, lambda w: w["i"])))
+    p = F.col("places")
     covered = F.transform(
         p, lambda at, i: F.least(F.lit(WINDOW), F.coalesce(F.get(p, i + 1) - at, F.lit(WINDOW)))
     )
     total = F.aggregate(covered, F.lit(0).cast("bigint"), lambda a, b: a + b)
-    return df.withColumn(out, F.coalesce(total, F.lit(0).cast("bigint")))
+    return df.withColumn("n_repeat_words", F.coalesce(total, F.lit(0).cast("bigint")))
 
 
 RESULTS = (
@@ -132,14 +129,12 @@ def clean_lines(
     text counts as an empty one: no words, so it fails. Every row is judged by
     itself and stays, repeated ones too.
     """
-    kept = {name: f"k{i}" for i, name in enumerate(keep)}
-    inner = ("words", "hashes", "windows", "twice", "places", "lines", "good", "raw")
-    names = {name: name for name in (*inner, *RESULTS)}
+    kept = {name: f"k{i}" for i, name in enumerate(without(keep, RESULTS))}
     body = F.coalesce(col(text), F.lit(""))
     df = df.select(*(col(name).alias(k) for name, k in kept.items()), body.alias("raw"))
     df = df.withColumn("words", F.array_remove(F.split("raw", SPACE + "+"), ""))
     df = df.withColumn("lines", lines_with_words(F.col("raw")))
-    df = _repeated_words(df, names)
+    df = _repeated_words(df)
     df = df.withColumn("good", F.filter("lines", line_passes)["line"])
     some_word = r"[^\x20\x09-\x0D]"
     with_word = F.filter(F.col("lines")["line"], lambda x: F.rlike(x, F.lit(some_word)))
