@@ -95,14 +95,17 @@ def hashed_tokens(
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Of all tokens in order, in parts: the number of their text, and their hash.
 
-    ``classes`` must make the space a gap. ``fold`` replaces bytes first.
+    ``classes`` must make the space a gap. ``fold`` replaces bytes before they are
+    classed and hashed.
     """
+    if fold is not None:
+        classes = classes[fold]
     for joined, starts, owners in segments(texts, classes):
         data = np.frombuffer(joined, np.uint8)
-        if fold is not None:
-            data = fold[data]
         if not len(data):
             continue
         begin, end = token_borders(classes[data])
+        if fold is not None:
+            data = fold[data]
         owner = np.array(owners)[np.searchsorted(starts, begin, side="right") - 1]
         yield owner, range_hashes(data, begin, end)

@@ -1,0 +1,54 @@
+"""A small table of documents with everything that may go wrong in one."""
+
+import re
+
+SCHEMA = (
+    "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, "
+    "lang_pred string, n_words string, hit_spans string, kept_text string, doc string, "
+    "drop string, copy string, letter string, label string, c0 string, `a.b` string"
+)
+
+LINE = "Die Katze sitzt auf der Matte und schaut hinaus."
+WORDS = "it was the best of times it was the worst of times and so on until the end".split()
+
+
+def texts():
+    """(id, text) pairs: nulls, empty and very long texts, ties and repeated rows."""
+    long = "\n".join(f"Line {i} of a long text, {i % 7} and {WORDS[i % len(WORDS)]}." for i in range(12_000))
+    plain = " ".join(WORDS)
+    return [
+        (3, f"{LINE}\n{plain}\n  {LINE.upper()} \n\nshort\r"),
+        (7, f"{plain}\n{LINE}\t\nown line of number seven\nshort\r"),
+        (7, f"{plain}\n{LINE}\t\nown line of number seven\nshort\r"),
+        (7, f"another row of number seven\n{LINE}"),
+        (1, None),
+        (2, ""),
+        (4, " \t\n\x0b\x0c\r "),
+        (5, long),
+        (6, long + "\nand one more line at the end"),
+        (None, f"{LINE}\nwithout an id"),
+        (None, None),
+        (8, "1234 !? #*$%&|<>   \x85 ÄÖÜ ß İ ı 😀 日本語 ﻿"),
+        (9, "x" * 300_000),
+        (10, "Ö " * 3000),
+        (-5, f"{LINE}\nnegative"),
+        (11, "\0\x01 zero byte"),
+    ]
+
+
+def documents(spark, rows=None):
+    rows = texts() if rows is None else rows
+    langs = ("de", "en", None)
+    full = [
+        (i, t, langs[k % 3], None if k % 2 else "s", None, *(["x"] * 12))
+        for k, (i, t) in enumerate(rows)
+    ]
+    return spark.createDataFrame(full, SCHEMA).repartition(3)
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def lower(text):
+    return re.sub("[A-Z]+", lambda m: m[0].lower(), text)
