@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,17 @@ def own_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return df.select(*(col(name).alias(own) for name, own in names.items())), names
 
 
+# Bytes of texts that a task takes at a time.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let batches for Python end at ``BATCH_BYTES``, unless the session has a bound of its own."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(setting, None) is None:
+        spark.conf.set(setting, str(BATCH_BYTES))
+
+
 def map_texts(
     df: DataFrame,
     text: str,
@@ -58,20 +69,25 @@ def map_texts(
     keep = without(keep, [f.name for f in added])
     schema = T.StructType([df.schema[name] for name in keep] + added)
     names, types, n = schema.names, [_arrow_type(f.dataType) for f in added], len(keep)
+    columns = [*keep, *beside]
+    # A text that is kept as well goes to the task once.
+    once = text in keep and df.schema[text].dataType.simpleString() == kind
+    at = columns.index(text) if once else len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            columns = batch.columns
-            columns[-1] = columns[-1].cast(pa.large_binary())
-            given = columns[n:] if beside else columns[-1]
+            given = batch.column(at).cast(pa.large_binary())
             if beside:
-                given = pa.RecordBatch.from_arrays(given, names=[*beside, "text"])
+                more = batch.columns[n : n + len(beside)]
+                given = pa.RecordBatch.from_arrays([*more, given], names=[*beside, "text"])
             made = [a.cast(t) for a, t in zip(work(given), types, strict=True)]
-            yield pa.RecordBatch.from_arrays([*columns[:n], *made], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *made], names=names)
 
-    inputs = [col(name).alias(f"c{i}") for i, name in enumerate([*keep, *beside])]
-    return df.select(*inputs, col(text).cast(kind).alias("text")).mapInArrow(run, schema)
+    bound_batches(df.sparkSession)
+    inputs = [col(name).alias(f"c{i}") for i, name in enumerate(columns)]
+    inputs += [] if once else [col(text).cast(kind).alias("text")]
+    return df.select(*inputs).mapInArrow(run, schema)
 
 
 def _arrow_type(kind: T.DataType) -> pa.DataType:
