@@ -1,23 +1,16 @@
-"""Checks made before a side is broadcast, and the search for hot keys."""
+"""Checks made before a side is broadcast."""
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# A key counts as hot from about this many rows on; at most HOT_KEYS of them are
-# singled out, so a key left in the shuffle holds less than one row in HOT_KEYS.
-HOT_ROWS = 200_000
-HOT_KEYS = 20_000
-HOT_SAMPLE = 0.01
-
 
 class Size(NamedTuple):
     rows: int
@@ -42,49 +35,3 @@ def fits_broadcast(df: DataFrame) -> bool:
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """``df`` with a broadcast hint when its measured size allows it, else unchanged."""
     return F.broadcast(df) if fits_broadcast(df) else df
-
-
-def small_and_unique(df: DataFrame, key: str) -> bool:
-    """Whether ``df`` has one row per key and few enough keys to broadcast."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    keys, most = per_key.agg(F.count(F.lit(1)), F.max("n")).first()
-    return keys <= BROADCAST_ROWS and (most or 0) <= 1
-
-
-def hot_keys(
-    sampled: DataFrame, keys: list[str], rows: int, fraction: float, limit: int = HOT_KEYS
-) -> DataFrame | None:
-    """Key values that, by their hits in a sample, hold about ``rows`` rows or more.
-
-    None when there are none. The list is at most ``limit`` long, so it may be
-    collected and broadcast.
-    """
-    found = (
-        sampled.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("hits"))
-        .filter(F.col("hits") >= max(1, int(rows * fraction)))
-        .orderBy(F.desc("hits"))
-        .limit(limit)
-        .select(*keys)
-    )
-    return _held(found, keys)
-
-
-def same_keys(left: str, right: str, keys: list[str]) -> Column:
-    """Whether two aliased frames agree on the keys; nulls count as equal."""
-    same = [F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}")) for key in keys]
-    return reduce(Column.__and__, same)
-
-
-def keys_present(df: DataFrame, keys: list[str], candidates: DataFrame) -> DataFrame | None:
-    """Those of a short list of keys that occur in ``df``."""
-    small = F.broadcast(candidates.alias("c"))
-    found = df.alias("d").join(small, same_keys("d", "c", keys), "left_semi")
-    return _held(found.select(*keys).distinct(), keys)
-
-
-def _held(found: DataFrame, keys: list[str]) -> DataFrame | None:
-    """The few rows found, fixed as a frame that every use sees alike."""
-    values = found.collect()
-    schema = T.StructType([T.StructField(key, found.schema[key].dataType) for key in keys])
-    return found.sparkSession.createDataFrame(values, schema) if values else None

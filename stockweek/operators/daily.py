@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweek.functions.measures import mean, total
-from stockweek.functions.sizes import HOT_ROWS, HOT_SAMPLE, hot_keys, keys_present, same_keys
 
 DAY_KEYS = ["CAL_DT", "STORE_KEY", "PROD_KEY"]
 SALES_MEASURES = ["SALES_QTY", "SALES_PRICE", "SALES_AMT", "DISCOUNT", "SALES_COST", "SALES_MGRN"]
@@ -35,29 +34,6 @@ def daily_inventory(inventory: DataFrame) -> DataFrame:
     )
 
 
-def hot_inventory_keys(
-    inventory: DataFrame,
-    sampled: DataFrame | None = None,
-    rows: int = HOT_ROWS,
-    fraction: float = HOT_SAMPLE,
-) -> DataFrame | None:
-    """Date, store and product keys that hold very many inventory rows, or None.
-
-    The fact needs them because a full outer join sends all rows of a key to one
-    task and cannot be split at run time. The sample decides only which keys take
-    the path for hot keys: both paths give the same rows, provided that every key
-    returned occurs in the inventory. A ``sampled`` frame that was read some other
-    way, with the given fraction, is therefore checked against it.
-    """
-    if sampled is not None:
-        found = hot_keys(sampled.select(*DAY_KEYS), DAY_KEYS, rows, fraction)
-        return found and keys_present(inventory, DAY_KEYS, found)
-    keys = inventory.select(*DAY_KEYS)
-    if fraction < 1.0:
-        keys = keys.sample(fraction=fraction, seed=17)
-    return hot_keys(keys, DAY_KEYS, rows, fraction)
-
-
 def _same_day(left: str, right: str) -> Column:
     return (
         (F.col(f"{left}.CAL_DT") == F.col(f"{right}.CAL_DT"))
@@ -77,33 +53,25 @@ def _same_week_then_day(left: str, right: str) -> Column:
     )
 
 
-def match_days(
-    sales: DataFrame, inventory: DataFrame, hot: DataFrame | None = None, by_week: bool = False
-) -> DataFrame:
+def match_days(sales: DataFrame, inventory: DataFrame, by_week: bool = False) -> DataFrame:
     """Full outer join of daily sales (columns ``s_...``) and inventory rows (``i_...``).
 
-    Hot keys leave the shuffle: their inventory rows stay where they are read and
-    meet their sales through a broadcast of at most one row per hot key. Each hot
-    key occurs in the inventory, so no sales row is left over on that side. Sales
-    without a date match nothing and always stay in the main join.
+    It is a left join from the inventory, and the sales of days that the inventory
+    lacks. At run time a hot key can be split in a left join, but not in a full
+    one. The second part needs only the inventory's distinct keys, which are
+    combined before their shuffle, and takes the sales as they were summed.
+    Sales without a date match nothing.
     """
     on = _same_week_then_day("s", "i") if by_week else _same_day("s", "i")
-    names = [F.col(f"s.{c}").alias(f"s_{c}") for c in sales.columns]
-    names += [F.col(f"i.{c}").alias(f"i_{c}") for c in inventory.columns]
+    sold = [F.col(f"s.{c}").alias(f"s_{c}") for c in sales.columns]
+    held = [F.col(f"i.{c}").alias(f"i_{c}") for c in inventory.columns]
+    none = [
+        F.lit(None).cast(f.dataType).alias(f"i_{f.name}") for f in inventory.schema.fields
+    ]
     s, i = sales.alias("s"), inventory.alias("i")
-    if hot is None:
-        return s.join(i, on, "full").select(*names)
-    small = F.broadcast(hot.alias("hot"))
-    sold_hot = _same_day("s", "hot")
-    # Null-safe, so that hot rows without a date are found as well.
-    held_hot = same_keys("i", "hot", DAY_KEYS)
-    other_sales = s.join(small, sold_hot, "left_anti").alias("s")
-    other_rows = i.join(small, held_hot, "left_anti").alias("i")
-    hot_sales = s.join(small, sold_hot, "left_semi").alias("s")
-    hot_rows = i.join(small, held_hot, "left_semi").alias("i")
-    main = other_sales.join(other_rows, on, "full")
-    aside = hot_rows.join(F.broadcast(hot_sales), _same_day("s", "i"), "left")
-    return main.select(*names).unionByName(aside.select(*names))
+    days = inventory.select(*DAY_KEYS).distinct().alias("i")
+    both = i.join(s, on, "left").select(*sold, *held)
+    return both.unionByName(s.join(days, _same_day("s", "i"), "left_anti").select(*sold, *none))
 
 
 def fact_columns() -> list[Column]:
@@ -127,11 +95,9 @@ def fact_columns() -> list[Column]:
     return keys + sold + stock + flags
 
 
-def sales_inv_store_dy(
-    sales_day: DataFrame, inventory_day: DataFrame, hot: DataFrame | None = None
-) -> DataFrame:
+def sales_inv_store_dy(sales_day: DataFrame, inventory_day: DataFrame) -> DataFrame:
     """The daily fact: one row per inventory row, plus one per sales day without inventory.
 
     Several inventory rows of one key repeat the sales of that key.
     """
-    return match_days(sales_day, inventory_day, hot).select(*fact_columns())
+    return match_days(sales_day, inventory_day).select(*fact_columns())

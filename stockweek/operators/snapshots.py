@@ -29,7 +29,8 @@ def snapshot_as_of(
 def snapshot_files(listing: DataFrame) -> DataFrame:
     """Table, day and location of every snapshot in a listing; other files are ignored.
 
-    A snapshot is one file, or a folder of that name with its part files.
+    A snapshot is one file, or a folder of that name, listed itself or by its part
+    files. Whether a folder is whole is for the listing to say.
     """
     path = F.col("path")
     return (
@@ -70,7 +71,10 @@ def missing_snapshots(required: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def readiness(listing: DataFrame, location: str, day: date | str) -> Readiness:
-    """Check a day's set against a listing made now; the manifest is empty unless all are there."""
+    """Check a day's set against a listing of committed snapshots made now.
+
+    The manifest is empty unless all are there.
+    """
     required = required_snapshots(listing.sparkSession, location, day)
     missing = missing_snapshots(required, snapshot_files(listing))
     ready = missing.isEmpty()

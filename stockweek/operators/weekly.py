@@ -5,18 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.functions.measures import (
-    days_with,
-    mean_of_means,
-    total,
-    total_of_means,
-)
-from stockweek.functions.sizes import broadcast_if_small, small_and_unique
+from stockweek.functions import sizes
+from stockweek.functions.measures import days_with, mean, total
 from stockweek.operators.daily import (
     daily_inventory,
     daily_sales,
     fact_columns,
-    hot_inventory_keys,
     match_days,
     sales_inv_store_dy,
 )
@@ -63,9 +57,9 @@ def _roll_up(days: DataFrame) -> DataFrame:
     lost = F.when(F.col("OUT_OF_STOCK_FLG"), F.col("SALES_AMT")).otherwise(0.0)
     return days.groupBy(*WEEK_KEYS).agg(
         total("SALES_QTY").alias("WK_SALES_QTY"),
-        mean_of_means("SALES_PRICE").alias("AVG_SALES_PRICE"),
+        mean("SALES_PRICE").alias("AVG_SALES_PRICE"),
         total("SALES_AMT").alias("WK_SALES_AMT"),
-        total_of_means("DISCOUNT").alias("WK_DISCOUNT"),
+        total("DISCOUNT").alias("WK_DISCOUNT"),
         total("SALES_COST").alias("WK_SALES_COST"),
         total("SALES_MGRN").alias("WK_SALES_MGRN"),
         _at_week_end("STOCK_ON_HAND_QTY").alias("EOP_STOCK_ON_HAND_QTY"),
@@ -107,33 +101,39 @@ def sales_inv_store_wk(
     calendar beyond the broadcast bound is joined by shuffling, where adaptive
     execution splits a hot date.
     """
-    slim = broadcast_if_small(calendar.select(*CALENDAR_COLUMNS))
+    slim = sizes.broadcast_if_small(calendar.select(*CALENDAR_COLUMNS))
     return _chosen(_roll_up(sales_inv_day.join(slim, "CAL_DT")), metrics)
 
 
+def _has_plain_weeks(slim: DataFrame) -> bool:
+    """Whether a calendar is small, holds each date once, and its weeks are no longer than weeks."""
+    per_date = slim.groupBy("CAL_DT").agg(
+        F.count(F.lit(1)).alias("n"), F.min("YR_NUM").alias("year"), F.min("WK_NUM").alias("week")
+    )
+    per_week = per_date.groupBy("year", "week").agg(
+        F.count(F.lit(1)).alias("days"), F.max("n").alias("most")
+    )
+    dates, most, days = per_week.agg(F.sum("days"), F.max("most"), F.max("days")).first()
+    return (dates or 0) <= sizes.BROADCAST_ROWS and (most or 0) <= 1 and (days or 0) <= DAYS_PER_WEEK
+
+
 def weekly_mart(
-    sales: DataFrame,
-    inventory: DataFrame,
-    calendar: DataFrame,
-    metrics: bool = False,
-    hot: DataFrame | str | None = "find",
+    sales: DataFrame, inventory: DataFrame, calendar: DataFrame, metrics: bool = False
 ) -> DataFrame:
     """The weekly mart straight from null-normalised sales, inventory and calendar.
 
-    Same rows as ``sales_inv_store_wk(sales_inv_store_dy(...), calendar)``. With
-    one calendar row per date, which is checked, both sides learn their week
-    before they meet, and are joined by week, store and product. The days of a
-    week then sit in one task, so the weekly aggregate shrinks its rows about
-    sevenfold before its own shuffle. Days outside the calendar never shuffle.
-
-    ``hot`` names keys to keep out of the shuffle; by default they are looked for.
+    Same rows as ``sales_inv_store_wk(sales_inv_store_dy(...), calendar)``. With one
+    calendar row per date and at most seven dates per week, which is checked, both
+    sides learn their week before they meet, and are joined by week, store and
+    product. The days of a week then sit in one task, so the weekly aggregate
+    shrinks its rows about sevenfold before its own shuffle. Days outside the
+    calendar never shuffle. Any other calendar takes the plan by days, as many
+    days with one key would meet in pairs.
     """
     slim = calendar.select(*CALENDAR_COLUMNS).filter(F.col("CAL_DT").isNotNull())
-    if hot == "find":
-        hot = hot_inventory_keys(inventory)
     sales_day, stock_day = daily_sales(sales), daily_inventory(inventory)
-    if not small_and_unique(slim, "CAL_DT"):
-        return sales_inv_store_wk(sales_inv_store_dy(sales_day, stock_day, hot), calendar, metrics)
+    if not _has_plain_weeks(slim):
+        return sales_inv_store_wk(sales_inv_store_dy(sales_day, stock_day), calendar, metrics)
     # Equal weeks have equal hashes, and a hash is never null. Only the hash
     # travels through the shuffle; the calendar's columns are joined on after it.
     slim = F.broadcast(slim)
@@ -141,13 +141,12 @@ def weekly_mart(
     joined = match_days(
         sales_day.join(F.broadcast(week), "CAL_DT"),
         stock_day.join(F.broadcast(week), "CAL_DT"),
-        hot,
         by_week=True,
     )
     days = joined.select(*fact_columns())
     return _chosen(_roll_up(days.join(slim, "CAL_DT")), metrics)
 
 
-def readme_metrics(mart_with_metrics: DataFrame, *names: str) -> DataFrame:
-    """The week keys and the named metrics of a mart built with ``metrics=True``."""
-    return mart_with_metrics.select(*WEEK_KEYS, *names)
+def week_keys_and(mart: DataFrame, *names: str) -> DataFrame:
+    """The week keys and the named columns of a mart."""
+    return mart.select(*WEEK_KEYS, *names)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from stockweek.operators.weekly import MART_COLUMNS
+from stockweek.operators.weekly import MART_COLUMNS, METRIC_COLUMNS
 from stockweek.plans.weekly_mart import DIMENSIONS, FACT
 from stockweek.sinks.catalog import register_dimension, register_fact, register_star_view
 from stockweek.sources.raw import create_namespace
@@ -18,11 +18,19 @@ def register_output(
     location: str | None = None,
     columns: list[str] | None = None,
 ) -> None:
-    """Register fact, dimensions and their star view of one output folder in a database."""
+    """Register fact, dimensions and their star view of one output folder in a database.
+
+    The fact is served with all columns found on disk, its metrics included, in
+    the order of the mart; or with the given ones.
+    """
     base = output_path.rstrip("/")
     create_namespace(spark, database, location)
     path = f"{base}/{FACT}"
-    schema = spark.read.parquet(path).select(*(columns or MART_COLUMNS)).schema
+    stored = spark.read.parquet(path)
+    order = MART_COLUMNS + METRIC_COLUMNS
+    known = [name for name in order if name in stored.columns]
+    every = known + [name for name in stored.columns if name not in order]
+    schema = stored.select(*(columns or every)).schema
     register_fact(spark, f"{database}.{FACT}", path, partition_column, schema)
     for table in DIMENSIONS:
         register_dimension(spark, f"{database}.{table}", table, f"{base}/{table}")

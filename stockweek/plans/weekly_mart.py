@@ -1,7 +1,10 @@
 """The weekly-mart job: five CSV snapshots in, one fact and three dimensions out.
 
     spark-submit weekly_mart_job.py -p '{"name": ..., "input_path": {"calendar": ..., ...},
-                                         "output_path": ..., "partition_column": "STORE_KEY"}'
+                                         "output_path": ..., "partition_column": "STORE_KEY",
+                                         "metrics": true}'
+
+``metrics``, ``partition_overwrite`` and ``null_value`` may be left out.
 """
 
 from __future__ import annotations
@@ -12,12 +15,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweek.functions.sizes import HOT_SAMPLE
-from stockweek.operators.daily import hot_inventory_keys
 from stockweek.operators.weekly import weekly_mart
-from stockweek.session import get_session
 from stockweek.sinks.files import write_csv, write_fact
-from stockweek.sources.csv import read_table, sample_table
+from stockweek.sources.csv import read_table
 from stockweek.sources.schemas import TABLES
 
 # Names of the outputs.
@@ -54,17 +54,11 @@ def run_weekly_mart(
     """Build the mart from the CSV snapshots and write it beside copies of the dimensions."""
     tables = read_inputs(spark, inputs, null_value)
     base = output_path.rstrip("/")
-    sampled = sample_table(spark, "inventory", inputs["inventory"], HOT_SAMPLE, null_value)
-    hot = hot_inventory_keys(tables["inventory"], sampled)
-    fact = weekly_mart(tables["sales"], tables["inventory"], tables["calendar"], metrics, hot)
+    fact = weekly_mart(tables["sales"], tables["inventory"], tables["calendar"], metrics)
     write_fact(fact, f"{base}/{FACT}", partition_column, partition_overwrite)
     for table in DIMENSIONS:
         write_csv(tables[table], f"{base}/{table}")
 
 
-def main(params: str) -> None:
-    given = as_mapping(params)
-    spark = get_session(given["name"])
-    run_weekly_mart(
-        spark, as_mapping(given["input_path"]), given["output_path"], given["partition_column"]
-    )
+# Parameters of the job besides the required ones, passed on as they are.
+OPTIONS = ("metrics", "partition_overwrite", "null_value")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,15 +26,37 @@ def get_session(name: str = "stockweek", settings: dict[str, str] | None = None)
     return builder.getOrCreate()
 
 
+# Folders and databases that this process has made for single runs.
+_folders: list[str] = []
+_databases: list[str] = []
+
+
+def scratch_database(label: str) -> str:
+    """A name for a database of one run."""
+    _databases.append(f"{label}_{uuid.uuid4().hex}")
+    return _databases[-1]
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Drop the databases and folders of this process's runs; call it when no result is read any more."""
+    while _databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {_databases.pop()} CASCADE")
+    while _folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for one run, under the shared folder the cluster names.
 
-    Only a local session without ``spark.checkpoint.dir`` gets a folder on this
-    machine: on a cluster the executors could not see it.
+    Only a session whose executors are this very process, without
+    ``spark.checkpoint.dir``, gets a folder on this machine: other executors could
+    not see it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="stockweek-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _folders.append(f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    return _folders[-1]

@@ -52,13 +52,17 @@ def _few_files(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Overwrite a CSV dataset with header lines; a small table makes one file."""
+    """Overwrite a CSV dataset with header lines.
+
+    A table measured to fit ``MAX_FILE_BYTES`` makes one file, a larger one several;
+    the rows are the same.
+    """
     _few_files(df).write.mode("overwrite").options(**CSV_FORMAT).csv(path)
 
 
 def _widest_row(schema: T.StructType) -> int | None:
     """Most bytes a row without text can take as CSV, or None if it holds text."""
-    widest = {T.IntegerType: 11, T.DoubleType: 25, T.DateType: 13, T.BooleanType: 5}
+    widest = {T.IntegerType: 11, T.LongType: 20, T.DoubleType: 25, T.DateType: 13, T.BooleanType: 5}
     total = 0
     for field in schema.fields:
         if isinstance(field.dataType, T.DecimalType):

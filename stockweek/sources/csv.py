@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stockweek.functions.nulls import fill_nulls
 from stockweek.sources.schemas import JOB_SCHEMAS
@@ -31,26 +30,3 @@ def read_table(
 ) -> DataFrame:
     """The CSV scan followed by null normalisation, as the mart job reads its inputs."""
     return fill_nulls(read_csv(spark, table, path, null_value))
-
-
-def sample_table(
-    spark: SparkSession,
-    table: str,
-    path: str | list[str],
-    fraction: float,
-    null_value: str | None = None,
-) -> DataFrame:
-    """About that fraction of a table's rows, for looking at how its keys are spread.
-
-    Lines are sampled before they are parsed, which costs a fraction of a scan.
-    A header line among them shows up as a row of nulls.
-    """
-    lines = spark.read.text(path)
-    if fraction < 1.0:
-        lines = lines.sample(fraction=fraction, seed=17)
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in JOB_SCHEMAS[table].fields)
-    options = {"sep": CSV_FORMAT["sep"]}
-    if null_value is not None:
-        options["nullValue"] = null_value
-    parsed = lines.select(F.from_csv("value", columns, options).alias("row"))
-    return fill_nulls(parsed.select("row.*"))

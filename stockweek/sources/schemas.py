@@ -1,7 +1,8 @@
 """Column lists of the five input tables.
 
 Each line gives a column, the type the mart job reads it with, and the type it
-has in the raw table. CSV columns map by position, so the order matters.
+has in the raw table, whose integers are wide. CSV columns map by position, so the
+order matters.
 """
 
 from __future__ import annotations
@@ -15,44 +16,44 @@ _COLUMNS = {
         CAL_TYPE_DESC  string  varchar(20)
         DAY_OF_WK_NUM  int     varchar(30)
         DAY_OF_WK_DESC string  string
-        YR_NUM         int     int
-        WK_NUM         int     int
-        YR_WK_NUM      int     int
-        MNTH_NUM       int     int
-        YR_MNTH_NUM    int     int
-        QTR_NUM        int     int
-        YR_QTR_NUM     int     int
+        YR_NUM         int     bigint
+        WK_NUM         int     bigint
+        YR_WK_NUM      int     bigint
+        MNTH_NUM       int     bigint
+        YR_MNTH_NUM    int     bigint
+        QTR_NUM        int     bigint
+        YR_QTR_NUM     int     bigint
     """,
     "inventory": """
         CAL_DT                 date     date
-        STORE_KEY              int      int
-        PROD_KEY               int      int
+        STORE_KEY              int      bigint
+        PROD_KEY               int      bigint
         INVENTORY_ON_HAND_QTY  double   decimal(38,2)
         INVENTORY_ON_ORDER_QTY double   decimal(38,2)
-        OUT_OF_STOCK_FLG       int      int
+        OUT_OF_STOCK_FLG       int      bigint
         WASTE_QTY              double   decimal(38,2)
         PROMOTION_FLG          boolean  boolean
         NEXT_DELIVERY_DT       date     date
     """,
     "product": """
-        PROD_KEY         int     int
+        PROD_KEY         int     bigint
         PROD_NAME        string  string
         VOL              double  decimal(38,2)
         WGT              double  decimal(38,2)
         BRAND_NAME       string  string
-        STATUS_CODE      int     int
+        STATUS_CODE      int     bigint
         STATUS_CODE_NAME string  string
-        CATEGORY_KEY     int     int
+        CATEGORY_KEY     int     bigint
         CATEGORY_NAME    string  string
-        SUBCATEGORY_KEY  int     int
+        SUBCATEGORY_KEY  int     bigint
         SUBCATEGORY_NAME string  string
     """,
     "sales": """
-        TRANS_ID    int     int
-        PROD_KEY    int     int
-        STORE_KEY   int     int
+        TRANS_ID    int     bigint
+        PROD_KEY    int     bigint
+        STORE_KEY   int     bigint
         TRANS_DT    date    date
-        TRANS_TIME  int     int
+        TRANS_TIME  int     bigint
         SALES_QTY   double  decimal(38,2)
         SALES_PRICE double  decimal(38,2)
         SALES_AMT   double  decimal(38,2)
@@ -62,7 +63,7 @@ _COLUMNS = {
         SHIP_COST   double  decimal(38,2)
     """,
     "store": """
-        STORE_KEY       int            int
+        STORE_KEY       int            bigint
         STORE_NUM       int            varchar(30)
         STORE_DESC      string         varchar(150)
         ADDR            string         varchar(500)
@@ -77,9 +78,9 @@ _COLUMNS = {
         STORE_TYPE_DESC string         varchar(150)
         FRNCHS_FLG      string         boolean
         STORE_SIZE      string         decimal(19,3)
-        MARKET_KEY      int            int
+        MARKET_KEY      int            bigint
         MARKET_NAME     string         varchar(150)
-        SUBMARKET_KEY   int            int
+        SUBMARKET_KEY   int            bigint
         SUBMARKET_NAME  string         varchar(150)
         LATITUDE        decimal(10,6)  decimal(19,6)
         LONGITUDE       decimal(10,6)  decimal(19,6)
@@ -94,6 +95,7 @@ FACT_DATES = {"inventory": "CAL_DT", "sales": "TRANS_DT"}
 
 _SIMPLE = {
     "int": T.IntegerType(),
+    "bigint": T.LongType(),
     "double": T.DoubleType(),
     "string": T.StringType(),
     "boolean": T.BooleanType(),

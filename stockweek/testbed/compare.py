@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-VIEWS = "region nation customer supplier part orders lineitem events".split()
+VIEWS = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
 
 
 class Comparison(NamedTuple):

@@ -1,18 +1,33 @@
 """The same tables and results in plain SQL, for an independent engine.
 
-Sums are exact decimals here, so agreement also shows that the Spark results
-carry no noise of floating point. Means are rounded to a millionth, and the
-potential impact of a day to a ten-thousandth, before they are added up.
+Sums of two-decimal values are exact decimals here, so agreement also shows that
+the Spark results carry no noise of floating point. Means, and what follows from
+them, are added up as plain doubles; the last digits of such columns depend on the
+engine, so queries and SQL show them through ``settled``.
 """
 
 from __future__ import annotations
 
+def settled(column: str) -> str:
+    """A double cut after its sixth decimal, at a border that no simple fraction lies on."""
+    return f"floor({column} * 1e6 + CAST(0.4373 AS DOUBLE)) / 1e6"
+
+
+# Store and product of a line, what that needs joined, and the line's date.
+_HOT = "CASE WHEN l_orderkey % 3 = 0 THEN"
 _KEYS = {
-    "item": ("l_suppkey", "l_partkey", ""),
+    "item": ("l_suppkey", "l_partkey", "", "CAST(l_shipdate AS DATE)"),
+    "hot": (
+        f"{_HOT} 1 ELSE l_suppkey END",
+        f"{_HOT} 1 ELSE l_partkey END",
+        "",
+        f"{_HOT} DATE '1997-06-07' ELSE CAST(l_shipdate AS DATE) END",
+    ),
     "brand": (
         "n_regionkey",
         "CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER)",
         "JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey",
+        "CAST(l_shipdate AS DATE)",
     ),
 }
 
@@ -28,7 +43,7 @@ numbered AS (
          CAST(year(CAL_DT) AS INTEGER) AS y, CAST(month(CAL_DT) AS INTEGER) AS m,
          CAST(quarter(CAL_DT) AS INTEGER) AS q
   FROM days),
-calendar AS (
+plain_calendar AS (
   SELECT CAL_DT, 'Fiscal' AS CAL_TYPE_DESC, n % 7 AS DAY_OF_WK_NUM,
          CASE n % 7 WHEN 0 THEN 'Sunday' WHEN 1 THEN 'Monday' WHEN 2 THEN 'Tuesday'
            WHEN 3 THEN 'Wednesday' WHEN 4 THEN 'Thursday' WHEN 5 THEN 'Friday'
@@ -38,12 +53,23 @@ calendar AS (
          m AS MNTH_NUM, y * 100 + m AS YR_MNTH_NUM, q AS QTR_NUM, y * 100 + q AS YR_QTR_NUM
   FROM numbered)"""
 
+# The calendar as it is; with the weeks of summer unknown; and with December's dates twice.
+_CALENDARS = {
+    "plain": "calendar AS (SELECT * FROM plain_calendar)",
+    "loose": """calendar AS (
+      SELECT * REPLACE (CASE WHEN MNTH_NUM IN (6, 7) THEN 0 ELSE YR_NUM END AS YR_NUM,
+                        CASE WHEN MNTH_NUM IN (6, 7) THEN 0 ELSE WK_NUM END AS WK_NUM)
+      FROM plain_calendar)""",
+    "repeated": """calendar AS (
+      SELECT * FROM plain_calendar UNION ALL SELECT * FROM plain_calendar WHERE MNTH_NUM = 12)""",
+}
+
 
 def _lines(grain: str) -> str:
-    store, product, joins = _KEYS[grain]
+    store, product, joins, day = _KEYS[grain]
     return f"""
 lines AS (
-  SELECT *, CAST(l_shipdate AS DATE) AS SHIP_DT,
+  SELECT *, {day} AS SHIP_DT,
          CASE WHEN l_orderkey % 97 <> 0 THEN CAST({store} AS INTEGER) END AS STORE_KEY,
          CAST({product} AS INTEGER) AS PROD_KEY
   FROM lineitem JOIN part ON p_partkey = l_partkey {joins})"""
@@ -57,7 +83,8 @@ raw_sales AS (
          l_linenumber AS TRANS_TIME, l_quantity AS SALES_QTY, p_retailprice AS SALES_PRICE,
          l_extendedprice AS SALES_AMT,
          CASE WHEN l_orderkey % 83 <> 0 THEN l_discount END AS DISCOUNT,
-         l_quantity * 10 AS SALES_COST, l_extendedprice - l_quantity * 10 AS SALES_MGRN,
+         l_quantity * 10 AS SALES_COST,
+         round((l_extendedprice - l_quantity * 10) * 100) / 100 AS SALES_MGRN,
          l_tax AS SHIP_COST
   FROM lines),
 sales AS (
@@ -137,9 +164,9 @@ daily_fact AS (
 _WEEKLY = f"""
 weekly AS (
   SELECT YR_NUM, WK_NUM, STORE_KEY, PROD_KEY, {_exact("SALES_QTY")} AS WK_SALES_QTY,
-         sum(round_even(SALES_PRICE * 1e6, 0)) / 1e6 / count(*) AS AVG_SALES_PRICE,
+         sum(SALES_PRICE) / count(*) AS AVG_SALES_PRICE,
          {_exact("SALES_AMT")} AS WK_SALES_AMT,
-         sum(round_even(DISCOUNT * 1e6, 0)) / 1e6 AS WK_DISCOUNT,
+         sum(DISCOUNT) AS WK_DISCOUNT,
          {_exact("SALES_COST")} AS WK_SALES_COST,
          {_exact("SALES_MGRN")} AS WK_SALES_MGRN,
          {_exact("CASE WHEN DAY_OF_WK_NUM = 6 THEN STOCK_ON_HAND_QTY ELSE 0 END")}
@@ -150,8 +177,7 @@ weekly AS (
          CAST(sum(CASE WHEN IN_STOCK_FLG THEN 1 ELSE 0 END) AS BIGINT) AS IN_STOCK_TIMES,
          CAST(sum(CASE WHEN LOW_STOCK_FLG THEN 1 ELSE 0 END) AS BIGINT) AS LOW_STOCK_TIMES,
          sum(CASE WHEN LOW_STOCK_FLG
-           THEN round_even((SALES_AMT - STOCK_ON_HAND_QTY * SALES_PRICE) * 1e4, 0) ELSE 0 END) / 1e4
-           AS POTENTIAL_LOW_STOCK_IMPACT,
+           THEN SALES_AMT - STOCK_ON_HAND_QTY * SALES_PRICE ELSE 0 END) AS POTENTIAL_LOW_STOCK_IMPACT,
          {_exact("CASE WHEN OUT_OF_STOCK_FLG THEN SALES_AMT ELSE 0 END")} AS NO_STOCK_IMPACT
   FROM daily_fact JOIN calendar USING (CAL_DT) GROUP BY YR_NUM, WK_NUM, STORE_KEY, PROD_KEY),
 metrics AS (
@@ -164,7 +190,7 @@ metrics AS (
   FROM weekly)"""
 
 
-def query(select: str, grain: str = "item") -> str:
+def query(select: str, grain: str = "item", weeks: str = "plain") -> str:
     """A statement over all tables and steps, by their names above."""
-    steps = [CALENDAR, _lines(grain), _SALES, _INVENTORY, STORE, PRODUCT, _DAILY, _WEEKLY]
-    return "WITH " + ",".join(steps) + "\n" + select
+    steps = [CALENDAR, _CALENDARS[weeks], _lines(grain), _SALES, _INVENTORY, STORE, PRODUCT]
+    return "WITH " + ",".join([*steps, _DAILY, _WEEKLY]) + "\n" + select

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,6 @@ from stockweek.functions.nulls import fill_nulls
 from stockweek.operators.daily import (
     daily_inventory,
     daily_sales,
-    hot_inventory_keys,
     sales_inv_store_dy,
 )
 from stockweek.operators.quality import key_quality
@@ -27,18 +27,18 @@ from stockweek.operators.star import star_report
 from stockweek.operators.weekly import (
     MART_COLUMNS,
     METRIC_COLUMNS,
-    readme_metrics,
     sales_inv_store_wk,
+    week_keys_and,
     weekly_mart,
 )
 from stockweek.plans.raw_load import load_raw
 from stockweek.plans.serving import register_output
 from stockweek.plans.snapshots import check_snapshots, export_snapshots, run_if_ready
 from stockweek.plans.weekly_mart import FACT, run_weekly_mart
-from stockweek.session import scratch_dir
+from stockweek.session import scratch_database, scratch_dir
 from stockweek.sinks.files import read_fact, write_csv, write_fact, write_snapshot
 from stockweek.sources.csv import read_csv, read_table
-from stockweek.sources.listing import list_files
+from stockweek.sources.listing import list_committed, list_files
 from stockweek.sources.schemas import TABLES
 from stockweek.testbed import oracle, tables
 
@@ -70,9 +70,24 @@ def _plain(df: DataFrame) -> DataFrame:
     )
 
 
-def _plain_sql(select: str, dates: str = "", grain: str = "item") -> str:
+def _plain_sql(select: str, dates: str = "", grain: str = "item", weeks: str = "plain") -> str:
     replaced = ", ".join(f"CAST({d} AS VARCHAR) AS {d}" for d in dates.split())
-    return oracle.query(select.format(all=f"* REPLACE ({replaced})" if replaced else "*"), grain)
+    every = f"* REPLACE ({replaced})" if replaced else "*"
+    return oracle.query(select.format(all=every), grain, weeks)
+
+
+# Columns that hold means, or follow from them: their last digits depend on the engine.
+FROM_MEANS = ("AVG_SALES_PRICE", "WK_DISCOUNT", "POTENTIAL_LOW_STOCK_IMPACT")
+
+
+def _settled(df: DataFrame, columns=FROM_MEANS) -> DataFrame:
+    """The same as ``oracle.settled`` for the columns that are there."""
+    shown = {c: F.floor(F.col(c) * 1e6 + 0.4373) / 1e6 for c in columns if c in df.columns}
+    return df.withColumns(shown) if shown else df
+
+
+def _shown(columns: list[str]) -> str:
+    return ", ".join(f"{oracle.settled(c)} AS {c}" if c in FROM_MEANS else c for c in columns)
 
 
 def _names(columns: list[str]) -> str:
@@ -87,9 +102,9 @@ def _clean(spark: SparkSession, sf_dir: str, table: str, grain: str = "item") ->
     return tables.clean_tables(spark, sf_dir, table, grain)[table]
 
 
-def _mart(spark: SparkSession, sf_dir: str, metrics=False, grain="item", **kw) -> DataFrame:
+def _mart(spark, sf_dir, metrics=False, grain="item", weeks=lambda calendar: calendar) -> DataFrame:
     t = tables.clean_tables(spark, sf_dir, FACT_TABLES, grain)
-    return weekly_mart(t["sales"], t["inventory"], t["calendar"], metrics, **kw)
+    return weekly_mart(t["sales"], t["inventory"], weeks(t["calendar"]), metrics)
 
 
 def _write_inputs(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
@@ -149,21 +164,45 @@ def _load_raw(spark, sf_dir, base=None):
     base = base or scratch_dir(spark, "raw")
     current = spark.catalog.currentDatabase()
     staged = _write_inputs(spark, sf_dir, f"{base}/staged")
-    loaded = load_raw(spark, staged, f"raw_{base[-32:]}", f"{base}/tables")
+    loaded = load_raw(spark, staged, scratch_database("raw"), f"{base}/tables")
     spark.catalog.setCurrentDatabase(current)
     return loaded
 
 
-@_register(
-    "q_raw_load_sales",
-    _plain_sql(
-        "SELECT * REPLACE (coalesce(STORE_KEY, -1) AS STORE_KEY,"
-        " coalesce(DISCOUNT, -1) AS DISCOUNT, CAST(TRANS_DT AS VARCHAR) AS TRANS_DT,"
-        " CAST(CAST(SALES_MGRN AS DECIMAL(18,2)) AS DOUBLE) AS SALES_MGRN) FROM raw_sales"
-    ),
+def _raw_query(table: str, integers: str, others: str = "") -> None:
+    """Values of a raw table, nulls filled; its integers are wider than the job's."""
+    wide = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in integers.split())
+    replaced = f"{wide}, {others}" if others else wide
+
+    @_register(
+        f"q_raw_load_{table}", oracle.query(f"SELECT * REPLACE ({replaced}) FROM {table}")
+    )
+    def run(spark, sf_dir):
+        return _plain(fill_nulls(_load_raw(spark, sf_dir)[table]))
+
+
+_raw_query(
+    "sales",
+    "TRANS_ID PROD_KEY STORE_KEY TRANS_TIME",
+    "CAST(TRANS_DT AS VARCHAR) AS TRANS_DT",
+)
+_raw_query(
+    "inventory",
+    "STORE_KEY PROD_KEY OUT_OF_STOCK_FLG",
+    "CAST(CAL_DT AS VARCHAR) AS CAL_DT, CAST(NEXT_DELIVERY_DT AS VARCHAR) AS NEXT_DELIVERY_DT",
+)
+_raw_query(
+    "calendar",
+    "YR_NUM WK_NUM YR_WK_NUM MNTH_NUM YR_MNTH_NUM QTR_NUM YR_QTR_NUM",
+    "CAST(CAL_DT AS VARCHAR) AS CAL_DT, CAST(DAY_OF_WK_NUM AS VARCHAR) AS DAY_OF_WK_NUM",
+)
+_raw_query("product", "PROD_KEY STATUS_CODE CATEGORY_KEY SUBCATEGORY_KEY")
+_raw_query(
+    "store",
+    "STORE_KEY MARKET_KEY SUBMARKET_KEY",
+    "CAST(STORE_NUM AS VARCHAR) AS STORE_NUM, CAST(NULL AS BOOLEAN) AS FRNCHS_FLG,"
+    " CAST(0 AS DOUBLE) AS STORE_SIZE",
 )
-def q_raw_load_sales(spark, sf_dir):
-    return _plain(_load_raw(spark, sf_dir)["sales"]).na.fill(-1)
 
 
 # --- daily and weekly -------------------------------------------------------
@@ -192,10 +231,35 @@ def q_daily_inventory(spark, sf_dir):
     return _plain(daily_inventory(_clean(spark, sf_dir, "inventory")))
 
 
-def _daily_fact(spark, sf_dir, grain="item", **limits):
+def _sevenths(sales: DataFrame) -> DataFrame:
+    """Sales whose measures have no end of decimals."""
+    measures = ("SALES_QTY", "SALES_PRICE", "SALES_AMT", "DISCOUNT", "SALES_COST")
+    return sales.withColumns({c: F.col(c) / 7 for c in measures})
+
+
+def _seventh(function: str, column: str) -> str:
+    return f"{oracle.settled(f'{function}({column} / 7)')} AS {column}"
+
+
+@_register(
+    "q_daily_sales_sevenths",
+    oracle.query(
+        "SELECT CAST(TRANS_DT AS VARCHAR) AS CAL_DT, STORE_KEY, PROD_KEY,"
+        f" {_seventh('sum', 'SALES_QTY')}, {_seventh('sum', 'SALES_AMT')},"
+        f" {_seventh('avg', 'SALES_PRICE')}, {_seventh('sum', 'SALES_COST')},"
+        f" {_seventh('avg', 'DISCOUNT')} FROM sales GROUP BY ALL",
+        "brand",
+    ),
+)
+def q_daily_sales_sevenths(spark, sf_dir):
+    daily = daily_sales(_sevenths(_clean(spark, sf_dir, "sales", "brand")))
+    daily = _plain(daily.drop("SALES_MGRN", "SHIP_COST"))
+    return _settled(daily, daily.columns[3:])
+
+
+def _daily_fact(spark, sf_dir, grain="item"):
     t = tables.clean_tables(spark, sf_dir, "sales inventory", grain)
-    hot = hot_inventory_keys(t["inventory"], **limits)
-    return sales_inv_store_dy(daily_sales(t["sales"]), daily_inventory(t["inventory"]), hot)
+    return sales_inv_store_dy(daily_sales(t["sales"]), daily_inventory(t["inventory"]))
 
 
 @_register("q_daily_fact", _plain_sql("SELECT {all} FROM daily_fact", "CAL_DT"))
@@ -203,51 +267,60 @@ def q_daily_fact(spark, sf_dir):
     return _plain(_daily_fact(spark, sf_dir))
 
 
-@_register("q_daily_fact_hot_keys", _plain_sql("SELECT {all} FROM daily_fact", "CAL_DT"))
+@_register("q_daily_fact_hot_keys", _plain_sql("SELECT {all} FROM daily_fact", "CAL_DT", "hot"))
 def q_daily_fact_hot_keys(spark, sf_dir):
-    return _plain(_daily_fact(spark, sf_dir, rows=2, fraction=1.0))
+    return _plain(_daily_fact(spark, sf_dir, "hot"))
 
 
-MART_SQL = f"SELECT {_names(MART_COLUMNS)} FROM weekly"
+MART_SQL = f"SELECT {_shown(MART_COLUMNS)} FROM weekly"
 
 
 @_register("q_weekly_mart", _plain_sql(MART_SQL))
 def q_weekly_mart(spark, sf_dir):
-    return _mart(spark, sf_dir)
+    return _settled(_mart(spark, sf_dir))
 
 
 @_register("q_weekly_mart_brand", _plain_sql(MART_SQL, grain="brand"))
 def q_weekly_mart_brand(spark, sf_dir):
-    return _mart(spark, sf_dir, grain="brand")
+    return _settled(_mart(spark, sf_dir, grain="brand"))
 
 
 @_register("q_weekly_mart_stepwise", _plain_sql(MART_SQL))
 def q_weekly_mart_stepwise(spark, sf_dir):
-    return sales_inv_store_wk(_daily_fact(spark, sf_dir), _dumped(spark, sf_dir, "calendar"))
+    calendar = _dumped(spark, sf_dir, "calendar")
+    return _settled(sales_inv_store_wk(_daily_fact(spark, sf_dir), calendar))
 
 
-@_register("q_weekly_mart_hot_keys", _plain_sql(MART_SQL, grain="brand"))
+@_register("q_weekly_mart_hot_keys", _plain_sql(MART_SQL, grain="hot"))
 def q_weekly_mart_hot_keys(spark, sf_dir):
-    stock = _clean(spark, sf_dir, "inventory", "brand")
-    hot = hot_inventory_keys(stock, rows=3, fraction=1.0)
-    return _mart(spark, sf_dir, grain="brand", hot=hot)
+    return _settled(_mart(spark, sf_dir, grain="hot"))
+
 
+@_register("q_weekly_mart_loose_weeks", _plain_sql(MART_SQL, weeks="loose"))
+def q_weekly_mart_loose_weeks(spark, sf_dir):
+    return _settled(_mart(spark, sf_dir, weeks=tables.loose_weeks))
 
-METRICS_SQL = f"SELECT {_names(MART_COLUMNS + METRIC_COLUMNS)} FROM metrics"
+
+@_register("q_weekly_mart_repeated_dates", _plain_sql(MART_SQL, weeks="repeated"))
+def q_weekly_mart_repeated_dates(spark, sf_dir):
+    return _settled(_mart(spark, sf_dir, weeks=tables.repeated_dates))
+
+
+METRICS_SQL = f"SELECT {_shown(MART_COLUMNS + METRIC_COLUMNS)} FROM metrics"
 
 
 @_register("q_weekly_metrics_brand", _plain_sql(METRICS_SQL, grain="brand"))
 def q_weekly_metrics_brand(spark, sf_dir):
-    return _mart(spark, sf_dir, metrics=True, grain="brand")
+    return _settled(_mart(spark, sf_dir, metrics=True, grain="brand"))
 
 
 def _metric_query(name: str, *columns: str) -> None:
     @_register(
         name,
-        _plain_sql(f"SELECT YR_NUM, WK_NUM, STORE_KEY, PROD_KEY, {_names(columns)} FROM metrics"),
+        _plain_sql(f"SELECT YR_NUM, WK_NUM, STORE_KEY, PROD_KEY, {_shown(columns)} FROM metrics"),
     )
     def run(spark, sf_dir):
-        return readme_metrics(_mart(spark, sf_dir, metrics=True), *columns)
+        return _settled(week_keys_and(_mart(spark, sf_dir, metrics=True), *columns))
 
 
 _metric_query("q_unit_price", "AVG_UNIT_PRICE")
@@ -265,16 +338,23 @@ _metric_query("q_weeks_of_supply", "WEEKS_OF_SUPPLY")
 def q_fact_parquet_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "fact")
     write_fact(_mart(spark, sf_dir), path, "yr_num")
-    return read_fact(spark, path, MART_COLUMNS)
+    return _settled(read_fact(spark, path, MART_COLUMNS))
 
 
 def _dimension_query(table: str, dates: str = "") -> None:
-    @_register(f"q_dim_export_{table}", _plain_sql(f"SELECT {{all}} FROM {table}", dates))
-    def run(spark, sf_dir):
+    """A dimension as the sink writes it, and as the job leaves it beside the fact."""
+    sql = _plain_sql(f"SELECT {{all}} FROM {table}", dates)
+
+    @_register(f"q_dim_export_{table}", sql)
+    def export(spark, sf_dir):
         path = scratch_dir(spark, table)
         write_csv(_clean(spark, sf_dir, table), path)
         return _plain(read_csv(spark, table, path))
 
+    @_register(f"q_job_{table}", sql)
+    def job(spark, sf_dir):
+        return _plain(read_csv(spark, table, f"{_job_output(spark, sf_dir)}/{table}"))
+
 
 _dimension_query("store")
 _dimension_query("product")
@@ -290,22 +370,22 @@ def _job_output(spark: SparkSession, sf_dir: str, metrics: bool = False) -> str:
 
 @_register("q_weekly_mart_job", _plain_sql(MART_SQL))
 def q_weekly_mart_job(spark, sf_dir):
-    return read_fact(spark, f"{_job_output(spark, sf_dir)}/{FACT}", MART_COLUMNS)
+    return _settled(read_fact(spark, f"{_job_output(spark, sf_dir)}/{FACT}", MART_COLUMNS))
 
 
 @_register("q_weekly_metrics_job", _plain_sql(METRICS_SQL))
 def q_weekly_metrics_job(spark, sf_dir):
     out = _job_output(spark, sf_dir, metrics=True)
-    return read_fact(spark, f"{out}/{FACT}", MART_COLUMNS + METRIC_COLUMNS)
+    return _settled(read_fact(spark, f"{out}/{FACT}", MART_COLUMNS + METRIC_COLUMNS))
 
 
 def _exact(column: str) -> str:
     return f"CAST(sum(CAST({column} AS DECIMAL(28,2))) AS DOUBLE)"
 
 
-def _served(spark: SparkSession, sf_dir: str) -> str:
-    out = _job_output(spark, sf_dir)
-    database = f"mart_{scratch_dir(spark, 'db')[-32:]}"
+def _served(spark: SparkSession, sf_dir: str, metrics: bool = False) -> str:
+    out = _job_output(spark, sf_dir, metrics)
+    database = scratch_database("mart")
     current = spark.catalog.currentDatabase()
     register_output(spark, out, "YR_NUM", database, f"{out}/db")
     spark.catalog.setCurrentDatabase(current)
@@ -329,6 +409,14 @@ def q_serving_partition_scan(spark, sf_dir):
     )
 
 
+@_register("q_served_metrics", _plain_sql(METRICS_SQL))
+def q_served_metrics(spark, sf_dir):
+    database = _served(spark, sf_dir, metrics=True)
+    return _settled(
+        spark.sql(f"SELECT {_names(MART_COLUMNS + METRIC_COLUMNS)} FROM {database}.{FACT}")
+    )
+
+
 STAR_SQL = oracle.query(
     "SELECT YR_NUM, MARKET_NAME, CATEGORY_NAME,"
     " CAST(sum(CAST(WK_SALES_QTY AS DECIMAL(18,2))) AS DOUBLE) AS SALES_QTY,"
@@ -411,26 +499,51 @@ def q_export_audit(spark, sf_dir):
     return export_snapshots(spark, tables.tables(spark, sf_dir), scratch_dir(spark, "day"), AS_OF)
 
 
+LATE = "1998-12-12"
+
+
+def _rows_of(spark: SparkSession, found: DataFrame) -> DataFrame:
+    """Of a few snapshots (table, date, URI): the rows read through each one's own URI."""
+    counts = [
+        read_csv(spark, r["TABLE_NAME"], r["URI"])
+        .agg(F.count(F.lit(1)).alias("N_ROWS"))
+        .select(F.lit(r["TABLE_NAME"]).alias("TABLE_NAME"), F.lit(r["SNAPSHOT_DATE"]).alias("SNAPSHOT_DATE"), "N_ROWS")
+        for r in found.collect()
+    ]
+    none = spark.createDataFrame([], "TABLE_NAME string, SNAPSHOT_DATE string, N_ROWS bigint")
+    return reduce(DataFrame.unionByName, counts, none)
+
+
+def _snapshot_counts(dates: dict[str, str] | None = None, missing: tuple[str, ...] = ()) -> str:
+    """SQL for the rows of each table's snapshot; 0 for one that is not there."""
+    limits = {"sales": f" WHERE TRANS_DT <= DATE '{AS_OF}'", "inventory": f" WHERE CAL_DT <= DATE '{AS_OF}'"}
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS TABLE_NAME, '{(dates or {}).get(t, AS_OF)}' AS SNAPSHOT_DATE,"
+        f" {'CAST(0 AS BIGINT)' if t in missing else 'count(*)'} AS N_ROWS,"
+        f" {str(t in missing).lower()} AS MISSING FROM {t}{limits.get(t, '')}"
+        + (" LIMIT 1" if t in missing else "")
+        for t in TABLES
+    )
+
+
 def _incomplete_day(spark: SparkSession, sf_dir: str) -> str:
     """A location whose store snapshot carries a later date than the other four."""
     base = scratch_dir(spark, "day")
     for name, df in tables.tables(spark, sf_dir).items():
         rows = snapshot_as_of(df, name, AS_OF)
-        write_snapshot(rows, name, base, "1998-12-12" if name == "store" else AS_OF)
+        write_snapshot(rows, name, base, LATE if name == "store" else AS_OF)
     return base
 
 
 @_register(
     "q_file_listing",
     oracle.query(
-        f"SELECT 'calendar' AS TABLE_NAME, '{AS_OF}' AS SNAPSHOT_DATE"
-        f" UNION ALL SELECT 'inventory', '{AS_OF}' UNION ALL SELECT 'product', '{AS_OF}'"
-        f" UNION ALL SELECT 'sales', '{AS_OF}' UNION ALL SELECT 'store', '1998-12-12'"
+        f"SELECT TABLE_NAME, SNAPSHOT_DATE, N_ROWS FROM ({_snapshot_counts({'store': LATE})})"
     ),
 )
 def q_file_listing(spark, sf_dir):
     listing = list_files(spark, _incomplete_day(spark, sf_dir))
-    return snapshot_files(listing.filter(F.col("length") > 0)).drop("URI")
+    return _rows_of(spark, snapshot_files(listing.filter(F.col("length") > 0)))
 
 
 # All events fall in January, when US Eastern time is five hours behind UTC.
@@ -443,27 +556,73 @@ def q_snapshot_day(spark, sf_dir):
     return events.select("event_id", snapshot_day(F.col("ts"), "UTC").alias("SNAPSHOT_DATE"))
 
 
-@_register("q_missing_snapshots", "SELECT 'store' AS TABLE_NAME")
+def _state_of(spark: SparkSession, base: str) -> DataFrame:
+    """Of each snapshot that a day needs: whether it is missing, and the rows that are there."""
+    found = check_snapshots(spark, base, AS_OF)
+    there = _rows_of(spark, snapshot_files(list_committed(spark, base, AS_OF)))
+    missing = found.missing.withColumn("MISSING", F.lit(True))
+    return (
+        required_snapshots(spark, base, AS_OF)
+        .join(missing, "TABLE_NAME", "left")
+        .join(there, ["TABLE_NAME", "SNAPSHOT_DATE"], "left")
+        .select(
+            "TABLE_NAME",
+            "SNAPSHOT_DATE",
+            F.coalesce("N_ROWS", F.lit(0)).alias("N_ROWS"),
+            F.coalesce("MISSING", F.lit(False)).alias("MISSING"),
+        )
+    )
+
+
+def _one_missing_sql(table: str) -> str:
+    parts = _snapshot_counts(missing=(table,)).split(" UNION ALL ")
+    return oracle.query(" UNION ALL ".join(f"({part})" for part in parts))
+
+
+@_register("q_missing_snapshots", _one_missing_sql("store"))
 def q_missing_snapshots(spark, sf_dir):
-    return check_snapshots(spark, _incomplete_day(spark, sf_dir), AS_OF).missing
+    return _state_of(spark, _incomplete_day(spark, sf_dir))
+
+
+@_register("q_half_written_snapshot", _one_missing_sql("sales"))
+def q_half_written_snapshot(spark, sf_dir):
+    """All five are there, but the one of sales has not been committed."""
+    base = scratch_dir(spark, "day")
+    everything = tables.tables(spark, sf_dir)
+    for name, df in everything.items():
+        if name != "sales":
+            write_snapshot(snapshot_as_of(df, name, AS_OF), name, base, AS_OF)
+    unmarked = snapshot_as_of(everything["sales"], "sales", AS_OF).write.options(header="true")
+    unmarked = unmarked.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    unmarked.csv(f"{base}/sales_{AS_OF}.csv")
+    return _state_of(spark, base)
 
 
-@_register("q_readiness_verdict", "SELECT false AS READY")
+@_register(
+    "q_readiness_verdict",
+    oracle.query(
+        "SELECT false AS READY, CAST(sum(N_ROWS) AS BIGINT) AS N_ROWS FROM"
+        f" ({_snapshot_counts()}) WHERE TABLE_NAME <> 'store'"
+    ),
+)
 def q_readiness_verdict(spark, sf_dir):
     base = _incomplete_day(spark, sf_dir)
-    present = snapshot_files(list_files(spark, base))
-    return all_present(required_snapshots(spark, base, AS_OF), present)
+    present = snapshot_files(list_committed(spark, base, AS_OF))
+    rows = _rows_of(spark, present).agg(F.sum("N_ROWS").alias("N_ROWS"))
+    return all_present(required_snapshots(spark, base, AS_OF), present).crossJoin(rows)
 
 
 @_register(
     "q_manifest",
-    " UNION ALL ".join(f"SELECT '{t}' AS \"table\", '{t}_{AS_OF}.csv' AS uri" for t in TABLES),
+    oracle.query(f"SELECT TABLE_NAME, SNAPSHOT_DATE, N_ROWS FROM ({_snapshot_counts()})"),
 )
 def q_manifest(spark, sf_dir):
     base = scratch_dir(spark, "day")
     export_snapshots(spark, tables.tables(spark, sf_dir), base, AS_OF)
     manifest = check_snapshots(spark, base, AS_OF).manifest
-    return manifest.select("table", F.substring_index("uri", "/", -1).alias("uri"))
+    return _rows_of(
+        spark, manifest.selectExpr("table AS TABLE_NAME", f"'{AS_OF}' AS SNAPSHOT_DATE", "uri AS URI")
+    )
 
 
 @_register("q_export_to_mart", _plain_sql(MART_SQL))
@@ -471,7 +630,7 @@ def q_export_to_mart(spark, sf_dir):
     base = scratch_dir(spark, "day")
     export_snapshots(spark, tables.tables(spark, sf_dir), base, ALL_DAYS)
     run_if_ready(spark, base, f"{base}/out", "yr_num", ALL_DAYS)
-    return read_fact(spark, f"{base}/out/{FACT}", MART_COLUMNS)
+    return _settled(read_fact(spark, f"{base}/out/{FACT}", MART_COLUMNS))
 
 
 @_register("q_raw_load_to_mart", _plain_sql(MART_SQL))
@@ -480,7 +639,7 @@ def q_raw_load_to_mart(spark, sf_dir):
     raw = _load_raw(spark, sf_dir, base)
     export_snapshots(spark, raw, f"{base}/day", ALL_DAYS)
     run_if_ready(spark, f"{base}/day", f"{base}/out", "yr_num", ALL_DAYS)
-    return read_fact(spark, f"{base}/out/{FACT}", MART_COLUMNS)
+    return _settled(read_fact(spark, f"{base}/out/{FACT}", MART_COLUMNS))
 
 
 @_register(
@@ -504,14 +663,16 @@ def q_raw_load_to_mart(spark, sf_dir):
         UNION ALL SELECT 'inventory: date not in calendar', count(*) FROM inventory
           WHERE CAL_DT NOT IN (SELECT CAL_DT FROM calendar)
         UNION ALL SELECT 'inventory: keys with several rows', count(*) FROM per_key WHERE n > 1
-        UNION ALL SELECT 'calendar: dates with several rows', 0
+        UNION ALL SELECT 'calendar: dates with several rows', count(*)
+          FROM (SELECT CAL_DT FROM calendar GROUP BY CAL_DT HAVING count(*) > 1)
         UNION ALL SELECT 'calendar: weeks of other than 7 days', count(*)
           FROM per_week WHERE days <> 7
         UNION ALL SELECT 'calendar: weeks without a last day', count(*)
           FROM per_week WHERE ends = 0
-        """
+        """,
+        weeks="repeated",
     ),
 )
 def q_key_quality(spark, sf_dir):
     t = tables.clean_tables(spark, sf_dir, FACT_TABLES)
-    return key_quality(t["sales"], t["inventory"], t["calendar"])
+    return key_quality(t["sales"], t["inventory"], tables.repeated_dates(t["calendar"]))

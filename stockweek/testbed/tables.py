@@ -1,8 +1,9 @@
 """The five retail tables as Spark derives them from the star-schema test data.
 
 Every row of ``lineitem`` becomes one sale and two stock counts, so the work grows
-with the data. Two grains: ``item`` keys stores by supplier and products by part,
-``brand`` keys them by region and brand, which puts many rows into each key. Some
+with the data. Three grains: ``item`` keys stores by supplier and products by part,
+``brand`` keys them by region and brand, which puts many rows into each key, and
+``hot`` is ``item`` with a third of all rows on one day, store and product. Some
 fields are left null, so that null handling shows in every result. All arithmetic
 is on integers or cents, so that SQL engines agree on it.
 """
@@ -19,6 +20,7 @@ from stockweek.functions.nulls import fill_nulls
 from stockweek.sources.schemas import JOB_SCHEMAS
 
 EPOCH = "1995-01-01"  # a Sunday
+HOT_DAY = "1997-06-07"
 ALL = "calendar inventory product sales store"
 DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
 
@@ -43,8 +45,14 @@ def _typed(df: DataFrame, table: str) -> DataFrame:
 
 def _lines(read: Read, grain: str) -> DataFrame:
     lines = read("lineitem").withColumn("SHIP_DT", F.to_date("l_shipdate"))
-    if grain == "item":
+    if grain in ("item", "hot"):
         store, product = F.col("l_suppkey"), F.col("l_partkey")
+        if grain == "hot":
+            hot = F.col("l_orderkey") % 3 == 0
+            store = F.when(hot, 1).otherwise(store)
+            product = F.when(hot, 1).otherwise(product)
+            day = F.when(hot, F.lit(HOT_DAY).cast("date")).otherwise(F.col("SHIP_DT"))
+            lines = lines.withColumn("SHIP_DT", day)
     else:
         part = read("part").select(
             F.col("p_partkey").alias("l_partkey"),
@@ -108,7 +116,7 @@ def sales(read: Read, grain: str = "item") -> DataFrame:
             F.col("l_extendedprice").alias("SALES_AMT"),
             _null_if(83, F.col("l_discount")).alias("DISCOUNT"),
             cost.alias("SALES_COST"),
-            (F.col("l_extendedprice") - cost).alias("SALES_MGRN"),
+            (F.rint((F.col("l_extendedprice") - cost) * 100) / 100).alias("SALES_MGRN"),
             F.col("l_tax").alias("SHIP_COST"),
         ),
         "sales",
@@ -188,10 +196,34 @@ def _with_nulls(df: DataFrame, table: str, known: dict[str, Column]) -> DataFram
     )
 
 
+def loose_weeks(calendar: DataFrame) -> DataFrame:
+    """A calendar that does not tell the weeks of summer apart."""
+    known = ~F.col("MNTH_NUM").isin(6, 7)
+    return calendar.withColumns({c: F.when(known, F.col(c)).otherwise(0) for c in ("YR_NUM", "WK_NUM")})
+
+
+def repeated_dates(calendar: DataFrame) -> DataFrame:
+    """A calendar that holds the dates of December twice."""
+    return calendar.unionAll(calendar.filter(F.col("MNTH_NUM") == 12))
+
+
+# Folders of tables written by ``store_tables``, by source folder and grain.
+_stored: dict[tuple[str, str], str] = {}
+
+
+def store_tables(spark: SparkSession, sf_dir: str, base: str, grain: str = "item") -> None:
+    """Write the tables once; from then on ``tables`` reads them from there."""
+    for name, df in tables(spark, sf_dir, grain=grain).items():
+        df.write.parquet(f"{base}/{grain}/{name}")
+    _stored[sf_dir, grain] = f"{base}/{grain}"
+
+
 def tables(
     spark: SparkSession, sf_dir: str, names: str = ALL, grain: str = "item"
 ) -> dict[str, DataFrame]:
     """The named tables with their nulls, as a warehouse would dump them."""
+    if base := _stored.get((sf_dir, grain)):
+        return {name: spark.read.parquet(f"{base}/{name}") for name in names.split()}
     read = reader(spark, sf_dir)
     make = {
         "calendar": lambda: calendar(read),

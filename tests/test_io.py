@@ -14,13 +14,13 @@ from pyspark.sql.utils import AnalysisException
 
 from stockweek.functions.nulls import fill_nulls
 from stockweek.operators.weekly import MART_COLUMNS, METRIC_COLUMNS, weekly_mart
-from stockweek.plans import weekly_mart as weekly_mart_job
+from stockweek.plans.commands import run_command
 from stockweek.plans.raw_load import load_raw
 from stockweek.plans.serving import register_output
-from stockweek.plans.weekly_mart import as_mapping, main, read_inputs, run_weekly_mart
+from stockweek.plans.weekly_mart import as_mapping, read_inputs, run_weekly_mart
 from stockweek.sinks import files
 from stockweek.sinks.files import read_fact, write_csv, write_fact
-from stockweek.sources.csv import read_csv, read_table, sample_table
+from stockweek.sources.csv import read_csv, read_table
 from stockweek.sources.schemas import JOB_SCHEMAS, RAW_SCHEMAS, TABLES, raw_ddl
 
 
@@ -58,31 +58,6 @@ def test_csv_scan(spark, tmp_path):
     ]
 
 
-def test_sampled_lines_parse_like_the_scan(spark, tmp_path):
-    path = put(tmp_path / "i.csv", SCAN)
-    sampled = sample_table(spark, "inventory", path, 1.0).collect()
-    assert sampled[1:] == read_table(spark, "inventory", path).collect()
-    assert sampled[0].CAL_DT is None
-    texts = put(tmp_path / "p.csv", 'h\n1,"a, b",1,1,\\N,0,x\n2,a\\,b,1,1,z,0,x\n3,,1,1,"",0,x\n')
-    for null_value in (None, "\\N"):
-        sampled = sample_table(spark, "product", texts, 1.0, null_value).collect()
-        assert sampled[1:] == read_table(spark, "product", texts, null_value).collect()
-
-
-def test_job_with_a_hot_key(spark, inputs, mart, tmp_path, monkeypatch):
-    monkeypatch.setattr(weekly_mart_job, "HOT_SAMPLE", 1.0)
-    find, found = weekly_mart_job.hot_inventory_keys, []
-
-    def hot(inventory, sampled):
-        found.append(find(inventory, sampled, rows=1, fraction=1.0))
-        return found[0]
-
-    monkeypatch.setattr(weekly_mart_job, "hot_inventory_keys", hot)
-    run_weekly_mart(spark, inputs, f"{tmp_path}/out", "STORE_KEY")
-    assert found[0].count() == 7 and found[0].filter("CAL_DT IS NULL").isEmpty()
-    assert rows(read_fact(spark, f"{tmp_path}/out/sales_inv_store_wk", MART_COLUMNS)) == rows(mart)
-
-
 def test_csv_text_fields(spark, tmp_path):
     text = 'h\n1,"a, b",1,1,\\N,0,x\n2,a\\,b,1,1,z,0,x\n3,,1,1,"",0,x\n'
     path = put(tmp_path / "p.csv", text)
@@ -128,6 +103,14 @@ def test_raw_load(spark, tmp_path):
     spark.catalog.setCurrentDatabase("default")
 
 
+def test_raw_integers_are_wide(spark, tmp_path):
+    text = "h\n3000000000,1,5000000000,2022-01-03,1,1,1,1,0,1,1,1\n"
+    loaded = load_raw(spark, {"sales": put(tmp_path / "w.csv", text)}, "raw_w", f"{tmp_path}/db")
+    row = loaded["sales"].first()
+    spark.catalog.setCurrentDatabase("default")
+    assert (row.TRANS_ID, row.STORE_KEY) == (3_000_000_000, 5_000_000_000)
+
+
 @pytest.mark.parametrize(
     "table,text",
     [
@@ -250,14 +233,41 @@ def test_job_with_metrics(spark, inputs, tmp_path):
     assert fact.count() == 6
 
 
-def test_job_parameters(spark, mart, inputs, tmp_path, monkeypatch):
+def test_job_parameters(spark, mart, inputs, tmp_path):
     assert as_mapping('{"a": true}') == as_mapping("{'a': True}") == as_mapping({"a": True})
     text = (
         f'{{"name": "n", "input_path": "{inputs}", "output_path": "{tmp_path}/o",'
         ' "partition_column": "STORE_KEY"}'
     )
-    main(text)
-    assert rows(read_fact(spark, f"{tmp_path}/o/sales_inv_store_wk", MART_COLUMNS)) == rows(mart)
+    run_command("mart", text)
+    path = f"{tmp_path}/o/sales_inv_store_wk"
+    assert rows(read_fact(spark, path, MART_COLUMNS)) == rows(mart)
+    assert "NO_STOCK_IMPACT" not in spark.read.parquet(path).columns
+    run_command("mart", text[:-1] + ', "metrics": true, "partition_overwrite": "dynamic"}')
+    assert read_fact(spark, path, MART_COLUMNS + METRIC_COLUMNS).count() == 6
+
+
+def test_commands_from_load_to_mart(spark, tmp_path):
+    from stockweek.sources.schemas import RAW_SCHEMAS
+
+    frames = {"sales": golden.sales(spark), "inventory": golden.inventory(spark), "calendar": golden.calendar(spark)}
+    for table in ("store", "product"):
+        frames[table] = spark.createDataFrame([(1, *[None] * (len(RAW_SCHEMAS[table]) - 1))], RAW_SCHEMAS[table])
+    for name, df in frames.items():
+        df.write.csv(f"{tmp_path}/in/{name}", header=True)
+    staged = {name: f"{tmp_path}/in/{name}" for name in frames}
+    base = {"name": "n", "database": "raw_c", "location": f"{tmp_path}/db"}
+    loaded = run_command("load", {**base, "staged": staged})
+    spark.catalog.setCurrentDatabase("default")
+    assert "sales: 9 rows loaded" in loaded
+    day = {"name": "n", "location": f"{tmp_path}/day", "day": "2022-01-09"}
+    report = run_command("export", {**base, **day, "as_of": "2022-01-08"})
+    assert "sales: 7 rows unloaded" in report
+    run = {**day, "output_path": f"{tmp_path}/out", "partition_column": "STORE_KEY", "metrics": True}
+    assert run_command("run-if-ready", run) == [f"written to {tmp_path}/out"]
+    assert spark.read.parquet(f"{tmp_path}/out/sales_inv_store_wk").count() == 6
+    with pytest.raises(SystemExit, match="missing: calendar, inventory"):
+        run_command("run-if-ready", {**run, "day": "2022-01-10"})
 
 
 def test_serving_tables(spark, mart, inputs, tmp_path):
@@ -270,3 +280,8 @@ def test_serving_tables(spark, mart, inputs, tmp_path):
     assert "PartitionFilters: [isnotnull(STORE_KEY" in one._jdf.queryExecution().toString()
     assert spark.table("serving.store").first().STORE_DESC == "s"
     assert spark.table("serving.calendar").count() == 7
+    run_weekly_mart(spark, inputs, f"{tmp_path}/wide", "STORE_KEY", metrics=True)
+    register_output(spark, f"{tmp_path}/wide", "STORE_KEY", "serving", f"{tmp_path}/db")
+    spark.catalog.setCurrentDatabase("default")
+    served = spark.sql("SELECT NO_STOCK_IMPACT FROM serving.sales_inv_store_wk WHERE STORE_KEY = 5")
+    assert served.collect() == [(24.0,)]

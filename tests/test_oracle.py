@@ -4,8 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from stockweek.testbed.compare import compare, connect
+from stockweek.testbed.queries import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,9 +16,9 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
-    found = compare(queries()[name](spark, SF_DIR), con, oracle_sql()[name])
+    found = compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name])
     assert found.same, found.detail
 
 

@@ -25,7 +25,7 @@ from stockweek.session import scratch_dir
 from stockweek.sinks import files
 from stockweek.sinks.files import write_snapshot
 from stockweek.sources.csv import read_csv
-from stockweek.sources.listing import list_files
+from stockweek.sources.listing import list_committed, list_files
 from stockweek.sources.schemas import JOB_SCHEMAS
 
 DAY = "2022-12-04"
@@ -185,6 +185,53 @@ def test_only_files_at_the_location_count(spark, tables, tmp_path):
     assert len(rows(check_snapshots(spark, base, DAY).missing)) == 5
     for name in NAMES:
         (tmp_path / "stage" / f"{name}_{DAY}.csv").write_text("header\n")
+    (tmp_path / "stage" / f"sales_{DAY}x.csv").mkdir()
     status = check_snapshots(spark, base, DAY)
     assert status.ready
     assert rows(status.manifest)[0] == ("calendar", f"{base}/calendar_{DAY}.csv")
+
+
+def test_a_folder_counts_once_its_write_is_committed(spark, tables, tmp_path):
+    export_snapshots(spark, tables, str(tmp_path), "2022-01-08", day=DAY)
+    assert check_snapshots(spark, str(tmp_path), DAY).ready
+    for name in ("sales", "store"):
+        folder = tmp_path / f"{name}_2022-12-05.csv"
+        folder.mkdir()
+        (folder / "part-0.csv").write_text("h\n")
+    half = check_snapshots(spark, str(tmp_path), "2022-12-05")
+    assert rows(half.missing) == [(n,) for n in NAMES]
+    (tmp_path / "sales_2022-12-05.csv" / "_SUCCESS").write_text("")
+    half = check_snapshots(spark, str(tmp_path), "2022-12-05")
+    assert rows(half.missing) == [(n,) for n in NAMES if n != "sales"]
+
+
+def test_only_the_day_is_listed(spark, tables, tmp_path):
+    for day in ("2022-12-01", "2022-12-02", DAY):
+        export_snapshots(spark, tables, str(tmp_path), "2022-01-08", day=day)
+    listed = [r.path for r in list_committed(spark, str(tmp_path), DAY).collect()]
+    assert len(listed) == 5 and all(p.endswith(f"_{DAY}.csv") for p in listed)
+
+
+def test_scratch_needs_a_shared_folder_beyond_one_process(spark):
+    class Other:
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_dir(Other, "x")
+
+
+def test_clean_up_removes_what_runs_left(spark):
+    from stockweek import session
+
+    path, name = scratch_dir(spark, "gone"), session.scratch_database("gone")
+    spark.range(3).write.parquet(path)
+    spark.sql(f"CREATE DATABASE {name}")
+    kept, session._folders[:] = session._folders[:-1], session._folders[-1:]
+    session.clean_up(spark)
+    session._folders[:] = kept
+    assert not glob.glob(path) and not spark.catalog.databaseExists(name)
