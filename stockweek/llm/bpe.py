@@ -26,7 +26,7 @@ from stockweek.llm.columns import TextWork, as_bytes, map_texts
 MAX_VOCABULARY_BYTES = 16 << 20
 
 # A task remembers so many different pre-tokens, then starts afresh.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 
 
 def read_ranks(path: str) -> list[bytes]:

@@ -61,9 +61,9 @@ def map_texts(
 
     ``make`` runs once per task; what it returns gets the texts of a batch, nulls
     included, as large binary, and returns one array per field. A field replaces a
-    kept column of the same name; other columns are not read, so theirs can't clash. ``kind`` is the type that the text
-    column is read as, string or binary. With ``beside``, the work gets a batch
-    of those columns and the text, the text last.
+    kept column of the same name; other columns are not read, so theirs can't clash.
+    ``kind`` is the type that the text column is read as, string or binary. With
+    ``beside``, the work gets a batch of those columns and the text, the text last.
     """
     added = T.StructType.fromDDL(fields).fields
     keep = without(keep, [f.name for f in added])
@@ -75,6 +75,8 @@ def map_texts(
     at = columns.index(text) if once else len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Arrow's own pool would keep what batches leave; the system's gives it back.
+        pa.set_memory_pool(pa.system_memory_pool())
         work = make()
         for batch in batches:
             given = batch.column(at).cast(pa.large_binary())
