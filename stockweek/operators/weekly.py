@@ -141,6 +141,7 @@ def weekly_mart(
     joined = match_days(
         sales_day.join(F.broadcast(week), "CAL_DT"),
         stock_day.join(F.broadcast(week), "CAL_DT"),
+        stock_day,
         by_week=True,
     )
     days = joined.select(*fact_columns())

@@ -608,8 +608,9 @@ def q_half_written_snapshot(spark, sf_dir):
 def q_readiness_verdict(spark, sf_dir):
     base = _incomplete_day(spark, sf_dir)
     present = snapshot_files(list_committed(spark, base, AS_OF))
+    verdict = all_present(required_snapshots(spark, base, AS_OF), present).first()["READY"]
     rows = _rows_of(spark, present).agg(F.sum("N_ROWS").alias("N_ROWS"))
-    return all_present(required_snapshots(spark, base, AS_OF), present).crossJoin(rows)
+    return rows.select(F.lit(verdict).alias("READY"), "N_ROWS")
 
 
 @_register(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from stockweek.functions import sizes
 from stockweek.functions.measures import total
 from stockweek.functions.nulls import fill_nulls
+from stockweek.operators import daily as daily_module
 from stockweek.operators import weekly as weekly_module
 from stockweek.operators.daily import (
     daily_inventory,
@@ -52,8 +53,16 @@ def test_daily_fact(example):
     assert stock_only[3:9] == (0,) * 6 and stock_only[11:] == (True, False, False)
 
 
+@pytest.fixture(params=["no hot keys", "hot keys"])
+def hot(request, monkeypatch):
+    """Whether keys of a few rows count as hot."""
+    if request.param == "hot keys":
+        monkeypatch.setattr(daily_module, "HOT_HITS", 2)
+        monkeypatch.setattr(daily_module, "HOT_SAMPLE", 1.0)
+
+
 @pytest.mark.parametrize("stepwise", [True, False])
-def test_weekly_mart(example, stepwise):
+def test_weekly_mart(example, stepwise, hot):
     sales, inventory, calendar = example
     if stepwise:
         mart = sales_inv_store_wk(day_fact(sales, inventory), calendar, metrics=True)
@@ -160,7 +169,7 @@ def brute_force(sales, stock, calendar):
 
 @pytest.mark.parametrize("seed,double_dates", [(1, False), (2, True)])
 @pytest.mark.parametrize("how", ["fused", "stepwise", "shuffled"])
-def test_against_brute_force(spark, monkeypatch, seed, double_dates, how):
+def test_against_brute_force(spark, monkeypatch, seed, double_dates, how, hot):
     sales, stock, calendar = (fill_nulls(t) for t in random_tables(spark, seed, double_dates))
     if how == "shuffled":
         monkeypatch.setattr(sizes, "BROADCAST_ROWS", 3)
@@ -203,7 +212,7 @@ def test_weekly_falls_back_with_weeks_that_are_none(spark, monkeypatch):
     assert got == {key: pytest.approx(row[2], rel=1e-12, abs=1e-9) for key, row in want.items()}
 
 
-def test_sales_of_days_without_stock_stay(example):
+def test_sales_of_days_without_stock_stay(example, hot):
     sales, inventory, _ = example
     fact = day_fact(sales, inventory.filter("STORE_KEY <> 3"))
     assert fact.filter("STORE_KEY = 3").select("SALES_QTY").collect() == [(5.0,)]
@@ -221,7 +230,20 @@ def test_no_digit_is_dropped(spark):
     assert added(float("inf"), 1.0) == float("inf")
 
 
-def test_invariants(spark):
+def test_hot_keys_are_those_with_a_share(spark, monkeypatch):
+    _, stock, _ = (fill_nulls(t) for t in random_tables(spark, 4, False))
+    assert daily_module._hot_days(stock) is None
+    monkeypatch.setattr(daily_module, "HOT_HITS", 2)
+    monkeypatch.setattr(daily_module, "HOT_SAMPLE", 1.0)
+    monkeypatch.setattr(daily_module, "HOT_SHARE", 4)
+    found = daily_module._hot_days(stock).collect()
+    assert [tuple(r) for r in found] == [(START + timedelta(5), 1, 1, 2)]
+    monkeypatch.setattr(daily_module, "HOT_SHARE", 10_000)
+    many = daily_module._hot_days(stock)
+    assert many.filter("CAL_DT IS NULL").count() > 0 and many.count() > 5
+
+
+def test_invariants(spark, hot):
     sales, stock, calendar = (fill_nulls(t) for t in random_tables(spark, 5, False))
     fact = day_fact(sales, stock).join(calendar.select("CAL_DT"), "CAL_DT")
     mart = weekly_mart(sales, stock, calendar)
