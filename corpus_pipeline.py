@@ -59,17 +59,18 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     rows, names = own_names(docs)
     found = find_contamination(rows, items, names["text"], tuple(names.values()))
-    return _with_text(cut_spans(found, names["text"], "hit_spans", tuple(names.values())), names, "cut_text")
+    cut = cut_spans(found, names["text"], "hit_spans", tuple(names.values()))
+    return _with_text(cut, names, "cut_text")
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's token ids, with the digest of what they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     bpe = ByteBpe(docs, path, public_tokenizers.PATTERN)
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), keep=("doc_id", "lang", "source"))
-    kept = ("doc_id", "lang", "source", "n_tokens", "token_bytes")
-    text = bpe.decode(ids, keep=kept)
-    return text.select(*kept, F.sha2("decoded", 256).alias("decoded_sha256"))
+    kept = ("doc_id", "lang", "source")
+    found = bpe.round_trip(docs, keep=kept)
+    digest = F.sha2("decoded", 256).alias("decoded_sha256")
+    return found.select(*kept, "n_tokens", "token_bytes", digest)
 
 
 STAGES: list[tuple[str, Stage]] = [

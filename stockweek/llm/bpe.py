@@ -153,6 +153,16 @@ def _decode_work(tokens) -> TextWork:
     return work
 
 
+def _round_trip_work(tokens, pattern: str) -> TextWork:
+    encode, decode = _encode_work(tokens, pattern), _decode_work(tokens)
+
+    def work(texts: pa.Array) -> list[pa.Array]:
+        count, ids = encode(texts)
+        return [count, ids, *decode(ids)]
+
+    return work
+
+
 class ByteBpe:
     """A byte-level vocabulary, sent to the executors once and used for both directions."""
 
@@ -169,6 +179,14 @@ class ByteBpe:
         make = partial(_encode_work, self._tokens, self._pattern)
         return map_texts(df, text, keep, "n_tokens bigint, token_bytes binary", make)
 
+    def round_trip(
+        self, df: DataFrame, text: str = "text", keep: tuple[str, ...] = ()
+    ) -> DataFrame:
+        """What ``encode`` gives, and ``decoded``: what ``decode`` makes of those ids, in one pass."""
+        make = partial(_round_trip_work, self._tokens, self._pattern)
+        fields = "n_tokens bigint, token_bytes binary, decoded binary"
+        return map_texts(df, text, keep, fields, make)
+
     def decode(
         self, df: DataFrame, ids: str = "token_bytes", keep: tuple[str, ...] = ()
     ) -> DataFrame:

@@ -50,12 +50,12 @@ def _remainder(n: int) -> Column:
 def op6_byte_bpe(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    bpe = ByteBpe(docs, path, public_tokenizers.PATTERN)
-    ids = bpe.encode(docs, keep=["doc_id"])
-    ids = ids.withColumn("ids_sha256", F.sha2("token_bytes", 256))
-    text = bpe.decode(ids, keep=["doc_id", "n_tokens", "ids_sha256"])
-    return text.select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    found = ByteBpe(docs, path, public_tokenizers.PATTERN).round_trip(docs, keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("token_bytes", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

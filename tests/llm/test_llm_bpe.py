@@ -60,6 +60,8 @@ def test_round_trip_of_odd_documents(spark, reference):
     )
     rows = found.collect()
     assert len(rows) == len(odd.texts())
+    once = model.round_trip(docs, keep=("text", "decoded"))
+    assert sorted(map(str, once.select(found.columns).collect())) == sorted(map(str, rows))
     for row in rows:
         text = row["text"] or ""
         assert bytes(row["decoded"]).decode() == text
