@@ -10,6 +10,7 @@ begin with the one before it gives away a template that rewrites history.
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Callable, Iterator
 from functools import partial
 from typing import NamedTuple
@@ -24,10 +25,18 @@ Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
 # Prefixes are rendered whole up to so many turns; after that, the first turn and
-# the latest ones stand for the prefix. So a conversation of any length needs
-# bounded memory, and time in proportion; rewriting is seen that far back.
+# the latest ones stand for the prefix, so that time stays in proportion. Pieces
+# made that way count once they agree with the whole conversation.
 CONTEXT = 64
 
+# Characters of a conversation that are held to compare it as a whole. A longer one
+# is an error, unless the template is marked ``turn_by_turn``: it renders each turn
+# on its own, so that a short prefix gives what the whole one gives.
+HELD = 1 << 26
+
+# Rows leave in batches of about so many characters, and of so many rows at most.
+_OUT_CHARS, _OUT_ROWS = 4 << 20, 10_000
+
 # The control strings of the template.
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -57,6 +66,9 @@ def marked_turns(turns: list[Turn]) -> str:
     return "".join(f"{START}{_escape_role(r)}\n{escape(t)}{END}\n" for r, t in turns)
 
 
+marked_turns.turn_by_turn = True
+
+
 _TURN = re.compile(
     re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(END) + "\n", re.DOTALL
 )
@@ -94,28 +106,130 @@ def _text_span(piece: str, marked: str) -> tuple[int, int] | None:
     return (len(head), len(piece) - len(tail)) if fits else None
 
 
+def _added(
+    template: Template, prefix: list[Turn], output: str, turn: Turn
+) -> tuple[Piece, str | None, str]:
+    """What a turn adds to a prefix and its output, that with the text marked, the new output."""
+    longer = template([*prefix, turn])
+    marked = template([*prefix, (turn[0], _MARK)])
+    before = output if prefix else ""
+    restart = not longer.startswith(before)
+    at = 0 if restart else len(before)
+    same = marked[:at] == longer[:at]
+    start, end = (same and _text_span(longer[at:], marked[at:])) or (None, None)
+    return Piece(longer[at:], start, end, restart), marked[at:] if same else None, longer
+
+
 class IncrementalRenderer:
-    """Renders a conversation turn by turn through a template it knows nothing of."""
+    """Renders a conversation turn by turn through a template it knows nothing of.
+
+    ``add`` gives a turn's piece. From ``context`` turns on it may come from a short
+    prefix, and is never a restart then; ``take`` gives the pieces that hold. It
+    renders all turns whenever their number has doubled, and at the end, and
+    compares text and spans. Where they differ, and for a template that was seen to
+    rewrite or to tell a short prefix from the whole, each piece comes from the
+    whole prefix, which takes time with the square of the turns.
+    """
 
     def __init__(self, template: Template, context: int = CONTEXT):
         self._template, self._context = template, context
         self._turns: list[Turn] = []
-        self._output = template([])
+        self._held, self._check = 0, 2 * context
+        # The output of the turns whose pieces hold, and their number.
+        self._output, self._done = "", 0
+        self._ready: list[Piece] = []
+        self._open: list[tuple[Piece, str]] = []
+        self._last: tuple[Piece, str | None] | None = None
+        self._near: list[Turn] = []
+        self._near_output = ""
+        self._whole_only = self._unchecked = False
 
     def add(self, turn: Turn) -> Piece:
-        if len(self._turns) >= self._context:
-            self._turns = [self._turns[0], *self._turns[-(self._context // 2) :]]
-            self._output = self._template(self._turns)
-        longer = self._template([*self._turns, turn])
-        marked = self._template([*self._turns, (turn[0], _MARK)])
-        before = "" if not self._turns else self._output
-        restart = not longer.startswith(before)
-        at = 0 if restart else len(before)
-        span = _text_span(longer[at:], marked[at:]) if marked[:at] == longer[:at] else None
+        if self._unchecked:
+            return self._add_short(turn)
+        if len(self._turns) >= self._context and self._too_long(turn):
+            self._ready += [piece for piece, _ in self._open]
+            self._open, self._output, self._unchecked = [], "", True
+            self._near = self._near or self._turns
+            self._turns = []
+            return self._add_short(turn)
+        self._held += len(turn[0]) + len(turn[1])
+        if len(self._turns) >= self._context and not self._whole_only:
+            piece = self._add_short(turn)
+            if piece:
+                return piece
+            self._redo()
+        return self._add_whole(turn)
+
+    def take(self, end: bool = False) -> list[Piece]:
+        """The next pieces that hold; at the end, all that are left."""
+        if self._open and (end or len(self._turns) >= self._check):
+            self._compare()
+        ready, self._ready = self._ready, []
+        return ready
+
+    def _too_long(self, turn: Turn) -> bool:
+        if self._held + len(turn[0]) + len(turn[1]) <= HELD:
+            return False
+        if not getattr(self._template, "turn_by_turn", False):
+            raise ValueError(f"a conversation of more than {HELD} characters can't be compared whole")
+        return True
+
+    def _add_whole(self, turn: Turn) -> Piece:
+        piece, marked, self._output = _added(self._template, self._turns, self._output, turn)
         self._turns.append(turn)
-        self._output = longer
-        start, end = span or (None, None)
-        return Piece(longer[at:], start, end, restart)
+        self._done = len(self._turns)
+        self._ready.append(piece)
+        self._last = piece, marked
+        self._whole_only |= piece.restart
+        return piece
+
+    def _add_short(self, turn: Turn) -> Piece | None:
+        """The piece after a short prefix; None where that can't stand for the whole one."""
+        if not self._near or len(self._near) >= self._context:
+            known = self._near or self._turns
+            *before, last = [known[0], *known[-(self._context // 2) :]]
+            # A turn rendered before must come out the same.
+            *again, output = _added(self._template, before, self._template(before), last)
+            if tuple(again) != self._last:
+                return self._no_short()
+            self._near, self._near_output = [*before, last], output
+        piece, marked, output = _added(self._template, self._near, self._near_output, turn)
+        if piece.restart or marked is None:
+            return self._no_short()
+        self._near.append(turn)
+        self._near_output = output
+        self._last = piece, marked
+        if self._unchecked:
+            self._ready.append(piece)
+        else:
+            self._turns.append(turn)
+            self._open.append((piece, marked))
+        return piece
+
+    def _no_short(self) -> None:
+        if self._unchecked:
+            raise ValueError("a template marked turn_by_turn rendered a turn by its place")
+
+    def _compare(self) -> None:
+        """Accept the open pieces if the whole conversation has the same, or make them anew."""
+        first, later = self._turns[: self._done], self._turns[self._done :]
+        whole = self._template(self._turns)
+        if whole == "".join([self._output, *(piece.text for piece, _ in self._open)]):
+            marks = self._template([*first, *((role, _MARK) for role, _ in later)])
+            if marks == "".join([self._output, *(marked for _, marked in self._open)]):
+                self._ready += [piece for piece, _ in self._open]
+                self._open, self._output, self._done = [], whole, len(self._turns)
+                self._check = 2 * self._done
+                return
+        self._redo()
+
+    def _redo(self) -> None:
+        self._whole_only = True
+        later, self._turns = self._turns[self._done :], self._turns[: self._done]
+        self._open = []
+        for turn in later:
+            self._add_whole(turn)
 
 
 FIELDS = (
@@ -124,23 +238,44 @@ FIELDS = (
 )
 
 
-def _render(template: Template, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rows(template: Template, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Rows sorted by conversation and turn; a conversation may go on over many batches."""
-    current, renderer, seq = object(), None, 0
+    current, renderer, seq, roles = object(), None, 0, deque()
     for batch in batches:
-        rows = []
         for conv, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if conv != current:
+                for piece in renderer.take(end=True) if renderer else ():
+                    yield current, seq, roles.popleft(), *piece
+                    seq += 1
                 current, renderer, seq = conv, IncrementalRenderer(template), 0
-            piece = renderer.add((role, text))
-            rows.append((conv, seq, role, *piece))
-            seq += 1
-        columns = list(zip(*rows, strict=True)) or [()] * 7
-        long, string = pa.int64(), pa.string()
-        types = (long, long, string, string, long, long, pa.bool_())
-        names = ("conv_id", "seq", "role", "piece", "text_start", "text_end", "restart")
-        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-        yield pa.RecordBatch.from_arrays(arrays, names=names)
+            roles.append(role)
+            renderer.add((role, text))
+            for piece in renderer.take():
+                yield current, seq, roles.popleft(), *piece
+                seq += 1
+    for piece in renderer.take(end=True) if renderer else ():
+        yield current, seq, roles.popleft(), *piece
+        seq += 1
+
+
+def _render(template: Template, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows, chars = [], 0
+    for row in _rows(template, batches):
+        rows.append(row)
+        chars += len(row[3])
+        if chars >= _OUT_CHARS or len(rows) >= _OUT_ROWS:
+            yield _batch(rows)
+            rows, chars = [], 0
+    yield _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * 7
+    long, string = pa.int64(), pa.string()
+    types = (long, long, string, string, long, long, pa.bool_())
+    names = ("conv_id", "seq", "role", "piece", "text_start", "text_end", "restart")
+    arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
 def format_conversations(
@@ -154,7 +289,8 @@ def format_conversations(
     """One row per turn: its conversation, place, role, rendered piece and the span of its text.
 
     The pieces of a conversation in order of ``seq`` are its formatted text; a row
-    with ``restart`` starts it anew. Turns are ordered by number (nulls first),
+    with ``restart`` starts it anew. That is so for conversations of any length; one of
+    more than ``HELD`` characters is an error unless the template is ``turn_by_turn``. Turns are ordered by number (nulls first),
     then role, then text, so ties and repeated rows have one order; repeated rows
     stay. A null role or text is empty. Rows without a conversation id are one
     conversation. Rows leave partitioned and sorted by conversation.
