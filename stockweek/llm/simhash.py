@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.llm.columns import TextWork, as_bytes, col, free_name, map_texts
+from stockweek.llm.columns import TextWork, as_bytes, col, free_name, map_texts, own_names
 from stockweek.llm.components import component_labels
 from stockweek.llm.perfect_hash import mix
 from stockweek.session import scratch_dir
@@ -235,6 +235,16 @@ def near_duplicates(
     never the smallest unless a group has no other. An empty table gives an
     empty result.
     """
+    found = _grouped(df, text, doc_id, width, bits)
+    return found.select(F.col("doc_id").alias(doc_id), "fingerprint", "component_id")
+
+
+def _grouped(df: DataFrame, text: str, doc_id: str, width: int = 4, bits: int = 4) -> DataFrame:
+    """``doc_id``, ``fingerprint``, ``component_id`` of every row, and whether it is ``first``.
+
+    First are the rows with the smallest id of the component, nulls last, and among
+    these the ones with the smallest fingerprint; several rows if they repeat.
+    """
     spark = df.sparkSession
     scratch = scratch_dir(spark, "simhash")
     source = df.select(col(doc_id).cast("bigint").alias("doc_id"), col(text).alias("text"))
@@ -247,31 +257,78 @@ def near_duplicates(
     labels = component_labels(links, f"{scratch}/graph")
     labels.join(classes, "node").write.parquet(f"{scratch}/labelled")
     labelled = spark.read.parquet(f"{scratch}/labelled")
-    least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    linked = labelled.join(least, "label").select("fingerprint", "component_id")
+    order = F.struct(F.col("least").isNull().alias("none"), "least", "fingerprint")
+    least = labelled.groupBy("label").agg(F.min(order).alias("of"))
+    linked = labelled.join(least, "label").select(
+        "fingerprint",
+        F.col("of.least").alias("component_id"),
+        (F.col("of.fingerprint") == F.col("fingerprint")).alias("leads"),
+    )
+    # A class without a link is a component of its own.
     named = classes.join(linked, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("component_id", "least").alias("component_id")
+        "fingerprint",
+        F.coalesce("component_id", "least").alias("component_id"),
+        F.coalesce("leads", F.lit(True)).alias("leads"),
     )
+    first = F.col("leads") & F.col("doc_id").eqNullSafe(F.col("component_id"))
     return prints.join(named, "fingerprint").select(
-        F.col("doc_id").alias(doc_id), "fingerprint", "component_id"
+        "doc_id", "fingerprint", "component_id", first.alias("first")
     )
 
 
-def drop_near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **options):
-    """The rows of ``df`` whose id is the smallest of its group; all columns stay.
+def drop_near_duplicates(
+    df: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    width: int = 4,
+    bits: int = 4,
+) -> DataFrame:
+    """One row of ``df`` per group: that with the smallest id; all columns stay.
 
-    Rows without an id go when their group has a document with one.
+    Rows without an id go when their group has a document with one. Rows of the
+    smallest id that are near copies of one another count as one: that with the
+    smallest fingerprint stays, then that with the smallest text, a null as an empty one.
     """
-    groups = near_duplicates(df, text, doc_id, **options)
-    scratch = scratch_dir(df.sparkSession, "copies")
+    spark = df.sparkSession
+    groups = _grouped(df, text, doc_id, width, bits)
+    scratch = scratch_dir(spark, "copies")
+    # An id of a single row tells that row; of others, and of rows without, the text must.
+    alike = groups.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("first").alias("first"))
+    unclear = F.col("doc_id").isNull() | (F.col("n") > 1)
+    listed = alike.filter(unclear | ~F.col("first"))
+    listed.select("doc_id", unclear.alias("unclear")).write.parquet(f"{scratch}/copies")
+    listed = spark.read.parquet(f"{scratch}/copies")
     name = free_name(df.columns, "copy")
-    copies = groups.filter(F.col("component_id") != F.col(f"`{doc_id}`"))
-    copies.select(col(doc_id).alias(name)).distinct().write.parquet(f"{scratch}/copies")
-    copies = df.sparkSession.read.parquet(f"{scratch}/copies")
-    if 16 * copies.count() <= BROADCAST_BYTES:
-        copies = F.broadcast(copies)
-    return df.join(copies, col(doc_id).cast("bigint") == F.col(name), "left_anti")
+    ids = listed.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias(name), "unclear")
+    own = col(doc_id).cast("bigint")
+    known = own.isNotNull()
+    kept = df.filter(known).join(_sent(ids.select(name)), own == F.col(name), "left_anti")
+    unclear_ids = ids.filter("unclear").select(name)
+    open_rows = []
+    if not unclear_ids.isEmpty():
+        open_rows.append(df.join(_sent(unclear_ids), own == F.col(name), "left_semi"))
+    if not listed.filter("doc_id IS NULL").isEmpty():
+        open_rows.append(df.filter(~known))
+    if not open_rows:
+        return kept
+    rows, names = own_names(open_rows[0] if len(open_rows) == 1 else open_rows[0].union(open_rows[1]))
+    rows = fingerprints(rows, names[text], tuple(names.values()), width)
+    rows = rows.withColumn("id", F.col(names[doc_id]).cast("bigint"))
+    first = groups.filter("first").select(
+        F.col("doc_id").alias("first_id"), F.col("fingerprint").alias("first_print")
+    )
+    same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("fingerprint") == F.col("first_print"))
+    rows = rows.join(first.distinct(), same, "left_semi")
+    # Combined before the shuffle, so that a row repeated often costs one per task.
+    whole, order = F.struct(*names.values()), F.coalesce(F.col(names[text]).cast("string"), F.lit(""))
+    one = rows.groupBy("id", "fingerprint").agg(F.min_by(whole, order).alias("row"))
+    return kept.union(one.select(*(F.col(f"row.{own}").alias(n) for n, own in names.items())))
+
+
+def _sent(ids: DataFrame) -> DataFrame:
+    """The ids, to be broadcast if they are measured to be few."""
+    return F.broadcast(ids) if 16 * ids.count() <= BROADCAST_BYTES else ids
 
 
-# The largest list of copies that is sent to every executor, in bytes.
+# The largest list of ids that is sent to every executor, in bytes.
 BROADCAST_BYTES = 32 << 20

@@ -143,3 +143,39 @@ def test_one_document_of_each_group_stays(spark):
     kept = drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [1, 3, 4]
+
+
+@pytest.mark.parametrize("broadcast", [0, 32 << 20])
+def test_one_row_of_each_group_stays(spark, monkeypatch, broadcast):
+    """Every row counts: ids that are null or repeat, and repeated rows."""
+    monkeypatch.setattr(simhash, "BROADCAST_BYTES", broadcast)
+    copied, clean, other = " ".join(odd.WORDS), "a clean text of its own, held once", "all else"
+    rows = [
+        (1, copied), (2, copied), (2, clean), (None, copied),  # id 2 repeats, one of them a copy
+        (3, other), (3, other), (3, other.upper()), (None, None), (None, ""),
+        (7, "a row that is there twice over"), (7, "a row that is there twice over"),
+        (7, "and once with a text unlike it"), (8, "and once with a text unlike it"), (9, "single"),
+    ]
+    docs = odd.documents(spark, rows)
+    kept = drop_near_duplicates(docs.repartition(3))
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"] or "") for r in kept.collect()), key=str)
+    want = [
+        (1, copied), (2, clean), (3, other.upper()), (None, ""), (9, "single"),
+        (7, "a row that is there twice over"), (7, "and once with a text unlike it"),
+    ]
+    assert got == sorted(want, key=str)
+
+
+def test_rows_of_odd_documents_that_stay(spark):
+    rows = odd.texts()
+    prints = [brute_fingerprint(t) for _, t in rows]
+    group = brute_groups(prints, 4)
+    best = {}
+    for (i, t), p, g in zip(rows, prints, group, strict=True):
+        key = (i is None, i or 0, p - (1 << 64) if p >> 63 else p, (t or "").encode())
+        best[g] = min(best.get(g, key), key)
+    got = drop_near_duplicates(odd.documents(spark)).collect()
+    found = [(r["doc_id"], (r["text"] or "").encode()) for r in got]
+    want = [(None if none else i, t) for none, i, _, t in best.values()]
+    assert sorted(found, key=str) == sorted(want, key=str)
