@@ -37,6 +37,9 @@ BUCKET = 256
 # member, which skips the pairs within a dense group.
 SMALL_BUCKET = 64
 
+# Larger buckets than two chunks are cut into chunks of so many, and a task gets two.
+CHUNK = 1 << 15
+
 _VOTE_ROWS = 1 << 15
 
 
@@ -184,8 +187,9 @@ def _links(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             rows = rest if rows is None else [np.concatenate(p) for p in zip(rest, rows, strict=True)]
         if rows is None:
             return
-        table, key, prints, node = rows
-        new = np.flatnonzero((table[1:] != table[:-1]) | (key[1:] != key[:-1])) + 1
+        *place, prints, node = rows
+        key = place[0]
+        new = np.flatnonzero(np.any([p[1:] != p[:-1] for p in place], axis=0)) + 1
         cut = len(key) if batch is None else int(new[-1]) if len(new) else 0
         rest = [column[cut:] for column in rows]
         bucket = np.zeros(len(key), np.int64)
@@ -211,14 +215,39 @@ def near_links(classes: DataFrame, bits: int, count: int) -> DataFrame:
         for i, m in enumerate(_blocks(count, bits))
     ]
     buckets = classes.select(F.explode(F.array(*masks)).alias("at"), "fingerprint", "node")
+    buckets = buckets.select("at.t", "at.k", "fingerprint", "node")
     return (
-        buckets.select("at.t", "at.k", "fingerprint", "node")
-        .repartition("t", "k")
-        .sortWithinPartitions("t", "k")
+        _dealt(buckets)
+        .repartition("t", "k", "pair")
+        .sortWithinPartitions("t", "k", "pair")
         .mapInArrow(partial(_links, bits), "a bigint, b bigint")
     )
 
 
+def _dealt(buckets: DataFrame) -> DataFrame:
+    """``t``, ``k``, ``pair``, ``fingerprint``, ``node``: what is compared in one place.
+
+    A bucket of more than two chunks is cut by a hash of the node, and each chunk
+    goes to a pair with each other one, so that every two members meet.
+    """
+    spark = buckets.sparkSession
+    path = f"{scratch_dir(spark, 'buckets')}/large"
+    sizes = buckets.groupBy("t", "k").agg(F.count("*").alias("n")).filter(F.col("n") > 2 * CHUNK)
+    sizes.write.parquet(path)
+    sizes = spark.read.parquet(path).select("t", "k", F.ceil(F.col("n") / CHUNK).alias("chunks"))
+    large = sizes.count()
+    if not large:
+        return buckets.select("t", "k", F.lit(0).cast("bigint").alias("pair"), "fingerprint", "node")
+    sizes = F.broadcast(sizes) if 24 * large <= BROADCAST_BYTES else sizes
+    own, chunks = F.pmod(F.xxhash64("node"), F.col("chunks")), F.col("chunks")
+    others = F.filter(F.sequence(F.lit(0).cast("bigint"), chunks - 1), lambda c: c != F.col("own"))
+    pairs = F.transform(others, lambda c: F.least(c, "own") * chunks + F.greatest(c, "own"))
+    whole = F.array(F.lit(0).cast("bigint"))
+    pairs = F.when(chunks.isNull(), whole).otherwise(pairs)
+    cut = buckets.join(sizes, ["t", "k"], "left").withColumn("own", own)
+    return cut.select("t", "k", F.explode(pairs).alias("pair"), "fingerprint", "node")
+
+
 def near_duplicates(
     df: DataFrame,
     text: str = "text",

@@ -179,3 +179,30 @@ def test_rows_of_odd_documents_that_stay(spark):
     found = [(r["doc_id"], (r["text"] or "").encode()) for r in got]
     want = [(None if none else i, t) for none, i, _, t in best.values()]
     assert sorted(found, key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("broadcast", [0, 32 << 20])
+def test_a_large_bucket_is_cut_and_loses_no_link(spark, tmp_path, monkeypatch, broadcast):
+    """One group that shares most of its bits: its buckets hold nearly all members."""
+    monkeypatch.setattr(simhash, "CHUNK", 30)
+    monkeypatch.setattr(simhash, "SMALL_BUCKET", 16)
+    monkeypatch.setattr(simhash, "BROADCAST_BYTES", broadcast)
+    rng = random.Random(6)
+    base = rng.getrandbits(64)
+    prints = {base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 6))) for _ in range(300)}
+    prints = sorted(prints | set(crowd(60, 8)))
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    classes = spark.createDataFrame([(p, p) for p in signed], "fingerprint bigint, node bigint")
+    compared = []
+    deal = simhash._dealt
+    monkeypatch.setattr(simhash, "_dealt", lambda b: compared.append((b, deal(b))) or compared[-1][1])
+    links = simhash.near_links(classes, 4, 300)
+    (before, after), = compared
+    largest = max(r["count"] for r in before.groupBy("t", "k").count().collect())
+    assert largest > 120
+    assert max(r["count"] for r in after.groupBy("t", "k", "pair").count().collect()) < 100
+    labels = {r["node"]: r["label"] for r in component_labels(links, f"{tmp_path}/g").collect()}
+    want = brute_groups(prints, 4)
+    for i, a in enumerate(signed):
+        for j in range(i):
+            assert (labels.get(a, a) == labels.get(signed[j], signed[j])) == (want[i] == want[j])
