@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stockweek.llm.bpe import ByteBpe
 from stockweek.llm.columns import col, own_names
 from stockweek.llm.decontaminate import cut_spans, find_contamination
+from stockweek.llm.gru import BiGru
 from stockweek.llm.lang_id import UNKNOWN, learn_languages, predict_languages
 from stockweek.llm.line_dedup import dedup_lines
 from stockweek.llm.simhash import drop_near_duplicates
@@ -18,8 +19,9 @@ from stockweek.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# A document whose most probable language is less probable than this goes.
-LEAST_SCORE = 0.3
+# A document goes whose score is below so many times that of an even mixture of all
+# labels, and below so much: known languages were measured down to just above it, see the README.
+LEAST_SHARE, LEAST_SCORE = 1.08, 0.27
 
 # Only part of it can be written as SQL.
 ORACLE_SQL = None
@@ -32,13 +34,22 @@ def _with_text(df: DataFrame, names: dict[str, str], text: str) -> DataFrame:
     return df.select(*(new.get(n, col(own)).alias(n) for n, own in names.items()))
 
 
+def least_score(model: bytes | None) -> float:
+    """The least score that a document needs, by the number of labels."""
+    labels = len(BiGru.from_bytes(model).labels) if model else 1
+    return min(LEAST_SCORE, LEAST_SHARE / labels)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the network knows; those without a letter go."""
+    """Documents but those without a letter, or with an even mixture of the known languages.
+
+    A language that was never learned mostly gets the label of a known one and stays.
+    """
     usable = F.crc32(F.col("doc_id").cast("string")) % 3 != 1
     model = learn_languages(docs, usable=usable)
     rows, names = own_names(docs)
     found = predict_languages(rows, model, text=names["text"], keep=tuple(names.values()))
-    sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    sure = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score(model))
     return found.filter(sure).select(*(col(own).alias(n) for n, own in names.items()))
 
 

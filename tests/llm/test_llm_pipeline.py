@@ -1,9 +1,11 @@
 import hashlib
 
 import corpus_pipeline as pipeline
+import numpy as np
 import odd
 import pytest
 from pyspark.sql import functions as F
+from stockweek.llm.gru import train
 from test_llm_decontaminate import expected as expected_hits
 from test_llm_line_dedup import expected as expected_lines
 from test_llm_simhash import brute_fingerprint, brute_groups
@@ -75,6 +77,24 @@ def test_stages(spark, folder):
     assert sha == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in found}
 
 
+@pytest.mark.parametrize(
+    "labels,goes,stays", [(1, None, 0.99), (2, None, 0.505), (4, 0.26, 0.2704), (10, 0.105, 0.12)]
+)
+def test_least_score_goes_by_the_number_of_labels(spark, monkeypatch, labels, goes, stays):
+    names = [f"l{i}" for i in range(labels)]
+    windows = np.arange(97, 97 + labels, dtype=np.uint8)[:, None].repeat(16, axis=1)
+    model = train(windows, np.arange(labels), names, rounds=1).to_bytes()
+    scored = spark.createDataFrame(
+        [("1", "l0", stays)] + ([("2", "l0", goes)] if goes else []), "c0 string, lang_pred string, score double"
+    )
+    monkeypatch.setattr(pipeline, "learn_languages", lambda *a, **k: model)
+    monkeypatch.setattr(pipeline, "predict_languages", lambda *a, **k: scored)
+    docs = spark.createDataFrame([("1",)], "doc_id string").withColumn("text", F.lit("x"))
+    monkeypatch.setattr(pipeline, "own_names", lambda df: (df.select(F.col("doc_id").alias("c0")), {"doc_id": "c0", "text": "c0"}))
+    kept = stage("language_id")(spark, docs, "")
+    assert [r["doc_id"] for r in kept.collect()] == ["1"]
+
+
 def test_run(spark, folder):
     found = pipeline.run(spark, folder)
     assert found.count() > 40
