@@ -20,6 +20,7 @@ from stockweek.llm.line_dedup import dedup_lines
 from stockweek.llm.quality_model import learn_quality, score_quality
 from stockweek.llm.simhash import near_duplicates
 from stockweek.llm.toxicity import learn_toxicity, score_toxicity
+from stockweek.llm.whitening import fit_whitening, whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -306,3 +307,10 @@ def _notice_rows() -> str:
 )
 def op7_license_scan(spark, sf_dir):
     return scan_licenses(_read(spark, sf_dir, "documents"))
+
+
+@_register("op11_embedding_whitening")
+def op11_embedding_whitening(spark, sf_dir):
+    vectors = _read(spark, sf_dir, "embeddings")
+    found = whiten(vectors, fit_whitening(vectors))
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))

@@ -1,0 +1,153 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stockweek.llm import feast, whitening
+from stockweek.llm.queries import QUERIES
+
+SCHEMA = "vec_id string, embedding array<float>, n string, component string, v string, c0 string"
+
+
+def table(spark, rows):
+    full = [(i, v, "x", "x", "x", "x") for i, v in rows]
+    return spark.createDataFrame(full, SCHEMA).repartition(3)
+
+
+def brute(vectors, k=16):
+    """Whole x vectors, exact deviations and whitened values, by a direct eigensolver."""
+    x = [[math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v] for v in vectors]
+    fit = sorted({tuple(row) for row in x})
+    n, sums = len(fit), [sum(c) for c in zip(*fit, strict=True)]
+    deviations = [sum((n * c - s) ** 2 for c, s in zip(row, sums, strict=True)) for row in x]
+    mean = np.array(sums) / n
+    centred = np.array(fit) - mean
+    cov = centred.T @ centred / n
+    values, turn = np.linalg.eigh(cov)
+    values, turn = values[::-1], turn[:, ::-1]
+    k = min(k, int((values > 1e-9 * max(values.max(), 1e-300)).sum()))
+    return n, deviations, (np.array(x) - mean) @ turn[:, :k] / np.sqrt(values[:k]), values[:k] / np.trace(cov)
+
+
+def agree(rows, ids, vectors, k=16):
+    n, deviations, whitened, explained = brute(vectors, k)
+    found = {}
+    for r in rows:
+        found.setdefault(r["vec_id"], []).append(r)
+    for i, vec_id in enumerate(ids):
+        mine = sorted(found[vec_id], key=lambda r: r["component"])
+        assert [r["component"] for r in mine] == list(range(1, len(explained) + 1))
+        for j, r in enumerate(mine):
+            assert (r["n"], int(r["deviation"])) == (n, deviations[i])
+            assert r["explained"] == pytest.approx(explained[j], rel=1e-9)
+            assert abs(r["whitened"]) == pytest.approx(abs(whitened[i, j]), abs=1e-7)
+            assert r["identity_error"] < 1e-9
+    signs = {
+        (r["component"], np.sign(r["whitened"]) * np.sign(whitened[ids.index(v), r["component"] - 1]))
+        for v, mine in found.items()
+        for r in mine
+        if abs(r["whitened"]) > 1e-6
+    }
+    assert len(signs) == len(explained)  # one sign for all rows
+
+
+def test_brute_force_with_repeated_and_odd_rows(spark):
+    rng = np.random.default_rng(3)
+    vectors = [[float(c) for c in np.float32(v)] for v in rng.normal(size=(150, 20)) * np.arange(1, 21)]
+    vectors += [vectors[0]] * 60
+    ids = [str(i) for i in range(len(vectors))]
+    odd = [
+        ("a", None),
+        ("b", []),
+        ("c", [1.0] * 19),
+        ("d", [None] + [1.0] * 19),
+        ("e", [float("nan")] + [1.0] * 19),
+        ("f", [float("inf")] + [1.0] * 19),
+        ("g", [3e38] + [1.0] * 19),
+    ]
+    df = table(spark, [*zip(ids, vectors, strict=True), *odd])
+    model = whitening.fit_whitening(df)
+    found = whitening.whiten(df, model)
+    assert found.columns[0] == "vec_id" and len(found.columns) == 7
+    rows = found.collect()
+    assert {r["vec_id"] for r in rows} == set(ids)
+    agree(rows, ids, vectors)
+
+
+def test_null_and_repeated_ids_stay(spark):
+    vectors = [[1.0, 2.0], [3.0, 1.0], [0.0, 0.5]]
+    df = table(spark, [(None, vectors[0]), (None, vectors[1]), ("x", vectors[2]), ("x", vectors[2])])
+    rows = whitening.whiten(df, whitening.fit_whitening(df)).collect()
+    assert sorted(str(r["vec_id"]) for r in rows) == ["None"] * 4 + ["x"] * 4
+    assert {r["n"] for r in rows} == {3}
+
+
+def test_large_entries_stay_exact(spark):
+    vectors = [[1e9, -3.0], [2e9, 5.0], [7e8, 1.0], [0.0, 0.0]]
+    df = table(spark, [(str(i), v) for i, v in enumerate(vectors)])
+    n, deviations, *_ = brute(vectors)
+    rows = whitening.whiten(df, whitening.fit_whitening(df)).collect()
+    assert {int(r["vec_id"]): int(r["deviation"]) for r in rows} == dict(enumerate(deviations))
+
+
+def test_nothing_to_whiten(spark):
+    for rows in ([], [("a", None)], [("a", [])], [("a", [1.0, 2.0])] * 3):
+        df = table(spark, rows)
+        assert whitening.whiten(df, whitening.fit_whitening(df)).collect() == []
+
+
+def test_lengths_of_a_tie(spark):
+    df = table(spark, [("a", [1.0]), ("b", [2.0]), ("c", [1.0, 2.0]), ("d", [4.0, 3.0])])
+    rows = whitening.whiten(df, whitening.fit_whitening(df)).collect()
+    assert {r["vec_id"] for r in rows} == {"c", "d"}
+
+
+@pytest.mark.parametrize("kind", ["spread", "equal", "decades", "groups", "rank"])
+@pytest.mark.parametrize("d", [1, 2, 17, 60])
+def test_eigenvalues_equal_those_of_a_direct_solver(d, kind):
+    rng = np.random.default_rng(d)
+    values = {
+        "spread": rng.random(d) * 100 + 1,
+        "equal": np.ones(d),
+        "decades": 10.0 ** -np.minimum(np.arange(d), 9),
+        "groups": np.sort(np.resize([7.0, 2.0, 2.0, 2.0, 0.1], d)),
+        "rank": np.concatenate([[5.0], np.zeros(d - 1)]),
+    }[kind]
+    turn = np.linalg.qr(rng.normal(size=(d, d)))[0]
+    matrix = turn @ np.diag(values) @ turn.T
+    matrix = (matrix + matrix.T) / 2
+    parts = feast.intervals_of_largest(matrix, 16)
+    solved = [feast.solve_interval(matrix, p) for p in parts]
+    found = np.concatenate([v for v, _ in solved])[:16]
+    wanted = np.sort(values)[::-1][:16]
+    wanted = wanted[wanted > 0]
+    assert np.allclose(found, wanted, rtol=1e-7)
+    for values_, vectors in solved:
+        assert np.allclose(matrix @ vectors, vectors * values_, atol=1e-9 * values.max())
+
+
+def test_a_wrong_count_is_refused():
+    matrix = np.diag([5.0, 3.0, 1.0])
+    with pytest.raises(ArithmeticError, match="eigenvalues found"):
+        feast.solve_interval(matrix, feast.Interval(4.0, 6.0, 2))
+
+
+def test_inertia_counts():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        a = rng.normal(size=(n := int(rng.integers(1, 15)), n))
+        a = a + a.T
+        if rng.random() < 0.5:
+            np.fill_diagonal(a, 0)
+        shift = float(rng.normal())
+        assert feast.count_above(a, shift) == (np.linalg.eigvalsh(a) > shift).sum()
+
+
+def test_query_by_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    df = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter(F.col("embedding").isNotNull())
+    data = df.select("vec_id", "embedding").collect()
+    found = QUERIES["op11_embedding_whitening"](spark, sf_dir)
+    assert dict(found.dtypes)["deviation"] == "bigint"
+    agree(found.collect(), [r[0] for r in data], [r[1] for r in data])
