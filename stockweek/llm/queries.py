@@ -12,11 +12,13 @@ from stockweek.llm import quality_rules
 from stockweek.llm.bpe import ByteBpe
 from stockweek.llm.chat import format_conversations, loss_text
 from stockweek.llm.chat_digest import conversation_digests
+from stockweek.llm.columns import col, free_name
 from stockweek.llm.decontaminate import find_contamination
 from stockweek.llm.lang_id import learn_languages, predict_languages
 from stockweek.llm.license_scan import scan_licenses
 from stockweek.llm.license_texts import LICENSE_TEXTS
 from stockweek.llm.line_dedup import dedup_lines
+from stockweek.llm.merkle import digest_of, merkle_manifest, root_from_proof
 from stockweek.llm.quality_model import learn_quality, score_quality
 from stockweek.llm.simhash import near_duplicates
 from stockweek.llm.toxicity import learn_toxicity, score_toxicity
@@ -314,3 +316,92 @@ def op11_embedding_whitening(spark, sf_dir):
     vectors = _read(spark, sf_dir, "embeddings")
     found = whiten(vectors, fit_whitening(vectors))
     return found.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+_LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _manifest_sql() -> str:
+    """The levels of the trees one after the other: as many as 16^6 leaves in a source need."""
+    field = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+    leaf = " || ".join(field.format(c) for c in _LEAF)
+    tampered = leaf.replace(field.format("text"), field.format("lowered"))
+    crc = (
+        "xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform("
+        "string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)), lambda a, b: list_reduce("
+        "list_concat([xor(a, b)], range(8)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"
+    )
+    steps = [
+        f"""docs AS (SELECT *, translate(text, '{_UPPER}', '{_LOWER}') AS lowered,
+              coalesce({crc} % 5 = 0, false) AS changed FROM documents)""",
+        f"""leaves AS (
+              SELECT doc_id, sha256({leaf}) AS leaf,
+                     sha256(CASE WHEN changed THEN {tampered} ELSE {leaf} END) AS fold,
+                     dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s, source FROM docs)""",
+        """way0 AS (
+              SELECT row_number() OVER () AS k, doc_id, leaf, fold, s, 0::BIGINT AS t, '' AS proof,
+                     row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+              FROM leaves)""",
+        "tree0 AS (SELECT s, i, leaf AS h FROM way0)",
+    ]
+
+    def up(n: int, s: str) -> None:
+        """Level n + 1 of the trees that column ``s`` numbers."""
+        steps.append(f"full{n} AS (SELECT *, count(*) OVER (PARTITION BY s) AS n FROM tree{n})")
+        steps.append(
+            f"""tree{n + 1} AS (
+              SELECT s, i // 16 AS i, CASE WHEN n = 1 THEN any_value(h)
+                     ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h
+              FROM full{n} GROUP BY s, i // 16, n)"""
+        )
+        steps.append(
+            f"""way{n + 1} AS (
+              SELECT k, doc_id, leaf, w.s, t, w.i // 16 AS i,
+                     CASE WHEN n = 1 THEN fold ELSE sha256(string_agg(
+                       CASE WHEN f.i = w.i THEN fold ELSE h END, '' ORDER BY f.i)) END AS fold,
+                     proof || coalesce(string_agg(h, '' ORDER BY f.i)
+                       FILTER (WHERE f.i <> w.i), '') AS proof {', any_value(subroot) AS subroot' if s else ''}
+              FROM way{n} w JOIN full{n} f ON f.s = w.s AND f.i // 16 = w.i // 16
+              GROUP BY k, doc_id, leaf, w.s, t, w.i, w.i // 16, n, fold, proof)"""
+        )
+
+    for n in range(6):
+        up(n, "")
+    steps.append("tree7 AS (SELECT 0::BIGINT AS s, s AS i, h FROM tree6)")
+    steps.append(
+        """way7 AS (
+          SELECT k, doc_id, leaf, 0::BIGINT AS s, t, w.s AS i, fold, proof, h AS subroot
+          FROM way6 w JOIN tree6 USING (s))"""
+    )
+    for n in range(7, 10):
+        up(n, "top")
+    return f"""
+    WITH {', '.join(steps)}
+    SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, fold AS folded_root,
+           fold = h AS verified
+    FROM way10 CROSS JOIN (SELECT h FROM tree10)
+    """
+
+
+@_register("op12_merkle_manifest", _manifest_sql())
+def op12_merkle_manifest(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    claimed = free_name(docs.columns, "claimed")
+    lowered = F.translate("text", _UPPER, _LOWER)
+    changed = digest_of([lowered if c == "text" else col(c) for c in _LEAF])
+    tampered = F.when(_remainder(5) == 0, changed).alias(claimed)
+    found = merkle_manifest(docs.select("*", tampered), _LEAF, keep=("doc_id", claimed))
+    leaf = F.coalesce(col(claimed), "leaf")
+    folded = found.withColumn(
+        "folded_root", root_from_proof(leaf, F.col("proof"), F.col("places"), F.col("runs"))
+    )
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
