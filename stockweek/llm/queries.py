@@ -22,6 +22,7 @@ from stockweek.llm.merkle import digest_of, merkle_manifest, root_from_proof
 from stockweek.llm.quality_model import learn_quality, score_quality
 from stockweek.llm.simhash import near_duplicates
 from stockweek.llm.toxicity import learn_toxicity, score_toxicity
+from stockweek.llm.warc import read_warc, write_warc
 from stockweek.llm.whitening import fit_whitening, whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -405,3 +406,27 @@ def op12_merkle_manifest(spark, sf_dir):
         "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@_register(
+    "op13_warc",
+    """
+    WITH held AS (
+      SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS n,
+             max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest FROM pages),
+    judged AS (SELECT *, n >= 1000 AND page_id IS DISTINCT FROM largest AS again FROM held)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+           CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN again THEN largest END AS refers_to
+    FROM judged
+    """,
+)
+def op13_warc(spark, sf_dir):
+    found = read_warc(spark, write_warc(_read(spark, sf_dir, "pages")))
+    return found.select(
+        F.col("page_id").cast("bigint"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint"),
+    )
