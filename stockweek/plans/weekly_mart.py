@@ -4,7 +4,7 @@
                                          "output_path": ..., "partition_column": "STORE_KEY",
                                          "metrics": true}'
 
-``metrics``, ``partition_overwrite`` and ``null_value`` may be left out.
+``metrics``, ``partition_overwrite``, ``null_value`` and ``parse_report`` may be left out.
 """
 
 from __future__ import annotations
@@ -17,13 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stockweek.operators.weekly import weekly_mart
 from stockweek.sinks.files import write_csv, write_fact
-from stockweek.sources.csv import read_table
+from stockweek.sources.csv import ObservedScan, read_table, report_table
 from stockweek.sources.schemas import TABLES
 
 # Names of the outputs.
 FACT = "sales_inv_store_wk"
 DIMENSIONS = ("store", "product", "calendar")
 
+PARSE_REPORT = "parse_report"
+
 
 def as_mapping(text: str | Mapping) -> dict:
     """Parameters given as a mapping, as JSON, or as the text of a Python dict."""
@@ -50,15 +52,26 @@ def run_weekly_mart(
     metrics: bool = False,
     partition_overwrite: str = "static",
     null_value: str | None = None,
+    parse_report: bool = False,
 ) -> None:
-    """Build the mart from the CSV snapshots and write it beside copies of the dimensions."""
-    tables = read_inputs(spark, inputs, null_value)
+    """Build the mart from the CSV snapshots and write it beside copies of the dimensions.
+
+    ``parse_report`` adds a table of the fields that did not parse, counted as they are read.
+    """
+    scans: list[ObservedScan] = []
+    if parse_report:
+        scans = [ObservedScan(spark, table, inputs[table], null_value) for table in TABLES]
+        tables = {table: scan.rows for table, scan in zip(TABLES, scans, strict=True)}
+    else:
+        tables = read_inputs(spark, inputs, null_value)
     base = output_path.rstrip("/")
     fact = weekly_mart(tables["sales"], tables["inventory"], tables["calendar"], metrics)
     write_fact(fact, f"{base}/{FACT}", partition_column, partition_overwrite)
     for table in DIMENSIONS:
         write_csv(tables[table], f"{base}/{table}")
+    if scans:
+        write_csv(report_table(spark, scans), f"{base}/{PARSE_REPORT}")
 
 
 # Parameters of the job besides the required ones, passed on as they are.
-OPTIONS = ("metrics", "partition_overwrite", "null_value")
+OPTIONS = ("metrics", "partition_overwrite", "null_value", "parse_report")

@@ -37,9 +37,9 @@ from stockweek.plans.snapshots import check_snapshots, export_snapshots, run_if_
 from stockweek.plans.weekly_mart import FACT, run_weekly_mart
 from stockweek.session import scratch_database, scratch_dir
 from stockweek.sinks.files import read_fact, write_csv, write_fact, write_snapshot
-from stockweek.sources.csv import read_csv, read_table
+from stockweek.sources.csv import NO_VALUE, TOO_FEW, TOO_MANY, parse_report, read_csv, read_table
 from stockweek.sources.listing import list_committed, list_files
-from stockweek.sources.schemas import TABLES
+from stockweek.sources.schemas import JOB_SCHEMAS, TABLES
 from stockweek.testbed import oracle, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -205,6 +205,97 @@ _raw_query(
 )
 
 
+def _reload(spark, sf_dir, change):
+    """Raw tables loaded, and then once more with the sales that ``change`` makes of the staged ones."""
+    base = scratch_dir(spark, "raw")
+    current, database = spark.catalog.currentDatabase(), scratch_database("raw")
+    staged = _write_inputs(spark, sf_dir, f"{base}/staged")
+    changed = change(_dumped(spark, sf_dir, "sales"))
+    changed.write.options(header="true").csv(f"{base}/staged/changed")
+    try:
+        first = {**staged, "sales": f"{base}/staged/changed"}
+        load_raw(spark, staged, database, f"{base}/tables")
+        load_raw(spark, first, database, f"{base}/tables")
+    finally:
+        spark.catalog.setCurrentDatabase(current)
+    return database
+
+
+_RAW_SALES = (
+    "SELECT * REPLACE (CAST(TRANS_ID AS BIGINT) AS TRANS_ID, CAST(PROD_KEY AS BIGINT) AS PROD_KEY,"
+    " CAST(STORE_KEY AS BIGINT) AS STORE_KEY, CAST(TRANS_TIME AS BIGINT) AS TRANS_TIME,"
+    " CAST(TRANS_DT AS VARCHAR) AS TRANS_DT) FROM sales"
+)
+
+
+@_register("q_raw_reload_failed", oracle.query(_RAW_SALES))
+def q_raw_reload_failed(spark, sf_dir):
+    """What the sales table serves after a second load that a bad field has stopped."""
+    base = scratch_dir(spark, "raw")
+    current, database = spark.catalog.currentDatabase(), scratch_database("raw")
+    staged = _write_inputs(spark, sf_dir, f"{base}/staged")
+    bad = F.when(F.col("TRANS_ID") % 100 == 7, F.lit("oops")).otherwise(F.col("TRANS_ID").cast("string"))
+    sales = _dumped(spark, sf_dir, "sales").withColumn("TRANS_ID", bad)
+    sales.write.options(header="true").csv(f"{base}/bad")
+    load_raw(spark, staged, database, f"{base}/tables")
+    try:
+        load_raw(spark, {**staged, "sales": f"{base}/bad"}, database, f"{base}/tables")
+    except Exception as error:
+        if "MALFORMED_RECORD" not in str(error):
+            raise
+    else:
+        raise AssertionError("a bad field did not stop the load")
+    finally:
+        spark.catalog.setCurrentDatabase(current)
+    return _plain(fill_nulls(spark.table(f"{database}.sales")))
+
+
+@_register("q_raw_reload", oracle.query(_RAW_SALES + " WHERE TRANS_ID % 3 <> 0"))
+def q_raw_reload(spark, sf_dir):
+    """What it serves after a second load with other rows."""
+    database = _reload(spark, sf_dir, lambda sales: sales.filter("TRANS_ID % 3 <> 0"))
+    return _plain(fill_nulls(spark.table(f"{database}.sales")))
+
+
+def _bad_lines(sales: DataFrame) -> DataFrame:
+    """Lines of sales, one in five of them with a fault."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sales.columns]
+    fault = F.col("TRANS_ID") % 25
+    fields[0] = F.when(fault == 0, F.lit("1e3")).otherwise(fields[0])
+    fields[3] = F.when(fault == 5, F.lit("1997-02-30")).otherwise(fields[3])
+    fields[5] = F.when(fault == 10, F.lit('"many, many"')).otherwise(fields[5])
+    fields[11] = F.when(fault == 10, F.lit("?")).otherwise(fields[11])
+    line = F.concat_ws(",", *fields)
+    line = F.when(fault == 15, F.concat_ws(",", *fields[:5])).otherwise(line)
+    return sales.select(F.when(fault == 20, F.concat(line, F.lit(",x"))).otherwise(line).alias("line"))
+
+
+@_register(
+    "q_parse_report",
+    oracle.query(
+        ", faults AS (SELECT TRANS_ID % 25 AS fault FROM sales) "
+        + " UNION ALL ".join(
+            f"SELECT 'sales' AS TABLE_NAME, {column} AS COLUMN_NAME, '{problem}' AS PROBLEM,"
+            f" count(*) AS N FROM faults WHERE fault = {fault}"
+            for column, problem, fault in [
+                ("NULL", TOO_FEW, 15),
+                ("NULL", TOO_MANY, 20),
+                *(
+                    (f"'{c}'", NO_VALUE, {"TRANS_ID": 0, "TRANS_DT": 5, "SALES_QTY": 10, "SHIP_COST": 10}.get(c, -1))
+                    for c in JOB_SCHEMAS["sales"].fieldNames()
+                ),
+            ]
+        )
+    ),
+)
+def q_parse_report(spark, sf_dir):
+    path = scratch_dir(spark, "lines")
+    lines = _bad_lines(_dumped(spark, sf_dir, "sales"))
+    # Lines as they are: no text in them is quoted again.
+    lines.write.options(header="true", quote="", sep="\u0001").csv(path)
+    return parse_report(spark, "sales", path)
+
+
 # --- daily and weekly -------------------------------------------------------
 
 

@@ -20,7 +20,7 @@ from stockweek.plans.serving import register_output
 from stockweek.plans.weekly_mart import as_mapping, read_inputs, run_weekly_mart
 from stockweek.sinks import files
 from stockweek.sinks.files import read_fact, write_csv, write_fact
-from stockweek.sources.csv import read_csv, read_table
+from stockweek.sources.csv import parse_report, read_csv, read_table
 from stockweek.sources.schemas import JOB_SCHEMAS, RAW_SCHEMAS, TABLES, raw_ddl
 
 
@@ -285,3 +285,81 @@ def test_serving_tables(spark, mart, inputs, tmp_path):
     spark.catalog.setCurrentDatabase("default")
     served = spark.sql("SELECT NO_STOCK_IMPACT FROM serving.sales_inv_store_wk WHERE STORE_KEY = 5")
     assert served.collect() == [(24.0,)]
+
+
+# --- reloads and faults -----------------------------------------------------
+
+
+def sales_rows(*ids):
+    return "h\n" + "".join(f"{i},1,1,2022-01-03,1,1,1,1,0,1,1,1\n" for i in ids)
+
+
+def test_a_failed_reload_leaves_every_table_as_it_was(spark, tmp_path):
+    staged = {"calendar": put(tmp_path / "c.csv", CALENDAR), "sales": put(tmp_path / "s.csv", sales_rows(1, 2))}
+    load_raw(spark, staged, "raw_r", f"{tmp_path}/db")
+    reader = spark.table("raw_r.sales")
+    later = {
+        "sales": put(tmp_path / "s2.csv", sales_rows(3)),
+        "calendar": put(tmp_path / "bad.csv", CALENDAR + "2022-01-03,Fiscal,1,Monday,oops,2,1,1,1,1,1\n"),
+    }
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_raw(spark, later, "raw_r", f"{tmp_path}/db")
+    assert rows(spark.table("raw_r.sales").select("TRANS_ID")) == [(1,), (2,)]
+    assert spark.table("raw_r.calendar").count() == 1
+    assert len(glob.glob(f"{tmp_path}/db/loads/sales/load-*")) == 1
+    assert {t.name for t in spark.catalog.listTables("raw_r")} == {"calendar", "sales"}
+    later["calendar"] = staged["calendar"]
+    load_raw(spark, later, "raw_r", f"{tmp_path}/db")
+    assert rows(spark.table("raw_r.sales").select("TRANS_ID")) == [(3,)]
+    assert reader.count() == 2  # one that began before still has its rows
+    load_raw(spark, {"sales": put(tmp_path / "s3.csv", sales_rows(4))}, "raw_r", f"{tmp_path}/db")
+    assert len(glob.glob(f"{tmp_path}/db/loads/sales/load-*")) == 2
+    spark.catalog.setCurrentDatabase("default")
+
+
+def test_a_table_of_other_columns_is_defined_anew(spark, tmp_path):
+    spark.sql("CREATE DATABASE raw_o")
+    spark.sql("CREATE TABLE raw_o.sales (TRANS_ID string) USING parquet")
+    load_raw(spark, {"sales": put(tmp_path / "s.csv", sales_rows(1))}, "raw_o")
+    spark.catalog.setCurrentDatabase("default")
+    assert spark.table("raw_o.sales").columns == RAW_SCHEMAS["sales"].fieldNames()
+    assert spark.table("raw_o.sales").count() == 1
+
+
+FAULTS = {
+    ("inventory", "CAL_DT", "does not parse"): 1,
+    ("inventory", "STORE_KEY", "does not parse"): 1,
+    ("inventory", "PROD_KEY", "does not parse"): 1,
+    ("inventory", "INVENTORY_ON_HAND_QTY", "does not parse"): 1,
+    ("inventory", "INVENTORY_ON_ORDER_QTY", "does not parse"): 1,
+    ("inventory", "OUT_OF_STOCK_FLG", "does not parse"): 1,
+    ("inventory", "PROMOTION_FLG", "does not parse"): 1,
+    ("inventory", "NEXT_DELIVERY_DT", "does not parse"): 1,
+    ("inventory", None, "too few fields"): 1,
+    ("inventory", None, "too many fields"): 1,
+}
+
+
+def test_parse_report(spark, tmp_path):
+    path = put(tmp_path / "i.csv", SCAN)
+    found = {tuple(r[:3]): r[3] for r in parse_report(spark, "inventory", path).collect() if r[3]}
+    assert found == FAULTS
+    with_null = parse_report(spark, "inventory", path, "\\N").collect()
+    assert {r[1] for r in with_null if r[3]} & {"INVENTORY_ON_ORDER_QTY", "OUT_OF_STOCK_FLG"} == set()
+    quoted = put(tmp_path / "p.csv", 'h\n1,"a, ""b"",c",1,1,x,0,x,1,x,1,x\n"x","y\\",z",1,1,x,0,x,1,x,1,x\n')
+    found = {tuple(r[1:3]): r[3] for r in parse_report(spark, "product", quoted).collect() if r[3]}
+    assert found == {("PROD_KEY", "does not parse"): 1}
+    empty = put(tmp_path / "e.csv", "h\n")
+    assert not any(r[3] for r in parse_report(spark, "inventory", empty).collect())
+
+
+def test_faults_counted_by_the_job(spark, inputs, mart, tmp_path):
+    given = {**inputs, "inventory": [inputs["inventory"], put(tmp_path / "i.csv", SCAN)]}
+    run_weekly_mart(spark, given, f"{tmp_path}/out", "YR_NUM", parse_report=True)
+    report = spark.read.csv(f"{tmp_path}/out/parse_report", header=True)
+    found = {tuple(r[:3]): int(r[3]) for r in report.collect() if r[3] != "0"}
+    assert {k: n for k, n in found.items() if k[0] == "inventory"} == FAULTS
+    run_weekly_mart(spark, given, f"{tmp_path}/plain", "YR_NUM")
+    assert rows(spark.read.parquet(f"{tmp_path}/out/sales_inv_store_wk")) == rows(
+        spark.read.parquet(f"{tmp_path}/plain/sales_inv_store_wk")
+    )
