@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +36,7 @@ def read_table(
 
 
 # The scan's column for lines that are not what the schema says, and the fields of such a line.
-_LINE, _FIELDS = "_line_that_is_bad", "_fields_as_text"
+_LINE, _FIELDS, _MORE = "_line_that_is_bad", "_fields_as_text", "_fields_and_one_more"
 
 TOO_FEW, TOO_MANY, NO_VALUE = "too few fields", "too many fields", "does not parse"
 
@@ -46,20 +47,31 @@ def _with_bad_lines(
     """The typed scan; a line with a bad field, or too few or many, is there as text besides."""
     schema = T.StructType([*JOB_SCHEMAS[table].fields, T.StructField(_LINE, T.StringType())])
     reader = spark.read.options(**CSV_FORMAT).schema(schema)
-    reader = reader.option("columnNameOfCorruptRecord", _LINE)
-    options = {"sep": CSV_FORMAT["sep"]}
+    # Of a line that is parsed in part only, the parser does not know how many fields it has.
+    reader = reader.option("columnNameOfCorruptRecord", _LINE).option("columnPruning", "false")
+    options = {"sep": CSV_FORMAT["sep"], "columnNameOfCorruptRecord": _LINE}
     if null_value is not None:
         reader, options["nullValue"] = reader.option("nullValue", null_value), null_value
-    texts = ", ".join(f"{name} string" for name in JOB_SCHEMAS[table].fieldNames())
-    return reader.csv(path).withColumn(_FIELDS, F.from_csv(_LINE, texts, options))
+    # As text every field parses, so only lines of other than so many fields are bad then.
+    texts = "".join(f"{name} string, " for name in JOB_SCHEMAS[table].fieldNames())
+    more = f"{texts}{_MORE} string, {_LINE} string"
+    return reader.csv(path).withColumns(
+        {
+            _FIELDS: F.from_csv(_LINE, f"{texts}{_LINE} string", options),
+            _MORE: F.from_csv(_LINE, more, options),
+        }
+    )
 
 
 def _problems(table: str) -> dict[tuple[str | None, str], Column]:
     """For each column that may not parse, and for the lines, how many do not."""
-    unquoted = F.regexp_replace(_LINE, r'"(\\.|[^"\\])*"', "")
-    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
-    wanted = len(JOB_SCHEMAS[table].fields)
-    found = {(None, TOO_FEW): fields < wanted, (None, TOO_MANY): fields > wanted}
+    other = F.col(f"{_FIELDS}.{_LINE}").isNotNull()
+    one_more = F.col(f"{_MORE}.{_LINE}").isNull() | F.col(f"{_MORE}.{_MORE}").isNotNull()
+    # Several empty fields at the end of a line show in its separators alone.
+    n_fields = F.length(_LINE) - F.length(F.replace(_LINE, F.lit(CSV_FORMAT["sep"]), F.lit(""))) + 1
+    empty_end = F.endswith(_LINE, F.lit(2 * CSV_FORMAT["sep"])) & (n_fields > len(JOB_SCHEMAS[table].fields))
+    many = one_more | empty_end
+    found = {(None, TOO_FEW): other & ~many, (None, TOO_MANY): other & many}
     for field in JOB_SCHEMAS[table].fields:
         if not isinstance(field.dataType, T.StringType):
             given = F.col(f"{_FIELDS}.{field.name}").isNotNull()
@@ -107,14 +119,18 @@ class ObservedScan:
         null_value: str | None = None,
     ):
         self._problems, self._seen = _problems(table), Observation()
-        self._table = table
+        self._table, self._counted_alone = table, parse_report(spark, table, path, null_value)
         counts = [n.alias(f"n{i}") for i, n in enumerate(self._problems.values())]
         scan = _with_bad_lines(spark, table, path, null_value).observe(self._seen, *counts)
-        self.rows = fill_nulls(scan.drop(_LINE, _FIELDS))
+        self.rows = fill_nulls(scan.drop(_LINE, _FIELDS, _MORE))
 
     def report(self) -> list[tuple[str, str | None, str, int]]:
         """Rows as those of ``parse_report``; waits for the job that reads the table."""
-        counts = self._seen.get
+        try:
+            counts = self._seen.get
+        except Py4JJavaError:
+            # Spark leaves an observed scan out of a plan whose result it finds to be empty.
+            return [tuple(row) for row in self._counted_alone.collect()]
         return [(self._table, *key, int(counts[f"n{i}"])) for i, key in enumerate(self._problems)]
 
 

@@ -20,7 +20,7 @@ from stockweek.plans.serving import register_output
 from stockweek.plans.weekly_mart import as_mapping, read_inputs, run_weekly_mart
 from stockweek.sinks import files
 from stockweek.sinks.files import read_fact, write_csv, write_fact
-from stockweek.sources.csv import parse_report, read_csv, read_table
+from stockweek.sources.csv import ObservedScan, parse_report, read_csv, read_table
 from stockweek.sources.schemas import JOB_SCHEMAS, RAW_SCHEMAS, TABLES, raw_ddl
 
 
@@ -146,6 +146,12 @@ def test_fact_round_trip(spark, mart, tmp_path):
         write_fact(mart, path, "store_id")
 
 
+def test_observed_scan(spark, tmp_path):
+    scan = ObservedScan(spark, "inventory", put(tmp_path / "i.csv", SCAN))
+    assert rows(scan.rows) == rows(read_table(spark, "inventory", str(tmp_path / "i.csv")))
+    assert {tuple(r[:3]): r[3] for r in scan.report() if r[3]} == FAULTS
+
+
 @pytest.mark.parametrize("mode,left", [("static", {2}), ("dynamic", {1, 2, 3})])
 def test_partition_overwrite(spark, mart, tmp_path, mode, left):
     path = f"{tmp_path}/fact"
@@ -346,9 +352,11 @@ def test_parse_report(spark, tmp_path):
     assert found == FAULTS
     with_null = parse_report(spark, "inventory", path, "\\N").collect()
     assert {r[1] for r in with_null if r[3]} & {"INVENTORY_ON_ORDER_QTY", "OUT_OF_STOCK_FLG"} == set()
-    quoted = put(tmp_path / "p.csv", 'h\n1,"a, ""b"",c",1,1,x,0,x,1,x,1,x\n"x","y\\",z",1,1,x,0,x,1,x,1,x\n')
+    end = ",1,1,x,0,x,1,x,1,"
+    lines = ['1,"a, b,c"' + end + "x", '"x","y\\",z"' + end + "x", "1,a" + end + "x,", "1,a" + end + "x,,,", "1,a" + end[:-1]]
+    quoted = put(tmp_path / "p.csv", "h\n" + "\n".join(lines) + "\n")
     found = {tuple(r[1:3]): r[3] for r in parse_report(spark, "product", quoted).collect() if r[3]}
-    assert found == {("PROD_KEY", "does not parse"): 1}
+    assert found == {("PROD_KEY", "does not parse"): 1, (None, "too many fields"): 2, (None, "too few fields"): 1}
     empty = put(tmp_path / "e.csv", "h\n")
     assert not any(r[3] for r in parse_report(spark, "inventory", empty).collect())
 
