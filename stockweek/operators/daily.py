@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockweek.functions.measures import mean, total
+from stockweek.operators.hot_keys import DAY_KEYS, HotKeys, sampled_hot_keys, split_parts
 
-# A key with one in so many of all stock rows is hot. It is split into parts of that
-# size, so no task gets more of one key. Few rows are never worth it.
-HOT_SHARE = 10_000
-HOT_SAMPLE = 0.01
-HOT_HITS = 2_000
-
-DAY_KEYS = ["CAL_DT", "STORE_KEY", "PROD_KEY"]
 SALES_MEASURES = ["SALES_QTY", "SALES_PRICE", "SALES_AMT", "DISCOUNT", "SALES_COST", "SALES_MGRN"]
 
 
@@ -60,42 +54,25 @@ def _same_week_then_day(left: str, right: str) -> Column:
     )
 
 
-def _hot_days(inventory: DataFrame) -> DataFrame | None:
-    """Keys that hold one in ``HOT_SHARE`` of the inventory rows or more, and how far to split each.
-
-    There are at most ``HOT_SHARE`` such keys, so asking for that many loses none.
-    A sample tells which they are; they decide only how rows are dealt to tasks.
-    """
-    seen = Observation()
-    keys = inventory.select(*DAY_KEYS).sample(fraction=HOT_SAMPLE, seed=17)
-    found = (
-        keys.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .groupBy(*DAY_KEYS)
-        .agg(F.count(F.lit(1)).alias("hits"))
-        .filter(F.col("hits") >= HOT_HITS)
-        .orderBy(F.desc("hits"))
-        .limit(HOT_SHARE)
-        .collect()
-    )
-    if not found:
-        return None
-    total = seen.get["rows"]
-    rows = [
-        (*row[:3], max(2, HOT_SHARE * row["hits"] // total))
-        for row in found
-        if row["hits"] * HOT_SHARE >= total
-    ]
+def _parts(inventory: DataFrame, hot: HotKeys) -> DataFrame | None:
+    """The hot keys in the types of the inventory, with the parts that each is split into."""
+    rows = split_parts(hot)
     fields = [inventory.schema[key] for key in DAY_KEYS]
     schema = T.StructType([*fields, T.StructField("PARTS", T.LongType())])
     return inventory.sparkSession.createDataFrame(rows, schema) if rows else None
 
 
 def _dealt(sales: DataFrame, inventory: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides with the part of its key that each row goes to; hot sales go to all parts."""
+    """Both sides with the part of its key that each row goes to; hot sales go to all parts.
+
+    The part of a stock row follows from its values, so that a task which is run again
+    deals its rows as before, in whatever order they come. Equal rows share a part.
+    """
     hot = F.broadcast(hot.alias("h"))
     # Null-safe for the inventory: rows without a date match nothing, but may be many.
     same = [F.col(f"i.{key}").eqNullSafe(F.col(f"h.{key}")) for key in DAY_KEYS]
-    part = F.pmod(F.monotonically_increasing_id(), F.coalesce("h.PARTS", F.lit(1)))
+    values = F.xxhash64(*(F.col(f"i.{c}") for c in inventory.columns))
+    part = F.pmod(values, F.coalesce("h.PARTS", F.lit(1)))
     held = inventory.alias("i").join(hot, same, "left").select("i.*", part.alias("PART"))
     last = F.coalesce("h.PARTS", F.lit(1)) - 1
     sold = sales.alias("s").join(hot, _same_day("s", "h"), "left").select(
@@ -107,23 +84,22 @@ def _dealt(sales: DataFrame, inventory: DataFrame, hot: DataFrame) -> tuple[Data
 
 
 def match_days(
-    sales: DataFrame, inventory: DataFrame, stock: DataFrame, by_week: bool = False
+    sales: DataFrame, inventory: DataFrame, hot: HotKeys, by_week: bool = False
 ) -> DataFrame:
     """Full outer join of daily sales (columns ``s_...``) and inventory rows (``i_...``).
 
     A full outer join cannot be split at run time, so the inventory rows of hot keys
     are dealt to several parts, and the one sales row of such a key is copied to
-    each. A hot key occurs in the inventory, where it was found, so copies that
+    each. A key of ``hot`` must occur in the inventory, where it was found, so copies that
     match nothing are left out. Sales without a date match nothing and stay.
-    ``stock`` is where hot keys are looked for, the inventory as it is read.
     """
     on = _same_week_then_day("s", "i") if by_week else _same_day("s", "i")
     names = [F.col(f"s.{c}").alias(f"s_{c}") for c in sales.columns]
     names += [F.col(f"i.{c}").alias(f"i_{c}") for c in inventory.columns]
-    hot = _hot_days(stock)
-    if hot is None:
+    parts = _parts(inventory, hot)
+    if parts is None:
         return sales.alias("s").join(inventory.alias("i"), on, "full").select(*names)
-    sold, held = _dealt(sales, inventory, hot)
+    sold, held = _dealt(sales, inventory, parts)
     joined = sold.alias("s").join(
         held.alias("i"), on & (F.col("s.PART") == F.col("i.PART")), "full"
     )
@@ -152,9 +128,13 @@ def fact_columns() -> list[Column]:
     return keys + sold + stock + flags
 
 
-def sales_inv_store_dy(sales_day: DataFrame, inventory_day: DataFrame) -> DataFrame:
+def sales_inv_store_dy(
+    sales_day: DataFrame, inventory_day: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
     """The daily fact: one row per inventory row, plus one per sales day without inventory.
 
-    Several inventory rows of one key repeat the sales of that key.
+    Several inventory rows of one key repeat the sales of that key. ``hot`` are keys
+    known to hold many of these rows; by default a sample tells.
     """
-    return match_days(sales_day, inventory_day, inventory_day).select(*fact_columns())
+    hot = sampled_hot_keys(inventory_day) if hot is None else hot
+    return match_days(sales_day, inventory_day, hot).select(*fact_columns())

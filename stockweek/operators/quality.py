@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.operators.daily import DAY_KEYS
+from stockweek.operators.hot_keys import DAY_KEYS
 from stockweek.operators.weekly import DAYS_PER_WEEK, END_OF_WEEK
 
 

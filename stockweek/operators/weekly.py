@@ -14,6 +14,7 @@ from stockweek.operators.daily import (
     match_days,
     sales_inv_store_dy,
 )
+from stockweek.operators.hot_keys import HotKeys, sampled_hot_keys
 
 WEEK_KEYS = ["YR_NUM", "WK_NUM", "STORE_KEY", "PROD_KEY"]
 CALENDAR_COLUMNS = ["CAL_DT", "YR_NUM", "WK_NUM", "DAY_OF_WK_NUM"]
@@ -118,7 +119,11 @@ def _has_plain_weeks(slim: DataFrame) -> bool:
 
 
 def weekly_mart(
-    sales: DataFrame, inventory: DataFrame, calendar: DataFrame, metrics: bool = False
+    sales: DataFrame,
+    inventory: DataFrame,
+    calendar: DataFrame,
+    metrics: bool = False,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """The weekly mart straight from null-normalised sales, inventory and calendar.
 
@@ -128,12 +133,13 @@ def weekly_mart(
     product. The days of a week then sit in one task, so the weekly aggregate
     shrinks its rows about sevenfold before its own shuffle. Days outside the
     calendar never shuffle. Any other calendar takes the plan by days, as many
-    days with one key would meet in pairs.
+    days with one key would meet in pairs. ``hot`` are keys known to hold many of
+    the inventory rows; by default a sample tells, which reads them once more.
     """
     slim = calendar.select(*CALENDAR_COLUMNS).filter(F.col("CAL_DT").isNotNull())
     sales_day, stock_day = daily_sales(sales), daily_inventory(inventory)
     if not _has_plain_weeks(slim):
-        return sales_inv_store_wk(sales_inv_store_dy(sales_day, stock_day), calendar, metrics)
+        return sales_inv_store_wk(sales_inv_store_dy(sales_day, stock_day, hot), calendar, metrics)
     # Equal weeks have equal hashes, and a hash is never null. Only the hash
     # travels through the shuffle; the calendar's columns are joined on after it.
     slim = F.broadcast(slim)
@@ -141,7 +147,7 @@ def weekly_mart(
     joined = match_days(
         sales_day.join(F.broadcast(week), "CAL_DT"),
         stock_day.join(F.broadcast(week), "CAL_DT"),
-        stock_day,
+        sampled_hot_keys(stock_day) if hot is None else hot,
         by_week=True,
     )
     days = joined.select(*fact_columns())

@@ -16,7 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from stockweek.operators.weekly import weekly_mart
-from stockweek.sinks.files import write_csv, write_fact
+from stockweek.sinks.files import read_hot_keys, write_csv, write_fact
 from stockweek.sources.csv import ObservedScan, read_table, report_table
 from stockweek.sources.schemas import TABLES
 
@@ -56,7 +56,8 @@ def run_weekly_mart(
 ) -> None:
     """Build the mart from the CSV snapshots and write it beside copies of the dimensions.
 
-    ``parse_report`` adds a table of the fields that did not parse, counted as they are read.
+    An inventory written as a snapshot tells its hot keys; of any other, a sample of the
+    keys is read first. ``parse_report`` adds a table of the fields that did not parse, counted as they are read.
     """
     scans: list[ObservedScan] = []
     if parse_report:
@@ -65,7 +66,8 @@ def run_weekly_mart(
     else:
         tables = read_inputs(spark, inputs, null_value)
     base = output_path.rstrip("/")
-    fact = weekly_mart(tables["sales"], tables["inventory"], tables["calendar"], metrics)
+    hot = read_hot_keys(spark, inputs["inventory"])
+    fact = weekly_mart(tables["sales"], tables["inventory"], tables["calendar"], metrics, hot)
     write_fact(fact, f"{base}/{FACT}", partition_column, partition_overwrite)
     for table in DIMENSIONS:
         write_csv(tables[table], f"{base}/{table}")

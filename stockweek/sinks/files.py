@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockweek.functions.dates import as_date, snapshot_name
 from stockweek.functions.sizes import size_of
+from stockweek.operators.hot_keys import HotKeys, hot_key_sketch, read_sketch
 from stockweek.operators.weekly import WEEK_KEYS
 from stockweek.sources.csv import CSV_FORMAT
+from stockweek.sources.listing import COMMITTED, list_files
 from stockweek.sources.schemas import FACT_DATES
 
 # Fixed value: largest file of a snapshot, in bytes.
@@ -75,6 +78,24 @@ def _widest_row(schema: T.StructType) -> int | None:
     return total
 
 
+# Kept in a snapshot's folder, where scans do not look: its files, and the keys of most stock rows.
+MANIFEST, HOT_KEYS = "_manifest", "_hot_keys"
+
+
+def _file_system(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _files_written(spark: SparkSession, folder: str) -> DataFrame:
+    """Name, rows and bytes of every file of a snapshot, as they are found on disk."""
+    lines = spark.read.text(folder).select(F.col("_metadata.file_name").alias("FILE"))
+    rows = lines.groupBy("FILE").agg((F.count(F.lit(1)) - 1).alias("ROWS"))
+    name = F.element_at(F.split("path", "/"), -1).alias("FILE")
+    files = list_files(spark, folder).select(name, F.col("length").alias("BYTES"))
+    return files.join(rows, "FILE", "left").select("FILE", F.coalesce("ROWS", F.lit(0)).alias("ROWS"), "BYTES")
+
+
 def write_snapshot(
     df: DataFrame, table: str, location: str, day: date | str, null_value: str = ""
 ) -> int:
@@ -84,18 +105,78 @@ def write_snapshot(
     is run again does not count twice. Facts are written by the tasks that read
     them, without a shuffle, in files below the size limit; dimensions make one
     file if they fit. A null is an empty field, or the given text.
+
+    The folder is written under another name, with a manifest of its files at last, and
+    takes the place of an older one as a whole. If the write fails, the older one stays. A
+    line break in a text, which no scan would read back, raises. The pass that writes the
+    inventory also finds the keys with most rows, which the mart job reads.
     """
+    spark, base = df.sparkSession, location.rstrip("/")
+    path, fresh = f"{base}/{snapshot_name(table, as_date(day))}", f"{base}/_writing-{uuid.uuid4().hex}"
     counted = Observation(f"{table}-{as_date(day)}")
     laid_out = df if table in FACT_DATES else _few_files(df)
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if table == "inventory":
+        counts.append(hot_key_sketch().alias("hot"))
     writer = (
-        laid_out.observe(counted, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .options(**CSV_FORMAT)
+        laid_out.observe(counted, *counts)
+        .write.options(**CSV_FORMAT)
         .option("compression", "none")
         .option("nullValue", null_value)
     )
     width = _widest_row(df.schema)
     if width is not None:
         writer = writer.option("maxRecordsPerFile", MAX_FILE_BYTES // width)
-    writer.csv(f"{location.rstrip('/')}/{snapshot_name(table, as_date(day))}")
-    return int(counted.get["rows"])
+    system, target = _file_system(spark, path)
+    temporary = _file_system(spark, fresh)[1]
+    try:
+        writer.csv(fresh)
+        rows = int(counted.get["rows"])
+        if table == "inventory":
+            sketch = [(rows, counted.get["hot"])]
+            spark.createDataFrame(sketch, "TOTAL bigint, SKETCH string").coalesce(1).write.parquet(f"{fresh}/{HOT_KEYS}")
+        _files_written(spark, fresh).write.parquet(f"{fresh}/{MANIFEST}")
+        found = spark.read.parquet(f"{fresh}/{MANIFEST}").agg(F.sum("ROWS")).first()[0] or 0
+        if found != rows:
+            raise ValueError(f"{table}: {rows} rows written make {found} lines")
+        if system.exists(target):
+            system.delete(target, True)
+        if not system.rename(temporary, target):
+            raise OSError(f"{fresh} could not be renamed to {path}")
+    except BaseException:
+        system.delete(temporary, True)
+        raise
+    return rows
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    """Name, rows and bytes of a snapshot's files, or None if it has no manifest."""
+    system, folder = _file_system(spark, f"{path.rstrip('/')}/{MANIFEST}")
+    if not system.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, COMMITTED)):
+        return None
+    return spark.read.parquet(f"{path.rstrip('/')}/{MANIFEST}")
+
+
+def lost_files(spark: SparkSession, path: str) -> DataFrame | None:
+    """What the manifest names and the folder lacks or has in another size; None without a manifest."""
+    manifest = read_manifest(spark, path)
+    if manifest is None:
+        return None
+    name = F.element_at(F.split("path", "/"), -1).alias("FILE")
+    present = list_files(spark, path).select(name, F.col("length").alias("BYTES"))
+    return manifest.join(present, ["FILE", "BYTES"], "left_anti")
+
+
+def read_hot_keys(spark: SparkSession, path: str | list[str]) -> HotKeys | None:
+    """The keys with most rows as found when the inventory was written; None if that is not known."""
+    paths = [path] if isinstance(path, str) else path
+    total, keys = 0, {}
+    for one in paths:
+        system, folder = _file_system(spark, f"{one.rstrip('/')}/{HOT_KEYS}")
+        if not system.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, COMMITTED)):
+            return None
+        rows, sketch = spark.read.parquet(f"{one.rstrip('/')}/{HOT_KEYS}").first()
+        total += rows
+        for *key, n in read_sketch(rows, sketch).keys:
+            keys[tuple(key)] = keys.get(tuple(key), 0) + n
+    return HotKeys(total, [(*key, n) for key, n in keys.items()])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockweek.functions.dates import snapshot_day
+from stockweek.functions.dates import SNAPSHOT_PATTERN, snapshot_day
 from stockweek.functions.nulls import fill_nulls
 from stockweek.operators.daily import (
     daily_inventory,
@@ -33,7 +33,13 @@ from stockweek.operators.weekly import (
 )
 from stockweek.plans.raw_load import load_raw
 from stockweek.plans.serving import register_output
-from stockweek.plans.snapshots import check_snapshots, export_snapshots, run_if_ready
+from stockweek.plans.snapshots import (
+    audit_files,
+    check_snapshots,
+    export_snapshots,
+    list_whole,
+    run_if_ready,
+)
 from stockweek.plans.weekly_mart import FACT, run_weekly_mart
 from stockweek.session import scratch_database, scratch_dir
 from stockweek.sinks.files import read_fact, write_csv, write_fact, write_snapshot
@@ -650,7 +656,7 @@ def q_snapshot_day(spark, sf_dir):
 def _state_of(spark: SparkSession, base: str) -> DataFrame:
     """Of each snapshot that a day needs: whether it is missing, and the rows that are there."""
     found = check_snapshots(spark, base, AS_OF)
-    there = _rows_of(spark, snapshot_files(list_committed(spark, base, AS_OF)))
+    there = _rows_of(spark, snapshot_files(list_whole(spark, base, AS_OF)))
     missing = found.missing.withColumn("MISSING", F.lit(True))
     return (
         required_snapshots(spark, base, AS_OF)
@@ -717,6 +723,47 @@ def q_manifest(spark, sf_dir):
     )
 
 
+@_register(
+    "q_export_files",
+    oracle.query(
+        "SELECT TABLE_NAME, N_ROWS, true AS WITHIN_LIMIT, true AS AS_LISTED"
+        f" FROM ({_snapshot_counts()})"
+    ),
+)
+def q_export_files(spark, sf_dir):
+    """The files of a day as its manifests have them, against a listing."""
+    base = scratch_dir(spark, "day")
+    export_snapshots(spark, tables.tables(spark, sf_dir), base, AS_OF)
+    path = F.regexp_replace("path", r"/part-[^/]*$", "").alias("URI")
+    listed = list_files(spark, base).groupBy(path).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("length").alias("size"), F.max("length").alias("most")
+    )
+    listed = listed.select(F.regexp_extract("URI", SNAPSHOT_PATTERN, 1).alias("TABLE_NAME"), "n", "size", "most")
+    same = (F.col("n") == F.col("FILES")) & (F.col("size") == F.col("BYTES")) & (F.col("most") == F.col("LARGEST"))
+    audit = audit_files(spark, base, AS_OF).join(listed, "TABLE_NAME")
+    return audit.select("TABLE_NAME", "N_ROWS", "WITHIN_LIMIT", same.alias("AS_LISTED"))
+
+
+@_register("q_lost_part_file", _one_missing_sql("inventory"))
+def q_lost_part_file(spark, sf_dir):
+    """All five are committed, but one of the inventory's files is gone since."""
+    base = scratch_dir(spark, "day")
+    export_snapshots(spark, tables.tables(spark, sf_dir), base, AS_OF)
+    gone = list_files(spark, f"{base}/inventory_{AS_OF}.csv").orderBy(F.desc("length")).first()["path"]
+    path = spark._jvm.org.apache.hadoop.fs.Path(gone)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+    return _state_of(spark, base)
+
+
+@_register("q_job_hot_keys", _plain_sql(MART_SQL, grain="hot"))
+def q_job_hot_keys(spark, sf_dir):
+    """The job on snapshots whose export has found the hot keys."""
+    base = scratch_dir(spark, "day")
+    export_snapshots(spark, tables.tables(spark, sf_dir, grain="hot"), base, ALL_DAYS)
+    run_if_ready(spark, base, f"{base}/out", "yr_num", ALL_DAYS)
+    return _settled(read_fact(spark, f"{base}/out/{FACT}", MART_COLUMNS))
+
+
 @_register("q_export_to_mart", _plain_sql(MART_SQL))
 def q_export_to_mart(spark, sf_dir):
     base = scratch_dir(spark, "day")

@@ -9,12 +9,13 @@ import golden
 import pytest
 from conftest import rows
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from stockweek.functions import sizes
 from stockweek.functions.measures import total
 from stockweek.functions.nulls import fill_nulls
-from stockweek.operators import daily as daily_module
+from stockweek.operators import hot_keys
 from stockweek.operators import weekly as weekly_module
 from stockweek.operators.daily import (
     daily_inventory,
@@ -36,8 +37,8 @@ def example(spark):
     return tuple(fill_nulls(f(spark)) for f in (golden.sales, golden.inventory, golden.calendar))
 
 
-def day_fact(sales, inventory):
-    return sales_inv_store_dy(daily_sales(sales), daily_inventory(inventory))
+def day_fact(sales, inventory, hot=None):
+    return sales_inv_store_dy(daily_sales(sales), daily_inventory(inventory), hot)
 
 
 def test_daily_fact(example):
@@ -57,8 +58,8 @@ def test_daily_fact(example):
 def hot(request, monkeypatch):
     """Whether keys of a few rows count as hot."""
     if request.param == "hot keys":
-        monkeypatch.setattr(daily_module, "HOT_HITS", 2)
-        monkeypatch.setattr(daily_module, "HOT_SAMPLE", 1.0)
+        monkeypatch.setattr(hot_keys, "HOT_HITS", 2)
+        monkeypatch.setattr(hot_keys, "HOT_SAMPLE", 1.0)
 
 
 @pytest.mark.parametrize("stepwise", [True, False])
@@ -232,15 +233,57 @@ def test_no_digit_is_dropped(spark):
 
 def test_hot_keys_are_those_with_a_share(spark, monkeypatch):
     _, stock, _ = (fill_nulls(t) for t in random_tables(spark, 4, False))
-    assert daily_module._hot_days(stock) is None
-    monkeypatch.setattr(daily_module, "HOT_HITS", 2)
-    monkeypatch.setattr(daily_module, "HOT_SAMPLE", 1.0)
-    monkeypatch.setattr(daily_module, "HOT_SHARE", 4)
-    found = daily_module._hot_days(stock).collect()
-    assert [tuple(r) for r in found] == [(START + timedelta(5), 1, 1, 2)]
-    monkeypatch.setattr(daily_module, "HOT_SHARE", 10_000)
-    many = daily_module._hot_days(stock)
-    assert many.filter("CAL_DT IS NULL").count() > 0 and many.count() > 5
+    found = hot_keys.sampled_hot_keys
+    assert found(stock).keys == []
+    monkeypatch.setattr(hot_keys, "HOT_HITS", 2)
+    monkeypatch.setattr(hot_keys, "HOT_SAMPLE", 1.0)
+    monkeypatch.setattr(hot_keys, "HOT_SHARE", 4)
+    assert hot_keys.split_parts(found(stock)) == [(START + timedelta(5), 1, 1, 2)]
+    monkeypatch.setattr(hot_keys, "HOT_SHARE", 10_000)
+    many = hot_keys.split_parts(found(stock))
+    assert any(key[0] is None for key in many) and len(many) > 5
+
+
+def sketched(stock):
+    """The hot keys as the pass that writes the rows finds them."""
+    seen = Observation()
+    rows = stock.observe(seen, F.count(F.lit(1)).alias("rows"), hot_keys.hot_key_sketch().alias("hot"))
+    rows.write.format("noop").mode("overwrite").save()
+    return hot_keys.read_sketch(seen.get["rows"], seen.get["hot"])
+
+
+def test_the_sketch_finds_what_the_sample_finds(spark, monkeypatch):
+    sales, stock, calendar = random_tables(spark, 4, False)
+    monkeypatch.setattr(hot_keys, "HOT_HITS", 2)
+    monkeypatch.setattr(hot_keys, "HOT_SAMPLE", 1.0)
+    filled = [fill_nulls(t) for t in (sales, stock, calendar)]
+    hot = sketched(stock.repartition(5))
+    sample = hot_keys.sampled_hot_keys(filled[1])
+    assert hot.total == sample.total and sorted(hot.keys, key=str) == sorted(sample.keys, key=str)
+    assert rows(weekly_mart(*filled, hot=hot)) == rows(weekly_mart(*filled, hot=hot_keys.HotKeys(0, [])))
+
+
+def test_the_sketch_of_many_keys_keeps_the_hot_ones(spark, monkeypatch):
+    monkeypatch.setattr(hot_keys, "TRACKED", 256)
+    stock = spark.range(0, 200_000, 1, 16).selectExpr(
+        "DATE'2022-01-01' AS CAL_DT", "CAST(IF(id % 20 = 0, NULL, id) AS INT) AS STORE_KEY", "1 AS PROD_KEY"
+    )
+    monkeypatch.setattr(hot_keys, "HOT_HITS", 10)
+    hot = sketched(stock)
+    assert [key[:3] for key in hot.keys] == [(date(2022, 1, 1), 0, 1)]
+    assert hot.keys[0][3] == pytest.approx(10_000, rel=0.35)
+
+
+def test_parts_follow_from_the_values(spark, monkeypatch, example):
+    """Whatever the order of the rows, and with equal ones among them."""
+    monkeypatch.setattr(hot_keys, "HOT_HITS", 2)
+    monkeypatch.setattr(hot_keys, "HOT_SAMPLE", 1.0)
+    sales, stock, calendar = (fill_nulls(t) for t in random_tables(spark, 6, False))
+    stock = stock.unionAll(stock).unionAll(stock)
+    none = hot_keys.HotKeys(0, [])
+    want = rows(day_fact(sales, stock, none))
+    assert rows(day_fact(sales, stock)) == want
+    assert rows(day_fact(sales, stock.repartition(5).orderBy(F.rand(3)))) == want
 
 
 def test_invariants(spark, hot):

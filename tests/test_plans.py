@@ -6,7 +6,7 @@ import golden
 import pytest
 
 from stockweek.functions import sizes
-from stockweek.operators import daily
+from stockweek.operators import hot_keys, weekly
 from stockweek.operators.daily import (
     daily_inventory,
     daily_sales,
@@ -71,8 +71,8 @@ def test_daily_join_reuses_the_sales_exchange(stored):
 
 def test_hot_keys_are_dealt_within_one_join(stored, monkeypatch):
     sales, stock, calendar = stored
-    monkeypatch.setattr(daily, "HOT_HITS", 2)
-    monkeypatch.setattr(daily, "HOT_SAMPLE", 1.0)
+    monkeypatch.setattr(hot_keys, "HOT_HITS", 2)
+    monkeypatch.setattr(hot_keys, "HOT_SAMPLE", 1.0)
     text = plan(weekly_mart(sales, stock, calendar))
     assert "NestedLoop" not in text and "Cartesian" not in text
     assert text.count("SortMergeJoin") == 1 and len(exchanges(text)) == 4
@@ -81,6 +81,16 @@ def test_hot_keys_are_dealt_within_one_join(stored, monkeypatch):
     assert sum("INVENTORY_ON_HAND_QTY" in s for s in scans) == 1
 
 
+def test_known_hot_keys_leave_one_scan_of_the_inventory(stored, monkeypatch):
+    sales, stock, calendar = stored
+    monkeypatch.setattr(weekly, "sampled_hot_keys", None)  # it would fail if it were called
+    key = tuple(stock.select(*hot_keys.DAY_KEYS).first())
+    text = plan(weekly_mart(sales, stock, calendar, hot=hot_keys.HotKeys(10, [(*key, 5)])))
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", text)
+    assert sum("INVENTORY_ON_HAND_QTY" in s for s in scans) == 1
+    assert sum("PART" in e for e in exchanges(text)) == 2
+
+
 def test_large_calendar_is_not_broadcast(stored, monkeypatch):
     sales, stock, calendar = stored
     day = sales_inv_store_dy(daily_sales(sales), daily_inventory(stock))

@@ -1,6 +1,7 @@
 """Snapshot names, as-of limits, export audit and readiness."""
 
 import glob
+import os
 from datetime import date, datetime, timezone
 
 import golden
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from stockweek.functions import sizes
 from stockweek.functions.dates import snapshot_day, snapshot_name, snapshot_today
+from stockweek.functions.nulls import fill_nulls
+from stockweek.operators import hot_keys, weekly
 from stockweek.operators.quality import key_quality
 from stockweek.operators.snapshots import (
     all_present,
@@ -20,10 +23,11 @@ from stockweek.operators.snapshots import (
 )
 from stockweek.operators.star import star, star_report
 from stockweek.operators.weekly import weekly_mart
+from stockweek.plans import snapshots
 from stockweek.plans.snapshots import check_snapshots, export_snapshots, run_if_ready
 from stockweek.session import scratch_dir
 from stockweek.sinks import files
-from stockweek.sinks.files import write_snapshot
+from stockweek.sinks.files import lost_files, write_snapshot
 from stockweek.sources.csv import read_csv
 from stockweek.sources.listing import list_committed, list_files
 from stockweek.sources.schemas import JOB_SCHEMAS
@@ -123,8 +127,6 @@ def test_files_stay_below_the_limit(spark, tmp_path, monkeypatch):
         "CAST(id AS INT) AS TRANS_ID", "DATE'2022-01-01' AS TRANS_DT", "id / 7D AS SALES_QTY"
     )
     assert write_snapshot(big.coalesce(1), "sales", str(tmp_path), DAY) == 3000
-    import os
-
     parts = glob.glob(f"{tmp_path}/sales_{DAY}.csv/part-*")
     assert len(parts) > 3 and max(os.path.getsize(p) for p in parts) < 20_000
 
@@ -235,3 +237,71 @@ def test_clean_up_removes_what_runs_left(spark):
     session.clean_up(spark)
     session._folders[:] = kept
     assert not glob.glob(path) and not spark.catalog.databaseExists(name)
+
+
+def test_a_snapshot_that_lost_a_file_is_not_whole(spark, tables, tmp_path):
+    export_snapshots(spark, tables, str(tmp_path), "2022-01-08", day=DAY)
+    (part,) = glob.glob(f"{tmp_path}/store_{DAY}.csv/part-*")
+    text = open(part).read()
+    for change in (lambda: open(part, "a").write("x"), lambda: os.remove(part)):
+        change()
+        assert rows(check_snapshots(spark, str(tmp_path), DAY).missing) == [("store",)]
+        assert rows(lost_files(spark, f"{tmp_path}/store_{DAY}.csv"))[0][0] == os.path.basename(part)
+    open(part, "w").write(text)
+    assert check_snapshots(spark, str(tmp_path), DAY).ready
+    assert lost_files(spark, f"{tmp_path}/none") is None
+
+
+def test_manifest_and_audit(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "MAX_FILE_BYTES", 20_000)
+    monkeypatch.setattr(snapshots, "MAX_FILE_BYTES", 20_000)
+    big = spark.range(0, 3000, 1, 3).selectExpr(
+        "CAST(id AS INT) AS TRANS_ID", "DATE'2022-01-01' AS TRANS_DT", "id / 7D AS SALES_QTY"
+    )
+    write_snapshot(big, "sales", str(tmp_path), DAY)
+    write_snapshot(big.limit(0), "store", str(tmp_path), DAY)
+    manifest = files.read_manifest(spark, f"{tmp_path}/sales_{DAY}.csv")
+    found = {r.FILE: (r.ROWS, r.BYTES) for r in manifest.collect()}
+    parts = glob.glob(f"{tmp_path}/sales_{DAY}.csv/part-*")
+    assert found == {
+        os.path.basename(p): (len(open(p).readlines()) - 1, os.path.getsize(p)) for p in parts
+    }
+    audit = {r.TABLE_NAME: r for r in snapshots.audit_files(spark, str(tmp_path), DAY).collect()}
+    sizes_ = [os.path.getsize(p) for p in parts]
+    assert tuple(audit["sales"])[2:] == (len(parts), 3000, sum(sizes_), max(sizes_), True)
+    assert audit["store"].N_ROWS == 0
+    monkeypatch.setattr(snapshots, "MAX_FILE_BYTES", 100)
+    audit = {r.TABLE_NAME: r for r in snapshots.audit_files(spark, str(tmp_path), DAY).collect()}
+    assert not audit["sales"].WITHIN_LIMIT
+
+
+def test_a_failed_export_leaves_the_older_snapshot(spark, tables, tmp_path):
+    write_snapshot(tables["sales"], "sales", str(tmp_path), DAY)
+    broken = tables["sales"].withColumn("SALES_QTY", F.expr("IF(TRANS_ID = 3, raise_error('no'), SALES_QTY)"))
+    with pytest.raises(Exception, match="no"):
+        write_snapshot(broken, "sales", str(tmp_path), DAY)
+    assert read_csv(spark, "sales", f"{tmp_path}/sales_{DAY}.csv").count() == 9
+    assert os.listdir(tmp_path) == [f"sales_{DAY}.csv"]
+    lines = tables["store"].withColumn("ADDR", F.lit("two\nlines"))
+    with pytest.raises(ValueError, match="1 rows written make 2 lines"):
+        write_snapshot(lines, "store", str(tmp_path), DAY)
+
+
+def test_the_job_takes_hot_keys_from_the_snapshot(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(hot_keys, "HOT_HITS", 2)
+    monkeypatch.setattr(hot_keys, "HOT_SAMPLE", 1.0)
+    export_snapshots(spark, tables, str(tmp_path), "2022-01-08", day=DAY)
+    path = f"{tmp_path}/inventory_{DAY}.csv"
+    assert [k[1:] for k in files.read_hot_keys(spark, path).keys] == [(3, 1, 2)]
+    assert files.read_hot_keys(spark, [path, path]).keys[0][3] == 4
+    assert files.read_hot_keys(spark, f"{tmp_path}/sales_{DAY}.csv") is None
+
+    def fail(inventory):
+        raise AssertionError("the inventory is read for a sample")
+
+    monkeypatch.setattr(weekly, "sampled_hot_keys", fail)
+    assert run_if_ready(spark, str(tmp_path), f"{tmp_path}/out", "STORE_KEY", DAY).ready
+    monkeypatch.undo()
+    fact = spark.read.parquet(f"{tmp_path}/out/sales_inv_store_wk")
+    plain = weekly_mart(*(fill_nulls(tables[t]) for t in ("sales", "inventory", "calendar")))
+    assert rows(fact.select(*plain.columns)) == rows(plain)
