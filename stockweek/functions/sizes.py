@@ -27,8 +27,9 @@ def size_of(df: DataFrame) -> Size:
     return Size(rows, size or 0)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    size = size_of(df)
+def fits_broadcast(df: DataFrame, size: Size | None = None) -> bool:
+    """Whether ``df`` may be broadcast, by the size given or else measured."""
+    size = size or size_of(df)
     return size.rows <= BROADCAST_ROWS and size.bytes <= BROADCAST_BYTES
 
 

@@ -83,6 +83,27 @@ def _dealt(sales: DataFrame, inventory: DataFrame, hot: DataFrame) -> tuple[Data
     return sold, held
 
 
+def deal_days(
+    sales: DataFrame, inventory: DataFrame, hot: HotKeys
+) -> tuple[DataFrame, DataFrame] | None:
+    """Both sides with the ``PART`` of its key that each row goes to; None if no key is hot."""
+    parts = _parts(inventory, hot)
+    return None if parts is None else _dealt(sales, inventory, parts)
+
+
+def join_dealt(sold: DataFrame, held: DataFrame, by_week: bool = False) -> DataFrame:
+    """Full outer join of sides that ``deal_days`` has dealt, as ``match_days`` gives it."""
+    on = _same_week_then_day("s", "i") if by_week else _same_day("s", "i")
+    joined = sold.alias("s").join(held.alias("i"), on & (F.col("s.PART") == F.col("i.PART")), "full")
+    spare = F.coalesce("s.COPIED", F.lit(False)) & F.col("i.PART").isNull()
+    return joined.filter(~spare).select(*_side_columns(sold, held))
+
+
+def _side_columns(sales: DataFrame, inventory: DataFrame) -> list[Column]:
+    names = [F.col(f"s.{c}").alias(f"s_{c}") for c in sales.columns]
+    return names + [F.col(f"i.{c}").alias(f"i_{c}") for c in inventory.columns]
+
+
 def match_days(
     sales: DataFrame, inventory: DataFrame, hot: HotKeys, by_week: bool = False
 ) -> DataFrame:
@@ -93,18 +114,12 @@ def match_days(
     each. A key of ``hot`` must occur in the inventory, where it was found, so copies that
     match nothing are left out. Sales without a date match nothing and stay.
     """
+    dealt = deal_days(sales, inventory, hot)
+    if dealt is not None:
+        return join_dealt(*dealt, by_week)
     on = _same_week_then_day("s", "i") if by_week else _same_day("s", "i")
-    names = [F.col(f"s.{c}").alias(f"s_{c}") for c in sales.columns]
-    names += [F.col(f"i.{c}").alias(f"i_{c}") for c in inventory.columns]
-    parts = _parts(inventory, hot)
-    if parts is None:
-        return sales.alias("s").join(inventory.alias("i"), on, "full").select(*names)
-    sold, held = _dealt(sales, inventory, parts)
-    joined = sold.alias("s").join(
-        held.alias("i"), on & (F.col("s.PART") == F.col("i.PART")), "full"
-    )
-    spare = F.coalesce("s.COPIED", F.lit(False)) & F.col("i.PART").isNull()
-    return joined.filter(~spare).select(*names)
+    joined = sales.alias("s").join(inventory.alias("i"), on, "full")
+    return joined.select(*_side_columns(sales, inventory))
 
 
 def fact_columns() -> list[Column]:

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockweek.functions.measures import total
-from stockweek.functions.sizes import fits_broadcast
+from stockweek.functions.sizes import Size, fits_broadcast
 
 
-def _dimension(table: DataFrame, key: str, columns: list[str]) -> tuple[DataFrame, bool]:
-    """The columns needed, with a broadcast hint if they are measured small, and whether so."""
+def _dimension(
+    table: DataFrame, key: str, columns: list[str], size: Size | None = None
+) -> tuple[DataFrame, bool]:
+    """The columns needed, with a broadcast hint if they are known or measured to be small, and whether so."""
     picked = table.select(key, *columns)
-    small = fits_broadcast(picked)
+    small = fits_broadcast(picked, size)
     return (F.broadcast(picked) if small else picked), small
 
 
@@ -42,15 +44,21 @@ def _summed(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def star_report(fact: DataFrame, store: DataFrame, product: DataFrame) -> DataFrame:
+def star_report(
+    fact: DataFrame,
+    store: DataFrame,
+    product: DataFrame,
+    sizes: tuple[Size | None, Size | None] = (None, None),
+) -> DataFrame:
     """Sales and stock-outs per year, market and product category.
 
     With small dimensions the fact meets them where it is read, and only the sums
     are shuffled. Otherwise it is summed per year, store and product first, so that
-    the joins shuffle one row per pair instead of one per week.
+    the joins shuffle one row per pair instead of one per week. ``sizes`` are those
+    of store and product where they are known, else they are measured.
     """
-    stores, few_stores = _dimension(store, "STORE_KEY", ["MARKET_NAME"])
-    products, few_products = _dimension(product, "PROD_KEY", ["CATEGORY_NAME"])
+    stores, few_stores = _dimension(store, "STORE_KEY", ["MARKET_NAME"], sizes[0])
+    products, few_products = _dimension(product, "PROD_KEY", ["CATEGORY_NAME"], sizes[1])
     rows = fact.withColumnsRenamed({"WK_SALES_QTY": "SALES_QTY", "WK_SALES_AMT": "SALES_AMT"})
     if not (few_stores and few_products):
         rows = _summed(rows, "YR_NUM", "STORE_KEY", "PROD_KEY")

@@ -87,6 +87,11 @@ def _with_ratios(weeks: DataFrame) -> DataFrame:
     )
 
 
+def roll_up_weeks(days: DataFrame, calendar: DataFrame, metrics: bool = False) -> DataFrame:
+    """The weekly mart from daily rows (``fact_columns``), by a small calendar."""
+    return _chosen(_roll_up(days.join(F.broadcast(calendar), "CAL_DT")), metrics)
+
+
 def _chosen(weeks: DataFrame, metrics: bool) -> DataFrame:
     if metrics:
         return _with_ratios(weeks).select(*MART_COLUMNS, *METRIC_COLUMNS)
@@ -106,7 +111,7 @@ def sales_inv_store_wk(
     return _chosen(_roll_up(sales_inv_day.join(slim, "CAL_DT")), metrics)
 
 
-def _has_plain_weeks(slim: DataFrame) -> bool:
+def has_plain_weeks(slim: DataFrame) -> bool:
     """Whether a calendar is small, holds each date once, and its weeks are no longer than weeks."""
     per_date = slim.groupBy("CAL_DT").agg(
         F.count(F.lit(1)).alias("n"), F.min("YR_NUM").alias("year"), F.min("WK_NUM").alias("week")
@@ -138,11 +143,10 @@ def weekly_mart(
     """
     slim = calendar.select(*CALENDAR_COLUMNS).filter(F.col("CAL_DT").isNotNull())
     sales_day, stock_day = daily_sales(sales), daily_inventory(inventory)
-    if not _has_plain_weeks(slim):
+    if not has_plain_weeks(slim):
         return sales_inv_store_wk(sales_inv_store_dy(sales_day, stock_day, hot), calendar, metrics)
     # Equal weeks have equal hashes, and a hash is never null. Only the hash
     # travels through the shuffle; the calendar's columns are joined on after it.
-    slim = F.broadcast(slim)
     week = slim.select("CAL_DT", F.hash("YR_NUM", "WK_NUM").alias("WEEK_HASH"))
     joined = match_days(
         sales_day.join(F.broadcast(week), "CAL_DT"),
@@ -150,8 +154,7 @@ def weekly_mart(
         sampled_hot_keys(stock_day) if hot is None else hot,
         by_week=True,
     )
-    days = joined.select(*fact_columns())
-    return _chosen(_roll_up(days.join(slim, "CAL_DT")), metrics)
+    return roll_up_weeks(joined.select(*fact_columns()), slim, metrics)
 
 
 def week_keys_and(mart: DataFrame, *names: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import SparkSession
 
+from stockweek.plans.incremental import update_weekly_mart
 from stockweek.plans.raw_load import load_raw
 from stockweek.plans.snapshots import export_snapshots, run_if_ready
 from stockweek.plans.weekly_mart import OPTIONS, as_mapping, run_weekly_mart
@@ -55,11 +56,24 @@ def _run_if_ready(spark: SparkSession, params: Mapping) -> list[str]:
     return [f"written to {params['output_path']}"]
 
 
+def _update(spark: SparkSession, params: Mapping) -> list[str]:
+    done = update_weekly_mart(
+        spark,
+        as_mapping(params["old_input_path"]),
+        as_mapping(params["input_path"]),
+        params["output_path"],
+        params["partition_column"],
+        **_given(params, "metrics", "null_value"),
+    )
+    return [f"{done.weeks} weeks computed anew, {len(done.written)} partitions written to {params['output_path']}"]
+
+
 COMMANDS: dict[str, Callable[[SparkSession, Mapping], list[str]]] = {
     "mart": _mart,
     "load": _load,
     "export": _export,
     "run-if-ready": _run_if_ready,
+    "update": _update,
 }
 
 

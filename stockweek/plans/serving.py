@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from stockweek.operators.star import star_report
 from stockweek.operators.weekly import MART_COLUMNS, METRIC_COLUMNS
 from stockweek.plans.weekly_mart import DIMENSIONS, FACT
-from stockweek.sinks.catalog import register_dimension, register_fact, register_star_view
+from stockweek.sinks.catalog import (
+    known_size,
+    register_dimension,
+    register_fact,
+    register_star_view,
+)
 from stockweek.sources.raw import create_namespace
 
 
@@ -35,3 +41,11 @@ def register_output(
     for table in DIMENSIONS:
         register_dimension(spark, f"{database}.{table}", table, f"{base}/{table}")
     register_star_view(spark, database, FACT)
+
+
+def served_star_report(spark: SparkSession, database: str) -> DataFrame:
+    """``star_report`` on the served tables; the catalog says which dimensions are small."""
+    fact, *dimensions = (f"{database}.{name}" for name in (FACT, "store", "product"))
+    sizes = tuple(known_size(spark, name) for name in dimensions)
+    store, product = map(spark.table, dimensions)
+    return star_report(spark.table(fact), store, product, sizes)

@@ -4,7 +4,8 @@
                                          "output_path": ..., "partition_column": "STORE_KEY",
                                          "metrics": true}'
 
-``metrics``, ``partition_overwrite``, ``null_value`` and ``parse_report`` may be left out.
+``metrics``, ``partition_overwrite``, ``null_value``, ``parse_report`` and
+``quarantine`` may be left out.
 """
 
 from __future__ import annotations
@@ -15,16 +16,19 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stockweek.operators.hot_keys import HotKeys
+from stockweek.operators.quarantine import split_unknown_keys
 from stockweek.operators.weekly import weekly_mart
+from stockweek.session import scratch_dir
 from stockweek.sinks.files import read_hot_keys, write_csv, write_fact
 from stockweek.sources.csv import ObservedScan, read_table, report_table
-from stockweek.sources.schemas import TABLES
+from stockweek.sources.schemas import FACT_DATES, TABLES
 
 # Names of the outputs.
 FACT = "sales_inv_store_wk"
 DIMENSIONS = ("store", "product", "calendar")
 
-PARSE_REPORT = "parse_report"
+PARSE_REPORT, REJECTED = "parse_report", "rejected"
 
 
 def as_mapping(text: str | Mapping) -> dict:
@@ -53,11 +57,14 @@ def run_weekly_mart(
     partition_overwrite: str = "static",
     null_value: str | None = None,
     parse_report: bool = False,
+    quarantine: bool = False,
 ) -> None:
     """Build the mart from the CSV snapshots and write it beside copies of the dimensions.
 
     An inventory written as a snapshot tells its hot keys; of any other, a sample of the
     keys is read first. ``parse_report`` adds a table of the fields that did not parse, counted as they are read.
+    ``quarantine`` leaves out rows of the facts without a date, store or product, and writes
+    them beside the mart with the reason.
     """
     scans: list[ObservedScan] = []
     if parse_report:
@@ -66,7 +73,14 @@ def run_weekly_mart(
     else:
         tables = read_inputs(spark, inputs, null_value)
     base = output_path.rstrip("/")
+    if quarantine:
+        for table in FACT_DATES:
+            split = split_unknown_keys(tables[table], table, scratch_dir(spark, table))
+            split.rejected.write.mode("overwrite").parquet(f"{base}/{REJECTED}/{table}")
+            tables[table] = split.kept
     hot = read_hot_keys(spark, inputs["inventory"])
+    if quarantine and hot:
+        hot = HotKeys(hot.total, [key for key in hot.keys if all(key[:3])])
     fact = weekly_mart(tables["sales"], tables["inventory"], tables["calendar"], metrics, hot)
     write_fact(fact, f"{base}/{FACT}", partition_column, partition_overwrite)
     for table in DIMENSIONS:
@@ -76,4 +90,4 @@ def run_weekly_mart(
 
 
 # Parameters of the job besides the required ones, passed on as they are.
-OPTIONS = ("metrics", "partition_overwrite", "null_value", "parse_report")
+OPTIONS = ("metrics", "partition_overwrite", "null_value", "parse_report", "quarantine")

@@ -190,7 +190,11 @@ metrics AS (
   FROM weekly)"""
 
 
-def query(select: str, grain: str = "item", weeks: str = "plain") -> str:
-    """A statement over all tables and steps, by their names above."""
-    steps = [CALENDAR, _CALENDARS[weeks], _lines(grain), _SALES, _INVENTORY, STORE, PRODUCT]
+def query(select: str, grain: str = "item", weeks: str = "plain", known: bool = False) -> str:
+    """A statement over all tables and steps, by their names above; ``known``: no unknown keys in the facts."""
+    facts = [_SALES, _INVENTORY]
+    if known:
+        where = " WHERE {0} IS NOT NULL AND STORE_KEY <> 0 AND PROD_KEY <> 0)"
+        facts = [f.rstrip()[:-1] + where.format(d) for f, d in zip(facts, ("TRANS_DT", "CAL_DT"), strict=True)]
+    steps = [CALENDAR, _CALENDARS[weeks], _lines(grain), *facts, STORE, PRODUCT]
     return "WITH " + ",".join([*steps, _DAILY, _WEEKLY]) + "\n" + select

@@ -16,7 +16,9 @@ from stockweek.operators.daily import (
     daily_sales,
     sales_inv_store_dy,
 )
+from stockweek.operators.changes import FACT_COLUMNS, changed_groups
 from stockweek.operators.quality import key_quality
+from stockweek.operators.quarantine import KEPT, split_unknown_keys
 from stockweek.operators.snapshots import (
     all_present,
     required_snapshots,
@@ -31,8 +33,10 @@ from stockweek.operators.weekly import (
     week_keys_and,
     weekly_mart,
 )
+from stockweek.plans.incremental import update_weekly_mart
+from stockweek.plans.layout import stage_facts, weekly_mart_from_staged
 from stockweek.plans.raw_load import load_raw
-from stockweek.plans.serving import register_output
+from stockweek.plans.serving import register_output, served_star_report
 from stockweek.plans.snapshots import (
     audit_files,
     check_snapshots,
@@ -533,11 +537,7 @@ def q_star_report(spark, sf_dir):
 
 @_register("q_star_report_served", STAR_SQL)
 def q_star_report_served(spark, sf_dir):
-    database = _served(spark, sf_dir)
-    fact, store, product = (
-        spark.table(f"{database}.{name}") for name in (FACT, "store", "product")
-    )
-    return star_report(fact, store, product)
+    return served_star_report(spark, _served(spark, sf_dir))
 
 
 @_register("q_star_view", STAR_SQL)
@@ -553,6 +553,136 @@ def q_star_view(spark, sf_dir):
     )
 
 
+# --- other ways to the mart -------------------------------------------------
+
+
+def _staged(spark: SparkSession, sf_dir: str, grain: str, weeks=lambda calendar: calendar) -> str:
+    database = scratch_database("staged")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_dir(spark, 'staged')}'")
+    t = tables.clean_tables(spark, sf_dir, FACT_TABLES, grain)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stage_facts(t["sales"], t["inventory"], weeks(t["calendar"]), database, buckets)
+    return database
+
+
+@_register("q_weekly_mart_staged", _plain_sql(METRICS_SQL, grain="brand"))
+def q_weekly_mart_staged(spark, sf_dir):
+    return _settled(weekly_mart_from_staged(spark, _staged(spark, sf_dir, "brand"), metrics=True))
+
+
+@_register("q_weekly_mart_staged_hot_keys", _plain_sql(MART_SQL, grain="hot"))
+def q_weekly_mart_staged_hot_keys(spark, sf_dir):
+    return _settled(weekly_mart_from_staged(spark, _staged(spark, sf_dir, "hot")))
+
+
+@_register("q_weekly_mart_staged_loose_weeks", _plain_sql(MART_SQL, weeks="loose"))
+def q_weekly_mart_staged_loose_weeks(spark, sf_dir):
+    return _settled(weekly_mart_from_staged(spark, _staged(spark, sf_dir, "item", tables.loose_weeks)))
+
+
+def _day_before(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """An older dump: nothing after a day, some sales missing, some stock counted differently."""
+    sales = snapshot_as_of(t["sales"], "sales", AS_OF).filter("TRANS_ID % 5000 <> 7")
+    stock = snapshot_as_of(t["inventory"], "inventory", AS_OF)
+    recount = F.col("INVENTORY_ON_HAND_QTY") + F.when(F.col("PROD_KEY") % 500 == 3, 1).otherwise(0)
+    return {**t, "sales": sales, "inventory": stock.withColumn("INVENTORY_ON_HAND_QTY", recount)}
+
+
+def _updated_mart(spark, sf_dir, column: str, metrics: bool) -> DataFrame:
+    """The mart of an older dump, brought up to the one of today."""
+    base, t = scratch_dir(spark, "update"), tables.tables(spark, sf_dir)
+    export_snapshots(spark, _day_before(t), base, AS_OF)
+    export_snapshots(spark, t, base, ALL_DAYS)
+    days = [{name: f"{base}/{name}_{day}.csv" for name in TABLES} for day in (AS_OF, ALL_DAYS)]
+    run_weekly_mart(spark, days[0], f"{base}/out", column, metrics)
+    update_weekly_mart(spark, *days, f"{base}/out", column, metrics)
+    columns = MART_COLUMNS + (METRIC_COLUMNS if metrics else [])
+    return _settled(read_fact(spark, f"{base}/out/{FACT}", columns))
+
+
+@_register("q_incremental_mart", _plain_sql(METRICS_SQL))
+def q_incremental_mart(spark, sf_dir):
+    return _updated_mart(spark, sf_dir, "YR_NUM", metrics=True)
+
+
+@_register("q_incremental_mart_store", _plain_sql(MART_SQL))
+def q_incremental_mart_store(spark, sf_dir):
+    return _updated_mart(spark, sf_dir, "STORE_KEY", metrics=False)
+
+
+@_register(
+    "q_changed_days",
+    _plain_sql(
+        f"""SELECT DISTINCT CAST(TRANS_DT AS VARCHAR) AS DAY, STORE_KEY FROM sales
+            WHERE TRANS_ID % 5000 = 7 OR TRANS_DT > DATE '{AS_OF}'
+               OR (TRANS_DT IS NULL AND STORE_KEY IN
+                   (SELECT STORE_KEY FROM sales WHERE TRANS_DT IS NULL))"""
+    ),
+)
+def q_changed_days(spark, sf_dir):
+    """Days and stores whose sales differ between two dumps; the older one has no undated sales."""
+    sales = _clean(spark, sf_dir, "sales")
+    older = snapshot_as_of(sales, "sales", AS_OF).filter("TRANS_ID % 5000 <> 7")
+    dated = [df.withColumn("DAY", F.col("TRANS_DT")) for df in (older, sales)]
+    return _plain(changed_groups(*dated, ["DAY", "STORE_KEY"], FACT_COLUMNS["sales"]))
+
+
+def _quarantined(spark: SparkSession, sf_dir: str) -> str:
+    base = scratch_dir(spark, "job")
+    inputs = _write_inputs(spark, sf_dir, f"{base}/in")
+    run_weekly_mart(spark, inputs, f"{base}/out", "YR_NUM", quarantine=True)
+    return f"{base}/out"
+
+
+@_register("q_mart_known_keys", oracle.query(MART_SQL, known=True))
+def q_mart_known_keys(spark, sf_dir):
+    return _settled(read_fact(spark, f"{_quarantined(spark, sf_dir)}/{FACT}", MART_COLUMNS))
+
+
+_REASON = (
+    "CASE WHEN {0} IS NULL THEN 'no date' WHEN STORE_KEY = 0 THEN 'no store'"
+    " WHEN PROD_KEY = 0 THEN 'no product' ELSE 'kept' END"
+)
+
+
+@_register(
+    "q_quarantine",
+    oracle.query(
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS TABLE_NAME, {_REASON.format(d)} AS REASON, count(*) AS N_ROWS,"
+            f" CAST(sum(PROD_KEY) AS BIGINT) AS PROD_KEYS FROM {t} GROUP BY ALL"
+            for t, d in (("sales", "TRANS_DT"), ("inventory", "CAL_DT"))
+        )
+    ),
+)
+def q_quarantine(spark, sf_dir):
+    """Kept and rejected rows by reason; together they are the table."""
+    parts = []
+    for table, df in tables.clean_tables(spark, sf_dir, "sales inventory").items():
+        split = split_unknown_keys(df, table, scratch_dir(spark, table))
+        both = split.kept.withColumn("REASON", F.lit(KEPT)).unionByName(split.rejected)
+        counts = both.groupBy("REASON").agg(
+            F.count(F.lit(1)).alias("N_ROWS"), F.sum("PROD_KEY").alias("PROD_KEYS")
+        )
+        parts.append(counts.select(F.lit(table).alias("TABLE_NAME"), "REASON", "N_ROWS", "PROD_KEYS"))
+    return reduce(DataFrame.unionAll, parts)
+
+
+@_register("q_served_after_update", _plain_sql(METRICS_SQL))
+def q_served_after_update(spark, sf_dir):
+    """The served fact, registered without metrics at first and then again, in place."""
+    database = scratch_database("mart")
+    current, base = spark.catalog.currentDatabase(), scratch_dir(spark, "serve")
+    inputs = _write_inputs(spark, sf_dir, f"{base}/in")
+    older = {**inputs, "sales": f"{base}/older"}
+    _dumped(spark, sf_dir, "sales").filter("TRANS_DT < DATE '1995-01-01'").write.options(header="true").csv(f"{base}/older")
+    for given, metrics in ((older, False), (inputs, True)):
+        run_weekly_mart(spark, given, f"{base}/out", "YR_NUM", metrics)
+        register_output(spark, f"{base}/out", "YR_NUM", database, f"{base}/db")
+    spark.catalog.setCurrentDatabase(current)
+    return _settled(spark.table(f"{database}.{FACT}").select(*MART_COLUMNS, *METRIC_COLUMNS))
+
+
 # --- snapshots --------------------------------------------------------------
 
 

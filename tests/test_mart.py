@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 from datetime import date, timedelta
+from decimal import Decimal
 from math import fsum
 
 import golden
@@ -306,6 +307,11 @@ def test_sums_do_not_depend_on_the_order(spark):
     exact = sum(n * 7919 % 1000003 for n in range(300_000)) / 100
     for frame in (df, shuffled, df.coalesce(1)):
         assert frame.agg(total("x")).first()[0] == exact
+    # Beyond 2^53 units, in any order.
+    wide = spark.range(0, 100_000, 1, 8).selectExpr("729182399.17 * (id % 3 + 1) * 977 AS x", "id")
+    exact = float(sum(Decimal("729182399.17") * (n % 3 + 1) * 977 for n in range(100_000)))
+    for frame in (wide, wide.orderBy(F.desc("id")), wide.coalesce(1)):
+        assert frame.select(F.col("x").cast("double").alias("x")).agg(total("x")).first()[0] == exact
     huge = spark.range(1000).selectExpr("CAST(1e20 AS DOUBLE) AS x")
     assert huge.agg(total("x")).first()[0] == pytest.approx(1e23)
 
