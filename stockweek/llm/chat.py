@@ -5,35 +5,32 @@ conversation are rendered, and consecutive outputs compared: what the longer one
 adds is the new turn's piece. Rendering the last turn once more with a marker
 for its text shows where the text lies in the piece. An output that does not
 begin with the one before it gives away a template that rewrites history.
+
+Every prefix is rendered whole, so that no rewriting is missed, and the time grows with
+the square of the turns. A template may declare, by an attribute ``turn_by_turn``, that
+what a turn adds follows from that turn alone. It then gets the turn before as the prefix,
+for conversations of every length, and the declaration is put to proof: whenever the turns
+have doubled, and at the end, the whole conversation must render to the same text and
+spans, and an error is raised if it does not.
 """
 
 from __future__ import annotations
 
 import re
-from collections import deque
 from collections.abc import Callable, Iterator
 from functools import partial
+from hashlib import sha256
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.llm.columns import col
+from stockweek.llm.columns import col, integer_id
 
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
-# Prefixes are rendered whole up to so many turns; after that, the first turn and
-# the latest ones stand for the prefix, so that time stays in proportion. Pieces
-# made that way count once they agree with the whole conversation.
-CONTEXT = 64
-
-# Characters of a conversation that are held to compare it as a whole. A longer one
-# is an error, unless the template is marked ``turn_by_turn``: it renders each turn
-# on its own, so that a short prefix gives what the whole one gives.
-HELD = 1 << 26
-
 # Rows leave in batches of about so many characters, and of so many rows at most.
 _OUT_CHARS, _OUT_ROWS = 4 << 20, 10_000
 
@@ -62,7 +59,10 @@ def _unescape_role(role: str) -> str:
 
 
 def marked_turns(turns: list[Turn]) -> str:
-    """A template that puts each turn between control strings; roles and texts are escaped."""
+    """A template that puts each turn between control strings; roles and texts are escaped.
+
+    It declares that it renders each turn on its own.
+    """
     return "".join(f"{START}{_escape_role(r)}\n{escape(t)}{END}\n" for r, t in turns)
 
 
@@ -123,113 +123,49 @@ def _added(
 class IncrementalRenderer:
     """Renders a conversation turn by turn through a template it knows nothing of.
 
-    ``add`` gives a turn's piece. From ``context`` turns on it may come from a short
-    prefix, and is never a restart then; ``take`` gives the pieces that hold. It
-    renders all turns whenever their number has doubled, and at the end, and
-    compares text and spans. Where they differ, and for a template that was seen to
-    rewrite or to tell a short prefix from the whole, each piece comes from the
-    whole prefix, which takes time with the square of the turns.
+    ``add`` gives a turn's piece; ``finish`` ends the conversation. The turns are held. Of a
+    template that declares ``turn_by_turn``, digests stand for what was put out.
     """
 
-    def __init__(self, template: Template, context: int = CONTEXT):
-        self._template, self._context = template, context
+    def __init__(self, template: Template):
+        self._template = template
+        self._alone = bool(getattr(template, "turn_by_turn", False))
         self._turns: list[Turn] = []
-        self._held, self._check = 0, 2 * context
-        # The output of the turns whose pieces hold, and their number.
-        self._output, self._done = "", 0
-        self._ready: list[Piece] = []
-        self._open: list[tuple[Piece, str]] = []
-        self._last: tuple[Piece, str | None] | None = None
-        self._near: list[Turn] = []
-        self._near_output = ""
-        self._whole_only = self._unchecked = False
+        self._output = ""
+        # Of a declared template: the pieces so far, and the same with each text marked.
+        self._whole, self._marked = sha256(), sha256()
+        self._check = 2
 
     def add(self, turn: Turn) -> Piece:
-        if self._unchecked:
-            return self._add_short(turn)
-        if len(self._turns) >= self._context and self._too_long(turn):
-            self._ready += [piece for piece, _ in self._open]
-            self._open, self._output, self._unchecked = [], "", True
-            self._near = self._near or self._turns
-            self._turns = []
-            return self._add_short(turn)
-        self._held += len(turn[0]) + len(turn[1])
-        if len(self._turns) >= self._context and not self._whole_only:
-            piece = self._add_short(turn)
-            if piece:
-                return piece
-            self._redo()
-        return self._add_whole(turn)
-
-    def take(self, end: bool = False) -> list[Piece]:
-        """The next pieces that hold; at the end, all that are left."""
-        if self._open and (end or len(self._turns) >= self._check):
-            self._compare()
-        ready, self._ready = self._ready, []
-        return ready
-
-    def _too_long(self, turn: Turn) -> bool:
-        if self._held + len(turn[0]) + len(turn[1]) <= HELD:
-            return False
-        if not getattr(self._template, "turn_by_turn", False):
-            raise ValueError(f"a conversation of more than {HELD} characters can't be compared whole")
-        return True
-
-    def _add_whole(self, turn: Turn) -> Piece:
-        piece, marked, self._output = _added(self._template, self._turns, self._output, turn)
+        if not self._alone:
+            piece, _, self._output = _added(self._template, self._turns, self._output, turn)
+            self._turns.append(turn)
+            return piece
+        before = self._turns[-1:]
+        piece, marked, _ = _added(self._template, before, self._template(before) if before else "", turn)
+        if piece.restart or marked is None:
+            self._refuse()
         self._turns.append(turn)
-        self._done = len(self._turns)
-        self._ready.append(piece)
-        self._last = piece, marked
-        self._whole_only |= piece.restart
+        self._whole.update(piece.text.encode())
+        self._marked.update(marked.encode())
+        if len(self._turns) == self._check:
+            self._prove()
+            self._check *= 2
         return piece
 
-    def _add_short(self, turn: Turn) -> Piece | None:
-        """The piece after a short prefix; None where that can't stand for the whole one."""
-        if not self._near or len(self._near) >= self._context:
-            known = self._near or self._turns
-            *before, last = [known[0], *known[-(self._context // 2) :]]
-            # A turn rendered before must come out the same.
-            *again, output = _added(self._template, before, self._template(before), last)
-            if tuple(again) != self._last:
-                return self._no_short()
-            self._near, self._near_output = [*before, last], output
-        piece, marked, output = _added(self._template, self._near, self._near_output, turn)
-        if piece.restart or marked is None:
-            return self._no_short()
-        self._near.append(turn)
-        self._near_output = output
-        self._last = piece, marked
-        if self._unchecked:
-            self._ready.append(piece)
-        else:
-            self._turns.append(turn)
-            self._open.append((piece, marked))
-        return piece
+    def finish(self) -> None:
+        if self._alone and self._turns:
+            self._prove()
+
+    def _prove(self) -> None:
+        """Compare the pieces with the whole conversation, as it is and with all texts marked."""
+        marked = [(role, _MARK) for role, _ in self._turns]
+        for turns, digest in ((self._turns, self._whole), (marked, self._marked)):
+            if sha256(self._template(turns).encode()).digest() != digest.digest():
+                self._refuse()
 
-    def _no_short(self) -> None:
-        if self._unchecked:
-            raise ValueError("a template marked turn_by_turn rendered a turn by its place")
-
-    def _compare(self) -> None:
-        """Accept the open pieces if the whole conversation has the same, or make them anew."""
-        first, later = self._turns[: self._done], self._turns[self._done :]
-        whole = self._template(self._turns)
-        if whole == "".join([self._output, *(piece.text for piece, _ in self._open)]):
-            marks = self._template([*first, *((role, _MARK) for role, _ in later)])
-            if marks == "".join([self._output, *(marked for _, marked in self._open)]):
-                self._ready += [piece for piece, _ in self._open]
-                self._open, self._output, self._done = [], whole, len(self._turns)
-                self._check = 2 * self._done
-                return
-        self._redo()
-
-    def _redo(self) -> None:
-        self._whole_only = True
-        later, self._turns = self._turns[self._done :], self._turns[: self._done]
-        self._open = []
-        for turn in later:
-            self._add_whole(turn)
+    def _refuse(self) -> None:
+        raise ValueError("a template that declares turn_by_turn rendered a turn by what is around it")
 
 
 FIELDS = (
@@ -240,22 +176,17 @@ FIELDS = (
 
 def _rows(template: Template, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Rows sorted by conversation and turn; a conversation may go on over many batches."""
-    current, renderer, seq, roles = object(), None, 0, deque()
+    current, renderer, seq = object(), None, 0
     for batch in batches:
         for conv, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if conv != current:
-                for piece in renderer.take(end=True) if renderer else ():
-                    yield current, seq, roles.popleft(), *piece
-                    seq += 1
+                if renderer:
+                    renderer.finish()
                 current, renderer, seq = conv, IncrementalRenderer(template), 0
-            roles.append(role)
-            renderer.add((role, text))
-            for piece in renderer.take():
-                yield current, seq, roles.popleft(), *piece
-                seq += 1
-    for piece in renderer.take(end=True) if renderer else ():
-        yield current, seq, roles.popleft(), *piece
-        seq += 1
+            yield current, seq, role, *renderer.add((role, text))
+            seq += 1
+    if renderer:
+        renderer.finish()
 
 
 def _render(template: Template, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,15 +220,17 @@ def format_conversations(
     """One row per turn: its conversation, place, role, rendered piece and the span of its text.
 
     The pieces of a conversation in order of ``seq`` are its formatted text; a row
-    with ``restart`` starts it anew. That is so for conversations of any length; one of
-    more than ``HELD`` characters is an error unless the template is ``turn_by_turn``. Turns are ordered by number (nulls first),
-    then role, then text, so ties and repeated rows have one order; repeated rows
-    stay. A null role or text is empty. Rows without a conversation id are one
-    conversation. Rows leave partitioned and sorted by conversation.
+    with ``restart`` starts it anew. That is so for conversations of any length; the
+    turns of one are held by one task, and its text while it is rendered whole. Turns are
+    ordered by number (nulls first), then role, then text, so ties and repeated rows have
+    one order; repeated rows stay. A null role or text is empty. Conversation ids are
+    integers, see ``columns.integer_id``. Rows without one are one conversation, as rows
+    of any other id are. An empty table gives an empty result. Other columns are not
+    read. Rows leave partitioned and sorted by conversation.
     """
     empty = F.lit("")
     ordered = turns.select(
-        col(conv_id).cast("bigint").alias("conv_id"),
+        integer_id(turns, conv_id).alias("conv_id"),
         col(turn).alias("turn"),
         F.coalesce(col(role), empty).alias("role"),
         F.coalesce(col(text), empty).alias("text"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,14 @@ def own_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return df.select(*(col(name).alias(own) for name, own in names.items())), names
 
 
+def integer_id(df: DataFrame, name: str) -> Column:
+    """An id column as bigint. Ids are integers; a column of another type is refused at once."""
+    kind = df.schema[name].dataType
+    if not isinstance(kind, (T.IntegralType, T.NullType)):
+        raise TypeError(f"ids must be integers, but {name} is {kind.simpleString()}")
+    return col(name).cast("bigint")
+
+
 # Bytes of texts that a task takes at a time.
 BATCH_BYTES = 4 << 20
 

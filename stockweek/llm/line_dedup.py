@@ -19,15 +19,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.llm.columns import TextWork, as_bytes, col, free_name, map_texts
+from stockweek.llm.columns import TextWork, as_bytes, free_name, integer_id, map_texts
 from stockweek.llm.perfect_hash import LineIndex
 from stockweek.session import scratch_dir
 
 SPACES = b" \t\n\x0b\x0c\r"
 MIN_KEY_CHARS = 10
 
-# Distinct lines in a shard, on average.
-SHARD_KEYS = 1 << 15
+# Distinct lines in a shard, and probes of it, on average and at most; and the least number
+# of shards for each partition of a shuffle, so that a few lines fill the tasks as well.
+SHARD_KEYS, SHARD_PROBES = 1 << 15, 1 << 18
+SHARDS_PER_TASK = 4
 
 # A line held by this part of all (line, document) pairs is hot; so no more than
 # HOT_LINES are, and any other line sends less than that part to its shard.
@@ -111,9 +113,11 @@ def _lines_to_drop(pairs: DataFrame, scratch: str) -> tuple[DataFrame, LineIndex
     is_hot = F.col("n") >= max(1000, n_pairs // HOT_LINES)
     rows = np.array(lines.filter(is_hot).select("high", "low", "n", "owner").collect(), np.int64)
     rows = rows.reshape(-1, 4)
-    hot = LineIndex.build(rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3])
+    # All lines of all documents ask it, so it holds the whole keys, 160 KB at most.
+    hot = LineIndex.build(*rows.T, whole=True)
 
-    shards = max(1, n_keys // SHARD_KEYS)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(SHARDS_PER_TASK * tasks, n_keys // SHARD_KEYS, n_pairs // SHARD_PROBES)
     shard = F.pmod("high", F.lit(shards)).cast("int").alias("shard")
     index = (
         lines.filter(~is_hot)
@@ -186,13 +190,16 @@ def dedup_lines(
     except in the document with the smallest id. Rows that share an id are one
     document; so are all rows without an id, which comes before any other. A
     null text stays null and counts as one empty line. An empty table gives an
-    empty result. Lines compare by a 128-bit hash.
+    empty result. Lines compare by a 128-bit hash. Rows without an id hold the smallest one,
+    so they lose no line, and none is listed for them. Ids are integers, see
+    ``columns.integer_id``. A long text is worked on whole, at about five times its size. A
+    result replaces a kept column of its name, other columns may have any.
     """
     spark = df.sparkSession
     scratch = scratch_dir(spark, "lines")
     id_column, drop_column = free_name(df.columns, "doc"), free_name(df.columns, "drop")
     docs = df.select(
-        "*", F.coalesce(col(doc_id).cast("bigint"), F.lit(NO_ID)).alias(id_column)
+        "*", F.coalesce(integer_id(df, doc_id), F.lit(NO_ID)).alias(id_column)
     )
     keyed = map_texts(docs, text, [id_column], "keys binary", _keys_work)
     pairs = keyed.mapInArrow(_exploded, "high bigint, low bigint, doc bigint")

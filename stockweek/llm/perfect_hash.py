@@ -75,17 +75,27 @@ class PerfectHash:
 
 
 class LineIndex:
-    """What is known of each key, in arrays by slot: a fingerprint, a count and an owner."""
+    """What is known of each key, in arrays by slot: a fingerprint, a count and an owner.
+
+    A fingerprint is 32 bits of the key, which tell most strangers from members. Where
+    strangers may ask at all, ``whole`` makes it all 128 bits, so that none is mistaken.
+    """
 
     def __init__(self, slots: PerfectHash, prints, counts, owners):
         self._slots, self._prints, self._counts, self._owners = slots, prints, counts, owners
 
+    @staticmethod
+    def _fingerprints(high, low, words: int) -> np.ndarray:
+        """So many words of 32 bits of each key, one row per key."""
+        both = np.stack([low.astype(np.uint64), high.astype(np.uint64)], axis=1)
+        return both.view(np.uint32)[:, :words]
+
     @classmethod
-    def build(cls, high, low, counts, owners) -> LineIndex:
+    def build(cls, high, low, counts, owners, whole: bool = False) -> LineIndex:
         slots = PerfectHash.build(high, low)
         order = np.empty(len(high), np.int64)
         order[slots.slots(high, low)] = np.arange(len(high))
-        prints = (low.astype(np.uint64) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        prints = cls._fingerprints(high, low, 4 if whole else 1)
         few = np.minimum(counts, 0xFFFF).astype(np.uint16)
         return cls(slots, prints[order], few[order], owners.astype(np.int64)[order])
 
@@ -96,28 +106,28 @@ class LineIndex:
         slot = np.where(known, slot, 0)
         if not len(self._prints):
             return known
-        low32 = (low.astype(np.uint64) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        same = known & (self._prints[slot] == low32) & (self._counts[slot] >= 2)
+        asked = self._fingerprints(high, low, self._prints.shape[1])
+        same = known & (self._prints[slot] == asked).all(axis=1) & (self._counts[slot] >= 2)
         return same & (self._owners[slot] != doc)
 
     def to_bytes(self) -> bytes:
         sizes, words = self._slots.sizes, self._slots.words
-        head = np.array([len(sizes), len(words), len(self._prints)], np.int64)
+        head = np.array([len(sizes), len(words), *self._prints.shape], np.int64)
         parts = (head, sizes, words, self._owners, self._prints, self._counts)
         return b"".join(p.tobytes() for p in parts)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> LineIndex:
-        levels, words, keys = np.frombuffer(data, np.int64, 3).tolist()
-        at, parts = 24, []
+        levels, words, keys, width = np.frombuffer(data, np.int64, 4).tolist()
+        at, parts = 32, []
         for count, kind in (
             (levels, np.int64),
             (words, np.uint64),
             (keys, np.int64),
-            (keys, np.uint32),
+            (keys * width, np.uint32),
             (keys, np.uint16),
         ):
             parts.append(np.frombuffer(data, kind, count, at))
             at += parts[-1].nbytes
         sizes, bits, owners, prints, counts = parts
-        return cls(PerfectHash(sizes, bits), prints, counts, owners)
+        return cls(PerfectHash(sizes, bits), prints.reshape(keys, width), counts, owners)

@@ -7,6 +7,8 @@ fails the base counts, is rejected.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,18 +24,32 @@ MAX_REPEATED_PERCENT = 20
 
 # A line of more words than this must have the end of a sentence somewhere.
 MAX_UNFINISHED_WORDS = 8
-SENTENCE_END = r"[.!?…:;][\x22'”’»)\]]?([\x20\x09-\x0D]|\z)"
+
+# Signs that end a sentence, those of European scripts before a space or the end
+# of the line only; and the letters of Thai and Lao, which are written without such signs.
+STOPS = ".!?…:;"
+OTHER_STOPS = "।॥۔؟؛。！？｡．：；։՜՞።፧፨။၊།៕៖᠃᠉‼⁇⁈⁉"
+NO_STOPS = r"\x{0E00}-\x{0EFF}"
+SENTENCE_END = rf"[{STOPS}][\x22'”’»)\]]?([\x20\x09-\x0D]|\z)|[{OTHER_STOPS}{NO_STOPS}]"
 
 # Signs, shouts and separators per word of a line, beyond which it is no prose.
 MAX_SYMBOLS_PER_WORD = 0.6
 MAX_SHOUTS_PER_WORD = 0.3
 MAX_SEPARATORS_PER_WORD = 0.2
 
-# Phrases that a line of boilerplate is made of. A longer line may mention them.
-BOILERPLATE = (
-    r"(?i)cookie|privacy policy|terms of (use|service)|all rights reserved|sign (in|up)|log ?in"
-    r"|subscribe|newsletter|javascript|click here|read more|share (this|on)|lorem ipsum"
-)
+# Phrases that a line of boilerplate is made of, by language. A longer line may mention them.
+PHRASES = {
+    "en": r"cookie|privacy policy|terms of (use|service)|all rights reserved|sign (in|up)|log ?in"
+    r"|subscribe|newsletter|javascript|click here|read more|share (this|on)|lorem ipsum",
+}
+
+
+def boilerplate(phrases: Mapping[str, str]) -> str:
+    """One pattern for the phrases of all languages, in upper or lower case."""
+    return "(?i)" + "|".join(phrases.values())
+
+
+BOILERPLATE = boilerplate(PHRASES)
 MAX_BOILERPLATE_WORDS = 12
 
 # A document must keep this share of the characters of its lines.
@@ -56,7 +72,7 @@ def lines_with_words(text: Column) -> Column:
     )
 
 
-def line_passes(of: Column) -> Column:
+def line_passes(of: Column, pattern: str = BOILERPLATE) -> Column:
     """Whether a line, given with its number of words, is kept; one without words always is."""
     line, words = of["line"], of["words"]
     punctuation = (
@@ -65,8 +81,8 @@ def line_passes(of: Column) -> Column:
         & (_count(line, "[!?]{2,}") <= MAX_SHOUTS_PER_WORD * words)
     )
     navigation = _count(line, r"[|»›·•→]") <= MAX_SEPARATORS_PER_WORD * words
-    boilerplate = (words > MAX_BOILERPLATE_WORDS) | ~F.rlike(line, F.lit(BOILERPLATE))
-    return (F.trim(line) == "") | (punctuation & navigation & boilerplate)
+    plain = (words > MAX_BOILERPLATE_WORDS) | ~F.rlike(line, F.lit(pattern))
+    return (F.trim(line) == "") | (punctuation & navigation & plain)
 
 
 def _repeated_words(df: DataFrame) -> DataFrame:
@@ -120,14 +136,20 @@ RESULTS = (
 
 
 def clean_lines(
-    df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
+    df: DataFrame,
+    text: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+    phrases: Mapping[str, str] = PHRASES,
 ) -> DataFrame:
     """``keep``, the base counts, ``base_failed``, ``kept``, ``kept_share`` and ``clean_text``.
 
     Words are runs of other than ASCII spaces. ``kept_share`` is the share of the
     characters of lines that passed the rules, 1 for a text without any. A null
     text counts as an empty one: no words, so it fails. Every row is judged by
-    itself and stays, repeated ones too.
+    itself and stays, repeated ones too. An empty table gives an empty result. A long text is
+    worked on whole, as one row of the plan. ``phrases`` are patterns of boilerplate by
+    language. Sentences may end as in any script of ``OTHER_STOPS``, and words are
+    what spaces part, so a line of a script without spaces counts as few of them.
     """
     kept = {name: f"k{i}" for i, name in enumerate(without(keep, RESULTS))}
     body = F.coalesce(col(text), F.lit(""))
@@ -135,7 +157,7 @@ def clean_lines(
     df = df.withColumn("words", F.array_remove(F.split("raw", SPACE + "+"), ""))
     df = df.withColumn("lines", lines_with_words(F.col("raw")))
     df = _repeated_words(df)
-    df = df.withColumn("good", F.filter("lines", line_passes)["line"])
+    df = df.withColumn("good", F.filter("lines", lambda line: line_passes(line, boilerplate(phrases)))["line"])
     some_word = r"[^\x20\x09-\x0D]"
     with_word = F.filter(F.col("lines")["line"], lambda x: F.rlike(x, F.lit(some_word)))
     df = df.withColumn("full", with_word)

@@ -8,7 +8,6 @@ from hypothesis import strategies as st
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from stockweek.llm import chat
 from stockweek.llm.chat import (
     IncrementalRenderer,
     escape,
@@ -108,17 +107,24 @@ def test_odd_conversations(spark):
     assert not got
 
 
-def test_long_conversations_use_a_bounded_context():
-    longest = []
+@pytest.mark.parametrize("count", [1, 2, 3, 64, 65, 3000])
+def test_a_declared_template_takes_one_path_at_every_length(count):
+    """Each turn after the one before; and proofs at 2, 4, 8... turns and at the end."""
+    sizes = []
 
     def watched(turns):
-        longest.append(len(turns))
+        sizes.append(len(turns))
         return marked_turns(turns)
 
+    watched.turn_by_turn = True
+    turns = [("user", f"turn {i}") for i in range(count)]
     renderer = IncrementalRenderer(watched)
-    turns = [("user", f"turn {i}") for i in range(500)]
-    assert "".join(renderer.add(t).text for t in turns) == marked_turns(turns)
-    assert max(longest) <= chat.CONTEXT + 1
+    pieces = [renderer.add(t) for t in turns]
+    renderer.finish()
+    assert "".join(p.text for p in pieces) == marked_turns(turns)
+    proofs = [n for n in sizes if n > 2]
+    doubled = [1 << k for k in range(2, 13) if 1 << k <= count]
+    assert proofs == [n for n in doubled for _ in range(2)] + [count] * 2 * (count > 2)
 
 
 def last_marked(turns):
@@ -140,26 +146,57 @@ def shifted(turns):
     return "".join(f"ab{t}\n" if i < 100 else f"a{t}b\n" for i, (_, t) in enumerate(turns))
 
 
-def prefix_by_prefix(template, turns):
-    """Every piece from the whole prefix."""
-    renderer = chat.IncrementalRenderer(template, context=10**6)
-    return [renderer.add(turn) for turn in turns]
+def headed_at_100(turns):
+    """Puts a header in front of 100 turns only."""
+    return ("HEAD\n" if len(turns) == 100 else "") + "".join(f"{t}\n" for _, t in turns)
+
+
+def restarts(template, count):
+    renderer = IncrementalRenderer(template)
+    return [i for i in range(count) if renderer.add(("user", f"b{i % 7}")).restart]
+
+
+def test_rewriting_for_one_turn_is_seen():
+    assert restarts(headed_at_100, 130) == [99, 100]
+    assert restarts(late, 230) == [199]
+    assert restarts(last_marked, 80) == list(range(1, 80))
+    assert restarts(numbered, 80) == restarts(shifted, 130) == []
+
+
+@pytest.mark.parametrize("template", [last_marked, numbered, late, shifted, headed_at_100])
+def test_the_pieces_make_the_whole_text(template):
+    renderer, text = IncrementalRenderer(template), ""
+    turns = [("user", "" if i == 150 else f"b{i % 7}") for i in range(220)]
+    for i, turn in enumerate(turns):
+        p = renderer.add(turn)
+        text = p.text if p.restart else text + p.text
+        assert text == template(turns[: i + 1])
+        if turn[1] and (template is not late or i < 199):
+            assert p.start is None or p.text[p.start : p.end] == turn[1]
+    renderer.finish()
+
+
+@pytest.mark.parametrize("template,count", [(last_marked, 2), (numbered, 3), (late, 101), (shifted, 101), (headed_at_100, 100)])
+def test_a_false_declaration_is_an_error(template, count):
+    """At the end of the first conversation that shows it, or before."""
+
+    def declared(turns):
+        return template(turns)
+
+    declared.turn_by_turn = True
+    for n in (count - 1, count, 128) if template is not headed_at_100 else (count - 1, count):
+        renderer = IncrementalRenderer(declared)
 
+        def run():
+            for i in range(n):
+                renderer.add(("user", f"b{i % 7}"))
+            renderer.finish()
 
-@pytest.mark.parametrize("template", [last_marked, numbered, late, shifted, marked_turns])
-def test_long_conversations_give_the_pieces_of_whole_prefixes(template):
-    for count in (64, 65, 66, 97, 128, 129, 200, 256, 300, 500):
-        turns = [(("user", "assistant")[i % 2], "" if i == 150 else f"b{i % 7}") for i in range(count)]
-        renderer, got = chat.IncrementalRenderer(template), []
-        for turn in turns:
-            renderer.add(turn)
-            got += renderer.take()
-        got += renderer.take(end=True)
-        assert got == prefix_by_prefix(template, turns)
-        text = ""
-        for p in got:
-            text = p.text if p.restart else text + p.text
-        assert text == template(turns)
+        if n < count:
+            run()
+        else:
+            with pytest.raises(ValueError, match="declares turn_by_turn"):
+                run()
 
 
 @pytest.mark.parametrize("template", [last_marked, numbered, late])
@@ -170,25 +207,16 @@ def test_long_conversations_of_a_table(spark, template):
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     found = format_conversations(df, template).collect()
     for c, n in counts.items():
-        turns = [("user", f"t{i}") for i in range(n)]
         got = sorted((r["seq"], r["piece"], r["restart"]) for r in found if r["conv_id"] == c)
-        want = prefix_by_prefix(template, turns)
+        renderer = IncrementalRenderer(template)
+        want = [renderer.add(("user", f"t{i}")) for i in range(n)]
         assert got == [(i, p.text, p.restart) for i, p in enumerate(want)]
 
 
-def test_a_conversation_too_long_to_be_compared(monkeypatch):
-    monkeypatch.setattr(chat, "HELD", 1000)
-    turns = [("user", f"turn {i}") for i in range(500)]
-    renderer, got = chat.IncrementalRenderer(marked_turns), []
-    for turn in turns:
-        renderer.add(turn)
-        got += renderer.take()
-    got += renderer.take(end=True)
-    assert got == prefix_by_prefix(marked_turns, turns)
-    renderer = chat.IncrementalRenderer(lambda turns: marked_turns(turns))
-    with pytest.raises(ValueError, match="compared whole"):
-        for turn in turns:
-            renderer.add(turn)
+def test_ids_are_integers(spark):
+    df = spark.createDataFrame([("a", 0, "user", "x")], "conv_id string, turn int, role string, text string")
+    with pytest.raises(TypeError, match="ids must be integers"):
+        format_conversations(df)
 
 
 def test_empty_table(spark):

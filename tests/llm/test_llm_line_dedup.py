@@ -81,6 +81,29 @@ def test_index_survives_its_bytes_and_tells_strangers():
     assert not index.shared_elsewhere(low, high, np.full(5000, 7)).any()
 
 
+@pytest.mark.parametrize("n", [1, 10_000])
+def test_strangers_with_the_same_low_bits_are_no_hot_lines(n):
+    rng = np.random.default_rng(n)
+    high, low, other = (rng.integers(-(1 << 63), (1 << 63) - 1, n) for _ in range(3))
+    index = LineIndex.build(high, low, np.full(n, 5000), np.zeros(n, np.int64), whole=True)
+    index = LineIndex.from_bytes(index.to_bytes())
+    doc = np.full(n, 7)
+    assert index.shared_elsewhere(high, low, doc).all()
+    for _ in range(20):
+        at = rng.integers(0, n, 100_000)
+        strangers = rng.integers(-(1 << 63), (1 << 63) - 1, len(at))
+        same_low32 = (strangers & ~0xFFFFFFFF) | (low[at] & 0xFFFFFFFF)
+        doc = np.full(len(at), 7)
+        assert not index.shared_elsewhere(strangers, same_low32, doc).any()
+        assert not index.shared_elsewhere(strangers, low[at], doc).any()
+        assert not index.shared_elsewhere(high[at], same_low32, doc).any()
+
+
+def test_ids_are_integers(spark):
+    with pytest.raises(TypeError, match="ids must be integers"):
+        dedup_lines(spark.createDataFrame([("a", "x")], "doc_id string, text string"))
+
+
 def test_equal_keys_are_refused():
     with pytest.raises(ValueError, match="distinct"):
         PerfectHash.build(np.array([1, 1]), np.array([2, 2]))

@@ -77,3 +77,34 @@ def test_a_document_that_loses_most_of_its_lines_goes(spark):
 
 def test_empty_table(spark):
     assert clean_lines(odd.documents(spark, [])).collect() == []
+
+
+# Two sentences of each, as they are written, with more than eight words in most scripts.
+PROSE = {
+    "Hindi": "आज सुबह मौसम बहुत अच्छा था और हम सब लोग बाहर घूमने गए। दोपहर में हमने घर लौटकर साथ खाना खाया।",
+    "Urdu": "آج صبح موسم بہت اچھا تھا اور ہم سب لوگ باہر گھومنے گئے۔ کیا آپ بھی ہمارے ساتھ وہاں چلنا چاہتے تھے؟",
+    "Arabic": "ذهب الولد إلى المدرسة في الصباح مع أخته الصغيرة وعاد في المساء. هل تعرف أين يسكن هذا الولد الآن؟",
+    "Chinese": "今天 的 天气 非常 好 我们 都 出去 散步 了。 下午 我们 一起 回家 吃饭 然后 看 书。",
+    "Japanese": "今日は とても いい 天気 なので みんな で 公園 へ 行きました。 とても 楽しかった です！",
+    "Russian": "Сегодня утром была хорошая погода, и мы все вместе пошли гулять. Вечером мы вернулись домой.",
+    "Greek": "Σήμερα το πρωί ο καιρός ήταν πολύ καλός και βγήκαμε όλοι έξω. Πού πήγατε εσείς χθες το βράδυ;",
+    "Armenian": "Այսօր եղանակը շատ լավ էր և մենք բոլորս միասին դուրս եկանք քաղաք։ Երեկոյան մենք տուն վերադարձանք։",
+    "Amharic": "ዛሬ ጠዋት አየሩ በጣም ጥሩ ነበር እና ሁላችንም አብረን ወደ ውጭ ወጣን። ማታ ወደ ቤት ተመለስን።",
+    "Thai": "วันนี้ อากาศ ดี มาก เรา ทุกคน ออกไป เดินเล่น ที่ สวน ด้วยกัน แล้ว กลับ บ้าน ตอน เย็น",
+    "Burmese": "ယနေ့ မနက် ရာသီဥတု အလွန် ကောင်း ပြီး ကျွန်တော်တို့ အားလုံး အပြင် ထွက် ခဲ့ ကြ သည်။",
+    "Tibetan": "དེ་རིང གནམ་གཤིས ཡག་པོ འདུག ང་ཚོ ཚང་མ ཕྱི་ལོགས ལ འགྲོ རྒྱུ ཡིན།",
+}
+
+
+@pytest.mark.parametrize("language", PROSE)
+def test_prose_of_other_scripts_is_kept(spark, language):
+    row = clean_lines(odd.documents(spark, [(1, PROSE[language])])).first()
+    assert row["kept"] and row["kept_share"] == 1.0
+
+
+def test_phrases_by_language(spark):
+    text = "Wir verwenden Kekse auf dieser Seite.\n" + PROSE["Russian"]
+    docs = odd.documents(spark, [(1, text)])
+    assert clean_lines(docs).first()["kept_share"] == 1.0
+    found = clean_lines(docs, phrases={"de": "wir verwenden kekse", "fr": "en savoir plus"}).first()
+    assert found["clean_text"] == PROSE["Russian"]
