@@ -13,6 +13,7 @@ import base64
 import struct
 from collections.abc import Iterator
 from functools import partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,11 @@ MAX_VOCABULARY_BYTES = 16 << 20
 # A task remembers so many different pre-tokens, then starts afresh.
 CACHE_ENTRIES = 250_000
 
+# Bytes of texts that are cut into pre-tokens together; and pre-tokens or ids of a longer
+# text that are worked on at a time.
+GROUP_BYTES = 1 << 20
+ROUND_TOKENS = 1 << 16
+
 
 def read_ranks(path: str) -> list[bytes]:
     """Token bytes by rank, from a file of lines ``base64 rank``; ranks must have no gaps."""
@@ -100,11 +106,21 @@ class _Encoder:
         self._model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(tokens))
         # A pre-token in the vocabulary is that token, whatever the merges say.
         self._whole = {t: struct.pack("<I", rank) for rank, t in enumerate(tokens)}
-        self._cut = regex.compile(pattern).findall
+        self._pattern = regex.compile(pattern)
         self._known: dict[str, bytes] = {}
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(t) for t in texts]
+        return self._ids([self._pattern.findall(t) for t in texts])
+
+    def long_text(self, text: str) -> bytes:
+        """The same for one text, which is never held as pre-tokens whole."""
+        cut = (found[0] for found in self._pattern.finditer(text))
+        ids = bytearray()
+        while tokens := list(islice(cut, ROUND_TOKENS)):
+            ids += self._ids([tokens])[0]
+        return bytes(ids)
+
+    def _ids(self, cut: list[list[str]]) -> list[bytes]:
         if len(self._known) >= CACHE_ENTRIES:
             self._known.clear()
         known = self._known
@@ -120,14 +136,16 @@ class _Encoder:
 
 
 def _groups(texts: pa.Array) -> Iterator[list[str]]:
-    """The texts in lists of about a million bytes; a longer text stands alone."""
+    """The texts in lists of about ``GROUP_BYTES``; a longer text stands alone."""
     group, size = [], 0
-    for raw in as_bytes(texts):
-        if group and size + len(raw) > 1 << 20:
+    for raw in texts:
+        raw = raw.as_buffer() if raw.is_valid else b""
+        n = len(raw) if isinstance(raw, bytes) else raw.size
+        if group and size + n > GROUP_BYTES:
             yield group
             group, size = [], 0
-        group.append(raw.decode())
-        size += len(raw)
+        group.append(str(memoryview(raw), "utf-8"))
+        size += n
     if group:
         yield group
 
@@ -135,20 +153,29 @@ def _groups(texts: pa.Array) -> Iterator[list[str]]:
 def _encode_work(tokens, pattern: str) -> TextWork:
     encoder = _Encoder(tokens.value, pattern)
 
+    def encode(group: list[str]) -> list[bytes]:
+        # Group by group, the pre-tokens of all texts together; those of a long text in rounds.
+        alone = len(group) == 1 and len(group[0]) > GROUP_BYTES // 4
+        return [encoder.long_text(group[0])] if alone else encoder.texts(group)
+
     def work(texts: pa.Array) -> list[pa.Array]:
-        found = [ids for group in _groups(texts) for ids in encoder.texts(group)]
+        found = [ids for group in _groups(texts) for ids in encode(group)]
         return [pa.array([len(ids) // 4 for ids in found], pa.int64()), pa.array(found, pa.binary())]
 
     return work
 
 
 def _decode_work(tokens) -> TextWork:
-    table = tokens.value
+    token = tokens.value.__getitem__
+
+    def decode(raw: bytes) -> bytes:
+        ids, out = np.frombuffer(raw, "<u4"), bytearray()
+        for at in range(0, len(ids), ROUND_TOKENS):
+            out += b"".join(map(token, ids[at : at + ROUND_TOKENS].tolist()))
+        return bytes(out)
 
     def work(ids: pa.Array) -> list[pa.Array]:
-        token = table.__getitem__
-        found = [b"".join(map(token, np.frombuffer(t, "<u4").tolist())) for t in as_bytes(ids)]
-        return [pa.array(found, pa.binary())]
+        return [pa.array([decode(raw) for raw in as_bytes(ids)], pa.binary())]
 
     return work
 
@@ -174,7 +201,9 @@ class ByteBpe:
         """``keep``, ``n_tokens`` and ``token_bytes``: the ids as little-endian 32-bit integers.
 
         Every row stays, repeated ones too. A null text is encoded as an empty
-        one: no tokens. No special token is ever made from text.
+        one: no tokens. No special token is ever made from text. An empty table gives an
+        empty result. A long text is held a few times over, as text, ids and output, but
+        not as pre-tokens. A result replaces a kept column of its name.
         """
         make = partial(_encode_work, self._tokens, self._pattern)
         return map_texts(df, text, keep, "n_tokens bigint, token_bytes binary", make)

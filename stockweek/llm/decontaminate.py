@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.llm.columns import TextWork, as_bytes, col, map_texts, without
+from stockweek.llm.columns import TextWork, as_bytes, bound_batches, col, integer_id, map_texts, without
 from stockweek.llm.fm_index import FmIndex
 from stockweek.llm.words import LETTERS_AND_DIGITS, LOWER, hashed_tokens, token_borders
 from stockweek.session import scratch_dir
@@ -29,25 +29,35 @@ WINDOW = 10
 # has an index of its own.
 SHARD_WORDS = 1 << 20
 
-# Phrase words sent to the executors at a time; more are searched block by block.
+# Phrase words and item ids sent to the executors at a time; more are searched block by block.
 BLOCK_WORDS = 1 << 20
 
+# Words of a passage; a longer item makes several. Lists that the ids of equal passages make.
+PASSAGE_WORDS = 1 << 16
+ID_LISTS = 64
+
 
 class Phrases(NamedTuple):
-    """Distinct windows as symbols, aligned to the right, and the items that hold each."""
+    """Distinct windows as symbols, aligned to the right, and the items that hold each.
+
+    A window has a list of the passages that hold it, and a passage one of its items.
+    """
 
     vocabulary: np.ndarray
     patterns: np.ndarray
     lengths: np.ndarray
+    first_passage: np.ndarray
+    passages: np.ndarray
     first_item: np.ndarray
     items: np.ndarray
 
     @classmethod
-    def of(cls, items: list[tuple[int | None, list[int]]], window: int) -> Phrases:
-        words = [np.array(w, np.int64).view(np.uint64) for _, w in items]
+    def of(cls, passages: list[tuple[list[int], list[int]]], window: int) -> Phrases:
+        """Of passages, each with the ids of its items and its words."""
+        words = [np.array(w, np.int64).view(np.uint64) for _, w in passages]
         vocabulary = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]))
         rows, ids = [], []
-        for (item, _), found in zip(items, words, strict=True):
+        for number, found in enumerate(words):
             symbols = np.searchsorted(vocabulary, found).astype(np.int64) + 1
             if 0 < len(symbols) < window:
                 rows.append(np.pad(symbols, (window - len(symbols), 0))[None])
@@ -55,14 +65,22 @@ class Phrases(NamedTuple):
                 rows.append(np.lib.stride_tricks.sliding_window_view(symbols, window))
             else:
                 continue
-            ids.append(np.full(len(rows[-1]), NO_ITEM if item is None else item))
+            ids.append(np.full(len(rows[-1]), number))
         all_rows = np.concatenate([*rows, np.zeros((0, window), np.int64)])
         patterns, which = np.unique(all_rows, axis=0, return_inverse=True)
         which = which.reshape(-1)
         order = np.argsort(which, kind="stable")
         first = np.searchsorted(which[order], np.arange(len(patterns) + 1))
         held = np.concatenate([*ids, np.zeros(0, np.int64)]).astype(np.int64)[order]
-        return cls(vocabulary, patterns, (patterns > 0).sum(axis=1), first, held)
+        items = [np.array(i, np.int64) for i, _ in passages]
+        first_item = np.cumsum([0, *map(len, items)])
+        every = np.concatenate([*items, np.zeros(0, np.int64)])
+        return cls(vocabulary, patterns, (patterns > 0).sum(axis=1), first, held, first_item, every)
+
+    def items_of(self, pattern: int) -> set[int]:
+        """The items that hold a window."""
+        at = self.passages[self.first_passage[pattern] : self.first_passage[pattern + 1]]
+        return {i for p in at for i in self.items[self.first_item[p] : self.first_item[p + 1]].tolist()}
 
 
 # Stands for a missing item id: its phrases count as hits but are not listed.
@@ -137,8 +155,7 @@ def _shard_hits(texts: list[bytes], phrases: Phrases) -> Iterator[_Hits]:
     for d, s, n in np.unique(np.stack([doc, start, length]), axis=1).T.tolist():
         hits[d].spans.append((s, s + n))
     for d, p in np.unique(np.stack([doc, pattern]), axis=1).T.tolist():
-        a, b = phrases.first_item[p : p + 2].tolist()
-        hits[d].items.update(phrases.items[a:b].tolist())
+        hits[d].items.update(phrases.items_of(p))
     yield from hits
 
 
@@ -181,29 +198,49 @@ def _search_work(broadcast) -> TextWork:
     return work
 
 
-def _word_work() -> TextWork:
-    def work(texts: pa.Array) -> list[pa.Array]:
-        found = [
-            np.concatenate([h for _, h in hashed_tokens([raw], LETTERS_AND_DIGITS, LOWER)] or [[]])
-            for raw in as_bytes(texts)
-        ]
-        return [pa.array([f.astype(np.uint64).view(np.int64) for f in found], pa.list_(pa.int64()))]
-
-    return work
+def _passages(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Items as hashed words, a long one in passages that overlap by a window less one word."""
+    for batch in batches:
+        for item, raw in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
+            parts = [h for _, h in hashed_tokens([raw], LETTERS_AND_DIGITS, LOWER)]
+            words = np.concatenate([*parts, np.zeros(0, np.uint64)]).astype(np.uint64).view(np.int64)
+            step = PASSAGE_WORDS - window + 1
+            cut = [words[at : at + PASSAGE_WORDS] for at in range(0, max(1, len(words) - window + 1), step)]
+            cut = [c for c in cut if len(c)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([NO_ITEM if item is None else item] * len(cut), pa.int64()),
+                    pa.array([c.tolist() for c in cut], pa.list_(pa.int64())),
+                ],
+                names=["item", "words"],
+            )
 
 
 def phrase_blocks(items: DataFrame, text: str, item_id: str, window: int) -> Iterator[tuple[Phrases, bool]]:
-    """The phrases of all items, in blocks of about ``BLOCK_WORDS`` words; whether more follow."""
-    path = scratch_dir(items.sparkSession, "phrases")
-    source = items.select(col(item_id).cast("bigint").alias("item"), col(text).alias("text"))
-    map_texts(source, "text", ["item"], "words array<bigint>", _word_work).write.parquet(path)
-    words = items.sparkSession.read.parquet(path)
-    total = words.agg(F.sum(F.size("words"))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_WORDS))
-    for block in range(blocks):
-        part = words.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block).collect()
-        phrases = Phrases.of([(row["item"], row["words"]) for row in part], window)
-        yield phrases, block + 1 < blocks
+    """The phrases of all items, in blocks of at most ``BLOCK_WORDS`` words and ids; whether more follow.
+
+    Equal passages are one, with all their items. The blocks are filled as the passages
+    stream by, so the driver holds one block. Without any words there is one empty block.
+    """
+    spark, scratch = items.sparkSession, scratch_dir(items.sparkSession, "phrases")
+    bound_batches(spark)
+    source = items.select(integer_id(items, item_id).alias("item"), col(text).cast("string").cast("binary").alias("t"))
+    passages = source.mapInArrow(partial(_passages, window), "item bigint, words array<bigint>")
+    # Ids are dealt to lists, so that those of one frequent passage make no single row.
+    part = F.pmod(F.xxhash64("item"), F.lit(ID_LISTS)).alias("part")
+    passages.groupBy("words", part).agg(F.collect_set("item").alias("ids")).write.parquet(scratch)
+    block, size, ready = [], 0, None
+    for row in spark.read.parquet(scratch).select("ids", "words").toLocalIterator():
+        weight = len(row["ids"]) + len(row["words"])
+        if block and size + weight > BLOCK_WORDS:
+            if ready is not None:
+                yield Phrases.of(ready, window), True
+            ready, block, size = block, [], 0
+        block.append((row["ids"], row["words"]))
+        size += weight
+    if ready is not None:
+        yield Phrases.of(ready, window), True
+    yield Phrases.of(block, window), False
 
 
 def find_contamination(
@@ -223,7 +260,9 @@ def find_contamination(
     occurrence as start, end, start, end...; ``hit_items`` the items that occur, in
     order, each once. A null text has no words; items without words, or an empty
     table of items, match nothing. An item without an id is searched but not
-    listed. Words compare by a 64-bit hash.
+    listed. Item ids are integers, see ``columns.integer_id``; those of ``df`` may be
+    anything. Repeated rows stay and get the same result, repeated items count once. A long
+    text is an index of its own. Words compare by a 64-bit hash.
     """
     spark, scratch = df.sparkSession, scratch_dir(df.sparkSession, "contamination")
     none = F.lit(None).cast("array<bigint>")

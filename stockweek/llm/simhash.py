@@ -11,6 +11,7 @@ passes on the links that join its fingerprints, never all its pairs.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import partial
 from itertools import accumulate, combinations
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.llm.columns import TextWork, as_bytes, col, free_name, map_texts, own_names
+from stockweek.llm.columns import TextWork, as_bytes, col, free_name, integer_id, map_texts, own_names
 from stockweek.llm.components import component_labels
 from stockweek.llm.perfect_hash import mix
 from stockweek.session import scratch_dir
@@ -42,26 +43,51 @@ CHUNK = 1 << 15
 
 _VOTE_ROWS = 1 << 15
 
+# Bytes of a text that are split into words at a time; a run ends at the next space.
+PIECE = 1 << 18
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 
-def fingerprint(raw: bytes, width: int = 4) -> int:
-    """The SimHash of a text's word shingles: bits that more than half their hashes have."""
-    words = raw.lower().split()  # bytes: A-Z only, and ASCII spaces
-    if not words:
-        return 0
+
+def _word_runs(raw: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, in runs of about ``PIECE`` bytes."""
+    at = 0
+    while at < len(raw):
+        end = at + PIECE
+        if end < len(raw):
+            gap = _GAP.search(raw, end)
+            end = gap.start() if gap else len(raw)
+        yield raw[at:end].lower().split()  # bytes: A-Z only, and ASCII spaces
+        at = end
+
+
+def _shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
+    """The hash bytes of every shingle of at least ``width`` words."""
     joined = b" ".join(words)
     ends = list(accumulate(map((1).__add__, map(len, words))))
     starts = [0, *ends[:-1]]
-    digest = xxhash.xxh64_digest
-    if len(words) <= width:
-        hashes = digest(joined, SEED)
-    else:
-        spans = zip(starts, ends[width - 1 :], strict=False)
-        hashes = b"".join([digest(joined[a : b - 1], SEED) for a, b in spans])
-    each = np.frombuffer(hashes, np.uint8).reshape(-1, 8)
-    votes = np.zeros(BITS, np.int64)
-    for at in range(0, len(each), _VOTE_ROWS):
-        votes += np.unpackbits(each[at : at + _VOTE_ROWS], axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * votes > len(each)).tobytes(), "big")
+    spans = zip(starts, ends[width - 1 :], strict=False)
+    hashes = b"".join([xxhash.xxh64_digest(joined[a : b - 1], SEED) for a, b in spans])
+    return np.frombuffer(hashes, np.uint8).reshape(-1, 8)
+
+
+def fingerprint(raw: bytes, width: int = 4) -> int:
+    """The SimHash of a text's word shingles: bits that more than half their hashes have.
+
+    A long text is taken in runs, each with the last words of the one before it.
+    """
+    votes, n, words = np.zeros(BITS, np.int64), 0, []
+    for run in _word_runs(raw):
+        words += run
+        if len(words) < width:
+            continue
+        each = _shingle_hashes(words, width)
+        for at in range(0, len(each), _VOTE_ROWS):
+            votes += np.unpackbits(each[at : at + _VOTE_ROWS], axis=1).sum(axis=0, dtype=np.int64)
+        n += len(each)
+        words = words[len(words) - width + 1 :]
+    if not n:
+        return int.from_bytes(xxhash.xxh64_digest(b" ".join(words), SEED), "big") if words else 0
+    return int.from_bytes(np.packbits(2 * votes > n).tobytes(), "big")
 
 
 def _fingerprint_work(width: int) -> TextWork:
@@ -262,7 +288,8 @@ def near_duplicates(
     fewer words than ``width`` is one shingle. A null or empty text has
     fingerprint 0 and links like any other. Repeated rows stay; a null id is
     never the smallest unless a group has no other. An empty table gives an
-    empty result.
+    empty result. Ids are integers, see ``columns.integer_id``. A long text is split
+    into words in runs. Other columns are not read.
     """
     found = _grouped(df, text, doc_id, width, bits)
     return found.select(F.col("doc_id").alias(doc_id), "fingerprint", "component_id")
@@ -276,7 +303,7 @@ def _grouped(df: DataFrame, text: str, doc_id: str, width: int = 4, bits: int =
     """
     spark = df.sparkSession
     scratch = scratch_dir(spark, "simhash")
-    source = df.select(col(doc_id).cast("bigint").alias("doc_id"), col(text).alias("text"))
+    source = df.select(integer_id(df, doc_id).alias("doc_id"), col(text).alias("text"))
     fingerprints(source, width=width).write.parquet(f"{scratch}/prints")
     prints = spark.read.parquet(f"{scratch}/prints")
     grouped = prints.groupBy("fingerprint", "node").agg(F.min("doc_id").alias("least"))
@@ -316,7 +343,8 @@ def drop_near_duplicates(
 
     Rows without an id go when their group has a document with one. Rows of the
     smallest id that are near copies of one another count as one: that with the
-    smallest fingerprint stays, then that with the smallest text, a null as an empty one.
+    smallest fingerprint stays, then that with the smallest text, a null as an empty one, and
+    of those the row that is smallest as JSON. An empty table stays empty.
     """
     spark = df.sparkSession
     groups = _grouped(df, text, doc_id, width, bits)
@@ -329,7 +357,7 @@ def drop_near_duplicates(
     listed = spark.read.parquet(f"{scratch}/copies")
     name = free_name(df.columns, "copy")
     ids = listed.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias(name), "unclear")
-    own = col(doc_id).cast("bigint")
+    own = integer_id(df, doc_id)
     known = own.isNotNull()
     kept = df.filter(known).join(_sent(ids.select(name)), own == F.col(name), "left_anti")
     unclear_ids = ids.filter("unclear").select(name)
@@ -349,7 +377,8 @@ def drop_near_duplicates(
     same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("fingerprint") == F.col("first_print"))
     rows = rows.join(first.distinct(), same, "left_semi")
     # Combined before the shuffle, so that a row repeated often costs one per task.
-    whole, order = F.struct(*names.values()), F.coalesce(F.col(names[text]).cast("string"), F.lit(""))
+    whole = F.struct(*names.values())
+    order = F.struct(F.coalesce(F.col(names[text]).cast("string"), F.lit("")), F.to_json(whole))
     one = rows.groupBy("id", "fingerprint").agg(F.min_by(whole, order).alias("row"))
     return kept.union(one.select(*(F.col(f"row.{own}").alias(n) for n, own in names.items())))
 

@@ -1,9 +1,9 @@
 """Toxicity by a linear classifier on character n-grams scaled by naive Bayes ratios.
 
-A feature is the presence of a hashed n-gram of bytes. Its value is the log ratio
-of its shares among the n-grams of toxic and of other texts; logistic regression
-then weighs the scaled features. The n-grams that tell the classes apart best are
-kept, so scoring looks only at the few of a text that matter.
+A feature is the presence of a hashed n-gram of characters, which are code points. Its value
+is the log ratio of its shares among the n-grams of toxic and of other texts; logistic
+regression then weighs the scaled features. The n-grams that tell the classes apart best
+are kept, so scoring looks only at the few of a text that matter.
 """
 
 from __future__ import annotations
@@ -22,14 +22,17 @@ from stockweek.llm.words import LOWER, SEGMENT
 ORDERS = (3, 4, 5, 6)
 BUCKET_BITS = 20
 
-# N-grams in fewer training texts are left out; of the others the best are kept.
+# N-grams in fewer training texts are left out.
 MIN_TEXTS = 5
+
+# Of the others so many get a weight, and training takes so many rounds, by default. The
+# README has what more or fewer of either find.
 KEPT = 4096
-SMOOTHING = 1.0
+ROUNDS = 150
 
-ROUNDS, RATE, L2 = 150, 0.05, 1e-3
+SMOOTHING, RATE, L2 = 1.0, 0.05, 1e-3
 
-# A-Z are lower-cased; tabs and line ends are spaces. Byte 0 stands between texts.
+# A-Z are lower-cased; tabs and line ends are spaces. A 0 stands between texts.
 FOLD = LOWER.copy()
 FOLD[9:14] = 32
 FOLD[0] = 32
@@ -37,37 +40,42 @@ FOLD[0] = 32
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _joined(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Folded bytes of about a segment of texts with a 0 after each, their starts and numbers.
+def _characters(raw: bytes) -> Iterator[np.ndarray]:
+    """Folded code points of a text, in pieces of a segment that overlap by the longest n-gram less one."""
+    at, before = 0, np.zeros(0, np.uint32)
+    while at < len(raw):
+        end = min(len(raw), at + SEGMENT)
+        while end < len(raw) and raw[end] & 0xC0 == 0x80:  # not inside a character
+            end -= 1
+        points = np.frombuffer(raw[at:end].decode().encode("utf-32-le"), np.uint32)
+        plain = points < 128
+        points = np.where(plain, FOLD[np.where(plain, points, 0)], points).astype(np.uint32)
+        points = np.concatenate([before, points])
+        yield points
+        at, before = end, points[-(max(ORDERS) - 1) :]
 
-    A longer text comes in pieces that overlap by the longest n-gram less one.
-    """
+
+def _joined(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """About a segment of characters of texts with a 0 after each, their starts and numbers."""
+    stop = np.zeros(1, np.uint32)
     parts, starts, owners, size = [], [], [], 0
     for number, raw in enumerate(texts):
-        for at in range(0, len(raw), SEGMENT):
-            piece = raw[at : at + SEGMENT + max(ORDERS) - 1]
+        for piece in _characters(raw):
             if parts and size + len(piece) > SEGMENT:
-                yield _folded(parts), np.array(starts), np.array(owners)
+                yield np.concatenate(parts), np.array(starts), np.array(owners)
                 parts, starts, owners, size = [], [], [], 0
-            parts.append(piece)
+            parts += [piece, stop]
             starts.append(size)
             owners.append(number)
             size += len(piece) + 1
     if parts:
-        yield _folded(parts), np.array(starts), np.array(owners)
-
-
-def _folded(parts: list[bytes]) -> np.ndarray:
-    data = FOLD[np.frombuffer(b"\0".join([*parts, b""]), np.uint8)]
-    ends = np.cumsum([len(p) + 1 for p in parts]) - 1
-    data[ends] = 0
-    return data
+        yield np.concatenate(parts), np.array(starts), np.array(owners)
 
 
 def _ngrams(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """For each order: the bucket of the n-gram that starts at each byte.
+    """For each order: the bucket of the n-gram that starts at each character.
 
-    Each n-gram that holds a byte 0 gets bucket 0, which no other has.
+    Each n-gram that holds a 0 gets bucket 0, which no other has.
     """
     stops = np.flatnonzero(data == 0)
     wide = data.astype(np.uint64)
@@ -102,8 +110,10 @@ def _present(texts: list[bytes]) -> Iterator[np.ndarray]:
         seen[found] = False
 
 
-def train(texts: list[bytes], labels: list[int]) -> np.ndarray:
-    """A weight by bucket, 0 for those not kept; the intercept is in bucket 0."""
+def train(
+    texts: list[bytes], labels: list[int], most: int = KEPT, rounds: int = ROUNDS
+) -> np.ndarray:
+    """A weight by bucket, 0 for all but the ``most`` kept; the intercept is in bucket 0."""
     size, toxic = 1 << BUCKET_BITS, np.array(labels, bool)
     held = np.zeros((2, size))
     for buckets, label in zip(_present(texts), labels, strict=True):
@@ -113,7 +123,7 @@ def train(texts: list[bytes], labels: list[int]) -> np.ndarray:
     # How far the counts lie from those of n-grams that tell nothing (chi squared).
     away = held[1] - both * texts_of[1] / texts_of.sum()
     score = np.where(both >= MIN_TEXTS, away * away / np.maximum(1, both), 0.0)
-    kept = np.argsort(-score, kind="stable")[:KEPT]
+    kept = np.argsort(-score, kind="stable")[:most]
     kept = np.sort(kept[score[kept] > 0])
     smooth = held + SMOOTHING
     ratio = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
@@ -129,7 +139,7 @@ def train(texts: list[bytes], labels: list[int]) -> np.ndarray:
     values = ratio[kept][columns]
     weights, bias = np.zeros(len(kept)), float(np.log(share[1] / share[0]))
     first, second = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
-    for step in range(1, ROUNDS + 1):
+    for step in range(1, rounds + 1):
         sums = np.bincount(rows, values * weights[columns], len(texts)) + bias
         error = (1 / (1 + np.exp(-np.clip(sums, -35, 35))) - toxic) / len(texts)
         slope = np.bincount(columns, values * error[rows], len(kept)) + L2 * weights
@@ -137,7 +147,7 @@ def train(texts: list[bytes], labels: list[int]) -> np.ndarray:
         first += 0.1 * (slope - first)
         second += 0.01 * (slope * slope - second)
         move = first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-        now = RATE * (1 - 0.9 * step / ROUNDS)
+        now = RATE * (1 - 0.9 * step / rounds)
         weights -= now * move[:-1]
         bias -= now * move[-1]
     out = np.zeros(size, np.float32)
@@ -146,8 +156,8 @@ def train(texts: list[bytes], labels: list[int]) -> np.ndarray:
     return out
 
 
-def _fit(texts: list[bytes], labels: list[int]) -> bytes:
-    return train(texts, labels).tobytes()
+def _fit(most: int, rounds: int, texts: list[bytes], labels: list[int]) -> bytes:
+    return train(texts, labels, most, rounds).tobytes()
 
 
 def learn_toxicity(
@@ -156,12 +166,17 @@ def learn_toxicity(
     label: str = "toxic",
     usable: Column | None = None,
     per_class: int = SAMPLE_DOCS,
+    most: int = KEPT,
+    rounds: int = ROUNDS,
 ) -> np.ndarray | None:
-    """Weights learned from a bounded sample of the usable labels; None without both classes."""
+    """Weights learned from a bounded sample of the usable labels; None without both classes.
+
+    ``most`` is how many n-grams get a weight, ``rounds`` how long the training takes.
+    """
     sample = labelled_sample(docs, labels, label, usable=usable, per_class=per_class)
     if sample is None:
         return None
-    weights = np.frombuffer(fit_in_one_task(sample.rows, _fit), np.float32).copy()
+    weights = np.frombuffer(fit_in_one_task(sample.rows, partial(_fit, most, rounds)), np.float32).copy()
     weights[0] += sample.shift
     return weights
 
@@ -199,7 +214,8 @@ def score_toxicity(
     """``keep`` and ``score``, the chance of label 1, of every row.
 
     A null text, or one shorter than the shortest n-gram, gets the score of the
-    intercept. Without weights every score is 0.5.
+    intercept. Without weights every score is 0.5. Repeated rows stay and score alike, an
+    empty table gives an empty result, a long text is worked on in pieces.
     """
     if weights is None:
         weights = np.zeros(1 << BUCKET_BITS, np.float32)

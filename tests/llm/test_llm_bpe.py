@@ -70,6 +70,37 @@ def test_round_trip_of_odd_documents(spark, reference):
             assert ids(row["token_bytes"]) == reference.encode_ordinary(text)
 
 
+def test_long_texts_in_rounds(encoder, reference, monkeypatch):
+    monkeypatch.setattr(bpe, "ROUND_TOKENS", 7)
+    for text in ("", "one", "Words, and  more words\n\n  indented 12345 äöü 日本語 " * 9, " \n " * 50):
+        assert ids(encoder.long_text(text)) == reference.encode_ordinary(text)
+
+
+def peak_mb(work):
+    """The most memory that the work takes beyond what was there."""
+    import gc
+    import tracemalloc
+
+    gc.collect()
+    tracemalloc.start()
+    work()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return most / 1e6
+
+
+def test_memory_of_a_long_text(tokens):
+    import types
+
+    import pyarrow as pa
+
+    text = "the quick brown fox jumps over the lazy dog and 12 others\n" * 100_000  # 5.8 MB
+    texts = pa.array([text.encode()], pa.large_binary())
+    shared = types.SimpleNamespace(value=tokens)
+    work = bpe._round_trip_work(shared, public_tokenizers.PATTERN)
+    assert peak_mb(lambda: work(texts)) < 8 * len(text) / 1e6 + 10
+
+
 def test_empty_table(spark):
     docs = odd.documents(spark, [])
     model = bpe.ByteBpe(docs, PATH, public_tokenizers.PATTERN)

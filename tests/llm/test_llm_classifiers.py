@@ -103,6 +103,90 @@ def test_scores_by_brute_force(weights):
     assert got == pytest.approx([brute_quality(t.encode(), weights[0]) for t in texts], rel=1e-6)
 
 
+def brute_ngrams(text):
+    """The buckets of the distinct n-grams of a text's characters."""
+    fold = {**{i: " " for i in range(9, 14)}, 0: " "}
+    points = [ord(c) for c in odd.lower(text).translate(fold)]
+    buckets, mask = set(), (1 << 64) - 1
+    for order in toxicity.ORDERS:
+        for i in range(len(points) - order + 1):
+            h = 0
+            for c in points[i : i + order]:
+                h = (h * 0x100000001B3 + c) & mask
+            h = h * 0x9E3779B97F4A7C15 & mask
+            h = (h ^ h >> 29) * 0x9E3779B97F4A7C15 & mask
+            buckets.add(max(1, h >> 64 - toxicity.BUCKET_BITS))
+    return buckets
+
+
+CHARACTERS = ["", "ab", "abc", "Abc\tÄÖ\x00", "привет мир, привет", "日本語のテキスト", "😀😀😀 ok", "x" * 30]
+
+
+def test_ngrams_are_of_characters():
+    found = list(toxicity._present([t.encode() for t in CHARACTERS]))
+    assert [set(f.tolist()) for f in found] == [brute_ngrams(t) for t in CHARACTERS]
+    assert len(brute_ngrams("日本語のテ")) == 3 + 2 + 1
+
+
+@pytest.mark.parametrize("segment", [4, 16, 100])
+def test_pieces_do_not_cut_characters(monkeypatch, segment):
+    whole = [f.tolist() for f in toxicity._present([t.encode() for t in CHARACTERS])]
+    monkeypatch.setattr(toxicity, "SEGMENT", segment)
+    assert [f.tolist() for f in toxicity._present([t.encode() for t in CHARACTERS])] == whole
+
+
+def brute_train(texts, labels, most, rounds):
+    """The same training with dictionaries, text by text."""
+    held = [brute_ngrams(t) for t in texts]
+    counts = {}
+    for buckets, label in zip(held, labels, strict=True):
+        for b in buckets:
+            counts.setdefault(b, [0, 0])[label] += 1
+    size, n = 1 << toxicity.BUCKET_BITS, len(texts)
+    share = sum(labels) / n
+    chi = {
+        b: (c[1] - sum(c) * share) ** 2 / sum(c) for b, c in counts.items() if sum(c) >= toxicity.MIN_TEXTS
+    }
+    kept = sorted((b for b in chi if chi[b] > 0), key=lambda b: (-chi[b], b))[:most]
+    totals = [sum(c[k] for c in counts.values()) + size for k in (0, 1)]
+    ratio = {b: np.log((counts[b][1] + 1) / totals[1]) - np.log((counts[b][0] + 1) / totals[0]) for b in kept}
+    weights = dict.fromkeys(kept, 0.0)
+    raw = [sum(c[k] for c in counts.values()) for k in (0, 1)]
+    weights["bias"] = float(np.log(raw[1] / raw[0]))
+    first, second = dict.fromkeys(weights, 0.0), dict.fromkeys(weights, 0.0)
+    for step in range(1, rounds + 1):
+        slope = {b: toxicity.L2 * w for b, w in weights.items()} | {"bias": 0.0}
+        for buckets, label in zip(held, labels, strict=True):
+            mine = [b for b in kept if b in buckets]
+            z = weights["bias"] + sum(weights[b] * ratio[b] for b in mine)
+            error = (1 / (1 + np.exp(-z)) - label) / n
+            slope["bias"] += error
+            for b in mine:
+                slope[b] += error * ratio[b]
+        for b in weights:
+            first[b] += 0.1 * (slope[b] - first[b])
+            second[b] += 0.01 * (slope[b] ** 2 - second[b])
+            move = first[b] / (1 - 0.9**step) / (np.sqrt(second[b] / (1 - 0.99**step)) + 1e-8)
+            weights[b] -= toxicity.RATE * (1 - 0.9 * step / rounds) * move
+    return {b: w * ratio.get(b, 1.0) for b, w in weights.items()}
+
+
+def test_toxicity_training_and_scoring_by_brute_force():
+    rng = np.random.default_rng(4)
+    words = ["gut", "böse", "мир", "日本語", "calm", "vile"]
+    texts = [" ".join(rng.choice(words[: 5 + i % 2], 4)) for i in range(40)]
+    labels = [int("vile" in t) for t in texts]
+    got = toxicity.train([t.encode() for t in texts], labels, most=12, rounds=20)
+    want = brute_train(texts, labels, 12, 20)
+    assert {int(b) for b in np.flatnonzero(got)} <= {0, *(b for b in want if b != "bias")}
+    for b, weight in want.items():
+        assert got[0 if b == "bias" else b] == pytest.approx(weight, rel=1e-3, abs=1e-5)
+    scored = toxicity.score_texts([t.encode() for t in [*texts, *CHARACTERS]], got)
+    for text, score in zip([*texts, *CHARACTERS], scored.tolist(), strict=True):
+        z = got[0] + sum(float(got[b]) for b in brute_ngrams(text))
+        assert score == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-6)
+
+
 def test_a_text_scores_alike_alone_and_among_others(weights):
     rng = np.random.default_rng(3)
     texts = [bytes(rng.choice(list(b"abcdef ##"), n)) for n in (0, 1, 5, 50, 3000, 2 * SEGMENT, 7)]

@@ -71,6 +71,43 @@ def test_odd_documents(spark, monkeypatch, block):
     assert got == expected(odd.texts(), ITEMS)
 
 
+@pytest.mark.parametrize("passage", [12, 40, 1 << 16])
+def test_long_items_in_passages(spark, monkeypatch, passage):
+    monkeypatch.setattr(decontaminate, "PASSAGE_WORDS", passage)
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 100)
+    rng = random.Random(2)
+    items = [(i, " ".join(rng.choices("abcdef", k=n))) for i, n in enumerate((300, 45, 44, 12, 10, 9, 1))]
+    docs = [(i, " ".join(rng.choices("abcdef", k=80))) for i in range(20)]
+    docs += [(100 + i, "x " + items[0][1][i * 20 : i * 20 + 60] + " y") for i in range(20)]
+    docs += [(200 + i, t) for i, (_, t) in enumerate(items)]
+    got = found(odd.documents(spark, docs), items_frame(spark, items))
+    assert got == expected(docs, items)
+
+
+def test_blocks_are_bounded(spark, monkeypatch):
+    """By words and ids, for equal items, long ones and those without words."""
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 3000)
+    monkeypatch.setattr(decontaminate, "PASSAGE_WORDS", 1000)
+    same = " ".join(f"w{i}" for i in range(20))
+    items = [(i, same) for i in range(5000)] + [(9000, " ".join(f"v{i}" for i in range(20_000)))]
+    items += [(10_000 + i, "!!!") for i in range(5000)]
+    frame = items_frame(spark, items)
+    blocks = list(decontaminate.phrase_blocks(frame, "text", "item_id", 10))
+    sizes = [len(p.items) + len(p.vocabulary) for p, _ in blocks]
+    assert max(sizes) <= 3000 and [more for _, more in blocks] == [True] * (len(blocks) - 1) + [False]
+    assert sum(sizes) < 5000 + 64 * 20 + 21_000
+    docs = [(1, f"x {same} y"), (2, " ".join(f"v{i}" for i in range(500, 515)))]
+    one, two = sorted(find_contamination(odd.documents(spark, docs), frame).collect())
+    assert one["hit_items"] == list(range(5000)) and one["hit_spans"] == [1, 21]
+    assert two["hit_items"] == [9000] and two["hit_spans"] == [0, 15]
+
+
+def test_item_ids_are_integers(spark):
+    items = spark.createDataFrame([("a", "x")], "item_id string, text string")
+    with pytest.raises(TypeError, match="ids must be integers"):
+        find_contamination(odd.documents(spark), items)
+
+
 def test_small_shards(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "SHARD_WORDS", 50)
     rng = random.Random(1)

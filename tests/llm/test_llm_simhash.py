@@ -206,3 +206,53 @@ def test_a_large_bucket_is_cut_and_loses_no_link(spark, tmp_path, monkeypatch, b
     for i, a in enumerate(signed):
         for j in range(i):
             assert (labels.get(a, a) == labels.get(signed[j], signed[j])) == (want[i] == want[j])
+
+
+def plain_fingerprint(text, width=4):
+    import xxhash
+
+    w = odd.words(odd.lower(text))
+    shingles = [" ".join(w[i : i + width]) for i in range(len(w) - width + 1)] or ([" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@pytest.mark.parametrize("width", [1, 2, 4])
+@pytest.mark.parametrize("piece", [1, 7, 30, 1 << 18])
+def test_fingerprints_of_texts_in_runs(monkeypatch, piece, width):
+    monkeypatch.setattr(simhash, "PIECE", piece)
+    texts = ["", " ", "one", "a b", "a b c", "a b c d", "A\tb\nc  d e", "x" * 50 + " y", "many words go here " * 20]
+    for text in texts + ["Ö ä\x85ß \x0bZ " * 9]:
+        assert simhash.fingerprint(text.encode(), width) == plain_fingerprint(text, width)
+
+
+def test_memory_of_a_long_text():
+    import tracemalloc
+
+    raw = b"the quick brown fox jumps over the lazy dog and so on " * 200_000  # 10.8 MB
+    tracemalloc.start()
+    simhash.fingerprint(raw)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 80e6
+
+
+def test_rows_that_differ_in_another_column_only(spark):
+    """Whatever the partitions, the same one stays."""
+    schema = "doc_id bigint, text string, tag string, n int"
+    rows = [(1, "same text of all rows here", t, n) for n, t in enumerate("dbaacx")]
+    rows.append((2, "same text of all rows here", "a", 0))
+    kept = set()
+    for parts in (1, 3, 7):
+        df = spark.createDataFrame(rows, schema).repartition(parts)
+        found = [tuple(r) for r in simhash.drop_near_duplicates(df).collect()]
+        assert len(found) == 1
+        kept.add(found[0])
+    assert len(kept) == 1
+
+
+def test_ids_are_integers(spark):
+    df = spark.createDataFrame([("a", "x")], "doc_id string, text string")
+    for work in (simhash.near_duplicates, simhash.drop_near_duplicates):
+        with pytest.raises(TypeError, match="ids must be integers"):
+            work(df)
