@@ -13,11 +13,13 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.llm.columns import TextWork, as_bytes, col, free_name, map_texts, without
+from stockweek.llm.columns import TextWork, as_bytes, bound_batches, col, free_name, map_texts, without
 from stockweek.llm.gru import BLANK, BiGru, train
+from stockweek.session import scratch_dir
 
 UNKNOWN = "und"
 
@@ -26,6 +28,9 @@ SAMPLE_DOCS = 500
 SAMPLE_WINDOWS = 4
 TRAIN_BYTES = 64
 
+# Languages that a network may tell apart.
+MAX_LANGUAGES = 1000
+
 # Bytes in a window when predicting, and windows worked on at a time.
 WINDOW = 128
 WINDOWS = 2048
@@ -36,22 +41,26 @@ def has_letter(text: str | Column) -> Column:
     return F.coalesce(F.rlike(text, F.lit(r"\p{L}")), F.lit(False))
 
 
-def _windows(sample: pd.DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Windows at random places of each text; rows in a fixed order, whatever the partitions."""
-    rng, windows, labels = np.random.default_rng(5), [], []
-    for label, text in sample.sort_values(["lang", "text"]).itertuples(index=False):
-        raw = text.encode()
-        for at in rng.integers(0, max(1, len(raw) - TRAIN_BYTES + 1), SAMPLE_WINDOWS):
-            piece = raw[at : at + TRAIN_BYTES].ljust(TRAIN_BYTES, bytes([BLANK]))
-            windows.append(np.frombuffer(piece, np.uint8))
-            labels.append(names.index(label))
-    return np.stack(windows), np.array(labels)
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows at random places of each text, which follow from the text; with its language."""
+    for batch in batches:
+        langs, windows = [], []
+        for lang, raw in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
+            rng = np.random.default_rng(xxhash.xxh64_intdigest(raw))
+            for at in rng.integers(0, max(1, len(raw) - TRAIN_BYTES + 1), SAMPLE_WINDOWS).tolist():
+                langs.append(lang)
+                windows.append(raw[at : at + TRAIN_BYTES].ljust(TRAIN_BYTES, bytes([BLANK])))
+        arrays = [pa.array(langs, pa.string()), pa.array(windows, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["lang", "window"])
 
 
 def _fit(names: list[str], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    sample = pd.concat([pd.DataFrame({"lang": [], "text": []}, dtype=str), *batches])
-    model = train(*_windows(sample, names), names)
-    yield pd.DataFrame({"model": [model.to_bytes()]})
+    """One network, from windows in a fixed order, whatever the partitions."""
+    sample = pd.concat([pd.DataFrame({"lang": [], "window": []}, dtype=object), *batches])
+    sample = sample.sort_values(["lang", "window"])
+    windows = np.frombuffer(b"".join(map(bytes, sample["window"])), np.uint8).reshape(-1, TRAIN_BYTES)
+    labels = np.array([names.index(lang) for lang in sample["lang"]])
+    yield pd.DataFrame({"model": [train(windows, labels, names).to_bytes()]})
 
 
 def learn_languages(
@@ -65,13 +74,18 @@ def learn_languages(
 
     Rows without a language or a letter teach nothing. About ``SAMPLE_DOCS`` rows
     per language are used, chosen by a hash of their id; of a language with
-    fewer, all. Their windows come from anywhere in the text. One task trains.
+    fewer, all. Their windows come from anywhere in the text. One task trains, and gets
+    windows only, never texts. More than ``MAX_LANGUAGES`` languages raise. Repeated rows
+    are drawn together or not at all; an empty table has no languages.
     """
     known = df.filter(F.lit(True) if usable is None else usable)
     known = known.select(
         col(doc_id).cast("string").alias("id"), col(lang).alias("lang"), col(text).alias("text")
     ).filter(F.col("lang").isNotNull())
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    found = known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
+    counts = {r["lang"]: r["count"] for r in found}
     if not counts:
         return None
     names = sorted(counts)
@@ -80,7 +94,12 @@ def learn_languages(
         *(F.lit(x) for n in names for x in (n, min(parts, parts * SAMPLE_DOCS // counts[n] + 1)))
     )
     drawn = F.pmod(F.xxhash64("id", F.lit(8)), F.lit(parts)) < share[F.col("lang")]
-    sample = known.filter(drawn).filter(has_letter("text")).select("lang", "text")
+    sample = known.filter(drawn).filter(has_letter("text")).select("lang", F.col("text").cast("string").cast("binary"))
+    bound_batches(df.sparkSession)
+    sample = sample.mapInArrow(_windows, "lang string, window binary")
+    path = scratch_dir(df.sparkSession, "windows")
+    sample.write.parquet(path)
+    sample = df.sparkSession.read.parquet(path)
     seen = {r["lang"] for r in sample.select("lang").distinct().collect()}
     names = [n for n in names if n in seen]
     if not names:
@@ -144,7 +163,9 @@ def predict_languages(
     """``keep``, ``lang_pred`` and ``score`` (0 to 1) of every row.
 
     A null or empty text, or one without a letter, is ``und`` with score 0; so is
-    every text without a model. Of equal probabilities the first label wins.
+    every text without a model. Of equal probabilities the first label wins. Repeated
+    rows stay and score alike, an empty table gives an empty result, and a long text is
+    worked on in pieces.
     """
     keep = without(keep, ["lang_pred", "score"])
     if model is None:

@@ -277,3 +277,63 @@ def test_network_survives_its_bytes_and_pools_whole_texts():
     label, score = (c.to_pylist() for c in work(texts))
     assert label[2:] == ["a", "b", "a", "b"]
     assert 0.5 < score[4] <= 1
+
+
+def plain_network(model, raw):
+    """Label probabilities of a text's bytes, added up: one byte after the other, window by window."""
+    units, total = model.forward.again.shape[1], np.zeros(len(model.labels))
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def states(side, values):
+        state, out = np.zeros(units), []
+        for b in values:
+            x, inner = side.by_byte[:, b].astype(float), side.again.astype(float) @ state
+            update = sigmoid(x[:units] + inner[:units])
+            reset = sigmoid(x[units : 2 * units] + inner[units : 2 * units])
+            new = np.tanh(x[2 * units :] + reset * inner[2 * units :])
+            state = update * state + (1 - update) * new
+            out.append(state)
+        return out
+
+    for at in range(0, len(raw), lang_id.WINDOW):
+        piece = raw[at : at + lang_id.WINDOW]
+        padded = list(piece.ljust(lang_id.WINDOW, bytes([lang_id.BLANK])))
+        ahead = states(model.forward, padded)
+        behind = states(model.backward, padded[::-1])[::-1]
+        for a, b, _ in zip(ahead, behind, piece, strict=False):
+            scores = model.out.astype(float) @ np.concatenate([a, b]) + model.bias[:, 0]
+            odds = np.exp(scores - scores.max())
+            total += odds / odds.sum()
+    return total / max(1, len(raw))
+
+
+def test_predictions_by_a_plain_network(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der Hund und die Katze", "de")] * 8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = BiGru.from_bytes(learn_languages(docs))
+    texts = ["the dog", "die Katze", "x", "der Hund und the cat, " * 30, "日本 é", "1 2 3"]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in predict_languages(asked, model.to_bytes()).collect()}
+    for i, text in enumerate(texts):
+        want = plain_network(model, text.encode())
+        if any(c.isalpha() for c in text):
+            assert found[i]["lang_pred"] == model.labels[int(want.argmax())]
+            assert found[i]["score"] == pytest.approx(want.max(), abs=1e-4)
+        else:
+            assert (found[i]["lang_pred"], found[i]["score"]) == ("und", 0.0)
+
+
+def test_the_training_task_gets_windows_only(spark, monkeypatch):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["en"]), pa.array([("a long text " * 5000).encode()], pa.binary())], names=["lang", "text"]
+    )
+    (made,) = lang_id._windows(iter([batch]))
+    assert made.num_rows == lang_id.SAMPLE_WINDOWS and made.nbytes < 1000
+    assert list(map(len, made.column(1).to_pylist())) == [lang_id.TRAIN_BYTES] * lang_id.SAMPLE_WINDOWS
+    monkeypatch.setattr(lang_id, "MAX_LANGUAGES", 1)
+    schema = "doc_id bigint, text string, lang string"
+    many = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], schema)
+    with pytest.raises(ValueError, match="languages to learn"):
+        learn_languages(many)
