@@ -25,7 +25,7 @@ UNKNOWN = "und"
 
 # Documents per language that the network learns from, about; and windows from each.
 SAMPLE_DOCS = 500
-SAMPLE_WINDOWS = 4
+SAMPLE_WINDOWS = 8
 TRAIN_BYTES = 64
 
 # Languages that a network may tell apart.
