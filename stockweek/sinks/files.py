@@ -58,7 +58,7 @@ def write_csv(df: DataFrame, path: str) -> None:
     """Overwrite a CSV dataset with header lines.
 
     A table measured to fit ``MAX_FILE_BYTES`` makes one file, a larger one several;
-    the rows are the same.
+    the rows are the same. Spaces around a text are trimmed, as Spark does by default.
     """
     _few_files(df).write.mode("overwrite").options(**CSV_FORMAT).csv(path)
 
@@ -123,6 +123,8 @@ def write_snapshot(
         .write.options(**CSV_FORMAT)
         .option("compression", "none")
         .option("nullValue", null_value)
+        # A dump leaves a text as it is; by default the writer would trim it.
+        .options(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
     )
     width = _widest_row(df.schema)
     if width is not None:

@@ -306,6 +306,57 @@ def q_parse_report(spark, sf_dir):
     return parse_report(spark, "sales", path)
 
 
+_FULL_STORE = """
+    SELECT STORE_KEY, STORE_NUM, STORE_DESC, s_name || ' Street, 5' AS ADDR, 'City, ' || s_suppkey AS CITY, REGION,
+           'C' || s_nationkey AS CNTRY_CD, CNTRY_NM, 'Z' || s_suppkey AS POSTAL_ZIP_CD,
+           'the "' || s_nationkey || '"' AS PROV_STATE_DESC, CAST(s_nationkey AS VARCHAR) AS PROV_STATE_CD,
+           CASE WHEN s_suppkey % 2 = 0 THEN 'A' ELSE 'B' END AS STORE_TYPE_CD,
+           CASE WHEN s_suppkey % 2 = 0 THEN ' even ' ELSE 'odd' END AS STORE_TYPE_DESC,
+           CASE WHEN s_suppkey % 3 = 0 THEN 'true' ELSE 'false' END AS FRNCHS_FLG,
+           (s_suppkey % 1000) || '.125' AS STORE_SIZE, MARKET_KEY, MARKET_NAME,
+           CAST(s_suppkey % 7 AS INTEGER) AS SUBMARKET_KEY, 'S' || (s_suppkey % 7) AS SUBMARKET_NAME,
+           LATITUDE, LONGITUDE
+    FROM store JOIN supplier ON s_suppkey = STORE_KEY"""
+
+_FULL_PRODUCT = """
+    SELECT PROD_KEY, PROD_NAME, VOL, p_size / 4.0::DOUBLE AS WGT, BRAND_NAME,
+           CAST(p_partkey % 5 AS INTEGER) AS STATUS_CODE, 'status, ' || (p_partkey % 5) AS STATUS_CODE_NAME,
+           CATEGORY_KEY, CATEGORY_NAME, CAST(p_partkey % 11 AS INTEGER) AS SUBCATEGORY_KEY,
+           p_type || '; sub' AS SUBCATEGORY_NAME
+    FROM product JOIN part ON p_partkey = PROD_KEY"""
+
+
+def _full_dimension(table: str, make, sql: str) -> None:
+    @_register(f"q_csv_scan_{table}_full", oracle.query(sql))
+    def run(spark, sf_dir):
+        base = scratch_dir(spark, "full")
+        write_snapshot(make(tables.reader(spark, sf_dir)), table, base, AS_OF)
+        return _plain(read_table(spark, table, f"{base}/{table}_{AS_OF}.csv"))
+
+
+_full_dimension("store", tables.full_store, _FULL_STORE)
+_full_dimension("product", tables.full_product, _FULL_PRODUCT)
+
+
+@_register(
+    "q_raw_wide_ids",
+    oracle.query(
+        "SELECT CAST(TRANS_ID AS BIGINT) + 3000000000 AS TRANS_ID, count(*) AS N_ROWS,"
+        " CAST(sum(SALES_QTY) AS DOUBLE) AS SALES_QTY FROM sales GROUP BY ALL"
+    ),
+)
+def q_raw_wide_ids(spark, sf_dir):
+    """Raw sales whose ids no 32 bits hold."""
+    base, database = scratch_dir(spark, "raw"), scratch_database("raw")
+    current, sales = spark.catalog.currentDatabase(), _dumped(spark, sf_dir, "sales")
+    wide = sales.withColumn("TRANS_ID", F.col("TRANS_ID").cast("bigint") + 3_000_000_000)
+    wide.write.options(header="true").csv(f"{base}/staged")
+    loaded = load_raw(spark, {"sales": f"{base}/staged"}, database, f"{base}/tables")
+    spark.catalog.setCurrentDatabase(current)
+    sums = F.sum("SALES_QTY").cast("double").alias("SALES_QTY")
+    return loaded["sales"].groupBy("TRANS_ID").agg(F.count(F.lit(1)).alias("N_ROWS"), sums)
+
+
 # --- daily and weekly -------------------------------------------------------
 
 
@@ -783,6 +834,18 @@ def q_snapshot_day(spark, sf_dir):
     return events.select("event_id", snapshot_day(F.col("ts"), "UTC").alias("SNAPSHOT_DATE"))
 
 
+@_register(
+    "q_snapshot_day_summer",
+    "SELECT event_id, strftime(ts + INTERVAL 181 DAY - INTERVAL 4 HOUR, '%Y-%m-%d') AS SNAPSHOT_DATE"
+    " FROM events",
+)
+def q_snapshot_day_summer(spark, sf_dir):
+    """The same events half a year later, when Eastern time is four hours behind."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    later = F.col("ts").cast("timestamp_ntz") + F.expr("INTERVAL 181 DAY")
+    return events.select("event_id", snapshot_day(later, "UTC").alias("SNAPSHOT_DATE"))
+
+
 def _state_of(spark: SparkSession, base: str) -> DataFrame:
     """Of each snapshot that a day needs: whether it is missing, and the rows that are there."""
     found = check_snapshots(spark, base, AS_OF)
@@ -840,6 +903,20 @@ def q_readiness_verdict(spark, sf_dir):
     return rows.select(F.lit(verdict).alias("READY"), "N_ROWS")
 
 
+@_register(
+    "q_readiness_ready",
+    oracle.query(f"SELECT true AS READY, CAST(sum(N_ROWS) AS BIGINT) AS N_ROWS FROM ({_snapshot_counts()})"),
+)
+def q_readiness_ready(spark, sf_dir):
+    """The verdict on a day that is complete, with the rows of its snapshots."""
+    base = scratch_dir(spark, "day")
+    export_snapshots(spark, tables.tables(spark, sf_dir), base, AS_OF)
+    present = snapshot_files(list_whole(spark, base, AS_OF))
+    verdict = all_present(required_snapshots(spark, base, AS_OF), present).first()["READY"]
+    rows = _rows_of(spark, present).agg(F.sum("N_ROWS").alias("N_ROWS"))
+    return rows.select(F.lit(verdict).alias("READY"), "N_ROWS")
+
+
 @_register(
     "q_manifest",
     oracle.query(f"SELECT TABLE_NAME, SNAPSHOT_DATE, N_ROWS FROM ({_snapshot_counts()})"),

@@ -196,6 +196,44 @@ def _with_nulls(df: DataFrame, table: str, known: dict[str, Column]) -> DataFram
     )
 
 
+def full_store(read: Read) -> DataFrame:
+    """Stores with a value in every column; those of text hold commas, quotes and spaces."""
+    key, name = F.col("s_suppkey"), F.col("s_name")
+    city = F.concat(F.lit("City, "), key.cast("string"))
+    known = {
+        "ADDR": F.concat(name, F.lit(' Street, 5')),
+        "CITY": city,
+        "CNTRY_CD": F.concat(F.lit("C"), F.col("s_nationkey").cast("string")),
+        "POSTAL_ZIP_CD": F.concat(F.lit('Z'), key.cast('string')),
+        "PROV_STATE_DESC": F.concat(F.lit('the "'), F.col("s_nationkey").cast("string"), F.lit('"')),
+        "PROV_STATE_CD": F.col("s_nationkey").cast("string"),
+        "STORE_TYPE_CD": F.when(key % 2 == 0, "A").otherwise("B"),
+        "STORE_TYPE_DESC": F.when(key % 2 == 0, " even ").otherwise("odd"),
+        "FRNCHS_FLG": F.when(key % 3 == 0, "true").otherwise("false"),
+        "STORE_SIZE": F.concat((key % 1000).cast("string"), F.lit(".125")),
+        "SUBMARKET_KEY": key % 7,
+        "SUBMARKET_NAME": F.concat(F.lit("S"), (key % 7).cast("string")),
+    }
+    rest = store(read).drop(*known)
+    added = read("supplier").select(key.cast("int").alias("STORE_KEY"), *(c.alias(n) for n, c in known.items()))
+    return _typed(rest.join(added, "STORE_KEY"), "store")
+
+
+def full_product(read: Read) -> DataFrame:
+    """Products with a value in every column."""
+    key = F.col("p_partkey")
+    known = {
+        "WGT": F.col("p_size") / 4,
+        "STATUS_CODE": key % 5,
+        "STATUS_CODE_NAME": F.concat(F.lit("status, "), (key % 5).cast("string")),
+        "SUBCATEGORY_KEY": key % 11,
+        "SUBCATEGORY_NAME": F.concat(F.col('p_type'), F.lit('; sub')),
+    }
+    rest = product(read).drop(*known)
+    added = read("part").select(key.cast("int").alias("PROD_KEY"), *(c.alias(n) for n, c in known.items()))
+    return _typed(rest.join(added, "PROD_KEY"), "product")
+
+
 def loose_weeks(calendar: DataFrame) -> DataFrame:
     """A calendar that does not tell the weeks of summer apart."""
     known = ~F.col("MNTH_NUM").isin(6, 7)
