@@ -3,6 +3,7 @@
     spark-submit weekly_mart_job.py -p '{"name": ..., "input_path": {...}, ...}'
     spark-submit weekly_mart_job.py load -p '{"name": ..., "staged": {...}, "database": ...}'
     spark-submit weekly_mart_job.py export -p '{"name": ..., "database": ..., "location": ...}'
+    spark-submit weekly_mart_job.py update -p {old_input_path, input_path, output_path, ...}
     spark-submit weekly_mart_job.py run-if-ready -p '{"name": ..., "location": ...,
                                                       "output_path": ..., "partition_column": ...}'
 """
