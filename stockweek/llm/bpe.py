@@ -27,11 +27,11 @@ from stockweek.llm.columns import TextWork, as_bytes, map_texts
 MAX_VOCABULARY_BYTES = 16 << 20
 
 # A task remembers so many different pre-tokens, then starts afresh.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 125_000
 
 # Bytes of texts that are cut into pre-tokens together; and pre-tokens or ids of a longer
 # text that are worked on at a time.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 ROUND_TOKENS = 1 << 16
 
 

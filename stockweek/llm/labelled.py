@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.llm.columns import col
+from stockweek.llm.columns import col, give_back
 
 # Documents per class that a classifier learns from, about.
 SAMPLE_DOCS = 4000
@@ -62,6 +62,9 @@ def fit_in_one_task(sample: DataFrame, fit: Callable[[list[bytes], list[int]], b
         rows = pd.concat([pd.DataFrame({"label": [], "text": []}), *batches])
         rows = rows.sort_values(["text", "label"])
         texts = [t.encode() for t in rows["text"]]
-        yield pd.DataFrame({"model": [fit(texts, rows["label"].astype(int).tolist())]})
+        model = fit(texts, rows["label"].astype(int).tolist())
+        del rows, texts
+        give_back()
+        yield pd.DataFrame({"model": [model]})
 
     return bytes(sample.repartition(1).mapInPandas(run, "model binary").first()["model"])

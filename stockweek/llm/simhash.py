@@ -22,7 +22,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockweek.llm.columns import TextWork, as_bytes, col, free_name, integer_id, map_texts, own_names
+from stockweek.llm.columns import (
+    TextWork,
+    as_bytes,
+    col,
+    free_name,
+    give_back,
+    integer_id,
+    map_texts,
+    own_names,
+)
 from stockweek.llm.components import component_labels
 from stockweek.llm.perfect_hash import mix
 from stockweek.session import scratch_dir
@@ -202,6 +211,7 @@ def _bucket_links(prints: np.ndarray, bucket: np.ndarray, bits: int) -> list[tup
 
 def _links(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links within the buckets of a partition sorted by bucket; a bucket is whole before it is used."""
+    pa.set_memory_pool(pa.system_memory_pool())
     rest = None
     for batch in _and_none(batches):
         rows = None
@@ -212,6 +222,7 @@ def _links(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         if rest is not None:
             rows = rest if rows is None else [np.concatenate(p) for p in zip(rest, rows, strict=True)]
         if rows is None:
+            give_back()
             return
         *place, prints, node = rows
         key = place[0]
@@ -227,6 +238,9 @@ def _links(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node[a]), pa.array(node[b])], names=["a", "b"]
             )
+            del pairs, a, b
+        del place, prints, node, key, new, bucket, rows
+        give_back()
 
 
 def _and_none(batches):
