@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweek.operators.star import star_report
+from stockweek.functions.sizes import fits_broadcast
+from stockweek.operators.star import pairs_repeat, star_report
 from stockweek.operators.weekly import MART_COLUMNS, METRIC_COLUMNS
 from stockweek.plans.weekly_mart import DIMENSIONS, FACT
 from stockweek.sinks.catalog import (
@@ -44,8 +45,13 @@ def register_output(
 
 
 def served_star_report(spark: SparkSession, database: str) -> DataFrame:
-    """``star_report`` on the served tables; the catalog says which dimensions are small."""
+    """``star_report`` on the served tables; the catalog says which dimensions are small.
+
+    If one is not, the keys of the fact are read once more, to see if its pairs have several weeks.
+    """
     fact, *dimensions = (f"{database}.{name}" for name in (FACT, "store", "product"))
     sizes = tuple(known_size(spark, name) for name in dimensions)
     store, product = map(spark.table, dimensions)
-    return star_report(spark.table(fact), store, product, sizes)
+    served = spark.table(fact)
+    small = all(fits_broadcast(df, size) for df, size in zip((store, product), sizes, strict=True))
+    return star_report(served, store, product, sizes, small or pairs_repeat(served))
