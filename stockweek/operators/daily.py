@@ -10,18 +10,15 @@ from stockweek.functions.measures import mean, total
 from stockweek.operators.hot_keys import DAY_KEYS, HotKeys, sampled_hot_keys, split_parts
 
 SALES_MEASURES = ["SALES_QTY", "SALES_PRICE", "SALES_AMT", "DISCOUNT", "SALES_COST", "SALES_MGRN"]
+STOCK_MEASURES = ["STOCK_ON_HAND_QTY", "ORDERED_STOCK", "OUT_OF_STOCK_FLG"]
 
 
 # How a measure is summed up to a day, if not by its total.
 _PER_DAY = {"SALES_PRICE": mean, "DISCOUNT": mean}
 
 
-def daily_sales(sales: DataFrame) -> DataFrame:
-    """Transactions rolled up to date, store and product.
-
-    The rows are combined before the shuffle, so a hot key sends one row per task.
-    """
-    return sales.groupBy(F.col("TRANS_DT").alias("CAL_DT"), "STORE_KEY", "PROD_KEY").agg(
+def _day_sums() -> list[Column]:
+    return [
         total("SALES_QTY").alias("SALES_QTY"),
         total("SALES_AMT").alias("SALES_AMT"),
         mean("SALES_PRICE").alias("SALES_PRICE"),
@@ -29,7 +26,24 @@ def daily_sales(sales: DataFrame) -> DataFrame:
         total("SALES_MGRN").alias("SALES_MGRN"),
         mean("DISCOUNT").alias("DISCOUNT"),
         total("SHIP_COST").alias("SHIP_COST"),
-    )
+    ]
+
+
+def daily_sales(sales: DataFrame) -> DataFrame:
+    """Transactions rolled up to date, store and product.
+
+    The rows are combined before the shuffle, so a hot key sends one row per task.
+    """
+    keys = [F.col("TRANS_DT").alias("CAL_DT"), "STORE_KEY", "PROD_KEY"]
+    return sales.groupBy(*keys).agg(*_day_sums())
+
+
+def daily_sales_in_place(sales: DataFrame, *more: str) -> DataFrame:
+    """``daily_sales`` of transactions dated ``CAL_DT`` that lie by the columns ``more``, store and product.
+
+    Nothing is shuffled for it. All rows of a key are in one task, so it is for sales without hot keys.
+    """
+    return sales.groupBy(*DAY_KEYS, *more).agg(*_day_sums())
 
 
 def daily_inventory(inventory: DataFrame) -> DataFrame:
@@ -136,18 +150,29 @@ def meet_in_weeks(sales: DataFrame, inventory: DataFrame) -> DataFrame:
     week, keys = ["WEEK_HASH", "STORE_KEY", "PROD_KEY"], ["WEEK_HASH", *DAY_KEYS]
     sums = [_PER_DAY.get(name, total)(name).alias(name) for name in SALES_MEASURES]
     sold = sales.select(*keys, *SALES_MEASURES).repartition(*week).groupBy(*keys).agg(*sums)
-    sold = sold.select(*keys, F.struct(*SALES_MEASURES).alias("SOLD"))
-    stock = ["STOCK_ON_HAND_QTY", "ORDERED_STOCK", "OUT_OF_STOCK_FLG"]
-    held = inventory.select(*keys, *stock).repartition(*week)
-    held = held.select(*keys, F.struct(*stock).alias("HELD"))
+    held = inventory.select(*keys, *STOCK_MEASURES).repartition(*week)
+    return meet_in_place(sold, held, "WEEK_HASH")
+
+
+def meet_in_place(sold: DataFrame, held: DataFrame, *more: str) -> DataFrame:
+    """The daily fact with the columns ``more``, from daily sales and stock rows that lie by these, store and product.
+
+    No key is null. Rows of a day do not meet in pairs, and nothing is shuffled for it.
+    """
+    keys = [*more, *DAY_KEYS]
+    # Spark sees that both sides lie alike by names that are made here, not by those of two stored tables.
+    named = [F.col(key).alias(f"K_{key}") for key in keys]
+    sold = sold.select(*named, F.struct(*SALES_MEASURES).alias("SOLD"))
+    held = held.select(*named, F.struct(*STOCK_MEASURES).alias("HELD"))
     both = sold.unionByName(held, allowMissingColumns=True)
     # A day has one row of sales at most; it stays as a row if no stock row takes it.
-    day = Window.partitionBy(*keys)
+    day = Window.partitionBy(*(f"K_{key}" for key in keys))
     sale, stocked = F.max("SOLD").over(day).alias("s"), F.count("HELD").over(day).alias("STOCKED")
-    days = both.select(*keys, "HELD", sale, stocked).filter(F.col("HELD").isNotNull() | (F.col("STOCKED") == 0))
+    days = both.select("*", sale, stocked).filter(F.col("HELD").isNotNull() | (F.col("STOCKED") == 0))
+    found = [F.col(f"K_{key}").alias(key) for key in keys]
     s_columns = [F.col(f"s.{name}").alias(f"s_{name}") for name in SALES_MEASURES]
-    i_columns = [F.col(f"HELD.{name}").alias(f"i_{name}") for name in stock]
-    return days.select(*keys, *s_columns, *i_columns).select(*keys, *fact_values())
+    i_columns = [F.col(f"HELD.{name}").alias(f"i_{name}") for name in STOCK_MEASURES]
+    return days.select(*found, *s_columns, *i_columns).select(*keys, *fact_values())
 
 
 def fact_columns() -> list[Column]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from stockweek.operators.daily import (
     daily_sales,
     fact_columns,
     match_days,
+    meet_in_place,
     meet_in_weeks,
     sales_inv_store_dy,
 )
@@ -114,8 +117,15 @@ def sales_inv_store_wk(
     return _chosen(_roll_up(sales_inv_day.join(slim, "CAL_DT")), metrics)
 
 
-def has_plain_weeks(slim: DataFrame) -> bool:
-    """Whether a calendar is small, holds each date once, and its weeks are no longer than weeks."""
+class Shape(NamedTuple):
+    """Of a calendar: whether it is small and holds each date once; and, besides, its weeks are no longer than weeks."""
+
+    single: bool
+    plain: bool
+
+
+def shape_of(slim: DataFrame) -> Shape:
+    """One pass over a calendar."""
     per_date = slim.groupBy("CAL_DT").agg(
         F.count(F.lit(1)).alias("n"), F.min("YR_NUM").alias("year"), F.min("WK_NUM").alias("week")
     )
@@ -123,7 +133,25 @@ def has_plain_weeks(slim: DataFrame) -> bool:
         F.count(F.lit(1)).alias("days"), F.max("n").alias("most")
     )
     dates, most, days = per_week.agg(F.sum("days"), F.max("most"), F.max("days")).first()
-    return (dates or 0) <= sizes.BROADCAST_ROWS and (most or 0) <= 1 and (days or 0) <= DAYS_PER_WEEK
+    single = (dates or 0) <= sizes.BROADCAST_ROWS and (most or 0) <= 1
+    return Shape(single, single and (days or 0) <= DAYS_PER_WEEK)
+
+
+def has_plain_weeks(slim: DataFrame) -> bool:
+    """Whether a calendar is small, holds each date once, and its weeks are no longer than weeks."""
+    return shape_of(slim).plain
+
+
+def sums_in_place(
+    sold: DataFrame, held: DataFrame, calendar: DataFrame, metrics: bool, *more: str
+) -> DataFrame:
+    """The weekly mart from daily sales and stock rows that lie by the columns ``more``, store and product.
+
+    Equal weeks of the calendar, which is small and holds each date once, agree in ``more``. Weeks may
+    be of any length, as rows do not meet in pairs.
+    """
+    days = meet_in_place(sold, held, *more).join(F.broadcast(calendar), "CAL_DT")
+    return _chosen(_roll_up(days, *more), metrics)
 
 
 def weekly_mart(

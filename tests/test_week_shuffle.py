@@ -6,11 +6,13 @@ from datetime import date, timedelta
 import golden
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from test_plans import exchanges, keys, plan
 
 from stockweek.functions import sizes
 from stockweek.functions.nulls import fill_nulls
 from stockweek.operators import hot_keys
+from stockweek.operators.hot_keys import HotKeys
 from stockweek.operators.star import pairs_repeat, star_report
 from stockweek.operators.weekly import (
     MART_COLUMNS,
@@ -20,6 +22,7 @@ from stockweek.operators.weekly import (
     weekly_sums,
     with_metrics,
 )
+from stockweek.plans.layout import stage_facts, weekly_mart_from_staged
 from stockweek.sources.schemas import JOB_SCHEMAS
 
 FACTS = "TRANS_DT STORE_KEY PROD_KEY SALES_QTY SALES_PRICE SALES_AMT DISCOUNT SALES_COST SALES_MGRN".split()
@@ -112,3 +115,29 @@ def test_pairs_are_summed_first_if_they_repeat(spark, monkeypatch, weeks):
     summed = [e for e in exchanges(plan(found)) if keys(e) == "YR_NUM, STORE_KEY, PROD_KEY"]
     assert bool(summed) == (weeks > 1)
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("hot_side", [None, "sales", "stock"])
+def test_long_weeks_are_staged_by_week_and_not_shuffled_again(spark, facts, tmp_path, monkeypatch, hot_side):
+    sales, stock, calendar = facts
+    loose = {c: F.when(F.col("WK_NUM") != 5, F.floor(F.col(c) / 4).cast("int")) for c in ("YR_NUM", "WK_NUM")}
+    calendar, database = calendar.withColumns(loose), f"long_weeks_{hot_side}"
+    wanted = rows(weekly_mart(sales, stock, calendar, metrics=True))
+    hot = HotKeys(0, [])
+    if hot_side == "stock":
+        key = stock.filter("CAL_DT IS NOT NULL").select(*hot_keys.DAY_KEYS).first()
+        hot = HotKeys(10, [(*key, 5)])
+    elif hot_side == "sales":
+        monkeypatch.setattr(hot_keys, "HOT_HITS", 2)
+        monkeypatch.setattr(hot_keys, "HOT_SAMPLE", 1.0)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/db'")
+    stage_facts(sales, stock, calendar, database, 4, hot)
+    sold = spark.table(f"{database}.staged_sales")
+    assert len(sold.inputFiles()) <= 4 and ("PART" in sold.columns) == (hot_side == "stock")
+    found = weekly_mart_from_staged(spark, database, metrics=True)
+    assert rows(found) == wanted and len(wanted) > 100
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(weekly_mart_from_staged(spark, database))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Bucketed: true") == 2
+    assert len(exchanges(text)) == (1 if hot_side == "stock" else 0)
