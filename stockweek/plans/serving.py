@@ -14,6 +14,7 @@ from stockweek.sinks.catalog import (
     register_fact,
     register_star_view,
 )
+from stockweek.sinks.files import open_fact
 from stockweek.sources.raw import create_namespace
 
 
@@ -33,7 +34,7 @@ def register_output(
     base = output_path.rstrip("/")
     create_namespace(spark, database, location)
     path = f"{base}/{FACT}"
-    stored = spark.read.parquet(path)
+    stored = open_fact(spark, path)
     order = MART_COLUMNS + METRIC_COLUMNS
     known = [name for name in order if name in stored.columns]
     every = known + [name for name in stored.columns if name not in order]

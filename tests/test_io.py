@@ -146,6 +146,24 @@ def test_fact_round_trip(spark, mart, tmp_path):
         write_fact(mart, path, "store_id")
 
 
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "LISTING_WAVES", 1)
+    path, name = f"{tmp_path}/fact", "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    made = spark.range(0, 40, 1, 1).selectExpr("id AS N", "CAST(id AS INT) AS STORE_KEY")
+    made.write.partitionBy("STORE_KEY").parquet(path)
+    context, before = spark.sparkContext, spark.conf.get(name)
+    context.setJobGroup("open a fact", "")
+    try:
+        fact = read_fact(spark, path, ["N", "STORE_KEY"])
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    status = context.statusTracker()
+    jobs = [status.getJobInfo(j) for j in status.getJobIdsForGroup("open a fact")]
+    tasks = [status.getStageInfo(s).numTasks for job in jobs for s in job.stageIds]
+    assert max(tasks) == context.defaultParallelism < 40 and spark.conf.get(name) == before
+    assert rows(fact) == rows(made)
+
+
 def test_observed_scan(spark, tmp_path):
     scan = ObservedScan(spark, "inventory", put(tmp_path / "i.csv", SCAN))
     assert rows(scan.rows) == rows(read_table(spark, "inventory", str(tmp_path / "i.csv")))
