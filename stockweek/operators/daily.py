@@ -154,6 +154,18 @@ def meet_in_weeks(sales: DataFrame, inventory: DataFrame) -> DataFrame:
     return meet_in_place(sold, held, "WEEK_HASH")
 
 
+def meet_in_places(sales: DataFrame, inventory: DataFrame, places: int) -> DataFrame:
+    """``meet_in_weeks`` with one shuffle by ``PLACE``, which both sides carry and which follows from week, store and product.
+
+    There are ``places`` tasks. The rows of a place are in one of them, and stay there.
+    """
+    keys = ["PLACE", *DAY_KEYS]
+    sums = [_PER_DAY.get(name, total)(name).alias(name) for name in SALES_MEASURES]
+    sold = sales.select(*keys, *SALES_MEASURES).repartition(places, "PLACE").groupBy(*keys).agg(*sums)
+    held = inventory.select(*keys, *STOCK_MEASURES).repartition(places, "PLACE")
+    return meet_in_place(sold, held, "PLACE")
+
+
 def meet_in_place(sold: DataFrame, held: DataFrame, *more: str) -> DataFrame:
     """The daily fact with the columns ``more``, from daily sales and stock rows that lie by these, store and product.
 

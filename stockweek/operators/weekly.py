@@ -15,10 +15,12 @@ from stockweek.operators.daily import (
     fact_columns,
     match_days,
     meet_in_place,
+    meet_in_places,
     meet_in_weeks,
     sales_inv_store_dy,
 )
 from stockweek.operators.hot_keys import HotKeys, sampled_hot_keys, split_parts
+from stockweek.operators.places import PLACED_BY, placed, places_of
 
 WEEK_KEYS = ["YR_NUM", "WK_NUM", "STORE_KEY", "PROD_KEY"]
 CALENDAR_COLUMNS = ["CAL_DT", "YR_NUM", "WK_NUM", "DAY_OF_WK_NUM"]
@@ -215,6 +217,34 @@ def weekly_sums(
     return _roll_up(days.join(F.broadcast(slim), "CAL_DT"), "WEEK_HASH").select(*columns)
 
 
+def placed_sums(
+    sales: DataFrame,
+    inventory: DataFrame,
+    calendar: DataFrame,
+    column: str,
+    metrics: bool = False,
+    hot: HotKeys | None = None,
+) -> DataFrame | None:
+    """The rows of ``weekly_sums``, laid out for a fact with a folder for each value of ``column``; or None.
+
+    The one shuffle of sales and stock rows brings the rows of a value to few tasks, so that the
+    fact needs no shuffle for its layout. That is possible with a column of the calendar, and a
+    calendar with plain weeks, and if no key has many of the rows of either fact; otherwise the answer is None.
+    """
+    slim = calendar.select(*CALENDAR_COLUMNS).filter(F.col("CAL_DT").isNotNull())
+    if column not in PLACED_BY or not has_plain_weeks(slim):
+        return None
+    columns = MART_COLUMNS + (SUMMED_METRICS if metrics else [])
+    sold, held = sales.withColumnRenamed("TRANS_DT", "CAL_DT"), daily_inventory(inventory)
+    found = sampled_hot_keys(held) if hot is None else hot
+    if split_parts(found) or split_parts(sampled_hot_keys(sold)):
+        return None
+    places = places_of(sold, held, slim, column, None if hot is None else hot.total)
+    days = meet_in_places(placed(sold, places), placed(held, places), places.tasks)
+    # A week of a store and product has one place, so to group by it as well changes no row.
+    return _roll_up(days.join(F.broadcast(slim), "CAL_DT"), "PLACE").select(*columns)
+
+
 def with_metrics(sums: DataFrame) -> DataFrame:
     """All columns of the mart with metrics, from those of ``weekly_sums``."""
     return _chosen(sums, metrics=True)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stockweek.operators.hot_keys import HotKeys
 from stockweek.operators.quarantine import split_unknown_keys
-from stockweek.operators.weekly import weekly_sums, with_metrics
+from stockweek.operators.weekly import placed_sums, weekly_sums, with_metrics
 from stockweek.session import scratch_dir
 from stockweek.sinks.files import read_hot_keys, write_csv, write_fact
 from stockweek.sources.csv import ObservedScan, read_table, report_table
@@ -81,9 +81,13 @@ def run_weekly_mart(
     hot = read_hot_keys(spark, inputs["inventory"])
     if quarantine and hot:
         hot = HotKeys(hot.total, [key for key in hot.keys if all(key[:3])])
-    fact = weekly_sums(tables["sales"], tables["inventory"], tables["calendar"], metrics, hot)
+    facts = tables["sales"], tables["inventory"], tables["calendar"]
+    fact = placed_sums(*facts, partition_column.upper(), metrics, hot)
+    laid_out = fact is not None
+    if fact is None:
+        fact = weekly_sums(*facts, metrics, hot)
     finish = with_metrics if metrics else None
-    write_fact(fact, f"{base}/{FACT}", partition_column, partition_overwrite, finish)
+    write_fact(fact, f"{base}/{FACT}", partition_column, partition_overwrite, finish, laid_out)
     for table in DIMENSIONS:
         write_csv(tables[table], f"{base}/{table}")
     if scans:

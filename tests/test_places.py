@@ -1,0 +1,74 @@
+"""Facts whose rows are brought to the tasks of their partition by the one shuffle of sales and stock."""
+
+import glob
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+from test_plans import exchanges, keys, plan
+from test_week_shuffle import facts  # noqa: F401
+
+from stockweek.operators import places
+from stockweek.operators.hot_keys import HotKeys
+from stockweek.operators.weekly import MART_COLUMNS, placed_sums, weekly_mart, with_metrics
+from stockweek.sinks.files import write_fact
+
+
+@pytest.mark.parametrize("column", ["YR_NUM", "WK_NUM"])
+@pytest.mark.parametrize("few", [300, 10**6])
+def test_placed_sums_are_those_of_the_mart(facts, monkeypatch, column, few):  # noqa: F811
+    monkeypatch.setattr(places, "TASK_ROWS", few)
+    sales, stock, calendar = facts
+    calendar = calendar.withColumn("YR_NUM", F.when(F.col("WK_NUM") < 2, 2021).otherwise(F.col("YR_NUM")))
+    wanted = rows(weekly_mart(sales, stock, calendar, metrics=True))
+    assert rows(with_metrics(placed_sums(sales, stock, calendar, column, metrics=True))) == wanted
+    assert rows(placed_sums(sales.limit(0), stock, calendar, column)) == rows(
+        weekly_mart(sales.limit(0), stock, calendar)
+    )
+    assert rows(placed_sums(sales, stock.limit(0), calendar, column)) == rows(
+        weekly_mart(sales, stock.limit(0), calendar)
+    )
+
+
+def test_a_placed_fact_is_not_shuffled_for_its_layout(spark, facts, tmp_path, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(places, "LEAST_ROWS", 1000)
+    sales, stock, calendar = facts
+    calendar = calendar.withColumn("YR_NUM", F.col("WK_NUM") % 3)
+    for name, df in (("sales", sales), ("stock", stock)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    read = [spark.read.parquet(f"{tmp_path}/{name}") for name in ("sales", "stock")]
+    fact = placed_sums(*read, calendar, "YR_NUM", hot=HotKeys(8000, []))
+    assert [keys(e) for e in exchanges(plan(fact))] == ["PLACE"] * 2
+    path = f"{tmp_path}/fact"
+    write_fact(fact, path, "yr_num", laid_out=True)
+    assert rows(spark.read.parquet(path).select(*MART_COLUMNS)) == rows(weekly_mart(*read, calendar))
+    # Eight tasks: a value lies in as many as it has a share of, and one more where it ends within a task.
+    files = [len(glob.glob(f"{path}/YR_NUM={year}/*.parquet")) for year in range(3)]
+    assert max(files) <= 4 and sum(files) <= 10
+
+
+def test_places_go_to_tasks_of_their_own(spark):
+    for tasks in (1, 7, 200):
+        numbers = places._one_for_each_task(spark, tasks)
+        df = spark.createDataFrame([(n,) for n in numbers], "PLACE int").repartition(tasks, "PLACE")
+        assert [r["PLACE"] for r in df.orderBy(F.spark_partition_id()).collect()] == numbers
+
+
+def test_weeks_share_the_tasks_by_their_rows(spark, facts, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(places, "LEAST_ROWS", 100)
+    monkeypatch.setattr(places, "TASK_ROWS", 400)
+    sales, stock, calendar = facts
+    sold = sales.withColumnRenamed("TRANS_DT", "CAL_DT").withColumn("PROD_KEY", F.monotonically_increasing_id())
+    slim = calendar.select("CAL_DT", "YR_NUM", "WK_NUM").filter("CAL_DT IS NOT NULL")
+    found = places.places_of(sold, stock, slim, "YR_NUM")
+    dealt = places.placed(sold, found).repartition(found.tasks, "PLACE")
+    counts = dealt.groupBy(F.spark_partition_id().alias("T")).agg(F.count("*").alias("n"), F.countDistinct("PLACE"))
+    counts = counts.collect()
+    mean = sum(r["n"] for r in counts) / found.tasks
+    assert len(counts) == found.tasks > 15 and max(r["n"] for r in counts) < 2 * mean
+
+
+def test_other_columns_and_calendars_have_no_places(facts):  # noqa: F811
+    sales, stock, calendar = facts
+    assert placed_sums(sales, stock, calendar, "STORE_KEY") is None
+    assert placed_sums(sales, stock, calendar.unionAll(calendar.filter("WK_NUM = 2")), "YR_NUM") is None
