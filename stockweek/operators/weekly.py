@@ -6,6 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockweek.functions import sizes
 from stockweek.functions.measures import days_with, mean, total
@@ -19,7 +20,7 @@ from stockweek.operators.daily import (
     meet_in_weeks,
     sales_inv_store_dy,
 )
-from stockweek.operators.hot_keys import HotKeys, sampled_hot_keys, split_parts
+from stockweek.operators.hot_keys import DAY_KEYS, HotKeys, sampled_hot_keys, split_parts
 from stockweek.operators.places import PLACED_BY, placed, places_of
 
 WEEK_KEYS = ["YR_NUM", "WK_NUM", "STORE_KEY", "PROD_KEY"]
@@ -229,7 +230,8 @@ def placed_sums(
 
     The one shuffle of sales and stock rows brings the rows of a value to few tasks, so that the
     fact needs no shuffle for its layout. That is possible with a column of the calendar, and a
-    calendar with plain weeks, and if no key has many of the rows of either fact; otherwise the answer is None.
+    calendar with plain weeks; otherwise the answer is None. The weeks, stores and products of hot keys
+    of either fact are few, and take the plan of ``weekly_mart``, apart from all others.
     """
     slim = calendar.select(*CALENDAR_COLUMNS).filter(F.col("CAL_DT").isNotNull())
     if column not in PLACED_BY or not has_plain_weeks(slim):
@@ -237,12 +239,32 @@ def placed_sums(
     columns = MART_COLUMNS + (SUMMED_METRICS if metrics else [])
     sold, held = sales.withColumnRenamed("TRANS_DT", "CAL_DT"), daily_inventory(inventory)
     found = sampled_hot_keys(held) if hot is None else hot
-    if split_parts(found) or split_parts(sampled_hot_keys(sold)):
-        return None
     places = places_of(sold, held, slim, column, None if hot is None else hot.total)
+    cells = _days_of_hot_cells(inventory, slim, [*split_parts(found), *split_parts(sampled_hot_keys(sold))])
+    if cells is not None:
+        apart = [df.join(cells, DAY_KEYS, "left_semi") for df in (sold, inventory)]
+        sold, held = (df.join(cells, DAY_KEYS, "left_anti") for df in (sold, held))
     days = meet_in_places(placed(sold, places), placed(held, places), places.tasks)
     # A week of a store and product has one place, so to group by it as well changes no row.
-    return _roll_up(days.join(F.broadcast(slim), "CAL_DT"), "PLACE").select(*columns)
+    sums = _roll_up(days.join(F.broadcast(slim), "CAL_DT"), "PLACE").select(*columns)
+    if cells is None:
+        return sums
+    hot_sales = apart[0].withColumnRenamed("CAL_DT", "TRANS_DT")
+    rest = weekly_mart(hot_sales, apart[1], calendar, metrics, found).select(*columns)
+    return sums.unionByName(rest.repartition(1))  # a row for each hot key at most
+
+
+def _days_of_hot_cells(inventory: DataFrame, slim: DataFrame, keys: list[tuple]) -> DataFrame | None:
+    """The days of all weeks, stores and products that hold a hot key, to be broadcast; None if there are none."""
+    known = [key[:3] for key in keys if key[0] is not None]
+    if not known:
+        return None
+    schema = T.StructType([inventory.schema[key] for key in DAY_KEYS])
+    # Weeks that share a hash are taken together, which is as well.
+    week = slim.select("CAL_DT", F.hash("YR_NUM", "WK_NUM").alias("WEEK_HASH"))
+    hot = inventory.sparkSession.createDataFrame(known, schema)
+    cells = hot.join(week, "CAL_DT").select("WEEK_HASH", "STORE_KEY", "PROD_KEY").distinct()
+    return F.broadcast(cells.join(week, "WEEK_HASH").select(*DAY_KEYS))
 
 
 def with_metrics(sums: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_plans import exchanges, keys, plan
 from test_week_shuffle import facts  # noqa: F401
 
-from stockweek.operators import places
+from stockweek.operators import hot_keys, places
 from stockweek.operators.hot_keys import HotKeys
 from stockweek.operators.weekly import MART_COLUMNS, placed_sums, weekly_mart, with_metrics
 from stockweek.sinks.files import write_fact
@@ -72,3 +72,24 @@ def test_other_columns_and_calendars_have_no_places(facts):  # noqa: F811
     sales, stock, calendar = facts
     assert placed_sums(sales, stock, calendar, "STORE_KEY") is None
     assert placed_sums(sales, stock, calendar.unionAll(calendar.filter("WK_NUM = 2")), "YR_NUM") is None
+
+
+@pytest.mark.parametrize("known", [False, True])
+@pytest.mark.parametrize("hot_side", ["sales", "stock", "both"])
+def test_hot_keys_leave_the_other_rows_to_one_shuffle(facts, monkeypatch, hot_side, known):  # noqa: F811
+    monkeypatch.setattr(places, "LEAST_ROWS", 1000)
+    sales, stock, calendar = facts
+    sold = sales if hot_side == "stock" else sales.unionAll(sales.filter("STORE_KEY = 1 AND PROD_KEY < 4"))
+    held = stock if hot_side == "sales" else stock.unionAll(stock.filter("STORE_KEY = 2 AND PROD_KEY < 4"))
+    wanted = rows(weekly_mart(sold, held, calendar, metrics=True))
+    monkeypatch.setattr(hot_keys, "HOT_HITS", 3)
+    monkeypatch.setattr(hot_keys, "HOT_SAMPLE", 1.0)
+    hot = None
+    if known:
+        counts = held.groupBy(*hot_keys.DAY_KEYS).count().filter("count > 2")
+        hot = HotKeys(held.count(), [tuple(r) for r in counts.collect()])
+    fact = placed_sums(sold, held, calendar, "YR_NUM", metrics=True, hot=hot)
+    text = plan(fact)
+    assert "LeftAnti" in text and "LeftSemi" in text
+    assert [keys(e) for e in exchanges(text)].count("PLACE") == 2
+    assert rows(with_metrics(fact)) == wanted
