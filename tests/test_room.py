@@ -6,6 +6,7 @@ import golden
 import pyarrow.parquet as pq
 from conftest import rows
 
+from stockweek.operators.quarantine import SIDE_BY_SIDE, split_unknown_keys
 from stockweek.sinks.files import write_fact
 from stockweek.sources.csv import read_csv
 from stockweek.testbed import queries
@@ -27,3 +28,17 @@ def test_a_fact_is_written_compressed(spark, tmp_path):
     column = pq.ParquetFile(file).metadata.row_group(0).column(0)
     assert column.compression == "ZSTD"
     assert [r["WK_SALES_QTY"] for r in spark.read.parquet(f"{tmp_path}/fact").collect()] == [1.5]
+
+
+def codecs(folder):
+    files = list(Path(folder).rglob("*.parquet"))
+    return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+
+
+def test_rows_set_apart_are_written_compressed(spark, tmp_path):
+    before = {name: spark.conf.get(name) for name in SIDE_BY_SIDE}
+    sales = golden.sales(spark)
+    split = split_unknown_keys(sales, "sales", f"{tmp_path}/split")
+    assert codecs(f"{tmp_path}/split") == {"ZSTD"}
+    assert rows(split.kept.unionAll(split.rejected.drop("REASON"))) == rows(sales)
+    assert {name: spark.conf.get(name) for name in SIDE_BY_SIDE} == before
