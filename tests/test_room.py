@@ -7,6 +7,7 @@ import pyarrow.parquet as pq
 from conftest import rows
 
 from stockweek.operators.quarantine import SIDE_BY_SIDE, split_unknown_keys
+from stockweek.plans.raw_load import load_raw
 from stockweek.sinks.files import write_fact
 from stockweek.sources.csv import read_csv
 from stockweek.testbed import queries
@@ -42,3 +43,26 @@ def test_rows_set_apart_are_written_compressed(spark, tmp_path):
     assert codecs(f"{tmp_path}/split") == {"ZSTD"}
     assert rows(split.kept.unionAll(split.rejected.drop("REASON"))) == rows(sales)
     assert {name: spark.conf.get(name) for name in SIDE_BY_SIDE} == before
+
+
+def test_raw_tables_are_written_compressed(spark, tmp_path):
+    golden.sales(spark).write.options(header="true").csv(f"{tmp_path}/staged")
+    loaded = load_raw(spark, {"sales": f"{tmp_path}/staged"}, "raw_room", f"{tmp_path}/db")
+    spark.catalog.setCurrentDatabase("default")
+    assert codecs(f"{tmp_path}/db") == {"ZSTD"}
+    assert loaded["sales"].count() == golden.sales(spark).count()
+
+
+def test_staged_dumps_go_once_they_are_loaded(spark, tmp_path):
+    import test_updates
+
+    base, made = f"{tmp_path}/raw", test_updates.tables(spark)
+    queries.tables._stored[f"{tmp_path}", "item"] = f"{tmp_path}/item"
+    try:
+        for name, df in made.items():
+            df.write.parquet(f"{tmp_path}/item/{name}")
+        loaded = queries._load_raw(spark, f"{tmp_path}", base)
+        assert not Path(f"{base}/staged").exists()
+        assert {name: df.count() for name, df in loaded.items()} == {name: df.count() for name, df in made.items()}
+    finally:
+        del queries.tables._stored[f"{tmp_path}", "item"]
