@@ -6,11 +6,14 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from test_plans import exchanges, keys, plan
+from test_updates import new_days, stored
 from test_week_shuffle import facts  # noqa: F401
 
 from stockweek.operators import hot_keys, places
 from stockweek.operators.hot_keys import HotKeys
 from stockweek.operators.weekly import MART_COLUMNS, placed_sums, weekly_mart, with_metrics
+from stockweek.plans import incremental
+from stockweek.plans.weekly_mart import FACT, run_weekly_mart
 from stockweek.sinks.files import write_fact
 
 
@@ -93,3 +96,26 @@ def test_hot_keys_leave_the_other_rows_to_one_shuffle(facts, monkeypatch, hot_si
     assert "LeftAnti" in text and "LeftSemi" in text
     assert [keys(e) for e in exchanges(text)].count("PLACE") == 2
     assert rows(with_metrics(fact)) == wanted
+
+
+def test_an_update_is_complete_before_it_replaces_partitions(spark, tmp_path, monkeypatch):
+    old, new = stored(spark, f"{tmp_path}/a"), stored(spark, f"{tmp_path}/b", new_days)
+    out = f"{tmp_path}/out"
+    run_weekly_mart(spark, new, out, "YR_NUM")
+    before, write = set(glob.glob(f"{out}/{FACT}/*/*.parquet")), incremental.write_fact
+    scratch = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/update-*/rows"))
+
+    def then_fail(*args, **options):
+        write(*args, **options)
+        raise RuntimeError("after the write")
+
+    monkeypatch.setattr(incremental, "write_fact", then_fail)
+    with pytest.raises(RuntimeError, match="after the write"):
+        incremental.update_weekly_mart(spark, new, old, out, "YR_NUM")
+    assert set(glob.glob(f"{out}/{FACT}/*/*.parquet")) == before and not glob.glob(f"{out}/_update*")
+    assert set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/update-*/rows")) == scratch
+    monkeypatch.undo()
+    done = incremental.update_weekly_mart(spark, new, old, out, "YR_NUM")
+    run_weekly_mart(spark, old, f"{tmp_path}/want", "YR_NUM")
+    got, want = (spark.read.parquet(f"{base}/{FACT}").select(*MART_COLUMNS) for base in (out, f"{tmp_path}/want"))
+    assert rows(got) == rows(want) and done.written and not glob.glob(f"{out}/_update*")
